@@ -103,9 +103,9 @@ def bloom(
     """Like ``exact``, with Bloom filters for memory: a share ``fpp`` of new rows may be lost.
 
     Equal combinations meet in one shard, whatever their entity, so no entity owns a task.
-    Copies are first dropped where they are read, so a combination that fills a third of the
-    table is shuffled once per input partition. ``expected`` is the number of combinations in
-    the whole table, of which each shard sees its share.
+    Copies within one Arrow batch are dropped before the shuffle, so a combination that fills a
+    third of the table does not travel row by row. ``expected`` is the number of combinations
+    in the whole table, of which each shard sees its share.
     """
     if df.isStreaming:
         return state.bloom(df, keys, expected, fpp, shards or 64)
@@ -114,11 +114,15 @@ def bloom(
         "_h2", F.xxhash64(F.lit("second"), *keys)
     )
     per_shard = max(1, -(-expected // shards))
-    local = marked.mapInPandas(_bloom_pass(per_shard, fpp), marked.schema)
-    spread = local.repartition(shards, "_h1", "_h2")
+    spread = marked.mapInPandas(_without_copies, marked.schema).repartition(shards, "_h1", "_h2")
     return spread.mapInPandas(_bloom_pass(per_shard, fpp), marked.schema).drop("_h1", "_h2")
 
 
+def _without_copies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield batch[~batch.duplicated(["_h1", "_h2"])]
+
+
 def _bloom_pass(expected: int, fpp: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = Bloom.sized(expected, fpp)

@@ -11,6 +11,8 @@ from tidewell.functions import text as tx
 
 # Longest word list that is written into the plan as a literal; longer ones are joined.
 INLINE_WORDS = 1000
+# Characters per piece when texts are cut up for the join with a long word list.
+PIECE = 4096
 
 
 def explode_keywords(
@@ -92,25 +94,46 @@ def _found_inline(msg: Column, words: list[str]) -> Column:
 def _found_by_join(df: DataFrame, listed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Banned words per row, for a word list of any size.
 
-    For each word length in use, the distinct substrings of that length are joined with the
-    words. Only keys, positions and substrings travel, never the text.
+    Texts are cut into overlapping pieces, and every substring of a piece that is as long as
+    some word is joined with the words. Past the cut only keys, positions and short strings
+    travel, and what one row turns into does not grow with its text.
     """
-    lengths = [r.n for r in listed.select(F.length("word").alias("n")).distinct().collect()]
+    lengths = sorted(r.n for r in listed.select(F.length("word").alias("n")).distinct().collect())
+    by = [f"_k_{k}" for k in keys]
     msg = F.col("msg")
-    grams = None
-    for n in sorted(lengths):
-        spots = F.when(
-            F.length(msg) >= n, F.sequence(F.lit(1), F.length(msg) - (n - 1))
-        ).otherwise(F.array().cast("array<int>"))
-        part = df.select(
-            *[F.col(k).alias(f"_k_{k}") for k in keys], msg, F.explode(spots).alias("at")
-        ).select(
-            *[f"_k_{k}" for k in keys], "at", F.substring(msg, F.col("at"), F.lit(n)).alias("_gram")
+    pieces = df.filter(F.length(msg) > 0).select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        F.explode(
+            F.transform(
+                F.sequence(F.lit(1), F.length(msg), F.lit(PIECE)),
+                lambda at: F.struct(
+                    at.alias("base"),
+                    F.substring(msg, at, F.lit(PIECE + lengths[-1] - 1)).alias("piece"),
+                ),
+            )
+        ).alias("_p"),
+    )
+    chars, size = F.col("_chars"), F.size("_chars")
+
+    def of_length(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.least(F.lit(PIECE), size - (n - 1)))
+        found = F.transform(
+            starts,
+            lambda i: F.struct(
+                (F.col("_base") + i - 1).alias("at"),
+                F.array_join(F.slice(chars, i, n), "").alias("gram"),
+            ),
         )
-        grams = part if grams is None else grams.unionAll(part)
-    by = [f"_k_{k}" for k in keys]
+        return F.when(size >= n, found).otherwise(
+            F.array().cast("array<struct<at:int,gram:string>>")
+        )
+
+    grams = pieces.select(
+        *by, F.col("_p.base").alias("_base"), F.split("_p.piece", "").alias("_chars")
+    ).select(*by, F.explode(F.flatten(F.array(*[of_length(n) for n in lengths]))).alias("_g"))
     return (
-        grams.join(listed, F.col("_gram") == F.col("word"))
+        grams.select(*by, "_g.at", "_g.gram")
+        .join(listed, F.col("gram") == F.col("word"))
         .groupBy(*by, "word")
         .agg(F.min("at").alias("at"))
         .groupBy(*by)
