@@ -179,12 +179,13 @@ def cancelled_orders(df: DataFrame, mode: str = "orders") -> DataFrame:
     )
 
 
-def flatten_comments(df: DataFrame) -> DataFrame:
+def flatten_comments(df: DataFrame, dic_name: Column | None = None) -> DataFrame:
     """Comment changes as flat rows; a change without ``after`` has no row.
 
-    ``nick_name`` is no field of the row image and stays null. ``dic_name`` is taken from the
-    enriched image when there is one.
+    ``nick_name`` is no field of the row image and stays null. ``dic_name`` is the name that was
+    looked up, or that field of the row image.
     """
+    name = dic_name if dic_name is not None else F.col("after")["dic_name"]
 
     def long(name: str) -> Column:
         return F.col("after")[name].try_cast("bigint").alias(name)
@@ -207,5 +208,5 @@ def flatten_comments(df: DataFrame) -> DataFrame:
         long("id"),
         long("spu_id"),
         long("order_id"),
-        text("dic_name"),
+        name.alias("dic_name"),
     )
