@@ -61,12 +61,27 @@ def after_or_before(df: DataFrame, fields: Iterable[str]) -> DataFrame:
     )
 
 
+# Most configured tables whose names are also put into the plan as a filter.
+NAMED_TABLES = 1000
+
+
+def only_configured(df: DataFrame, config: DataFrame) -> DataFrame:
+    """Changes of configured tables.
+
+    A usual configuration has few rows: its table names become a filter that Catalyst can push to
+    the sources. A long one is left to the join that follows.
+    """
+    names = [r[0] for r in config.select("source_table").limit(NAMED_TABLES + 1).collect()]
+    return df if len(names) > NAMED_TABLES else df.filter(F.col("source")["table"].isin(*names))
+
+
 def route(df: DataFrame, config: DataFrame) -> DataFrame:
     """Attach the configured target to each change and keep the configured fields only.
 
     Tables without configuration drop out. The configuration holds one row per source table;
     Spark broadcasts it when its size estimate allows and shuffles otherwise.
     """
+    df = only_configured(df, config)
     rules = config.select(
         F.col("source_table").alias("_table"), "sink_table", "sink_columns", "sink_row_key"
     )

@@ -94,11 +94,13 @@ def _found_inline(msg: Column, words: list[str]) -> Column:
 def _found_by_join(df: DataFrame, listed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Banned words per row, for a word list of any size.
 
-    Texts are cut into overlapping pieces, and every substring of a piece that is as long as
-    some word is joined with the words. Past the cut only keys, positions and short strings
-    travel, and what one row turns into does not grow with its text.
+    Every position of a text becomes a short row: the next characters, as many as the longest
+    word has. Its head, as long as the shortest word, is joined with the heads of the words, and
+    the rest of the word is compared. Texts are cut into overlapping pieces before, so what one
+    row turns into does not grow with its text, and past the cut no text travels.
     """
-    lengths = sorted(r.n for r in listed.select(F.length("word").alias("n")).distinct().collect())
+    span = listed.agg(F.min(F.length("word")).alias("lo"), F.max(F.length("word")).alias("hi")).first()
+    lo, hi = span.lo, span.hi
     by = [f"_k_{k}" for k in keys]
     msg = F.col("msg")
     pieces = df.filter(F.length(msg) > 0).select(
@@ -108,32 +110,21 @@ def _found_by_join(df: DataFrame, listed: DataFrame, keys: Sequence[str]) -> Dat
                 F.sequence(F.lit(1), F.length(msg), F.lit(PIECE)),
                 lambda at: F.struct(
                     at.alias("base"),
-                    F.substring(msg, at, F.lit(PIECE + lengths[-1] - 1)).alias("piece"),
+                    F.substring(msg, at, F.lit(PIECE + hi - 1)).alias("piece"),
                 ),
             )
         ).alias("_p"),
     )
-    chars, size = F.col("_chars"), F.size("_chars")
-
-    def of_length(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.least(F.lit(PIECE), size - (n - 1)))
-        found = F.transform(
-            starts,
-            lambda i: F.struct(
-                (F.col("_base") + i - 1).alias("at"),
-                F.array_join(F.slice(chars, i, n), "").alias("gram"),
-            ),
-        )
-        return F.when(size >= n, found).otherwise(
-            F.array().cast("array<struct<at:int,gram:string>>")
-        )
-
-    grams = pieces.select(
-        *by, F.col("_p.base").alias("_base"), F.split("_p.piece", "").alias("_chars")
-    ).select(*by, F.explode(F.flatten(F.array(*[of_length(n) for n in lengths]))).alias("_g"))
+    # A match of no width at each position, which captures what follows.
+    ahead = F.regexp_extract_all("_p.piece", F.lit(f"(?s)(?=(.{{{lo},{hi}}}))"), F.lit(1))
+    spots = (
+        pieces.select(*by, F.col("_p.base").alias("_base"), F.posexplode(ahead).alias("_pos", "_next"))
+        .filter(F.col("_pos") < PIECE)
+        .select(*by, (F.col("_base") + F.col("_pos")).alias("at"), "_next", F.left("_next", F.lit(lo)).alias("_head"))
+    )
+    heads = listed.select("word", F.left("word", F.lit(lo)).alias("_whead"))
     return (
-        grams.select(*by, "_g.at", "_g.gram")
-        .join(listed, F.col("gram") == F.col("word"))
+        spots.join(heads, (F.col("_head") == F.col("_whead")) & F.startswith("_next", F.col("word")))
         .groupBy(*by, "word")
         .agg(F.min("at").alias("at"))
         .groupBy(*by)

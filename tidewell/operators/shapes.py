@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions import text as tx
+from tidewell.operators.changes import only_configured
 
 
 def to_snake_json(df: DataFrame, hidden: Sequence[str] = (), value: str = "value") -> DataFrame:
@@ -32,7 +33,7 @@ def route_topics(df: DataFrame, config: DataFrame, key: str = "id") -> DataFrame
         F.col("source_table").alias("_table"), F.col("sink_table").alias("_topic"), "sink_columns"
     )
     wanted = F.split("sink_columns", ",", -1)
-    kept = df.join(rules, F.col("source")["table"] == F.col("_table")).withColumn(
+    kept = only_configured(df, config).join(rules, F.col("source")["table"] == F.col("_table")).withColumn(
         "_data", F.map_filter("after", lambda k, _: F.array_contains(wanted, k))
     )
     return to_messages(kept, F.col("_topic"), F.col("after")[key], F.to_json("_data"))

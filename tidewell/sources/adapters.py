@@ -120,14 +120,14 @@ def _changes(
 def order_op() -> Column:
     return (
         F.when(F.col("o_orderpriority") == "5-LOW", "d")
-        .when(F.col("o_orderstatus") == "F", "r")
-        .when(F.col("o_orderstatus") == "O", "c")
-        .otherwise("u")
+        .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "u")
+        .when(F.col("o_orderpriority") == "3-MEDIUM", "c")
+        .otherwise("r")
     )
 
 
 def order_info(orders: DataFrame, mixed_ops: bool = False) -> DataFrame:
-    """Orders: a snapshot, or with ops by status and priority."""
+    """Orders: a snapshot, or with ops by priority."""
     status = (
         F.when(F.col("o_orderstatus") == "P", "1003")
         .when(F.col("o_orderstatus") == "F", "1006")

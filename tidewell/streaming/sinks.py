@@ -89,26 +89,27 @@ class MergedTable:
             if (before is None or i < before) and "_SUCCESS" in self._list(f"{self.path}/{SNAP}={i}")
         ]
 
-    def _paths(self, before: int | None) -> list[str]:
+    def _paths(self, before: int | None, only: set[str] | None = None) -> list[str]:
         done = self.snapshots(before)
         if self.partition is None:
             return [f"{self.path}/{SNAP}={done[-1]}"] if done else []
         newest: dict[str, int] = {}
         for i in done:
             for name in self._list(f"{self.path}/{SNAP}={i}"):
-                if name.startswith(f"{self.partition}="):
+                part, _, value = name.partition("=")
+                if part == self.partition and (only is None or value in only):
                     newest[name] = i
         return [f"{self.path}/{SNAP}={i}/{name}" for name, i in sorted(newest.items())]
 
-    def read(self, before: int | None = None) -> DataFrame | None:
-        """The table, as of the snapshots older than ``before`` if given; none if there are none."""
-        paths = self._paths(before)
+    def read(self, before: int | None = None, only: set[str] | None = None) -> DataFrame | None:
+        """The table, as of the snapshots older than ``before`` if given; none if there are none.
+
+        ``only`` names the partition values to read.
+        """
+        paths = self._paths(before, only)
         if not paths:
             return None
-        df = self.spark.read.option("recursiveFileLookup", "false").option(
-            "basePath", self.path
-        ).parquet(*paths)
-        df = df.drop(SNAP)
+        df = self.spark.read.option("basePath", self.path).parquet(*paths).drop(SNAP)
         if self.partition is not None:
             # A partition value such as 20240101 must stay text.
             df = df.withColumn(self.partition, F.col(self.partition).cast("string"))
@@ -121,12 +122,11 @@ class MergedTable:
         combine: Callable[[DataFrame, DataFrame | None], DataFrame],
     ) -> None:
         """Write snapshot ``batch_id`` as ``combine(batch, table before it)``."""
-        base = self.read(batch_id)
-        if base is not None and self.partition is not None:
-            # Only the partitions that occur in the batch are read and rewritten.
-            touched = batch.select(self.partition).distinct()
-            base = base.join(touched, self.partition, "left_semi")
-        merged = combine(batch, base)
+        only = None
+        if self.partition is not None:
+            # The days that occur in the batch; no other partition is read or rewritten.
+            only = {str(r[0]) for r in batch.select(self.partition).distinct().collect()}
+        merged = combine(batch, self.read(batch_id, only))
         writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if self.partition is not None:
             writer = writer.partitionBy(self.partition)
