@@ -45,7 +45,7 @@ class FirstOfDay(StatefulProcessor):
         self.last = handle.getValueState("lastDate", "day date")
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        rank = _sorter(self.order)
+        rank, make = _sorter(self.order), Row(*self.out, "prev_date")
         firsts: dict[Any, Row] = {}
         for row in rows:
             held = firsts.get(row["visit_date"])
@@ -55,7 +55,7 @@ class FirstOfDay(StatefulProcessor):
         changed = False
         for row in sorted(firsts.values(), key=rank):
             if row["visit_date"] != last:
-                yield Row(*[row[c] for c in self.out], last)
+                yield make(*[row[c] for c in self.out], last)
                 last, changed = row["visit_date"], True
         if changed:
             self.last.update((last,))
@@ -105,6 +105,7 @@ class FixIsNew(StatefulProcessor):
         self.anchor = handle.getValueState("anchorDate", "day date", self.ttl_ms)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        make = Row(*self.names, "_flag")
         anchor = self.anchor.get()[0] if self.anchor.exists() else None
         if anchor is None:
             # Only a key without state needs its rows in order: the first one decides.
@@ -118,7 +119,7 @@ class FixIsNew(StatefulProcessor):
             flag = row["_new"]
             if flag == "1" and anchor != row["_today"]:
                 flag = "0"
-            yield Row(*[row[c] for c in self.names], flag)
+            yield make(*[row[c] for c in self.names], flag)
 
     def close(self) -> None:
         pass
@@ -155,12 +156,13 @@ class Retract(StatefulProcessor):
         self.last = handle.getValueState("lastRow", self.schema, self.ttl_ms)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        make = Row(*self.names, "_sign")
         last = tuple(self.last.get()) if self.last.exists() else None
         for row in sorted(rows, key=_sorter(self.order)):
             if last is not None:
-                yield Row(*last, -1)
+                yield make(*last, -1)
             last = tuple(row[c] for c in self.names)
-            yield Row(*last, 1)
+            yield make(*last, 1)
         self.last.update(last)
 
     def close(self) -> None:
@@ -213,7 +215,7 @@ class Latest(StatefulProcessor):
         if self.best.exists():
             row = tuple(self.best.get())
             self.best.clear()
-            yield Row(*row)
+            yield Row(*self.names)(*row)
 
     def close(self) -> None:
         pass
@@ -254,7 +256,7 @@ class BloomShard(StatefulProcessor):
             pairs = np.array(list(held), dtype=np.int64)
             for values, fresh in zip(held.values(), seen.add(pairs[:, 0], pairs[:, 1])):
                 if fresh:
-                    yield Row(*values)
+                    yield Row(*self.names)(*values)
             held.clear()
 
     def close(self) -> None:
