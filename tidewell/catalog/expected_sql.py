@@ -358,3 +358,4 @@ FROM typed GROUP BY user_id, ds"""
 EXPECTED["partial_update_merge"] = _PARTIAL
 EXPECTED["sink_partial_update_table"] = _PARTIAL
 EXPECTED["moderate_contains_joined"] = EXPECTED["moderate_contains"]
+EXPECTED["src_cdc_typed_view"] = EXPECTED["src_cdc_map_view"]

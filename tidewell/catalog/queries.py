@@ -56,21 +56,19 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def detail_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines in several versions: the line number is not unique within an order."""
-    line = ad.order_detail(ad.table(spark, sf_dir, "lineitem"))
-    rows = facts.order_lines(line)
-    parts = F.split("id", "-")
-    return rows.select(
-        F.concat_ws("-", parts[0], parts[1]).alias("id"),
+    lines = ad.order_detail(ad.table(spark, sf_dir, "lineitem"), ad.LINE_KEY)
+    return facts.order_lines(lines).selectExpr(
+        "id",
         "order_id",
         "sku_id",
-        (F.col("source_id").cast("bigint") % 27).cast("string").alias("province_id"),
+        "CAST(CAST(source_id AS BIGINT) % 27 AS STRING) AS province_id",
         "split_original_amount",
         "split_activity_amount",
         "split_coupon_amount",
         "split_total_amount",
         "ts_ms",
-        F.col("sku_id").cast("bigint").alias("part_no"),
-        F.col("source_id").cast("bigint").alias("supp_no"),
+        "CAST(sku_id AS BIGINT) AS part_no",
+        "CAST(source_id AS BIGINT) AS supp_no",
     )
 
 
@@ -93,7 +91,8 @@ def src_event_stream(spark, sf_dir):
 @query
 def src_cdc_map_view(spark, sf_dir):
     """Orders as JSON envelopes, parsed into maps."""
-    messages = cdc.envelope_messages(ad.order_info(ad.table(spark, sf_dir, "orders"), mixed_ops=True))
+    orders = ad.order_info(ad.table(spark, sf_dir, "orders"), mixed_ops=True)
+    messages = cdc.envelope_messages(cdc.with_maps(orders))
     view = cdc.change_view(messages)
     return view.select(
         F.col("source")["table"].alias("table"),
@@ -105,11 +104,27 @@ def src_cdc_map_view(spark, sf_dir):
     )
 
 
+@query
+def src_cdc_typed_view(spark, sf_dir):
+    """The same envelopes, parsed into the fields that are asked for."""
+    orders = ad.order_info(ad.table(spark, sf_dir, "orders"), mixed_ops=True)
+    messages = cdc.envelope_messages(cdc.with_maps(orders))
+    view = cdc.typed_view(messages, ("id", "total_amount"))
+    return view.select(
+        F.col("source")["table"].alias("table"),
+        "op",
+        "ts_ms",
+        F.col("after.id").alias("after_id"),
+        F.col("before.id").alias("before_id"),
+        F.col("after.total_amount").alias("total_amount"),
+    )
+
+
 @query
 def cdc_snapshot_envelope(spark, sf_dir):
     """A table snapshot as JSON change messages."""
     customer = ad.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    rows = cdc.snapshot_envelopes(customer, ad.DB, "customer", ad.user_ms())
+    rows = cdc.snapshot_envelopes(customer, ad.DB, "customer", F.expr(ad.USER_MS))
     return cdc.envelope_messages(rows)
 
 
@@ -244,22 +259,25 @@ def log_dirty_records(spark, sf_dir):
 # --- changes ------------------------------------------------------------------------------------
 
 
+def _mixed_orders(spark, sf_dir):
+    return cdc.with_maps(ad.order_info(ad.table(spark, sf_dir, "orders"), mixed_ops=True))
+
+
 @query
 def cdc_filter_valid(spark, sf_dir):
-    rows = changes.filter_valid(ad.order_info(ad.table(spark, sf_dir, "orders"), mixed_ops=True), ad.DB)
+    rows = changes.filter_valid(_mixed_orders(spark, sf_dir), ad.DB)
     return rows.select(F.col("after")["id"].alias("id"), "op", "ts_ms")
 
 
 @query
 def cdc_filter_valid_deletes(spark, sf_dir):
-    rows = changes.filter_valid(
-        ad.order_info(ad.table(spark, sf_dir, "orders"), mixed_ops=True), ad.DB, use_before_for_delete=True
-    )
+    rows = changes.filter_valid(_mixed_orders(spark, sf_dir), ad.DB, use_before_for_delete=True)
     return rows.select(F.col("after")["id"].alias("id"), "op", "ts_ms")
 
 
 @query
 def cdc_project_order(spark, sf_dir):
+    """Fields of one table out of all changes."""
     return changes.project(
         ad.topic_db(spark, sf_dir), "order_info", ("id", "user_id", "province_id", "total_amount")
     )
@@ -302,9 +320,7 @@ def comment_flatten(spark, sf_dir):
 
 @query
 def cdc_after_or_before(spark, sf_dir):
-    return changes.after_or_before(
-        ad.order_info(ad.table(spark, sf_dir, "orders"), mixed_ops=True), ("id", "user_id", "order_status")
-    )
+    return changes.after_or_before(_mixed_orders(spark, sf_dir), ("id", "user_id", "order_status"))
 
 
 @query
@@ -319,7 +335,7 @@ def cancel_filter_reference(spark, sf_dir):
 
 @query
 def user_profile(spark, sf_dir):
-    return jobs.user_profiles(ad.user_info(ad.table(spark, sf_dir, "customer")), F.lit(AS_OF).cast("date"))
+    return jobs.user_profiles(ad.TopicByTable(spark, sf_dir), F.lit(AS_OF).cast("date"))
 
 
 @query
@@ -395,7 +411,7 @@ def search_filter(spark, sf_dir):
 
 
 def _details(spark, sf_dir):
-    return facts.order_detail(ad.topic_db(spark, sf_dir))
+    return facts.order_detail(ad.TopicByTable(spark, sf_dir))
 
 
 @query
@@ -405,27 +421,27 @@ def dwd_order_detail(spark, sf_dir):
 
 @query
 def dwd_pay_success(spark, sf_dir):
-    return facts.pay_success(ad.topic_db(spark, sf_dir), _details(spark, sf_dir))
+    return facts.pay_success(ad.TopicByTable(spark, sf_dir), _details(spark, sf_dir))
 
 
 @query
 def dwd_order_cancel(spark, sf_dir):
-    return facts.order_cancel(ad.topic_db(spark, sf_dir), _details(spark, sf_dir))
+    return facts.order_cancel(ad.TopicByTable(spark, sf_dir), _details(spark, sf_dir))
 
 
 @query
 def dwd_order_refund(spark, sf_dir):
-    return facts.order_refund(ad.topic_db(spark, sf_dir))
+    return facts.order_refund(ad.TopicByTable(spark, sf_dir))
 
 
 @query
 def dwd_refund_pay_success(spark, sf_dir):
-    return facts.refund_pay(ad.topic_db(spark, sf_dir))
+    return facts.refund_pay(ad.TopicByTable(spark, sf_dir))
 
 
 @query
 def dwd_comment_dic(spark, sf_dir):
-    return facts.comments(ad.topic_db(spark, sf_dir), ad.base_dic(ad.table(spark, sf_dir, "region")))
+    return facts.comments(ad.TopicByTable(spark, sf_dir), ad.base_dic(ad.table(spark, sf_dir, "region")))
 
 
 @query
@@ -445,7 +461,7 @@ def interval_join_prefix(spark, sf_dir):
 
 @query
 def dim_join_province(spark, sf_dir):
-    orders = facts.orders_with_status(ad.topic_db(spark, sf_dir), "1006")
+    orders = facts.orders_with_status(ad.TopicByTable(spark, sf_dir), "1006")
     return joins.dim_join(
         orders, ad.province_dim(ad.table(spark, sf_dir, "nation")), "province_id", {"name": "province_name"}
     )
@@ -454,7 +470,7 @@ def dim_join_province(spark, sf_dir):
 @query
 def dim_join_default(spark, sf_dir):
     """Comments with the name of their code, found under its hash, or ``N/A``."""
-    rows = changes.project(ad.topic_db(spark, sf_dir), "comment_info", ("id", "appraise"))
+    rows = changes.project(ad.TopicByTable(spark, sf_dir), "comment_info", ("id", "appraise"))
     return joins.dim_join(
         rows,
         ad.base_dic_by_hash(ad.table(spark, sf_dir, "region")),
@@ -468,7 +484,7 @@ def dim_join_default(spark, sf_dir):
 def dim_chain_sku(spark, sf_dir):
     """Quantity per sku, with the names of all levels above it."""
     sold = (
-        facts.order_lines(ad.topic_db(spark, sf_dir))
+        facts.order_lines(ad.TopicByTable(spark, sf_dir))
         .groupBy("sku_id")
         .agg(F.sum(F.col("sku_num").cast("bigint")).alias("sku_num"))
     )
@@ -747,7 +763,7 @@ def job_comment_enrich(spark, sf_dir):
     orders = documents.select(
         F.col("doc_id").alias("o_orderkey"),
         F.col("n_chars").alias("o_custkey"),
-        (ad.comment_ms() + (F.col("doc_id") % 5 - 2) * 45_000).alias("ms"),
+        (F.expr(ad.COMMENT_MS) + (F.col("doc_id") % 5 - 2) * 45_000).alias("ms"),
     )
     info = cdc.snapshot_envelopes(
         orders.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("consignee"), "ms"),
@@ -757,7 +773,7 @@ def job_comment_enrich(spark, sf_dir):
         ["id", "consignee"],
     )
     return jobs.comment_enrich(
-        ad.topic_db(spark, sf_dir),
+        ad.TopicByTable(spark, sf_dir),
         info,
         ad.base_dic_by_hash(ad.table(spark, sf_dir, "region")),
         ("id", "consignee"),
@@ -766,4 +782,4 @@ def job_comment_enrich(spark, sf_dir):
 
 @query
 def job_user_label(spark, sf_dir):
-    return jobs.user_labels(ad.topic_db(spark, sf_dir), F.lit(AS_OF).cast("date"))
+    return jobs.user_labels(ad.TopicByTable(spark, sf_dir), F.lit(AS_OF).cast("date"))

@@ -6,16 +6,35 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell.functions import times
 
 OPS = ("c", "u", "d", "r")
 
 
+def field(df: DataFrame, name: str, side: str = "after") -> Column:
+    """A field of a row image, which is a map or a struct; null where there is none."""
+    kind = df.schema[side].dataType
+    if isinstance(kind, T.StructType) and name not in kind.fieldNames():
+        return F.lit(None).cast("string")
+    return F.col(side)[name]
+
+
 def table_is(name: str) -> Column:
     return F.col("source")["table"] == name
 
 
+# One frame of all tables' changes, or a frame per table.
+Topic = DataFrame | Mapping[str, DataFrame]
+
+
+def of_table(topic: Topic, name: str) -> DataFrame:
+    """The changes of one table."""
+    rows = topic[name] if isinstance(topic, Mapping) else topic
+    return rows.filter(table_is(name))
+
+
 def filter_valid(
     df: DataFrame, db: str, ops: Iterable[str] = OPS, use_before_for_delete: bool = False
 ) -> DataFrame:
@@ -32,12 +51,16 @@ def filter_valid(
         (F.col("source")["db"] == db)
         & F.col("op").isin(*ops)
         & F.col("after").isNotNull()
-        & (F.size("after") > 0)
+        & (
+            F.size("after") > 0
+            if isinstance(df.schema["after"].dataType, T.MapType)
+            else F.lit(True)
+        )
     )
 
 
 def project(
-    df: DataFrame,
+    topic: Topic,
     table: str,
     columns: Iterable[str] | Mapping[str, str],
     ops: Iterable[str] = ("r",),
@@ -45,7 +68,7 @@ def project(
 ) -> DataFrame:
     """Named fields of the row image of one table, plus ``ts_ms``."""
     names = columns if isinstance(columns, Mapping) else {c: c for c in columns}
-    kept = df.filter(table_is(table) & F.col("op").isin(*ops))
+    kept = of_table(topic, table).filter(F.col("op").isin(*ops))
     if where is not None:
         kept = kept.filter(where)
     return kept.select(*[F.col("after")[src].alias(dst) for src, dst in names.items()], "ts_ms")
@@ -53,11 +76,16 @@ def project(
 
 def after_or_before(df: DataFrame, fields: Iterable[str]) -> DataFrame:
     """``after`` where it holds anything, else ``before``, with the op and its time."""
-    image = F.when(F.size("after") > 0, F.col("after")).otherwise(F.col("before"))
+    whole = F.col("after").isNotNull()
+    if isinstance(df.schema["after"].dataType, T.MapType):
+        whole = whole & (F.size("after") > 0)
     return df.select(
         F.col("op"),
         F.col("ts_ms").alias("tm_ms"),
-        *[image[f].alias(f) for f in fields],
+        *[
+            F.when(whole, field(df, f)).otherwise(field(df, f, "before")).alias(f)
+            for f in fields
+        ],
     )
 
 
@@ -173,18 +201,18 @@ def typed_cart_changes(df: DataFrame) -> DataFrame:
     )
 
 
-def cancelled_orders(df: DataFrame, mode: str = "orders") -> DataFrame:
+def cancelled_orders(topic: Topic, mode: str = "orders") -> DataFrame:
     """Cancelled orders, status 1001 or 1003.
 
     ``orders`` asks both statuses to be snapshot rows of the order table. ``reference`` lets a
-    row with status 1003 pass whatever its table or op.
+    row with status 1003 pass whatever its table or op, and so needs all changes in one frame.
     """
     status = F.col("after")["order_status"]
     on_orders = table_is("order_info") & (F.col("op") == "r")
     if mode == "orders":
-        kept = df.filter(on_orders & status.isin("1001", "1003"))
+        kept = of_table(topic, "order_info").filter(on_orders & status.isin("1001", "1003"))
     elif mode == "reference":
-        kept = df.filter((on_orders & (status == "1001")) | (status == "1003"))
+        kept = topic.filter((on_orders & (status == "1001")) | (status == "1003"))
     else:
         raise ValueError(f"unknown cancel mode: {mode}")
     return kept.select(
@@ -200,7 +228,7 @@ def flatten_comments(df: DataFrame, dic_name: Column | None = None) -> DataFrame
     ``nick_name`` is no field of the row image and stays null. ``dic_name`` is the name that was
     looked up, or that field of the row image.
     """
-    name = dic_name if dic_name is not None else F.col("after")["dic_name"]
+    name = dic_name if dic_name is not None else field(df, "dic_name")
 
     def long(name: str) -> Column:
         return F.col("after")[name].try_cast("bigint").alias(name)

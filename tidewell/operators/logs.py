@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tidewell import schemas
 from tidewell.functions.text import is_blank
+from tidewell.operators.once import with_column_once
 
 BROKEN = "_broken"
 
@@ -21,8 +22,10 @@ def parse_or_dirty(
     """
     shape = T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
     text = F.col(value)
-    parsed = df.filter(text.isNotNull()).withColumn(
-        "_rec", F.from_json(text, shape, {"columnNameOfCorruptRecord": BROKEN})
+    parsed = with_column_once(
+        df.filter(text.isNotNull()),
+        "_rec",
+        F.from_json(text, shape, {"columnNameOfCorruptRecord": BROKEN}),
     )
     ok = text.rlike(r"^\s*\{") & F.col("_rec").isNotNull() & F.col("_rec")[BROKEN].isNull()
     kept = [c for c in df.columns if c != value]

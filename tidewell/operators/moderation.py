@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -83,9 +84,48 @@ def _in_order(hits: Column) -> Column:
     return F.transform(F.array_sort(hits), lambda h: h["word"])
 
 
+def prefix_pattern(words: Iterable[str]) -> str:
+    """A regular expression for the longest of the words at a position.
+
+    Words with a common start share it, so a position is given up at the first character that no
+    word has there, however many words there are.
+    """
+    tree: dict = {}
+    for word in words:
+        node = tree
+        for char in word:
+            node = node.setdefault(char, {})
+        node[""] = {}
+
+    def pattern(node: dict) -> str:
+        branches = [re.escape(c) + pattern(below) for c, below in sorted(node.items()) if c]
+        if not branches:
+            return ""
+        return f"(?:{'|'.join(branches)}){'?' if '' in node else ''}"
+
+    return pattern(tree)
+
+
 def _found_inline(msg: Column, words: list[str]) -> Column:
-    listed = F.array(*[F.lit(w) for w in words]).cast("array<string>")
-    present = F.filter(listed, lambda w: F.contains(msg, w))
+    """All words in the text: the longest at each position, and those that it starts with."""
+    if not words:
+        return F.array().cast("array<string>")
+    # A match of no width at each position; the text is read once.
+    longest = F.array_distinct(
+        F.regexp_extract_all(msg, F.lit(f"(?s)(?=({prefix_pattern(words)}))"), F.lit(1))
+    )
+    listed = set(words)
+    starts = {w: [w[:n] for n in range(1, len(w)) if w[:n] in listed] for w in words}
+    nested = {w: found for w, found in starts.items() if found}
+    present = longest
+    if nested:
+        # Only words that begin with another word are looked up.
+        table = F.create_map(
+            *[x for w, found in nested.items() for x in (F.lit(w), F.array(*map(F.lit, found)))]
+        )
+        none = F.array().cast("array<string>")
+        more = F.flatten(F.transform(longest, lambda w: F.coalesce(table[w], none)))
+        present = F.array_union(longest, more)
     return _in_order(
         F.transform(present, lambda w: F.struct(F.position(w, msg).alias("at"), w.alias("word")))
     )

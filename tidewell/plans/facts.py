@@ -1,4 +1,4 @@
-"""Detail facts from change records. Each takes the frame of all tables' changes.
+"""Detail facts from change records: one frame of all tables' changes, or a frame per table.
 
 On streams give ``delay``: every side then carries a watermark and join state is dropped once
 the match horizon has passed.
@@ -16,7 +16,7 @@ from tidewell.operators import changes, joins
 
 
 def _project(
-    topic: DataFrame,
+    topic: changes.Topic,
     table: str,
     columns: Iterable[str] | Mapping[str, str],
     delay: str | None,
@@ -26,7 +26,7 @@ def _project(
     return joins.with_event_time(rows, delay) if delay else rows
 
 
-def order_lines(topic: DataFrame, delay: str | None = None) -> DataFrame:
+def order_lines(topic: changes.Topic, delay: str | None = None) -> DataFrame:
     rows = _project(
         topic,
         "order_detail",
@@ -55,13 +55,13 @@ def _status(value: str, field: str = "order_status") -> Column:
     return F.col("after")[field] == value
 
 
-def orders_with_status(topic: DataFrame, status: str, delay: str | None = None) -> DataFrame:
+def orders_with_status(topic: changes.Topic, status: str, delay: str | None = None) -> DataFrame:
     return _project(
         topic, "order_info", ("id", "user_id", "province_id"), delay, _status(status)
     )
 
 
-def order_detail(topic: DataFrame, delay: str | None = None) -> DataFrame:
+def order_detail(topic: changes.Topic, delay: str | None = None) -> DataFrame:
     return joins.order_detail(
         order_lines(topic, delay),
         _project(topic, "order_info", ("id", "user_id", "province_id"), delay),
@@ -75,7 +75,7 @@ def order_detail(topic: DataFrame, delay: str | None = None) -> DataFrame:
     )
 
 
-def pay_success(topic: DataFrame, details: DataFrame, delay: str | None = None) -> DataFrame:
+def pay_success(topic: changes.Topic, details: DataFrame, delay: str | None = None) -> DataFrame:
     payments = _project(
         topic,
         "payment_info",
@@ -87,7 +87,7 @@ def pay_success(topic: DataFrame, details: DataFrame, delay: str | None = None)
 
 
 def order_cancel(
-    topic: DataFrame, details: DataFrame, mode: str = "orders", delay: str | None = None
+    topic: changes.Topic, details: DataFrame, mode: str = "orders", delay: str | None = None
 ) -> DataFrame:
     cancelled = changes.cancelled_orders(topic, mode)
     if delay:
@@ -95,7 +95,7 @@ def order_cancel(
     return joins.order_cancel(details, cancelled)
 
 
-def order_refund(topic: DataFrame, delay: str | None = None) -> DataFrame:
+def order_refund(topic: changes.Topic, delay: str | None = None) -> DataFrame:
     refunds = _project(
         topic,
         "order_refund_info",
@@ -116,7 +116,7 @@ def order_refund(topic: DataFrame, delay: str | None = None) -> DataFrame:
     return joins.order_refund(refunds, orders_with_status(topic, "1006", delay))
 
 
-def refund_pay(topic: DataFrame, delay: str | None = None) -> DataFrame:
+def refund_pay(topic: changes.Topic, delay: str | None = None) -> DataFrame:
     paid = _project(
         topic,
         "refund_payment",
@@ -134,7 +134,7 @@ def refund_pay(topic: DataFrame, delay: str | None = None) -> DataFrame:
     return joins.refund_pay(paid, refunds, orders_with_status(topic, "1006", delay))
 
 
-def comments(topic: DataFrame, dic: DataFrame) -> DataFrame:
+def comments(topic: changes.Topic, dic: DataFrame) -> DataFrame:
     rows = changes.project(
         topic,
         "comment_info",

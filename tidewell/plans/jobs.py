@@ -40,7 +40,7 @@ def split_log_messages(messages: DataFrame, order: Sequence[str] = ()) -> dict[s
 
 
 def comment_enrich(
-    topic: DataFrame,
+    topic: changes.Topic,
     orders: DataFrame,
     dic: DataFrame,
     order_fields: Sequence[str],
@@ -50,7 +50,7 @@ def comment_enrich(
 
     ``dic`` is keyed by the hash of the code. Order fields come under the prefix ``info_``.
     """
-    comments = topic.filter(changes.table_is("comment_info"))
+    comments = changes.of_table(topic, "comment_info")
     named = joins.dim_join(
         comments, dic, md5_key(F.col("after")["appraise"]), {"dic_name": "_dic"}, default="N/A"
     )
@@ -63,12 +63,13 @@ def comment_enrich(
     return joined.withColumn("ds", times.ms_to_compact(F.col("ts_ms")))
 
 
-def user_profiles(topic: DataFrame, as_of: Column) -> DataFrame:
+def user_profiles(topic: changes.Topic, as_of: Column) -> DataFrame:
     """User rows with age, decade and sign at ``as_of``; no gender is ``home``."""
     after = F.col("after")
     born = times.epoch_day_to_date(after["birthday"])
     return (
-        topic.filter(changes.table_is("user_info") & after.isNotNull())
+        changes.of_table(topic, "user_info")
+        .filter(after.isNotNull())
         .select(
             after["id"].alias("uid"),
             after["name"].alias("uname"),
@@ -84,10 +85,11 @@ def user_profiles(topic: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def user_supplements(topic: DataFrame) -> DataFrame:
+def user_supplements(topic: changes.Topic) -> DataFrame:
     after = F.col("after")
     return (
-        topic.filter(changes.table_is("user_info_sup_msg") & after.isNotNull())
+        changes.of_table(topic, "user_info_sup_msg")
+        .filter(after.isNotNull())
         .select(
             *[after[c].alias(c) for c in ("uid", "unit_height")],
             after["create_ts"].try_cast("bigint").alias("create_ts"),
@@ -115,7 +117,7 @@ def join_supplements(users: DataFrame, supplements: DataFrame, delay: str | None
     )
 
 
-def user_labels(topic: DataFrame, as_of: Column, delay: str | None = None) -> DataFrame:
+def user_labels(topic: changes.Topic, as_of: Column, delay: str | None = None) -> DataFrame:
     """Labelled users, one row per user and time."""
     joined = join_supplements(user_profiles(topic, as_of), user_supplements(topic), delay)
     return dedup.exact(joined, ["uid", "ts_ms"], () if joined.isStreaming else BODY_FIELDS)

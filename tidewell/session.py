@@ -17,6 +17,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A skewed join is split even when that costs one more exchange above it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Partitions this small are hashed instead of sorted for a join.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # Without it every Column call also records the line of Python it came from.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.streaming.stateStore.providerClass": STATE_PROVIDER,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

@@ -1,11 +1,12 @@
 """The supplied tables in the shapes that the jobs read.
 
-Row images are maps with literal keys and every source is a literal, so Catalyst reduces a
-projection of one table's changes to a plain column scan of the one file behind it.
+Row images are structs and every source is a literal, so Catalyst reduces a projection of one
+table's changes to a plain column scan of the one file behind it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 
 from tidewell import schemas
 from tidewell.functions import times
-from tidewell.sources.changes import image, no_image, origin
+from tidewell.operators.once import with_column_once
+from tidewell.sources.changes import origin, record, with_maps
 
 DB = "retail"
 HOUR_MS = 3_600_000
@@ -36,57 +38,37 @@ def cents(column: Column | str) -> Column:
 
 def page_logs(events: DataFrame) -> DataFrame:
     """Events as app log records, with ``event_id`` as arrival order."""
-    kind = F.col("event_type")
-    user = F.col("user_id")
 
-    def tag(prefix: str, n: int) -> Column:
-        return F.concat(F.lit(prefix), text(user % n))
+    def repeated(n: int) -> str:
+        entry = "map('item', CAST(event_id AS STRING), 'item_type', 'sku_id', 'pos', CAST(i AS STRING))"
+        count = f"CAST(event_id % {n} AS INT)"
+        return f"CASE WHEN {count} > 0 THEN transform(sequence(1, {count}), i -> {entry}) END"
 
-    item = F.concat_ws(
-        " ", F.lit("Search"), F.concat(F.lit("brand"), text(user % 7)), F.get_json_object("props", "$.k")
-    )
-    entry = F.create_map(F.lit("item"), text("event_id"), F.lit("item_type"), F.lit("sku_id"))
-
-    def repeated(n: Column) -> Column:
-        return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.map_concat(
-            entry, F.create_map(F.lit("pos"), text(i)))))
+    def only(kind: str, expr: str) -> str:
+        return f"CASE WHEN event_type = '{kind}' THEN {expr} END"
 
-    return events.select(
+    item = "concat_ws(' ', 'Search', concat('brand', user_id % 7), get_json_object(props, '$.k'))"
+    return events.selectExpr(
         "event_id",
-        F.struct(
-            text(user).alias("mid"),
-            text(user).alias("uid"),
-            tag("v", 3).alias("vc"),
-            tag("ch", 4).alias("ch"),
-            tag("ar", 5).alias("ar"),
-            text(F.col("event_id") % 2).alias("is_new"),
-        ).alias("common"),
-        F.struct(
-            F.when(kind == "view", "home").when(kind == "click", "good_detail").otherwise(kind).alias("page_id"),
-            F.when(kind == "signup", "login")
-            .when(kind == "purchase", "search")
-            .when(kind == "error", "")
-            .otherwise("home")
-            .alias("last_page_id"),
-            F.when(kind == "purchase", item).alias("item"),
-            F.when(kind == "purchase", "keyword").alias("item_type"),
-            F.floor(F.col("value") * 1000).cast("bigint").alias("during_time"),
-        ).alias("page"),
-        F.when(
-            kind == "error",
-            F.create_map(F.lit("error_code"), text(F.col("event_id") % 100), F.lit("msg"), F.col("props")),
-        ).alias("err"),
-        F.when(kind == "signup", F.create_map(F.lit("entry"), F.lit("icon"))).alias("start"),
-        F.when(kind == "view", repeated((F.col("event_id") % 4).cast("int"))).alias("displays"),
-        F.when(kind == "click", repeated((F.col("event_id") % 3).cast("int"))).alias("actions"),
-        times.to_ms(F.col("ts")).alias("ts"),
+        """struct(CAST(user_id AS STRING) AS mid, CAST(user_id AS STRING) AS uid, concat('v', user_id % 3) AS vc,
+            concat('ch', user_id % 4) AS ch, concat('ar', user_id % 5) AS ar, CAST(event_id % 2 AS STRING) AS is_new) AS common""",
+        f"""struct(
+            CASE event_type WHEN 'view' THEN 'home' WHEN 'click' THEN 'good_detail' ELSE event_type END AS page_id,
+            CASE event_type WHEN 'signup' THEN 'login' WHEN 'purchase' THEN 'search' WHEN 'error' THEN '' ELSE 'home' END AS last_page_id,
+            {only('purchase', item)} AS item, {only('purchase', "'keyword'")} AS item_type,
+            CAST(floor(value * 1000) AS BIGINT) AS during_time) AS page""",
+        only("error", "map('error_code', CAST(event_id % 100 AS STRING), 'msg', props)") + " AS err",
+        only("signup", "map('entry', 'icon')") + " AS start",
+        only("view", repeated(4)) + " AS displays",
+        only("click", repeated(3)) + " AS actions",
+        _ms("ts") + " AS ts",
     )
 
 
 def log_messages(events: DataFrame) -> DataFrame:
     """App logs as JSON text, with ``event_id`` beside it."""
-    logs = page_logs(events)
-    return logs.select("event_id", F.to_json(F.struct(*[f.name for f in schemas.LOG])).alias("value"))
+    text = F.to_json(F.struct(*[f.name for f in schemas.LOG]))
+    return with_column_once(page_logs(events), "value", text).select("event_id", "value")
 
 
 def props_messages(events: DataFrame) -> DataFrame:
@@ -97,237 +79,242 @@ def props_messages(events: DataFrame) -> DataFrame:
 
 
 # --- change records ---------------------------------------------------------------------------
+# Rows as SQL text: one call per table builds the whole projection.
+
+
+def _ms(column: str) -> str:
+    return f"unix_millis(CAST({column} AS TIMESTAMP))"
+
+
+def _cents(expr: str) -> str:
+    return f"CAST({expr} AS DECIMAL(16,2))"
 
 
 def _changes(
-    df: DataFrame, name: str, row: dict[str, Column], ts_ms: Column, op: Column | None = None,
-    before: dict[str, Column] | None = None,
+    df: DataFrame,
+    name: str,
+    row: dict[str, str],
+    ts_ms: str,
+    op: str | None = None,
+    before: dict[str, str] | None = None,
 ) -> DataFrame:
-    if op is None:
-        old, new, op = no_image(), image(row), F.lit("r")
-    else:
-        old = F.when(op.isin("u", "d"), image(before or row))
-        new = F.when(op != "d", image(row))
-    return df.select(
-        old.alias("before"),
-        new.alias("after"),
-        origin(DB, name).alias("source"),
-        op.alias("op"),
-        ts_ms.cast("bigint").alias("ts_ms"),
+    """Rows as changes with struct images of text, by default a snapshot."""
+
+    def struct(fields: dict[str, str]) -> str:
+        return "struct(" + ", ".join(f"CAST({e} AS STRING) AS {f}" for f, e in fields.items()) + ")"
+
+    op = op or "'r'"
+    return df.selectExpr(
+        f"CASE WHEN {op} IN ('u', 'd') THEN {struct(before or row)} END AS before",
+        f"CASE WHEN {op} <> 'd' THEN {struct(row)} END AS after",
+        f"map('db', '{DB}', 'table', '{name}', 'server_id', '1') AS source",
+        f"{op} AS op",
+        f"CAST({ts_ms} AS BIGINT) AS ts_ms",
     )
 
 
-def order_op() -> Column:
-    return (
-        F.when(F.col("o_orderpriority") == "5-LOW", "d")
-        .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "u")
-        .when(F.col("o_orderpriority") == "3-MEDIUM", "c")
-        .otherwise("r")
-    )
+ORDER_OP = (
+    "CASE o_orderpriority WHEN '5-LOW' THEN 'd' WHEN '4-NOT SPECIFIED' THEN 'u' "
+    "WHEN '3-MEDIUM' THEN 'c' ELSE 'r' END"
+)
+DETAIL_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+LINE_KEY = "concat_ws('-', l_orderkey, l_linenumber)"
 
 
 def order_info(orders: DataFrame, mixed_ops: bool = False) -> DataFrame:
     """Orders: a snapshot, or with ops by priority."""
-    status = (
-        F.when(F.col("o_orderstatus") == "P", "1003")
-        .when(F.col("o_orderstatus") == "F", "1006")
-        .when(F.col("o_orderpriority") == "1-URGENT", "1001")
-        .otherwise("1002")
-    )
-    ms = times.to_ms(F.col("o_orderdate"))
+    ms = _ms("o_orderdate")
     row = {
-        "id": F.col("o_orderkey"),
-        "user_id": F.col("o_custkey"),
-        "province_id": F.col("o_custkey") % 25,
-        "order_status": status,
-        "total_amount": cents("o_totalprice"),
+        "id": "o_orderkey",
+        "user_id": "o_custkey",
+        "province_id": "o_custkey % 25",
+        "order_status": "CASE WHEN o_orderstatus = 'P' THEN '1003' WHEN o_orderstatus = 'F' THEN '1006' "
+        "WHEN o_orderpriority = '1-URGENT' THEN '1001' ELSE '1002' END",
+        "total_amount": _cents("o_totalprice"),
         "create_time": ms,
-        "operate_time": ms + HOUR_MS,
+        "operate_time": f"{ms} + {HOUR_MS}",
     }
-    return _changes(orders, "order_info", row, ms, order_op() if mixed_ops else None)
-
+    return _changes(orders, "order_info", row, ms, ORDER_OP if mixed_ops else None)
 
-def detail_id() -> Column:
-    return F.concat_ws("-", *[text(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
 
+def order_detail(lineitem: DataFrame, key: str = DETAIL_ID) -> DataFrame:
+    ms, price = _ms("l_shipdate"), _cents("l_extendedprice")
 
-def order_detail(lineitem: DataFrame) -> DataFrame:
-    ms = times.to_ms(F.col("l_shipdate"))
-    price = cents("l_extendedprice")
-
-    def share(rate: Column) -> Column:
-        return cents(price * rate.cast("decimal(4,2)"))
+    def share(rate: str) -> str:
+        return _cents(f"{price} * {rate}")
 
     row = {
-        "id": detail_id(),
-        "order_id": F.col("l_orderkey"),
-        "sku_id": F.col("l_partkey"),
-        "sku_name": F.concat(F.lit("sku-"), text("l_partkey")),
+        "id": key,
+        "order_id": "l_orderkey",
+        "sku_id": "l_partkey",
+        "sku_name": "concat('sku-', l_partkey)",
         "create_time": ms,
-        "source_id": F.col("l_suppkey"),
-        "source_type": F.lit("2401"),
-        "sku_num": F.col("l_quantity").cast("int"),
+        "source_id": "l_suppkey",
+        "source_type": "'2401'",
+        "sku_num": "CAST(l_quantity AS INT)",
         "order_price": price,
-        "split_total_amount": cents(price * (1 - F.col("l_discount").cast("decimal(4,2)"))),
-        "split_activity_amount": share(F.col("l_discount")),
-        "split_coupon_amount": share(F.col("l_tax")),
+        "split_total_amount": share("(1 - CAST(l_discount AS DECIMAL(4,2)))"),
+        "split_activity_amount": share("CAST(l_discount AS DECIMAL(4,2))"),
+        "split_coupon_amount": share("CAST(l_tax AS DECIMAL(4,2))"),
     }
     return _changes(lineitem, "order_detail", row, ms)
 
 
 def order_detail_activity(lineitem: DataFrame) -> DataFrame:
-    row = {
-        "order_detail_id": detail_id(),
-        "activity_id": F.col("l_linenumber"),
-        "activity_rule_id": F.col("l_suppkey"),
-    }
-    used = lineitem.filter(F.col("l_discount") > 0.05)
-    return _changes(used, "order_detail_activity", row, times.to_ms(F.col("l_shipdate")))
+    row = {"order_detail_id": DETAIL_ID, "activity_id": "l_linenumber", "activity_rule_id": "l_suppkey"}
+    used = lineitem.filter("l_discount > 0.05D")
+    return _changes(used, "order_detail_activity", row, _ms("l_shipdate"))
 
 
 def order_detail_coupon(lineitem: DataFrame) -> DataFrame:
-    row = {"order_detail_id": detail_id(), "coupon_id": F.col("l_suppkey")}
-    used = lineitem.filter(F.col("l_tax") > 0.04)
-    return _changes(used, "order_detail_coupon", row, times.to_ms(F.col("l_shipdate")))
+    row = {"order_detail_id": DETAIL_ID, "coupon_id": "l_suppkey"}
+    return _changes(lineitem.filter("l_tax > 0.04D"), "order_detail_coupon", row, _ms("l_shipdate"))
 
 
 def payment_info(orders: DataFrame) -> DataFrame:
-    ms = times.to_ms(F.col("o_orderdate"))
+    ms = _ms("o_orderdate")
     row = {
-        "user_id": F.col("o_custkey"),
-        "order_id": F.col("o_orderkey"),
-        "payment_type": F.concat(F.lit("110"), F.substring("o_orderpriority", 1, 1)),
-        "callback_time": ms + HOUR_MS,
-        "payment_status": F.when(F.col("o_orderstatus") == "F", "1602").otherwise("1601"),
+        "user_id": "o_custkey",
+        "order_id": "o_orderkey",
+        "payment_type": "concat('110', substring(o_orderpriority, 1, 1))",
+        "callback_time": f"{ms} + {HOUR_MS}",
+        "payment_status": "CASE WHEN o_orderstatus = 'F' THEN '1602' ELSE '1601' END",
     }
     return _changes(orders, "payment_info", row, ms)
 
 
 def order_refund_info(lineitem: DataFrame) -> DataFrame:
-    ms = times.to_ms(F.col("l_shipdate"))
+    ms = _ms("l_shipdate")
     row = {
-        "id": detail_id(),
-        "user_id": F.col("l_suppkey"),
-        "order_id": F.col("l_orderkey"),
-        "sku_id": F.col("l_partkey"),
-        "refund_type": F.lit("1502"),
-        "refund_num": F.col("l_quantity").cast("int"),
-        "refund_amount": cents("l_extendedprice"),
-        "refund_reason_type": F.concat(F.lit("130"), text("l_linenumber")),
-        "refund_reason_txt": F.concat(F.lit("line "), F.col("l_linestatus")),
+        "id": DETAIL_ID,
+        "user_id": "l_suppkey",
+        "order_id": "l_orderkey",
+        "sku_id": "l_partkey",
+        "refund_type": "'1502'",
+        "refund_num": "CAST(l_quantity AS INT)",
+        "refund_amount": _cents("l_extendedprice"),
+        "refund_reason_type": "concat('130', l_linenumber)",
+        "refund_reason_txt": "concat('line ', l_linestatus)",
         "create_time": ms,
-        "refund_status": F.when(F.col("l_linestatus") == "F", "0705").otherwise("0701"),
+        "refund_status": "CASE WHEN l_linestatus = 'F' THEN '0705' ELSE '0701' END",
     }
     return _changes(lineitem.filter("l_returnflag = 'R'"), "order_refund_info", row, ms)
 
 
 def refund_payment(lineitem: DataFrame) -> DataFrame:
-    ms = times.to_ms(F.col("l_shipdate"))
+    ms = _ms("l_shipdate")
     row = {
-        "id": detail_id(),
-        "order_id": F.col("l_orderkey"),
-        "sku_id": F.col("l_partkey"),
-        "payment_type": F.concat(F.lit("110"), text("l_linenumber")),
-        "callback_time": ms + HOUR_MS,
-        "total_amount": cents("l_extendedprice"),
-        "refund_status": F.when(F.col("l_linestatus") == "F", "1602").otherwise("1601"),
+        "id": DETAIL_ID,
+        "order_id": "l_orderkey",
+        "sku_id": "l_partkey",
+        "payment_type": "concat('110', l_linenumber)",
+        "callback_time": f"{ms} + {HOUR_MS}",
+        "total_amount": _cents("l_extendedprice"),
+        "refund_status": "CASE WHEN l_linestatus = 'F' THEN '1602' ELSE '1601' END",
     }
     return _changes(lineitem.filter("l_returnflag = 'R'"), "refund_payment", row, ms)
 
 
-def comment_ms() -> Column:
-    """A comment time: 2024 begins at document 0, one minute per document."""
-    return F.lit(1_704_067_200_000) + F.col("doc_id") * 60_000
+# The time of a comment or user row: 2024 begins at number 0.
+DAY_0 = 1_704_067_200_000
+COMMENT_MS = f"{DAY_0} + doc_id * 60000"
+USER_MS = f"{DAY_0} + c_custkey * 1000"
 
 
 def comment_info(documents: DataFrame) -> DataFrame:
     row = {
-        "id": F.col("doc_id"),
-        "user_id": F.col("doc_id") % 150,
-        "sku_id": F.col("n_chars"),
-        "spu_id": F.col("n_chars") % 97,
-        "order_id": F.col("doc_id"),
-        "appraise": F.concat(F.lit("120"), text(F.col("n_chars") % 7)),
-        "comment_txt": F.col("text"),
-        "create_time": comment_ms(),
+        "id": "doc_id",
+        "user_id": "doc_id % 150",
+        "sku_id": "n_chars",
+        "spu_id": "n_chars % 97",
+        "order_id": "doc_id",
+        "appraise": "concat('120', n_chars % 7)",
+        "comment_txt": "text",
+        "create_time": COMMENT_MS,
     }
-    return _changes(documents, "comment_info", row, comment_ms())
+    return _changes(documents, "comment_info", row, COMMENT_MS)
 
 
 def cart_info(events: DataFrame) -> DataFrame:
-    """Cart rows: views are the snapshot, purchases change a count, signups delete."""
-    kind = F.col("event_type")
-    count = F.floor("value").cast("int")
-    op = F.when(kind == "view", "r").when(kind == "click", "c").when(kind == "signup", "d").otherwise("u")
-    ms = times.to_ms(F.col("ts"))
+    """Cart rows: views are the snapshot, clicks create, signups delete, all else changes a count."""
+    op = "CASE event_type WHEN 'view' THEN 'r' WHEN 'click' THEN 'c' WHEN 'signup' THEN 'd' ELSE 'u' END"
+    ms = _ms("ts")
     row = {
-        "id": F.col("event_id"),
-        "user_id": F.col("user_id"),
-        "sku_id": F.col("event_id") % 1000,
-        "sku_name": F.concat(F.lit("sku-"), text(F.col("event_id") % 1000)),
-        "sku_num": count,
-        "is_ordered": F.when(kind == "purchase", 1),
+        "id": "event_id",
+        "user_id": "user_id",
+        "sku_id": "event_id % 1000",
+        "sku_name": "concat('sku-', event_id % 1000)",
+        "sku_num": "CAST(floor(value) AS INT)",
+        "is_ordered": "CASE WHEN event_type = 'purchase' THEN 1 END",
         "create_time": ms,
-        "operate_time": F.when(kind == "purchase", ms + HOUR_MS),
+        "operate_time": f"CASE WHEN event_type = 'purchase' THEN {ms} + {HOUR_MS} END",
     }
-    before = {**row, "sku_num": (F.col("user_id") % 60).cast("int")}
-    return _changes(events, "cart_info", row, ms, op, before)
-
-
-def user_ms() -> Column:
-    return F.lit(1_704_067_200_000) + F.col("c_custkey") * 1000
+    return _changes(events, "cart_info", row, ms, op, {**row, "sku_num": "CAST(user_id % 60 AS INT)"})
 
 
 def user_info(customer: DataFrame) -> DataFrame:
-    key = F.col("c_custkey")
     row = {
-        "id": key,
-        "name": F.col("c_name"),
-        "user_level": text(F.col("c_nationkey") % 3),
-        "login_name": F.lower("c_name"),
-        "phone_num": F.concat(F.lit("13"), F.lpad(text(key), 9, "0")),
-        "email": F.concat(F.lower("c_name"), F.lit("@example.com")),
-        "gender": F.when(F.col("c_mktsegment") == "MACHINERY", "M").when(F.col("c_mktsegment") == "FURNITURE", "F"),
-        "birthday": (key * 37) % 15000 + 1000,
+        "id": "c_custkey",
+        "name": "c_name",
+        "user_level": "c_nationkey % 3",
+        "login_name": "lower(c_name)",
+        "phone_num": "concat('13', lpad(CAST(c_custkey AS STRING), 9, '0'))",
+        "email": "concat(lower(c_name), '@example.com')",
+        "gender": "CASE c_mktsegment WHEN 'MACHINERY' THEN 'M' WHEN 'FURNITURE' THEN 'F' END",
+        "birthday": "(c_custkey * 37) % 15000 + 1000",
     }
-    return _changes(customer, "user_info", row, user_ms())
+    return _changes(customer, "user_info", row, USER_MS)
 
 
 def user_info_sup_msg(customer: DataFrame) -> DataFrame:
     """Supplements that come 0, 3 or 6 minutes before or after the user row."""
-    key = F.col("c_custkey")
     row = {
-        "uid": key,
-        "height": text(150 + key % 50),
-        "unit_height": F.lit("cm"),
-        "weight": text(45 + key % 60),
-        "unit_weight": F.lit("kg"),
-        "create_ts": user_ms(),
+        "uid": "c_custkey",
+        "height": "150 + c_custkey % 50",
+        "unit_height": "'cm'",
+        "weight": "45 + c_custkey % 60",
+        "unit_weight": "'kg'",
+        "create_ts": USER_MS,
     }
-    return _changes(customer, "user_info_sup_msg", row, user_ms() + (key % 5 - 2) * 180_000)
+    return _changes(customer, "user_info_sup_msg", row, f"{USER_MS} + (c_custkey % 5 - 2) * 180000")
+
+
+# Which table each kind of change comes from.
+CHANGES = {
+    "order_info": (order_info, "orders"),
+    "order_detail": (order_detail, "lineitem"),
+    "order_detail_activity": (order_detail_activity, "lineitem"),
+    "order_detail_coupon": (order_detail_coupon, "lineitem"),
+    "payment_info": (payment_info, "orders"),
+    "order_refund_info": (order_refund_info, "lineitem"),
+    "refund_payment": (refund_payment, "lineitem"),
+    "comment_info": (comment_info, "documents"),
+    "cart_info": (cart_info, "events"),
+    "user_info": (user_info, "customer"),
+    "user_info_sup_msg": (user_info_sup_msg, "customer"),
+}
+
+
+class TopicByTable(Mapping):
+    """Changes by table, each with its own fields, made when they are asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __getitem__(self, name: str) -> DataFrame:
+        make, source = CHANGES[name]
+        return make(table(self.spark, self.sf_dir, source))
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(CHANGES)
+
+    def __len__(self) -> int:
+        return len(CHANGES)
 
 
 def topic_db(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All tables' changes in one frame, as one topic holds them."""
-
-    def t(name: str) -> DataFrame:
-        return table(spark, sf_dir, name)
-
-    orders, lineitem, customer = t("orders"), t("lineitem"), t("customer")
-    parts = [
-        order_info(orders),
-        order_detail(lineitem),
-        order_detail_activity(lineitem),
-        order_detail_coupon(lineitem),
-        payment_info(orders),
-        order_refund_info(lineitem),
-        refund_payment(lineitem),
-        comment_info(t("documents")),
-        cart_info(t("events")),
-        user_info(customer),
-        user_info_sup_msg(customer),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """All tables' changes in one frame, as one topic holds them, with map images."""
+    return reduce(DataFrame.unionAll, map(with_maps, TopicByTable(spark, sf_dir).values()))
 
 
 # --- shifted pairs for the interval joins --------------------------------------------------------

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell import schemas
 from tidewell.operators import shapes
@@ -28,6 +29,38 @@ def no_image() -> Column:
     return F.lit(None).cast("map<string,string>")
 
 
+def record(columns: dict[str, Column]) -> Column:
+    """A row image with fixed fields: a struct of text.
+
+    Where a table's columns are known this is the form to read (see ``typed_view``): a field is a
+    column, not a search in a map, and fields that nobody asks for are never built.
+    """
+    return F.struct(*[column.cast("string").alias(name) for name, column in columns.items()])
+
+
+def with_maps(df: DataFrame) -> DataFrame:
+    """Struct images as maps, for operators that work on fields of any name."""
+    fields = df.schema["after"].dataType.fieldNames()
+
+    def as_map(side: str) -> str:
+        entries = ", ".join(f"'{f}', {side}.`{f}`" for f in fields)
+        return f"CASE WHEN {side} IS NOT NULL THEN map({entries}) END AS {side}"
+
+    return df.selectExpr(as_map("before"), as_map("after"), "source", "op", "ts_ms")
+
+
+def typed_view(df: DataFrame, fields: Sequence[str], value: str = "value") -> DataFrame:
+    """Envelope columns parsed from JSON text, with the named fields of the row images only."""
+    row = schemas.text_struct(*fields)
+    shape = T.StructType(
+        [
+            T.StructField(f.name, row if f.name in ("before", "after") else f.dataType)
+            for f in schemas.ENVELOPE
+        ]
+    )
+    return df.select(F.from_json(value, shape).alias("_e")).select("_e.*")
+
+
 def origin(db: str, table: str, server_id: str = "1") -> Column:
     return F.create_map(
         *[F.lit(x) for x in ("db", db, "table", table, "server_id", server_id)]
