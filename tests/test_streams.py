@@ -73,6 +73,81 @@ def test_keyword_stream_equals_batch(spark, events, stream, folder):
     assert rows(got) == rows(want.filter(times.datetime_to_ms(F.col("edt")) <= last))
 
 
+def detail_rows(df):
+    """Events as order lines: a line per user and order, in several versions, province by order."""
+    return df.select(
+        F.concat_ws("-", "user_id", F.col("event_id") % 40).alias("id"),
+        (F.col("event_id") % 40).cast("string").alias("order_id"),
+        (F.col("event_id") % 4).cast("string").alias("province_id"),
+        (F.col("user_id") % 5).cast("string").alias("sku_id"),
+        *[F.col("value").cast("decimal(16,2)").cast("string").alias(c) for c in summaries.AMOUNTS],
+        times.to_ms(F.col("ts")).alias("ts_ms"),
+        "event_id",
+    )
+
+
+def test_province_stream_equals_batch(spark, events, stream, folder):
+    names = spark.createDataFrame([(str(i), f"p{i}") for i in range(3)], "row_key string, name string")
+
+    def summary(df):
+        # Retractions come late by the time between two versions, so the delay spans the data.
+        return summaries.province_order(detail_rows(df), names, "1 day", "60 days", ("ts_ms", "event_id"))
+
+    # Two rows of another user, long after, close all windows.
+    later = events.filter("event_id = 0").withColumns(
+        {"ts": F.col("ts") + F.expr("INTERVAL 100 DAYS"), "user_id": F.lit(-7).cast("bigint")}
+    )
+    path = f"{folder}/in"
+    for part in (events, later, later):
+        part.coalesce(1).write.mode("append").parquet(path)
+    got = runs.run_available(spark, summary(file_stream(spark, path, events.schema, max_files=1)), folder)
+    assert rows(got) == rows(summary(events))
+
+
+def test_cart_stream_equals_batch(spark, events, stream, folder):
+    from tidewell.operators import changes
+
+    got = runs.run_available(spark, summaries.cart_add_uu(changes.cart_add(ad.cart_info(stream)), "1 hour"), folder)
+    carts = changes.cart_add(ad.cart_info(events))
+    last = carts.agg(F.max("ts_ms")).first()[0]
+    want = summaries.cart_add_uu(carts, "1 hour").filter(times.datetime_to_ms(F.col("edt")) <= last)
+    assert rows(got) == rows(want)
+
+
+def test_sku_stream_sums_each_line_once(spark, events, folder):
+    """Windows go by the clock here, so only the totals per sku are compared."""
+    dims = {
+        name: spark.createDataFrame([("x",) * (1 + len(cols.split()))], "row_key string, " + ", ".join(f"{c} string" for c in cols.split()))
+        for name, cols in {
+            "sku": "sku_name spu_id category3_id tm_id", "spu": "spu_name", "trademark": "tm_name",
+            "category3": "name category2_id", "category2": "name category1_id", "category1": "name",
+        }.items()
+    }
+    path = f"{folder}/in"
+    events.coalesce(1).write.parquet(path)
+    df = summaries.sku_order(
+        detail_rows(file_stream(spark, path, events.schema)), dims, "1 second", ("ts_ms", "event_id")
+    )
+    query = runs.start(df, f"{folder}/out", f"{folder}/cp", every="1 second")
+    want = summaries.sku_order(detail_rows(events), dims, "100 days", ("ts_ms", "event_id"))
+
+    def totals(frame):
+        return rows(frame.groupBy("sku_id").agg(F.sum("order_amount").cast("decimal(20,2)").alias("s")))
+
+    try:
+        for i in range(40):
+            query.awaitTermination(1)
+            if i == 20:  # A later line moves the watermark past the windows of the first ones.
+                extra = events.limit(1).withColumn("user_id", F.lit(-7).cast("bigint"))
+                extra.coalesce(1).write.mode("append").parquet(path)
+            if i > 25 and totals(spark.read.schema(df.schema).parquet(f"{folder}/out")) >= totals(want):
+                break
+        got = totals(spark.read.schema(df.schema).parquet(f"{folder}/out"))
+    finally:
+        query.stop()
+    assert got == totals(want)
+
+
 def test_fix_is_new_stream_equals_batch(spark, events, stream, folder):
     def flat(df):
         return df.select("event_id", "common.mid", "common.is_new", "ts")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions import text as tx
+from tidewell.operators.once import with_column_once
 
 # Longest word list that is written into the plan as a literal; longer ones are joined.
 INLINE_WORDS = 1000
@@ -60,7 +61,7 @@ def moderate_contains(
     head = listed.limit(inline_words + 1).collect()
     if len(head) <= inline_words:
         found = _found_inline(F.col("msg"), sorted(r.word for r in head))
-        checked = df.withColumn("_found", F.when(F.col("is_violation") == 0, found))
+        checked = with_column_once(df, "_found", F.when(F.col("is_violation") == 0, found))
     else:
         hits = _found_by_join(df.filter("is_violation = 0"), listed, keys)
         same = None

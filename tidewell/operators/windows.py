@@ -26,14 +26,14 @@ def tumble(
     column = F.col(ts)
     if dict(df.dtypes)[ts] == "bigint":
         column = times.at(column)
-    return (
-        df.groupBy(F.window(column, size).alias("_w"), *keys)
-        .agg(*aggs)
-        .select(
-            F.date_format("_w.start", times.DATETIME).alias("stt"),
-            F.date_format("_w.end", times.DATETIME).alias("edt"),
-            F.date_format("_w.start", times.DATE).alias("cur_date"),
-            F.col("*"),
-        )
-        .drop("_w")
-    )
+    return window_text(df.groupBy(F.window(column, size).alias("_w"), *keys).agg(*aggs))
+
+
+def window_text(df: DataFrame) -> DataFrame:
+    """The window ``_w`` of each row as text columns."""
+    return df.select(
+        F.date_format("_w.start", times.DATETIME).alias("stt"),
+        F.date_format("_w.end", times.DATETIME).alias("edt"),
+        F.date_format("_w.start", times.DATE).alias("cur_date"),
+        F.col("*"),
+    ).drop("_w")

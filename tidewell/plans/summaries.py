@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.operators import dedup, joins, logs, moderation, visits
-from tidewell.operators.windows import tumble
+from tidewell.operators.windows import tumble, window_text
 
 KINDS = {"home": "home_uv_ct", "good_detail": "good_detail_uv_ct"}
 DIMS = ("vc", "ch", "ar", "is_new")
@@ -135,30 +135,58 @@ def province_order(
 
     An order counts even if its line was taken back, as its retraction names it too.
     """
-    rows = dedup.retract(
-        details.select(
-            *dict.fromkeys(["id", "order_id", "province_id", "split_total_amount", "ts_ms", *order])
-        ),
-        "id",
-        order,
-        ["split_total_amount"],
-    ).withColumn("split_total_amount", F.col("split_total_amount").cast("decimal(16,2)"))
-    rows, column = _timed(rows, "ts_ms", delay)
-    orders = (
-        F.size(F.collect_set("order_id")).cast("bigint")
-        if rows.isStreaming
-        else F.countDistinct("order_id")
+    lines = details.select(
+        *dict.fromkeys(["id", "order_id", "province_id", "split_total_amount", "ts_ms", *order])
     )
-    summed = tumble(
-        rows,
-        column,
-        size,
-        ["province_id"],
-        [orders.alias("order_count"), F.sum("split_total_amount").alias("order_amount")],
+    rows = dedup.retract(lines, "id", order, ["split_total_amount"]).withColumn(
+        "split_total_amount", F.col("split_total_amount").cast("decimal(16,2)")
     )
+    if details.isStreaming:
+        summed = _province_stream(lines, rows, size, delay)
+    else:
+        summed = tumble(
+            rows,
+            "ts_ms",
+            size,
+            ["province_id"],
+            [
+                F.countDistinct("order_id").alias("order_count"),
+                F.sum("split_total_amount").alias("order_amount"),
+            ],
+        )
     return joins.dim_join(summed, provinces, "province_id", {"name": "province_name"})
 
 
+def _province_stream(lines: DataFrame, rows: DataFrame, size: str, delay: str) -> DataFrame:
+    """Amounts of all rows and the orders that are new to their window and province.
+
+    Streams have no distinct count, and a set of orders as one group's state would grow with the
+    group. So each order is a key of its own, which counts once. A retraction repeats the order,
+    time and province of a line, so the lines themselves name all orders.
+    """
+    window = F.window("_event_time", size).alias("_w")
+    amounts = joins.with_event_time(rows, delay).select(
+        window, "province_id", F.lit(0).cast("bigint").alias("n"), "split_total_amount"
+    )
+    orders = (
+        joins.with_event_time(lines, delay)
+        .select(window, "province_id", "order_id")
+        .dropDuplicates()
+        .select(
+            "_w",
+            "province_id",
+            F.lit(1).cast("bigint").alias("n"),
+            F.lit(0).cast("decimal(16,2)").alias("split_total_amount"),
+        )
+    )
+    summed = (
+        amounts.unionByName(orders)
+        .groupBy("_w", "province_id")
+        .agg(F.sum("n").alias("order_count"), F.sum("split_total_amount").alias("order_amount"))
+    )
+    return window_text(summed)
+
+
 AMOUNTS = {
     "split_original_amount": "original_amount",
     "split_activity_amount": "activity_reduce_amount",
