@@ -610,7 +610,8 @@ def dedup_exact_key(spark, sf_dir):
 def dedup_bloom(spark, sf_dir):
     """Order lines by number, once each. So few false positives are allowed that none occur here."""
     lines = ad.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
-    return dedup.bloom(lines, ["l_orderkey", "l_linenumber"], 50_000_000, 1e-9, shards=64)
+    # The count comes from the file footers; a shard may get twice its share.
+    return dedup.bloom(lines, ["l_orderkey", "l_linenumber"], 2 * lines.count() + 1000, 1e-9)
 
 
 # --- functions ------------------------------------------------------------------------------------
