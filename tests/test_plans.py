@@ -32,6 +32,7 @@ def test_fact_join_reads_needed_columns(spark, small):
     text = plan(QUERIES["dwd_order_refund"](spark, small))
     assert len(scans(text)) == 2
     assert "l_tax" not in text and "EqualTo(l_returnflag,R)" in text
+    assert "o_totalprice" not in text and "struct(" not in text
 
 
 def test_point_lookup_reaches_the_scan(spark, small, tmp_path):

@@ -20,8 +20,9 @@ from tidewell.operators import (
     shapes,
     visits,
 )
+from tidewell.operators.once import with_column_once
 from tidewell.plans import facts, jobs, summaries
-from tidewell.session import shared_dir
+from tidewell.session import configure, shared_dir
 from tidewell.sources import adapters as ad
 from tidewell.sources import changes as cdc
 from tidewell.sources import dims
@@ -37,9 +38,8 @@ AS_OF = "2024-06-30"
 
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        # Text dates and epoch times are only comparable in one zone.
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return fn(spark, sf_dir)
+        # Text dates and epoch times are only comparable in one zone, UTC.
+        return fn(configure(spark), sf_dir)
 
     run.__name__, run.__doc__ = fn.__name__, fn.__doc__
     QUERIES[fn.__name__] = run
@@ -173,8 +173,8 @@ def route_dynamic_topic(spark, sf_dir):
     topic = ad.topic_db(spark, sf_dir)
     sent = shapes.route_topics(topic, ad.fact_config(spark))
     keys = ("id", "name", "login_name", "order_id", "payment_type", "payment_status")
-    return sent.select(
-        "topic", *[F.get_json_object("value", f"$.{k}").alias(k) for k in keys]
+    return with_column_once(sent, "body", F.col("value")).select(
+        "topic", *[F.get_json_object("body", f"$.{k}").alias(k) for k in keys]
     )
 
 
@@ -195,7 +195,7 @@ def sink_summary_table(spark, sf_dir):
     rows = shapes.to_snake_json(summaries.traffic_page_view(pages(spark, sf_dir), WINDOW, order=("event_id",)))
     path = scratch(spark, "summary")
     schema = "stt string, edt string, cur_date string, vc string, ch string, ar string, is_new string, uv_ct bigint, sv_ct bigint, pv_ct bigint, dur_sum bigint"
-    parsed = rows.select(F.from_json("value", schema).alias("r")).select("r.*")
+    parsed = with_column_once(rows, "r", F.from_json("value", schema)).select("r.*")
     sinks.append_table(parsed, path)
     return spark.read.schema(schema).json(f"{path}/batch=0")
 

@@ -19,13 +19,21 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Partitions this small are hashed instead of sorted for a join.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
-    # Without it every Column call also records the line of Python it came from.
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Read only the columns behind the struct fields that are asked for. Catalyst does not take a
+    # struct apart by itself if its fields are more than plain columns. Parses and other costly
+    # expressions are kept from being copied by with_column_once.
+    "spark.sql.optimizer.collapseProjectAlwaysInline": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.streaming.stateStore.providerClass": STATE_PROVIDER,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+# Settings that only a new session can take.
+STATIC = {
+    # Else every Column call also records the line of Python it came from.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def configure(spark: SparkSession, zone: str = "UTC") -> SparkSession:
     """Apply the job settings to a session that somebody else built."""
@@ -39,7 +47,7 @@ def build_session(name: str = "tidewell", master: str | None = None, **extra: st
     builder = SparkSession.builder.appName(name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    for key, value in {**SETTINGS, **STATIC, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -103,16 +103,21 @@ def _changes(
     def struct(fields: dict[str, str]) -> str:
         return "struct(" + ", ".join(f"CAST({e} AS STRING) AS {f}" for f, e in fields.items()) + ")"
 
-    op = op or "'r'"
-    return df.selectExpr(
-        f"CASE WHEN {op} IN ('u', 'd') THEN {struct(before or row)} END AS before",
-        f"CASE WHEN {op} <> 'd' THEN {struct(row)} END AS after",
+    made = df.selectExpr(
+        f"CASE WHEN {op or SNAPSHOT} IN ('u', 'd') THEN {struct(before or row)} END AS before",
+        f"CASE WHEN {op or SNAPSHOT} <> 'd' THEN {struct(row)} END AS after",
         f"map('db', '{DB}', 'table', '{name}', 'server_id', '1') AS source",
-        f"{op} AS op",
+        f"{op or SNAPSHOT} AS op",
         f"CAST({ts_ms} AS BIGINT) AS ts_ms",
     )
+    if op is None:
+        return made
+    # An image that depends on the op cannot be taken apart: build it once for all its fields.
+    images = with_column_once(made, "_i", F.struct("before", "after"))
+    return images.select("_i.before", "_i.after", "source", "op", "ts_ms")
 
 
+SNAPSHOT = "'r'"
 ORDER_OP = (
     "CASE o_orderpriority WHEN '5-LOW' THEN 'd' WHEN '4-NOT SPECIFIED' THEN 'u' "
     "WHEN '3-MEDIUM' THEN 'c' ELSE 'r' END"

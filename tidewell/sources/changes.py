@@ -10,11 +10,12 @@ from pyspark.sql import types as T
 
 from tidewell import schemas
 from tidewell.operators import shapes
+from tidewell.operators.once import with_column_once
 
 
 def change_view(df: DataFrame, value: str = "value") -> DataFrame:
     """Envelope columns parsed from JSON text; text that is no JSON gives nulls throughout."""
-    return df.select(F.from_json(value, schemas.ENVELOPE).alias("_e")).select("_e.*")
+    return with_column_once(df, "_e", F.from_json(value, schemas.ENVELOPE)).select("_e.*")
 
 
 def image(columns: dict[str, Column]) -> Column:
@@ -58,7 +59,7 @@ def typed_view(df: DataFrame, fields: Sequence[str], value: str = "value") -> Da
             for f in schemas.ENVELOPE
         ]
     )
-    return df.select(F.from_json(value, shape).alias("_e")).select("_e.*")
+    return with_column_once(df, "_e", F.from_json(value, shape)).select("_e.*")
 
 
 def origin(db: str, table: str, server_id: str = "1") -> Column:
