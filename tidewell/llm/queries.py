@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import mixing, notices, quality, warc
+from tidewell.llm import mixing, notices, quality, simhash, suffixes, warc
 from tidewell.llm.common import Scratch, table
 
 
@@ -30,6 +30,20 @@ def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = suffixes.cut_repeats(Scratch(spark, "suffixes"), docs)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op6_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "simhash")
+    prints = simhash.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "fp")
+    prints = scratch.keep(prints, "documents")
+    found = prints.join(simhash.clusters(scratch, prints), "fp")
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scratch = Scratch(spark, "mixing")
@@ -49,6 +63,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_license_notices,
         op2_warc_revisits,
+        op4_suffix_repeats,
+        op6_simhash_bk_trees,
         op8_mix_sources,
         op9_line_cleaning,
     )
