@@ -31,6 +31,12 @@ class Scratch:
         release(self.spark)
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 
+    def drop(self, *names: str) -> None:
+        """Delete tables that nothing reads any more."""
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
 
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop shuffle files that nothing refers to any more."""

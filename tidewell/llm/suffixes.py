@@ -31,6 +31,7 @@ from tidewell.llm.common import Hasher, Scratch, as_bytes, mixed, powers, runs
 
 DEPTH, DIGIT = 100, 32
 BATCH = 16 << 20  # bytes of text whose repeats are settled together
+CROWD = 10_000  # places of a first digit that one task takes together
 PIECE = 1 << 20  # bytes hashed at once; longer texts are cut with an overlap of a window
 _PLACE = np.uint64((1 << 22) - 1)
 
@@ -146,49 +147,87 @@ def anchors(docs: DataFrame, depth: int, digit: int) -> DataFrame:
 
 
 def windows(docs: DataFrame, depth: int) -> DataFrame:
-    """(g, w, d, h, s, sure) for the windows of chosen anchors of ``docs`` (d, h, text, chosen).
+    """(g, salt, d, h, p, at) for the windows of chosen anchors of ``docs`` (d, h, text, chosen).
 
-    ``chosen`` lists (g, p, a, b); w is the digit of a whole window and its offset to the anchor.
+    ``chosen`` lists (g, p, a, b, parts). ``at`` holds one anchor's windows, as pairs of offset to
+    the anchor and digit; an anchor of many places deals them out by digit over ``parts`` salts.
+    A row without ``at`` is a window from p that repeats an earlier one of its batch.
     """
 
     def work(batches):
         for held, texts in _gathered(batches, 2):
             d, h = _numbers(held, 0), _numbers(held, 1)
             picked = [c for part in held for c in part.column(3).to_pylist()]
-            cols: list[list[np.ndarray]] = [[] for _ in range(5)]
+            cols: list[list[np.ndarray]] = [[] for _ in range(7)]
             for i, (text, rows) in enumerate(zip(texts, picked)):
                 rows.sort(key=lambda r: r["p"])
                 buf, k = np.frombuffer(text, np.uint8), 0
                 while k < len(rows):  # stretches of at most about a piece
-                    start = rows[k]["p"] - rows[k]["a"]
-                    m = k
-                    while m < len(rows) and rows[m]["p"] + depth - start < PIECE:
+                    m, begin = k + 1, rows[k]["p"]
+                    while m < len(rows) and rows[m]["p"] - begin < PIECE:
                         m += 1
-                    m = max(m, k + 1)
                     start = min(r["p"] - r["a"] for r in rows[k:m])
                     stop = max(r["p"] + r["b"] for r in rows[k:m]) + depth
                     hasher = Hasher(buf[start:stop])
-                    p, a, b, g = (np.array([r[c] for r in rows[k:m]], np.int64) for c in ("p", "a", "b", "g"))
+                    p, a, b, g, parts = (np.array([r[c] for r in rows[k:m]], np.int64) for c in ("p", "a", "b", "g", "parts"))
                     n = a + b + 1
                     at = np.repeat(p - a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    offset = (np.repeat(p, n) - at).astype(np.uint64)
-                    key = hasher.ranges(at - start, at - start + depth) ^ mixed(offset + np.uint64(1))
-                    for c, v in zip(cols, (np.repeat(g, n), key, np.full(len(at), d[i]), np.full(len(at), h[i]), at)):
+                    offset = np.repeat(p, n) - at
+                    key = hasher.ranges(at - start, at - start + depth) ^ mixed(offset.astype(np.uint64) + np.uint64(1))
+                    salt = (key % np.repeat(parts, n).astype(np.uint64)).astype(np.int64)
+                    values = (np.repeat(g, n), key, np.full(len(at), d[i]), np.full(len(at), h[i]), np.repeat(p, n), offset, salt)
+                    for c, v in zip(cols, values):
                         c.append(v)
                     k = m
             if not cols[0]:
                 continue
-            g, w, dd, hh, at = (np.concatenate(c) for c in cols)
-            g = g.view(np.uint64)
-            sure = ~_earliest([g, w], [dd, hh, at])
-            g = np.where(sure, mixed(g ^ mixed(dd.view(np.uint64) + at.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))), g)
-            for s in range(0, len(g), 100_000):
-                e = s + 100_000
-                values = [g[s:e].view(np.int64), w[s:e].view(np.int64), dd[s:e], hh[s:e], at[s:e], sure[s:e]]
-                yield pa.RecordBatch.from_arrays([pa.array(v) for v in values], ["g", "w", "d", "h", "s", "sure"])
+            g, w, dd, hh, p, offset, salt = (np.concatenate(c) for c in cols)
+            sure = ~_earliest([g, w], [dd, hh, p - offset])
+            none = pa.nulls(int(sure.sum()), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v[sure]) for v in (g, salt, dd, hh, p - offset)] + [none], ["g", "salt", *_ROW[:3], "at"]
+            )
+            g, w, dd, hh, p, offset, salt = (v[~sure] for v in (g, w, dd, hh, p, offset, salt))
+            order = np.lexsort((salt, p, hh, dd, g))
+            g, w, dd, hh, p, offset, salt = (v[order] for v in (g, w, dd, hh, p, offset, salt))
+            new = np.ones(len(g), bool)
+            for v in (g, dd, hh, p, salt):
+                new[1:] &= v[1:] == v[:-1]
+            new[1:] = ~new[1:]
+            firsts = np.flatnonzero(new)
+            pairs = np.stack([offset.astype(np.uint64), w], axis=1)
+            at = [pairs[s:e].tobytes() for s, e in zip(firsts, [*firsts[1:], len(g)])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v[firsts]) for v in (g, salt, dd, hh, p)] + [pa.array(at, pa.binary())], ["g", "salt", *_ROW[:3], "at"]
+            )
+
+    return docs.select("d", "h", "text", "chosen").mapInArrow(work, "g long, salt long, d long, h long, p long, at binary")
+
+
+def _later(rows: DataFrame) -> DataFrame:
+    """(d, h, s) of the windows of ``rows`` (as from ``windows``) that an earlier place has too."""
+
+    def settle(held):
+        counts = [len(x[-1]) // 16 for x in held]
+        g, salt, d, h, p = (np.repeat(np.array(c, np.int64), counts) for c in list(zip(*held))[:5])
+        pairs = np.frombuffer(b"".join(x[-1] for x in held), np.uint64).reshape(-1, 2)
+        s = p - pairs[:, 0].astype(np.int64)
+        later = ~_earliest([g, pairs[:, 1].copy()], [d, h, s])
+        return pa.RecordBatch.from_arrays([pa.array(v[later]) for v in (d, h, s)], ["d", "h", "s"])
+
+    def work(batches):
+        held: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if len(held) >= 10_000 and row[:2] != held[-1][:2]:
+                    yield settle(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield settle(held)
 
-    schema = "g long, w long, d long, h long, s long, sure boolean"
-    return docs.select("d", "h", "text", "chosen").mapInArrow(work, schema)
+    names = ["g", "salt", *_ROW[:3], "at"]
+    return rows.repartition("g", "salt").sortWithinPartitions("g", "salt").select(*names).mapInArrow(work, "d long, h long, s long")
 
 
 def _cut(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
@@ -229,39 +268,47 @@ def cut_repeats(
     """
     new = {"n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"}
     columns = [c for c in docs.columns if c not in new]
-    place = {
-        "d": F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))),
-        "h": F.xxhash64(F.coalesce(F.col(text), F.lit(""))),
-    }
-    long_enough = F.octet_length(text) >= depth
-    slim = docs.select(place["d"].alias("d"), place["h"].alias("h"), F.col(text).alias("text")).where(long_enough)
+    # Ids are unique as a rule; then the hash of the text is left out of all rows.
+    d = F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)))
+    known = docs.select(d.alias("d")).groupBy("d").count().where("count > 1").select(F.col("d").alias("_d"), F.lit(1).alias("_many"))
+    known = scratch.keep(known, "repeated-ids")
+    wide = docs.select(*columns, d.alias("_d")).join(known, "_d", "left")
+    wide = wide.withColumn("_h", F.when(F.col("_many") == 1, F.xxhash64(F.coalesce(F.col(text), F.lit("")))).otherwise(F.lit(0)))
+    slim = wide.select(F.col("_d").alias("d"), F.col("_h").alias("h"), F.col(text).alias("text"))
+    slim = slim.where(F.octet_length("text") >= depth)
 
     # First digit: groups of one leave.
     rows = anchors(slim, depth, digit)
-    groups = rows.where("NOT sure").groupBy("g").agg(F.count("*").alias("n"), F.min("x").alias("least"), F.max("x").alias("most"))
-    groups = groups.where("n > 1").selectExpr("g", "least <> most AS several")
-    left = rows.join(groups, "g", "left").where("sure OR several IS NOT NULL")
+    groups = rows.where("NOT sure").groupBy("g").count().where("count > 1").select("g", F.lit(1).alias("many"))
+    left = rows.join(groups, "g", "left").where("sure OR many = 1").drop("many")
     left = scratch.keep(left, "first-digit")
 
     # Second digit: in each group all but the earliest place repeat.
-    alive = left.where("NOT sure")
-    first = alive.groupBy("g", "x").agg(F.min(F.struct("d", "h", "p")).alias("first"))
-    ordered = alive.join(first, ["g", "x"]).withColumn("is_first", F.struct("d", "h", "p") == F.col("first"))
-    ordered = scratch.keep(ordered.select("g", *_ROW, "several", "is_first"), "second-digit")
-    whole = left.where("sure").select(*_ROW).unionByName(ordered.where("NOT is_first").select(*_ROW))
-    marks = whole.select("d", "h", F.expr("p - a AS s"), (F.expr("p + b") + depth).alias("e"))
-
-    # Whole windows of the earliest places, where second digits differ.
-    chosen = ordered.where("is_first AND several").groupBy("d", "h")
-    chosen = chosen.agg(F.collect_list(F.struct("g", "p", "a", "b")).alias("chosen"))
-    single = windows(slim.join(chosen, ["d", "h"]), depth)
-    single = scratch.keep(single, "windows")
-    again = single.where("NOT sure").groupBy("g", "w").agg(F.count("*").alias("n"), F.min(F.struct("d", "h", "s")).alias("first"))
-    again = single.where("NOT sure").join(again.where("n > 1"), ["g", "w"]).where(F.struct("d", "h", "s") != F.col("first"))
-    again = again.select("d", "h", "s").unionByName(single.where("sure").select("d", "h", "s"))
+    first = left.where("NOT sure").groupBy("g", "x").agg(F.min(F.struct(*_ROW)).alias("first"))
+    first = scratch.keep(first.select("g", "x", "first.*"), "second-digit")
+    later = first.select("g", "x", F.struct("d", "h", "p").alias("first"))
+    later = left.where("NOT sure").join(later, ["g", "x"]).where(F.struct("d", "h", "p") != F.col("first"))
+    marks = left.where("sure").select(*_ROW).unionByName(later.select(*_ROW))
+    marks = scratch.keep(marks.select("d", "h", F.expr("p - a AS s"), (F.expr("p + b") + depth).alias("e")), "whole")
+    scratch.drop("first-digit")
+
+    # Window by window where a first digit has several second ones.
+    several = first.groupBy("g").count().where("count > 1")
+    several = several.select("g", F.ceil(F.col("count") / CROWD).cast("long").alias("parts"))
+    chosen = first.join(several, "g").groupBy("d", "h")
+    chosen = chosen.agg(F.collect_list(F.struct("g", "p", "a", "b", "parts")).alias("chosen"))
+    single = scratch.keep(windows(slim.join(chosen, ["d", "h"]), depth), "windows")
+    scratch.drop("second-digit")
+    again = _later(single.where("at IS NOT NULL"))
+    again = again.unionByName(single.where("at IS NULL").select("d", "h", F.col("p").alias("s")))
     marks = marks.unionByName(again.withColumn("e", F.col("s") + depth))
-    marks = scratch.keep(marks.distinct().groupBy("d", "h").agg(F.collect_list(F.struct("s", "e")).alias("marks")), "marks")
+    marks = scratch.keep(_merged(marks), "marks")
+    scratch.drop("windows", "whole")
+
+    marks = marks.select(F.col("d").alias("_d"), F.col("h").alias("_h"), "marks")
+    return _cut(wide.join(marks, ["_d", "_h"], "left"), columns, text)
+
 
-    wide = docs.select(*columns, place["d"].alias("_d"), place["h"].alias("_h"))
-    wide = wide.join(marks.select(F.col("d").alias("_d"), F.col("h").alias("_h"), "marks"), ["_d", "_h"], "left")
-    return _cut(wide, columns, text)
+def _merged(marks: DataFrame) -> DataFrame:
+    """(d, h, marks): the ranges of each text; those of one text are fewer than its bytes."""
+    return marks.groupBy("d", "h").agg(F.collect_list(F.struct("s", "e")).alias("marks"))
