@@ -29,9 +29,9 @@ from pyspark.sql import types as T
 
 from tidewell.llm.common import Hasher, Scratch, as_bytes, mixed, powers, runs
 
-DEPTH, DIGIT = 100, 32
+DEPTH, DIGIT = 100, 24
 BATCH = 16 << 20  # bytes of text whose repeats are settled together
-CROWD = 10_000  # places of a first digit that one task takes together
+CROWD = 500  # places of a first digit that one task takes together
 PIECE = 1 << 20  # bytes hashed at once; longer texts are cut with an overlap of a window
 _PLACE = np.uint64((1 << 22) - 1)
 
@@ -135,8 +135,9 @@ def anchors(docs: DataFrame, depth: int, digit: int) -> DataFrame:
                 continue
             g, x, dd, hh, p, a, b = (np.concatenate(c) for c in cols)
             sure = ~_earliest([g, x], [dd, hh, p])
-            # A key of their own, so that copies do not all go where their first one goes.
-            g = np.where(sure, mixed(g ^ mixed(dd.view(np.uint64) + p.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))), g)
+            # Short numbers for keys, so that copies do not all go where their first one goes.
+            g = np.where(sure, (dd * 31 + p).view(np.uint64) & np.uint64(0xFFFF), g)
+            x[sure] = 0
             for s in range(0, len(g), 100_000):
                 e = s + 100_000
                 values = [g[s:e].view(np.int64), x[s:e].view(np.int64), dd[s:e], hh[s:e], p[s:e], a[s:e], b[s:e], sure[s:e]]
