@@ -29,13 +29,14 @@ from pyspark.sql import types as T
 
 from tidewell.llm.common import Hasher, Scratch, as_bytes, mixed, powers, runs
 
-DEPTH, DIGIT = 100, 24
+DEPTH, DIGIT = 100, 32
 BATCH = 16 << 20  # bytes of text whose repeats are settled together
-CROWD = 500  # places of a first digit that one task takes together
+CROWD = 2000  # places of a first digit that one task takes together
 PIECE = 1 << 20  # bytes hashed at once; longer texts are cut with an overlap of a window
 _PLACE = np.uint64((1 << 22) - 1)
 
 _ROW = ["d", "h", "p", "a", "b"]
+_WINDOWS = ["g", "salt", "d", "h", "p", "a", "region", "at"]
 
 
 def anchors_of(buf: np.ndarray, depth: int, digit: int, ready=None) -> tuple:
@@ -148,11 +149,13 @@ def anchors(docs: DataFrame, depth: int, digit: int) -> DataFrame:
 
 
 def windows(docs: DataFrame, depth: int) -> DataFrame:
-    """(g, salt, d, h, p, at) for the windows of chosen anchors of ``docs`` (d, h, text, chosen).
+    """(g, salt, d, h, p, a, region, at) for the windows of chosen anchors of ``docs``.
 
-    ``chosen`` lists (g, p, a, b, parts). ``at`` holds one anchor's windows, as pairs of offset to
-    the anchor and digit; an anchor of many places deals them out by digit over ``parts`` salts.
-    A row without ``at`` is a window from p that repeats an earlier one of its batch.
+    ``docs`` has d, h, text and ``chosen``, a list of (g, p, a, b, parts). An anchor goes out as the
+    region of bytes that its windows cover. Only if its first digit is at more places than one task
+    shall take (parts > 1), its windows are dealt out by their digit over so many salts; ``at`` then
+    lists those of one salt, as pairs of offset and digit. A row with neither is a window from p
+    that repeats an earlier one of its batch.
     """
 
     def work(batches):
@@ -160,8 +163,17 @@ def windows(docs: DataFrame, depth: int) -> DataFrame:
             d, h = _numbers(held, 0), _numbers(held, 1)
             picked = [c for part in held for c in part.column(3).to_pylist()]
             cols: list[list[np.ndarray]] = [[] for _ in range(7)]
+            plain = [(d[i], h[i], text, r) for i, (text, rows) in enumerate(zip(texts, picked)) for r in rows if r["parts"] == 1]
+            for start in range(0, len(plain), 10_000):
+                some = plain[start : start + 10_000]
+                values = [[x[3]["g"] for x in some], [0] * len(some), [x[0] for x in some], [x[1] for x in some]]
+                values += [[x[3]["p"] for x in some], [x[3]["a"] for x in some]]
+                region = [x[2][x[3]["p"] - x[3]["a"] : x[3]["p"] + x[3]["b"] + depth] for x in some]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v, pa.int64()) for v in values] + [pa.array(region, pa.binary()), pa.nulls(len(some), pa.binary())], _WINDOWS
+                )
             for i, (text, rows) in enumerate(zip(texts, picked)):
-                rows.sort(key=lambda r: r["p"])
+                rows = sorted((r for r in rows if r["parts"] > 1), key=lambda r: r["p"])
                 buf, k = np.frombuffer(text, np.uint8), 0
                 while k < len(rows):  # stretches of at most about a piece
                     m, begin = k + 1, rows[k]["p"]
@@ -185,9 +197,8 @@ def windows(docs: DataFrame, depth: int) -> DataFrame:
             g, w, dd, hh, p, offset, salt = (np.concatenate(c) for c in cols)
             sure = ~_earliest([g, w], [dd, hh, p - offset])
             none = pa.nulls(int(sure.sum()), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v[sure]) for v in (g, salt, dd, hh, p - offset)] + [none], ["g", "salt", *_ROW[:3], "at"]
-            )
+            zero = np.zeros(len(none), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(v[sure]) for v in (g, salt, dd, hh, p - offset)] + [pa.array(zero), none, none], _WINDOWS)
             g, w, dd, hh, p, offset, salt = (v[~sure] for v in (g, w, dd, hh, p, offset, salt))
             order = np.lexsort((salt, p, hh, dd, g))
             g, w, dd, hh, p, offset, salt = (v[order] for v in (g, w, dd, hh, p, offset, salt))
@@ -198,37 +209,56 @@ def windows(docs: DataFrame, depth: int) -> DataFrame:
             firsts = np.flatnonzero(new)
             pairs = np.stack([offset.astype(np.uint64), w], axis=1)
             at = [pairs[s:e].tobytes() for s, e in zip(firsts, [*firsts[1:], len(g)])]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v[firsts]) for v in (g, salt, dd, hh, p)] + [pa.array(at, pa.binary())], ["g", "salt", *_ROW[:3], "at"]
-            )
+            values = [pa.array(v[firsts]) for v in (g, salt, dd, hh, p)] + [pa.array(np.zeros(len(firsts), np.int64))]
+            yield pa.RecordBatch.from_arrays([*values, pa.nulls(len(firsts), pa.binary()), pa.array(at, pa.binary())], _WINDOWS)
 
-    return docs.select("d", "h", "text", "chosen").mapInArrow(work, "g long, salt long, d long, h long, p long, at binary")
+    schema = "g long, salt long, d long, h long, p long, a long, region binary, at binary"
+    return docs.select("d", "h", "text", "chosen").mapInArrow(work, schema)
 
 
-def _later(rows: DataFrame) -> DataFrame:
-    """(d, h, s) of the windows of ``rows`` (as from ``windows``) that an earlier place has too."""
+def _later(rows: DataFrame, depth: int) -> DataFrame:
+    """(d, h, s, e): runs of windows of ``rows`` (as from ``windows``) that an earlier place has too."""
 
     def settle(held):
-        counts = [len(x[-1]) // 16 for x in held]
-        g, salt, d, h, p = (np.repeat(np.array(c, np.int64), counts) for c in list(zip(*held))[:5])
-        pairs = np.frombuffer(b"".join(x[-1] for x in held), np.uint64).reshape(-1, 2)
-        s = p - pairs[:, 0].astype(np.int64)
-        later = ~_earliest([g, pairs[:, 1].copy()], [d, h, s])
-        return pa.RecordBatch.from_arrays([pa.array(v[later]) for v in (d, h, s)], ["d", "h", "s"])
+        g, _, d, h, p, a, region, at = zip(*held)
+        buf = np.frombuffer(b"".join(r or b"" for r in region), np.uint8)
+        sizes = np.array([len(r or b"") for r in region])
+        whole = np.maximum(sizes - depth + 1, 0)  # windows of regions
+        dealt = np.array([len(x or b"") // 16 for x in at])
+        row = np.concatenate((np.repeat(np.arange(len(held)), whole), np.repeat(np.arange(len(held)), dealt)))
+        starts = np.repeat(np.cumsum(sizes) - sizes, whole)
+        nth = np.arange(whole.sum()) - np.repeat(np.cumsum(whole) - whole, whole)
+        key = Hasher(buf).ranges(starts + nth, starts + nth + depth)
+        offset = np.repeat(np.array(a, np.int64), whole) - nth
+        key = key ^ mixed(offset.astype(np.uint64) + np.uint64(1))
+        pairs = np.frombuffer(b"".join(x or b"" for x in at), np.uint64).reshape(-1, 2)
+        key = np.concatenate((key, pairs[:, 1]))
+        offset = np.concatenate((offset, pairs[:, 0].astype(np.int64)))
+        g, d, h, p = (np.array(c, np.int64)[row] for c in (g, d, h, p))
+        s = p - offset
+        later = ~_earliest([g, key], [d, h, s])
+        d, h, s = d[later], h[later], s[later]
+        order = np.lexsort((s, h, d))
+        d, h, s = d[order], h[order], s[order]
+        new = np.ones(len(s), bool)
+        new[1:] = (d[1:] != d[:-1]) | (h[1:] != h[:-1]) | (s[1:] > s[:-1] + depth)
+        firsts = np.flatnonzero(new)
+        ends = s[np.concatenate((firsts[1:], [len(s)])) - 1] + depth if len(s) else s
+        return pa.RecordBatch.from_arrays([pa.array(v) for v in (d[firsts], h[firsts], s[firsts], ends)], ["d", "h", "s", "e"])
 
     def work(batches):
         held: list[tuple] = []
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if len(held) >= 10_000 and row[:2] != held[-1][:2]:
+                if len(held) >= 5_000 and row[:2] != held[-1][:2]:
                     yield settle(held)
                     held = []
                 held.append(row)
         if held:
             yield settle(held)
 
-    names = ["g", "salt", *_ROW[:3], "at"]
-    return rows.repartition("g", "salt").sortWithinPartitions("g", "salt").select(*names).mapInArrow(work, "d long, h long, s long")
+    dealt = rows.repartition("g", "salt").sortWithinPartitions("g", "salt").select(*_WINDOWS)
+    return dealt.mapInArrow(work, "d long, h long, s long, e long")
 
 
 def _cut(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
@@ -300,9 +330,9 @@ def cut_repeats(
     chosen = chosen.agg(F.collect_list(F.struct("g", "p", "a", "b", "parts")).alias("chosen"))
     single = scratch.keep(windows(slim.join(chosen, ["d", "h"]), depth), "windows")
     scratch.drop("second-digit")
-    again = _later(single.where("at IS NOT NULL"))
-    again = again.unionByName(single.where("at IS NULL").select("d", "h", F.col("p").alias("s")))
-    marks = marks.unionByName(again.withColumn("e", F.col("s") + depth))
+    alone = "region IS NULL AND at IS NULL"
+    marks = marks.unionByName(_later(single.where(f"NOT ({alone})"), depth))
+    marks = marks.unionByName(single.where(alone).select("d", "h", F.col("p").alias("s"), (F.col("p") + depth).alias("e")))
     marks = scratch.keep(_merged(marks), "marks")
     scratch.drop("windows", "whole")
 
