@@ -19,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Whole texts go to Python workers in batches of so many rows; the default suits short rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 class Scratch:
     """Tables of one run below ``spark.checkpoint.dir``; they cut lineage and survive executors."""
 

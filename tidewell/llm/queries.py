@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import mixing, notices, quality, simhash, suffixes, warc
-from tidewell.llm.common import Scratch, table
+from tidewell.llm import langid, mixing, notices, pitman_yor, quality, simhash, suffixes, warc
+from tidewell.llm.common import Scratch, small_batches, table
 
 
 def op1_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,12 +30,24 @@ def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pitman_yor.score(Scratch(spark, "pitman-yor"), docs, pitman_yor.held_out(F.col("doc_id")))
+
+
 def op4_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     cut = suffixes.cut_repeats(Scratch(spark, "suffixes"), docs)
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op5_language_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", langid.held_out(F.col("doc_id")))
+    model = langid.train(docs.where("NOT held_out"))
+    return langid.identify(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
 def op6_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "simhash")
     prints = simhash.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "fp")
@@ -58,12 +70,23 @@ def op9_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return fn(spark, sf_dir)
+
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f
+    f.__name__: _query(f)
     for f in (
         op1_license_notices,
         op2_warc_revisits,
+        op3_pitman_yor,
         op4_suffix_repeats,
+        op5_language_ppm,
         op6_simhash_bk_trees,
         op8_mix_sources,
         op9_line_cleaning,

@@ -30,9 +30,9 @@ from pyspark.sql import types as T
 from tidewell.llm.common import Hasher, Scratch, as_bytes, mixed, powers, runs
 
 DEPTH, DIGIT = 100, 32
-BATCH = 16 << 20  # bytes of text whose repeats are settled together
+BATCH = 8 << 20  # bytes of text whose repeats are settled together
 CROWD = 2000  # places of a first digit that one task takes together
-PIECE = 1 << 20  # bytes hashed at once; longer texts are cut with an overlap of a window
+PIECE = 1 << 19  # bytes hashed at once; longer texts are cut with an overlap of a window
 _PLACE = np.uint64((1 << 22) - 1)
 
 _ROW = ["d", "h", "p", "a", "b"]
