@@ -97,12 +97,13 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Hasher:
-    """Hashes of byte ranges of a buffer."""
+    """Hashes of ranges of a buffer of bytes, or of code points (any other type)."""
 
     def __init__(self, buf: np.ndarray, table: tuple[np.ndarray, np.ndarray] | None = None):
         up, self.down = table if table is not None and len(table[0]) > len(buf) else powers(len(buf) + 1)
         self.sums = np.zeros(len(buf) + 1, np.uint64)
-        np.cumsum(_VALUES[buf] * up[: len(buf)], out=self.sums[1:])
+        values = _VALUES[buf] if buf.dtype == np.uint8 else mixed(buf.astype(np.uint64) + np.uint64(257)) | np.uint64(1)
+        np.cumsum(values * up[: len(buf)], out=self.sums[1:])
 
     def ranges(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mixed((self.sums[ends] - self.sums[starts]) * self.down[starts])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import langid, mixing, notices, pitman_yor, quality, simhash, suffixes, warc
+from tidewell.llm import langid, mixing, nn_descent, notices, pieces, pitman_yor, quality, simhash, suffixes, warc
 from tidewell.llm.common import Scratch, small_batches, table
 
 
@@ -56,6 +56,10 @@ def op6_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.link(Scratch(spark, "nn-descent"), table(spark, sf_dir, "embeddings"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scratch = Scratch(spark, "mixing")
@@ -70,6 +74,13 @@ def op9_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_gumbel_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = pieces.sample_segmentations(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return samples.select(
+        "doc_id", "rank", "n_pieces", "log_prob", "perturbed", "log_inclusion", F.xxhash64("ids").alias("ids_hash"), "round_trip"
+    )
+
+
 def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         small_batches(spark)
@@ -88,7 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_suffix_repeats,
         op5_language_ppm,
         op6_simhash_bk_trees,
+        op7_nn_descent,
         op8_mix_sources,
         op9_line_cleaning,
+        op10_gumbel_pieces,
     )
 }

@@ -261,12 +261,13 @@ def _later(rows: DataFrame, depth: int) -> DataFrame:
     return dealt.mapInArrow(work, "d long, h long, s long, e long")
 
 
-def _cut(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
+def _cut(docs: DataFrame, columns: list[str], text: str, as_text: bool) -> DataFrame:
     """Take the marked ranges (marks: array of (s, e)) out of every text."""
     at, marks_at = columns.index(text), len(columns)
-    new = [("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("kept_sha256", T.StringType()), ("kept", T.BinaryType())]
+    new = [("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("kept_sha256", T.StringType())]
+    new.append(("kept", T.StringType() if as_text else T.BinaryType()))
     schema = T.StructType([docs.schema[c] for c in columns] + [T.StructField(n, t) for n, t in new])
-    kinds = [pa.int64()] * 3 + [pa.string(), pa.binary()]
+    kinds = [pa.int64()] * 3 + [pa.string(), pa.string() if as_text else pa.binary()]
 
     def work(batches):
         for batch in batches:
@@ -280,7 +281,9 @@ def _cut(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
                         spans.append([s, e])
                 ends = [0, *(x for span in spans for x in span), len(text)]
                 kept = b"".join(text[a:b] for a, b in zip(ends[::2], ends[1::2])) if spans else text
-                rows.append((len(text), len(text) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept))
+                digest = hashlib.sha256(kept).hexdigest()
+                kept_as = kept.decode(errors="ignore") if as_text else kept
+                rows.append((len(text), len(text) - len(kept), len(spans), digest, kept_as))
             values = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:marks_at], *values], schema.names)
 
@@ -288,14 +291,16 @@ def _cut(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
 
 
 def cut_repeats(
-    scratch: Scratch, docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = DEPTH, digit: int = DIGIT
-) -> DataFrame:
+    scratch: Scratch, docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = DEPTH, digit: int = DIGIT,
+    as_text: bool = False,
+) -> DataFrame:
     """Every row of ``docs`` with n_bytes, n_removed, n_spans, kept_sha256 and kept (what is left).
 
     "Earlier" goes by key, then by a hash of the text, then by place. A null key comes before all
     others; a null text is empty. Rows equal in key and text are one document listed more than
     once: they get equal results and do not repeat each other. Texts shorter than a window stay
-    whole. Columns with the names of results are replaced.
+    whole. ``kept`` holds bytes, or with ``as_text`` a string without characters that were cut in two.
+    Columns with the names of results are replaced; names beginning with an underscore are reserved.
     """
     new = {"n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"}
     columns = [c for c in docs.columns if c not in new]
@@ -337,7 +342,7 @@ def cut_repeats(
     scratch.drop("windows", "whole")
 
     marks = marks.select(F.col("d").alias("_d"), F.col("h").alias("_h"), "marks")
-    return _cut(wide.join(marks, ["_d", "_h"], "left"), columns, text)
+    return _cut(wide.join(marks, ["_d", "_h"], "left"), columns, text, as_text)
 
 
 def _merged(marks: DataFrame) -> DataFrame:
