@@ -32,7 +32,7 @@ from tidewell.llm.common import Hasher, as_bytes, mixed
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 ALPHA = 1.0
-BATCH = 4 << 20  # bytes of text that share lattices
+BATCH = 5 << 19  # bytes of text that share lattices
 SPACE = "▁"
 _CHUNK = re.compile(r" *[^ \n]+| +|\n")
 _LOUDEST = 37.0  # above any Gumbel noise made from 53 random bits
@@ -68,11 +68,20 @@ def vocabulary(model_file: str = MODEL, alpha: float = ALPHA) -> dict:
     lengths = np.array([len(s) for s in strings])
     codes = np.frombuffer("".join(strings).encode("utf-32-le"), np.uint32)
     ends = np.cumsum(lengths)
-    hashes = Hasher(codes).ranges(ends - lengths, ends)
+    hashes = Hasher(codes).plain(ends - lengths, ends)
     order = np.argsort(hashes)
+    seen = np.zeros(1 << 20, np.uint8)  # by first bits: 1 for pieces, 2 for what they begin with
+    sums = Hasher(codes)
+    for size in range(1, int(lengths.max())):
+        long = (ends - lengths)[lengths > size]
+        seen[sums.plain(long, long + size) >> np.uint64(44)] |= 2
+    seen[hashes >> np.uint64(44)] |= 1
+    firsts, at, most = np.unique(hashes[order] >> np.uint64(44), return_index=True, return_counts=True)
+    slots = np.zeros(1 << 20, np.int32)  # the first piece with these first bits
+    slots[firsts] = at
     sizes = np.array([len(t) for t in text])
     return {
-        "hashes": hashes[order], "ids": np.array(usable)[order], "weights": weights, "byte_ids": byte_ids,
+        "hashes": hashes[order], "seen": seen, "slots": slots, "most": int(most.max()), "ids": np.array(usable, np.int32)[order], "weights": weights, "byte_ids": byte_ids,
         "longest": int(lengths.max()), "sizes": sizes, "starts": np.cumsum(sizes) - sizes, "text": np.frombuffer(b"".join(text), np.uint8),
     }
 
@@ -93,44 +102,66 @@ class Lattices:
         chunk = np.repeat(np.arange(len(chunks)), lengths)
         ends = np.cumsum(lengths)
         left = ends[chunk] - np.arange(len(codes))  # characters to the chunk's end
-        hasher = Hasher(codes)
-        bloom = np.zeros(1 << 20, bool)
-        bloom[vocab["hashes"] & np.uint64((1 << 20) - 1)] = True
+        sums = Hasher(codes)
         starts, spans, ids = [], [], []
-        for span in range(vocab["longest"], 0, -1):
-            at = np.flatnonzero(left >= span)
-            keys = hasher.ranges(at, at + span)
-            maybe = bloom[keys & np.uint64((1 << 20) - 1)]
-            at, keys = at[maybe], keys[maybe]
-            row = np.minimum(np.searchsorted(vocab["hashes"], keys), len(vocab["hashes"]) - 1)
+        at = np.arange(len(codes))
+        for span in range(1, vocab["longest"] + 1):
+            at = at[left[at] >= span]
+            keys = sums.plain(at, at + span)
+            # Bit 0: some piece has this hash's first bits; bit 1: some piece may begin so.
+            state = vocab["seen"][keys >> np.uint64(44)]
+            maybe = np.flatnonzero(state & 1)
+            some, keys = at[maybe], keys[maybe]
+            at = at[state > 1]
+            # Pieces with the same first bits stand side by side.
+            row = vocab["slots"][keys >> np.uint64(44)]
             hit = vocab["hashes"][row] == keys
-            starts.append(at[hit])
-            spans.append(np.full(hit.sum(), span))
+            for _ in range(1, vocab["most"]):
+                miss = np.flatnonzero(~hit)
+                row[miss] = np.minimum(row[miss] + 1, len(vocab["hashes"]) - 1)
+                hit[miss] = vocab["hashes"][row[miss]] == keys[miss]
+            starts.append(some[hit])
+            spans.append(np.full(hit.sum(), span, np.int32))
             ids.append(vocab["ids"][row[hit]])
         lone = np.ones(len(codes), bool)
-        lone[starts[-1]] = False
+        lone[starts[0]] = False
         lone = np.flatnonzero(lone)  # spelled in bytes
-        starts, spans, ids = (np.concatenate(x) for x in ([*starts, lone], [*spans, np.ones(len(lone), np.int64)], [*ids, np.full(len(lone), -1)]))
+        starts.append(lone)
+        spans.append(np.ones(len(lone), np.int32))
+        ids.append(np.full(len(lone), -1, np.int32))
+        # Edges of a node side by side, longest first.
+        count = np.zeros(len(codes) + 1, np.int32)
+        for x in starts:
+            count[x] += 1
+        self.first = np.concatenate(([0], np.cumsum(count[:-1], dtype=np.int32)))
+        size = int(self.first[-1])
+        self.start, self.span, self.id = (np.empty(size, np.int32) for _ in range(3))
+        free = self.first[:-1].copy()
+        for x, n, i in zip(reversed(starts), reversed(spans), reversed(ids)):
+            to = free[x]
+            self.start[to], self.span[to], self.id[to] = x, n, i
+            free[x] += 1
+        del starts, spans, ids, free, count
         byte_count = 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)
-        weight = np.where(ids >= 0, vocab["weights"][ids], byte_count[starts] * vocab["weights"][vocab["byte_ids"][0]])
-        order = np.argsort(starts, kind="stable")
-        self.start, self.span, self.id, weight = starts[order], spans[order], ids[order], weight[order]
-        self.first = np.searchsorted(self.start, np.arange(len(codes) + 1))  # edges of a node
+        weight = vocab["weights"][self.id]
+        spelled = np.flatnonzero(self.id < 0)
+        weight[spelled] = byte_count[self.start[spelled]] * vocab["weights"][vocab["byte_ids"][0]]
         self.heads = ends - lengths  # first node of a chunk
         self.ends = ends
         self.codes = codes
         # Log mass of all paths to the chunk's end, from the last characters to the first.
         mass = np.zeros(len(codes) + 1)
-        deepest = np.argsort(left, kind="stable")
+        # (Short keys sort faster.)
+        deepest = np.argsort(left.astype(np.int16) if lengths.max(initial=0) < 1 << 15 else left, kind="stable")
         levels = np.searchsorted(left[deepest], np.arange(1, int(lengths.max(initial=0)) + 2))
         goal = self.start + self.span
-        final = goal == ends[chunk[self.start]]
+        final = self.span == left[self.start]
         for a, b in zip(levels, levels[1:]):
             nodes = deepest[a:b]
             if not len(nodes):
                 break
             n = self.first[nodes + 1] - self.first[nodes]
-            cuts = np.cumsum(n) - n
+            cuts = np.cumsum(n, dtype=np.int64) - n
             edges = np.repeat(self.first[nodes] - cuts, n) + np.arange(n.sum())
             value = weight[edges] + np.where(final[edges], 0.0, mass[goal[edges]])
             top = np.maximum.reduceat(value, cuts)
@@ -141,6 +172,7 @@ class Lattices:
         self.upto = sums[1:] - sums[self.first[self.start]]  # chances of a node's edges, summed up
         last = self.first[1:] - 1
         self.upto[last] = 2.0  # the last edge takes what rounding leaves
+        self.lone = (self.first[1:] - self.first[:-1] == 1)[self.start]
 
     def walk(self, nodes: np.ndarray, ends: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Edges of a path from each node to its end, one path after another, and paths' lengths."""
@@ -190,20 +222,25 @@ class Search:
     def push(self, lattices: Lattices, edges: np.ndarray, bound: float, path: int, begin: int, wanted: int) -> float:
         """Put on the agenda what turns off ``edges`` from place ``begin`` on; the path's log probability."""
         log_p = lattices.log_p[edges]
-        before = np.concatenate(([0.0], np.cumsum(log_p)))
-        a, width, best = begin, 64, []
+        before = np.zeros(len(edges) + 1)
+        np.cumsum(log_p, out=before[1:])
+        a, width, best, least = begin, 128, [], -np.inf
+        seed = _seed(self.row, 1000 + path)
         while a < len(edges):
             b = min(len(edges), a + width)
             rest = before[a:b] + np.log(np.maximum(-np.expm1(log_p[a:b]), 1e-300))
-            single = lattices.first[lattices.start[edges[a:b]] + 1] - lattices.first[lattices.start[edges[a:b]]] == 1
-            noise = -np.log(uniform(_seed(self.row, 1000 + path) + np.arange(a, b, dtype=np.uint64)))
-            # A Gumbel variable at ``rest`` below ``bound``.
-            value = np.where(single, -np.inf, -np.logaddexp(-bound, np.log(noise) - rest))
-            best += [(v, a + i) for i, v in enumerate(value.tolist()) if v > -np.inf]
+            noise = -np.log(uniform(seed + np.arange(a, b, dtype=np.uint64)))
+            # A Gumbel variable at ``rest`` below ``bound``; a lone edge leaves no rest.
+            value = -np.logaddexp(-bound, np.log(noise) - rest)
+            value[lattices.lone[edges[a:b]]] = -np.inf
+            for i in np.flatnonzero(value > least) if len(best) == wanted else np.argsort(value)[-wanted:]:
+                if value[i] > -np.inf:
+                    best.append((float(value[i]), a + int(i)))
             best = heapq.nlargest(wanted, best)
+            least = best[-1][0] if len(best) == wanted else -np.inf
             a, width = b, 2 * width
             # No rest further on can be larger: its mass is under that of the path so far.
-            if len(best) == wanted and before[b] + _LOUDEST < best[-1][0]:
+            if before[b] + _LOUDEST < least:
                 break
         for value, place in best:
             heapq.heappush(self.agenda, (-value, path, place, (int(edges[place]),), float(before[place])))
@@ -227,10 +264,18 @@ class Search:
         return path, place, edge, -value
 
 
+class _Numbers(dict):
+    """Numbers its keys in the order they are first asked for."""
+
+    def __missing__(self, key):
+        self[key] = n = len(self)
+        return n
+
+
 def sample(vocab: dict, texts: list[str], rows: list[int], k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
     """For each text up to ``k`` distinct samples: (ids, log_prob, perturbed, log_inclusion)."""
-    numbers: dict[str, int] = {}
-    chunks = [np.array([numbers.setdefault(c, len(numbers)) for c in _CHUNK.findall(" " + t)] if t else [], np.int64) for t in texts]
+    numbers = _Numbers()
+    chunks = [np.array(list(map(numbers.__getitem__, _CHUNK.findall(" " + t))) if t else [], np.int64) for t in texts]
     lattices = Lattices(vocab, list(numbers))
     searches = [Search(r, 0) for r in rows]
     lengths = lattices.ends - lattices.heads
