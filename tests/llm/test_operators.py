@@ -1,0 +1,359 @@
+"""Each operator against a plain version, on small tables with awkward rows."""
+
+import hashlib
+import itertools
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from compare import connect, differences
+from pyspark.sql import functions as F
+
+from tidewell.llm import expected, langid, mixing, nn_descent, notices, pieces, pitman_yor, quality, queries, simhash, suffixes, warc
+from tidewell.llm.common import Scratch
+
+SHARED = " ".join(f"shared{i} passage" for i in range(40))
+NOTICE = "Released under the MIT License."
+TEXTS = [
+    (1, f"A first text. {SHARED} And so on."),
+    (2, f"Another one, longer. {SHARED} It ends elsewhere."),
+    (3, f"Another one, longer. {SHARED} It ends elsewhere."),  # a copy
+    (3, f"Another one, longer. {SHARED} It ends elsewhere."),  # the same row again
+    (4, None),
+    (5, ""),
+    (6, " \n\t "),
+    (7, "One line.\nOne line.\nHome | News | Shop | Log in\nAccept all cookies to go on.\n" + "Prose follows here, with words enough. " * 3),
+    (8, f"Released undr the MIT Lcense. {NOTICE} CC BY-NC, cc by nc."),
+    (9, "née élan 日本語 " * 30),
+    (10, "word " * 30_000),
+    (None, "a text without an id " * 10),
+    (11, "12 34 !!"),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, "en" if n % 2 else None, None if n % 5 == 0 else f"s{n % 3}", 7, "clash") for n, (i, t) in enumerate(TEXTS)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, size long, kept string").repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def none(docs):
+    return docs.where("false")
+
+
+def bytes_of(text):
+    return (text or "").encode()
+
+
+@pytest.mark.parametrize("name", sorted(expected.EXPECTED))
+def test_query_agrees_with_sql(spark, small, name):
+    assert differences(queries.QUERIES[name](spark, small), connect(small), expected.EXPECTED[name]) is None
+
+
+def test_notices(docs, none):
+    rows = {r.doc_id: r for r in notices.scan(docs).collect()}
+    for doc_id, text in TEXTS:
+        low = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+        places = [
+            (k, label) for phrase, label in notices.PHRASES for k in range(len(words)) if words[k : k + len(phrase.split())] == phrase.split()
+        ]
+        row = rows[doc_id]
+        assert (row.n_words, row.n_base) == (len(words), len(places))
+        assert row.first_word == min((k for k, _ in places), default=None)
+        assert row.base_labels == ",".join(sorted({label for _, label in places}))
+    spans = [(s.label, s.first_word, s.edits) for s in rows[8].spans if s.label == "mit"]
+    assert ("mit", 0, 2) in spans and rows[8].labels == "cc-by-nc,mit" and rows[8].score == 1.0
+    assert rows[1].labels == "" and notices.scan(none).count() == 0
+
+
+def test_seeds_lose_no_notice():
+    scanner, rng = notices.Scanner(), np.random.default_rng(5)
+    for notice, label in notices.NOTICES:
+        edits = notices.edits_allowed(notice)
+        for _ in range(10):
+            chars = list(notice)
+            for at in rng.choice(np.arange(1, len(chars) - 1), edits, replace=False):
+                chars[at] = "q"
+            assert label in scanner.scan(f"some words {''.join(chars)} more words".encode())[5].split(",")
+
+
+def test_warc_round_trip(spark, tmp_path):
+    big = "x" * 1500 + "\r\n\r\nWARC/1.1\r\n"
+    rows = [(1, "http://a\r\nb", big), (2, None, big), (5, "u", big), (5, "u", big), (3, "u", "small"), (4, "u", "small"), (6, "u", None), (None, "u", "é" * 600), (7, "u", "é" * 600)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    warc.write(warc.resolve(warc.from_pages(pages)), str(tmp_path / "a"), per_file=2)
+    read = warc.join_originals(warc.read(spark, str(tmp_path / "a"))).collect()
+    got = Counter((r.page_id, r.payload_bytes, r.digest, r.record_type, r.refers_to) for r in read)
+    want = Counter()
+    for page_id, _, html in rows:
+        body = bytes_of(html)
+        top = max([p for p, _, h in rows if h == html and p is not None], default=None)
+        back = len(body) >= 1000 and top is not None and page_id != top
+        want[page_id, len(body), hashlib.sha1(body).hexdigest(), "revisit" if back else "response", top if back else None] += 1
+    assert got == want
+    assert all(r.actual_digest == r.digest and hashlib.sha1(r.payload).hexdigest() == r.digest for r in read if r.record_type == "response")
+    warc.write(warc.resolve(warc.from_pages(pages.where("false"))), str(tmp_path / "b"))
+    assert warc.read(spark, str(tmp_path / "b")).count() == 0
+
+
+def test_pitman_yor(spark, docs, none):
+    score = lambda d: pitman_yor.score(Scratch(spark, "t"), d, pitman_yor.held_out(F.col("doc_id")), burn=1, samples=2)
+    rows = score(docs).collect()
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
+    tokens = [(i, bytes_of(t).lower().split() + [b""]) for i, t in TEXTS]
+    counts = Counter(w for i, ws in tokens if not held(i) for w in ws)
+    n, v = sum(counts.values()), len(counts)
+    want = Counter(
+        (i, held(i), len(ws), sum(w in counts for w in ws), n, round(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in ws), 6)) for i, ws in tokens
+    )
+    assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in rows) == want
+    assert all(r.score < 0 and r.spelled_score <= r.score + 1e-9 for r in rows)
+    assert score(none).count() == 0
+    # Nothing to learn from: the one document is held out.
+    alone = score(spark.createDataFrame([(next(i for i in range(99) if held(i)), "a b")], "doc_id long, text string")).first()
+    assert (alone.n_tokens, alone.n_known, alone.base_score, alone.score) == (3, 0, 0.0, 0.0)
+
+
+def test_pitman_yor_is_a_distribution():
+    rng = np.random.default_rng(1)
+    words = [bytes(rng.integers(97, 100, rng.integers(0, 4)).astype(np.uint8)) for _ in range(50)]
+    cells, starts = pitman_yor.spelled(words)
+    model = pitman_yor.Spelling()
+    for _ in range(3):
+        model = model.seated(*np.unique(cells, return_counts=True), rng)
+    for context in np.unique(cells // pitman_yor.ALPHABET).tolist() + [5]:
+        assert abs(np.exp(model.log(context * pitman_yor.ALPHABET + np.arange(pitman_yor.ALPHABET))).sum() - 1) < 1e-9
+    assert (np.diff(starts) == [len(w) + 1 for w in words]).all()
+    tables = pitman_yor.seat(np.array([1, 2, 1000]), 1.0, 0.5, 0.0, np.array([0.3, 0.3, 0.3]), rng)
+    assert tables[0] == 1 and 1 <= tables[1] <= 2 and 1 <= tables[2] < 1000
+
+
+def cut(texts, depth=100):
+    """Plain version: {(id, text): (bytes removed, spans, what is left)}, ids and texts in order."""
+    seen, out = set(), {}
+    for doc_id, text in texts:
+        b = bytes_of(text)
+        gone = np.zeros(len(b) + 1, bool)
+        for s in range(len(b) - depth + 1):
+            window = b[s : s + depth]
+            gone[s : s + depth] |= window in seen
+            seen.add(window)
+        spans = int((np.diff(np.concatenate(([0], gone.astype(int)))) == 1).sum())
+        out[doc_id, text] = (int(gone.sum()), spans, bytes(np.frombuffer(b, np.uint8)[~gone[:-1]]))
+    return out
+
+
+@pytest.mark.parametrize("crowd, batch, piece", [(2000, 8 << 20, 1 << 19), (2, 1 << 12, 300)])
+def test_repeats(spark, docs, none, monkeypatch, crowd, batch, piece):
+    for name, value in (("CROWD", crowd), ("BATCH", batch), ("PIECE", piece)):
+        monkeypatch.setattr(suffixes, name, value)
+    want = cut(sorted({(i, t) for i, t in TEXTS}, key=lambda x: (x[0] is not None, x[0] or 0)))
+    rows = suffixes.cut_repeats(Scratch(spark, "t"), docs).collect()
+    assert len(rows) == len(TEXTS)
+    for r in rows:
+        removed, spans, left = want[r.doc_id, r.text]
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (len(bytes_of(r.text)), removed, spans, hashlib.sha256(left).hexdigest()), r.doc_id
+    assert suffixes.cut_repeats(Scratch(spark, "t"), none).count() == 0
+
+
+def test_repeats_of_random_texts(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    parts = ["".join(rng.choice(list("abcdé "), n)) for n in (90, 100, 101, 150, 400)] + ["ab" * 120]
+    texts = [(i, "".join(rng.choice(parts, rng.integers(1, 5)))) for i in range(60)]
+    monkeypatch.setattr(suffixes, "PIECE", 200)
+    want = cut(texts)
+    for r in suffixes.cut_repeats(Scratch(spark, "t"), spark.createDataFrame(texts, "doc_id long, text string").repartition(4)).collect():
+        assert (r.n_removed, r.n_spans, bytes(r.kept)) == want[r.doc_id, r.text]
+
+
+def test_language(spark, none, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").withColumn("held", langid.held_out(F.col("doc_id")))
+    rows = langid.identify(docs.where("held"), langid.train(docs.where("NOT held"))).collect()
+    assert np.mean([r.lang == r.lang_pred for r in rows]) > 0.95
+    assert all(0 <= r.score <= 1 for r in rows)
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "12 !? \n"), (4, "the of and"), (4, "the of and")], "doc_id long, text string")
+    got = [(r.doc_id, r.lang_pred) for r in langid.identify(odd, langid.train(docs)).collect()]
+    assert sorted(got) == [(1, "und"), (2, "und"), (3, "und"), (4, "en"), (4, "en")]
+    assert {r.lang_pred for r in langid.identify(odd, langid.train(docs.where("false"))).collect()} == {"und"}
+
+
+def test_language_lengths_are_plain_ppm(spark):
+    texts = [("aa", "abab abba"), ("bb", "baab bbbb cab")]
+    model = langid.train(spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(texts)], "doc_id long, text string, lang string"))
+    counts = {lang: Counter() for lang, _ in texts}
+    for lang, text in texts:
+        b = langid.folded(text.encode())
+        for i in range(langid.DEPTH, len(b)):
+            for length in range(langid.DEPTH + 1):
+                counts[lang][b[i - length : i], b[i]] += 1
+
+    def bits(lang, context, byte):
+        own = {s: n for (c, s), n in counts[lang].items() if c == context}
+        total, kinds = sum(own.values()), len(own)
+        if byte in own:
+            return -math.log2(own[byte] / (total + kinds))
+        escape = -math.log2(kinds / (total + kinds)) if own else 0
+        return escape + (bits(lang, context[1:], byte) if context else 8)
+
+    for text in ("abba cab", "zz ab", "é b"):
+        b = langid.folded(text.encode())
+        want = [sum(bits(lang, b[i - langid.DEPTH : i], b[i]) for i in range(langid.DEPTH, len(b))) for lang in model.langs]
+        assert np.allclose(model.lengths([text.encode()])[0], want, atol=1e-3)
+
+
+def plain_print(text):
+    words = bytes_of(text).lower().split()
+    grams = [b" ".join(words[k : k + 3]) for k in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes)) if hashes else 0
+
+
+def test_simhash_prints(docs):
+    for r in simhash.fingerprints(docs).collect():
+        assert r.fp % (1 << 64) == plain_print(r.text)
+
+
+@pytest.mark.parametrize("shard", [1024, 3])
+def test_simhash_components(spark, shard):
+    rng = np.random.default_rng(4)
+    values = []
+    for center in rng.integers(0, 1 << 63, 12):
+        values += [int(center) ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 4))) for _ in range(12)]
+    values += [0, 0, 1, (1 << 64) - 1]
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    ids = [int(i) for i in rng.permutation(len(values))]
+    prints = spark.createDataFrame(list(zip(ids, signed)), "doc_id long, fp long")
+    got = {r.fp: r.component_id for r in simhash.clusters(Scratch(spark, "t"), prints, shard=shard).collect()}
+    group = list(range(len(values)))
+    for a, b in itertools.combinations(range(len(values)), 2):
+        if (values[a] ^ values[b]).bit_count() <= 3:
+            old, new = group[a], group[b]
+            group = [new if g == old else g for g in group]
+    for k, fp in enumerate(signed):
+        assert got[fp] == min(i for i, g in zip(ids, group) if g == group[k])
+    assert simhash.clusters(Scratch(spark, "t"), prints.where("false")).count() == 0
+
+
+def test_nn_descent(spark):
+    rng = np.random.default_rng(6)
+    centers = rng.normal(size=(30, 16))
+    rows = []
+    for k, c in enumerate(centers):
+        for _ in range(1 + k % 7 * 4):
+            rows.append((c + rng.normal(size=16) * 0.3 * np.linalg.norm(c) / 4).tolist())
+    rows += [rows[0], rows[0], [2 * x for x in rows[0]], None, [0.0] * 16, [float("nan")] + [1.0] * 15, [None] + [1.0] * 15, [], [1.0, 0.0], [2.0, 0.0]]
+    data = [(i if i % 50 else None, v, 1) for i, v in enumerate(rows)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>, n_links int")
+    got = nn_descent.link(Scratch(spark, "t"), df).collect()
+    ok = [v is not None and len(v) > 0 and None not in v and np.isfinite(v).all() and any(v) for v in rows]
+    group, links = list(range(len(rows))), [0] * len(rows)
+    for a, b in itertools.combinations([i for i, o in enumerate(ok) if o], 2):
+        x, y = np.array(rows[a]), np.array(rows[b])
+        if len(x) == len(y) and x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= 0.95:
+            links[a] += 1
+            links[b] += 1
+            old, new = group[a], group[b]
+            group = [new if g == old else g for g in group]
+    want = Counter()
+    for k, (i, _, _) in enumerate(data):
+        ids = [data[j][0] for j, g in enumerate(group) if g == group[k] and data[j][0] is not None]
+        low = min(ids) if ids else None
+        want[i, links[k], low, i == low] += 1
+    assert sum(links) > 500
+    assert Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == want
+    assert nn_descent.link(Scratch(spark, "t"), df.where("false")).count() == 0
+
+
+def test_mixing(spark, docs, none):
+    sized = docs.withColumn("size", mixing.size_of(F.col("text")))
+    rows = mixing.allot(Scratch(spark, "t"), sized).collect()
+    again = mixing.allot(Scratch(spark, "t"), sized.repartition(7)).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, again)) and len(rows) == len(TEXTS)
+    total = sum(r.size for r in rows)
+    per = {r.source: (r.source_size, r.target) for r in rows}
+    assert sum(s for s, _ in per.values()) == total
+    assert abs(sum(t for _, t in per.values()) - total) < 1e-6 * total
+    assert all(t <= 3 * s for s, t in per.values()) and all(0 <= r.copies <= 3 for r in rows)
+    assert mixing.emit(mixing.allot(Scratch(spark, "t"), sized)).count() == sum(r.copies for r in rows)
+    assert mixing.allot(Scratch(spark, "t"), none).count() == 0
+
+
+def test_mixing_comes_near_its_targets(spark):
+    rows = [(i, f"s{i % 4}", 1 + i * i % 977) for i in range(4000)]
+    out = mixing.allot(Scratch(spark, "t"), spark.createDataFrame(rows, "doc_id long, source string, size long")).collect()
+    for name in {r.source for r in out}:
+        own = [r for r in out if r.source == name]
+        assert abs(sum(r.copies * r.size for r in own) - own[0].target) < 0.01 * own[0].target
+
+
+def test_quality(docs, none):
+    rows = quality.assess(docs).collect()
+    assert len(rows) == len(TEXTS)
+    for r in rows:
+        text = r.text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        windows = [tuple(words[k : k + 8]) for k in range(len(words) - 7)]
+        many = Counter(windows)
+        cover = {j for k, w in enumerate(windows) if many[w] > 1 for j in range(k, k + 8)}
+        lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        want = (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(cover))
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
+        assert r.base_failed == (len(words) < 20 or 100 * len(cover) > 30 * len(words)) and not (r.kept and r.base_failed)
+        if r.doc_id == 7:
+            assert r.clean_text.startswith("One line.\nOne line.\nProse") and r.n_lines_removed == 2
+        if r.doc_id in (1, 2):
+            assert r.kept and r.clean_text == r.text
+    assert quality.assess(none).count() == 0
+
+
+def test_pieces(docs, none):
+    rows = pieces.sample_segmentations(docs, k=3).collect()
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    by = {}
+    for r in rows:
+        assert r.round_trip and sp.decode(r.ids) == (r.text or "")
+        assert r.n_pieces == len(r.ids) and r.log_prob <= 1e-9 and r.log_inclusion <= 0
+        by.setdefault((r.doc_id, r.text), {})[r.rank] = (tuple(r.ids), r.perturbed)
+    for (doc_id, text), found in by.items():
+        # Two spaces, and nothing else to choose in number 6.
+        assert len(found) == (2 if doc_id == 6 else 3 if text else 1) and len({i for i, _ in found.values()}) == len(found)
+        assert [found[k][1] for k in sorted(found)] == sorted((p for _, p in found.values()), reverse=True)
+    assert pieces.sample_segmentations(none).count() == 0
+
+
+def test_pieces_are_drawn_without_replacement():
+    vocab, text, n = pieces.vocabulary(alpha=0.3), "the 日", 6000
+    lattices = pieces.Lattices(vocab, [" the", " 日"])
+
+    def paths(node, end):
+        if node == end:
+            yield 0.0, ()
+            return
+        for e in range(lattices.first[node], lattices.first[node + 1]):
+            for p, rest in paths(node + int(lattices.span[e]), end):
+                yield p + float(lattices.log_p[e]), (e, *rest)
+
+    every = {}
+    for (p, a), (q, b) in itertools.product(*(list(paths(h, e)) for h, e in zip(lattices.heads, lattices.ends))):
+        every[tuple(pieces._ids(vocab, lattices, np.array(a + b)).tolist())] = math.exp(p + q)
+    assert abs(sum(every.values()) - 1) < 1e-9
+    found = pieces.sample(vocab, [text] * n, list(range(n)), 2)
+    first = Counter(tuple(s[0][0].tolist()) for s in found)
+    second = Counter(tuple(s[1][0].tolist()) for s in found)
+    for ids, p in every.items():
+        after = sum(q * p / (1 - q) for other, q in every.items() if other != ids)
+        for share, count in ((p, first[ids]), (after, second[ids])):
+            assert abs(count - n * share) < 5 * math.sqrt(n * share) + 5
+    # Weighted by inclusion, the samples estimate sums over all segmentations.
+    estimate = np.mean([sum(math.exp(lp - lq) for _, lp, _, lq in s) for s in found])
+    assert abs(estimate - 1) < 0.05
+    everything = pieces.sample(vocab, ["日"], [1], 50)[0]
+    assert len({tuple(s[0].tolist()) for s in everything}) == len(everything) and math.isclose(sum(math.exp(s[1]) for s in everything), 1)

@@ -78,7 +78,7 @@ class Scanner:
         for i, (notice, label, base) in enumerate(known):
             edits = edits_allowed(notice)
             # Whole words only: the spaces around a notice belong to it and are not edited.
-            pattern = regex.compile(f"(?b)(?<= )(?:{regex.escape(notice)}){{e<={edits}}}(?= )")
+            pattern = regex.compile(f"(?e)(?<= )(?:{regex.escape(notice)}){{e<={edits}}}(?= )")
             self.plans.append((notice, label, base, edits, pattern))
             for offset, piece in pieces(notice, edits):
                 self.seeds.setdefault(piece, []).append((i, offset))
