@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell import schemas
 from tidewell.operators import changes, dedup, joins, logs, merges, moderation, shapes, visits
@@ -126,11 +127,20 @@ def test_snapshot_envelopes_read_back(spark):
 
 
 def test_dirty_records(spark):
-    texts = ['{"ts": 1}', '{"ts": "2"}', "{bad", "[1]", "7", "", None, ' \n{"ts":3}', '{"common": 5}']
+    trailing = ['{"ts":1} trailing', '{"ts":1}{', '{"ts":1},{"ts":2}', '{"ts":1}] x', '{"ts":']
+    texts = ['{"ts": 1}', '{"ts": "2"}', "{bad", "[1]", "7", "", None, ' \n{"ts":3}', '{"common": 5}', *trailing]
     df = spark.createDataFrame([(t,) for t in texts], "value string")
     good, dirty = logs.parse_logs(df)
     assert sorted(r.ts for r in good.collect()) == [1, 2, 3]
-    assert sorted(r.value for r in dirty.collect()) == sorted(["{bad", "[1]", "7", "", '{"common": 5}'])
+    assert sorted(r.value for r in dirty.collect()) == sorted(["{bad", "[1]", "7", "", '{"common": 5}', *trailing])
+
+
+def test_failing_parse(spark):
+    df = spark.createDataFrame([('{"ts": 1}',), ("{bad",)], "value string")
+    schema = T.StructType([T.StructField("ts", T.LongType())])
+    assert logs.parse_or_dirty(df.limit(1), schema, fail=True)[0].count() == 1
+    with pytest.raises(Exception, match="not a record"):
+        logs.parse_or_dirty(df, schema, fail=True)[0].collect()
 
 
 def test_split_of_one_record_with_everything(spark):
@@ -213,6 +223,14 @@ def test_retract_sums_to_newest(spark):
     assert str(total) == "10.00"
 
 
+def test_retract_takes_ties_back_but_for_one(spark):
+    rows = [("a", 5, 10), ("a", 5, 12), ("a", 5, 9), ("b", 1, 7), ("b", 1, 7), ("b", 1, 7), ("c", 1, 4), ("c", 2, 4)]
+    df = spark.createDataFrame(rows, "id string, v int, amount int")
+    got = dedup.retract(df, "id", ["v"], ["amount"]).groupBy("id").agg(F.sum("amount").alias("s"), F.count("*").alias("n"))
+    got = {r.id: (r.s, r.n) for r in got.collect()}
+    assert got["a"][0] in (10, 12, 9) and got["a"][1] == 5 and got["b"] == (7, 5) and got["c"] == (4, 3)
+
+
 def test_retract_keeps_rows_without_key(spark):
     df = spark.createDataFrame([(None, 1, 5), (None, 2, 6)], "id string, v int, amount int")
     assert sorted(r.amount for r in dedup.retract(df, "id", ["v"], ["amount"]).collect()) == [-5, 5, 6]
@@ -308,11 +326,11 @@ def comments(spark, *texts):
 WORDS = ["bad", "ad", "坏", "worse", "𝒳y"]
 
 
-@pytest.mark.parametrize("inline", [100, 0])
-def test_both_checks(spark, inline):
-    words = spark.createDataFrame([(w,) for w in WORDS], "word string")
+@pytest.mark.parametrize("more", [0, 5000])
+def test_both_checks(spark, more):
+    words = spark.createDataFrame([(w,) for w in WORDS] + [(f"none{i}",) for i in range(more)], "word string")
     texts = ["fine,bad", "a bad thing", "fine", "很坏,", "", None, "badly worse,ok", "x𝒳y"]
-    got = moderation.ban_list(comments(spark, *texts), words, inline).orderBy("order_id").collect()
+    got = moderation.ban_list(comments(spark, *texts), words).orderBy("order_id").collect()
     assert [(r.is_violation, r.violation_grade, r.violation_msg) for r in got] == [
         (1, "P0", "bad"),
         (0, "P1", "bad, ad"),
@@ -325,13 +343,18 @@ def test_both_checks(spark, inline):
     ]
 
 
-def test_long_texts_are_checked_to_the_end(spark):
-    words = spark.createDataFrame([("needle",), ("xx",)], "word string")
-    # The word sits across the cut between two pieces, and at the very end.
-    texts = ["." * (moderation.PIECE - 3) + "needle" + "." * 50, "." * 20_000 + "needle", "." * 9_000]
-    for inline in (100, 0):
-        got = moderation.ban_list(comments(spark, *texts), words, inline).orderBy("order_id").collect()
-        assert [r.violation_msg for r in got] == ["needle", "needle", ""]
+@pytest.mark.parametrize("count", [1, 5000])
+def test_long_texts_are_checked_to_the_end(spark, monkeypatch, count):
+    monkeypatch.setattr(moderation, "PIECE", 4096)
+    listed = (["needle", "x", "\U0001d4b3y"] + [f"other{i}" for i in range(count)])[:count]
+    words = spark.createDataFrame([(w,) for w in listed], "word string")
+    # Words across a cut and at the very end, behind characters beyond the basic plane.
+    texts = ["." * 4093 + "needle" + "." * 50, "." * 20_000 + "needle", "." * 9_000, "\U0001d4b3" * 2000 + "." * 2000 + "needle"]
+    texts += ["\U0001d4b3" * 50 + "." * 4043 + "needle", "." * 4095 + "\U0001d4b3y", ".x.\U0001d4b3y" * 3000, "needl", None, ""]
+    got = moderation.ban_list(comments(spark, *texts), words).orderBy("order_id").collect()
+    for text, row in zip(texts, got):
+        found = sorted((text.find(w), w) for w in listed if w in (text or "")) if text else []
+        assert row.violation_msg == ", ".join(w for _, w in found)
 
 
 def test_words_check(spark):

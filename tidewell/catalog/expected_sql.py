@@ -7,7 +7,6 @@ the operator means.
 from __future__ import annotations
 
 from tidewell.catalog.queries import AS_OF
-from tidewell.functions.people import SIGN_ENDS
 
 DATETIME = "%Y-%m-%d %H:%M:%S"
 DAY0 = 1_704_067_200_000
@@ -63,23 +62,26 @@ ORDERS = f"""o AS (
 
 LINES = f"""li AS (
   SELECT *, {_money('l_extendedprice')} AS price,
-    {_text('l_orderkey')} || '-' || {_text('l_linenumber')} || '-' || {_text('l_partkey')} || '-' || {_text('l_suppkey')} AS id,
+    {_text('l_orderkey')} || '-' || {_text('l_linenumber')} || '-' || {_text('l_partkey')} || '-' || {_text('l_suppkey')}
+      || '-' || strftime(l_shipdate, '%Y%m%d') || '-' || {_text('CAST(round(l_extendedprice * 100) AS BIGINT)')} AS id,
     epoch_ms(l_shipdate) AS ts_ms, CAST(l_quantity AS INTEGER) AS qty
   FROM lineitem)"""
 
-DETAIL = f"""{ORDERS}, {LINES}, od AS (
+DETAIL = f"""{ORDERS}, {LINES},
+activity AS (SELECT id AS detail_id, {_text('l_linenumber')} AS activity_id, {_text('l_suppkey')} AS activity_rule_id FROM li WHERE l_discount > 0.05),
+coupon AS (SELECT id AS detail_id, {_text('l_suppkey')} AS coupon_id FROM li WHERE l_tax > 0.04),
+od AS (
   SELECT li.id, {_text('l_orderkey')} AS order_id, o.user_id, {_text('l_partkey')} AS sku_id, 'sku-' || {_text('l_partkey')} AS sku_name,
     o.province_id,
-    CASE WHEN l_discount > 0.05 THEN {_text('l_linenumber')} END AS activity_id,
-    CASE WHEN l_discount > 0.05 THEN {_text('l_suppkey')} END AS activity_rule_id,
-    CASE WHEN l_tax > 0.04 THEN {_text('l_suppkey')} END AS coupon_id,
+    activity.activity_id, activity.activity_rule_id, coupon.coupon_id,
     {_date('li.ts_ms')} AS date_id, {_text('li.ts_ms')} AS create_time, {_text('qty')} AS sku_num,
     {_text(f"{_money('qty')} * price")} AS split_original_amount,
     {_text(_money('price * CAST(l_discount AS DECIMAL(4,2))'))} AS split_activity_amount,
     {_text(_money('price * CAST(l_tax AS DECIMAL(4,2))'))} AS split_coupon_amount,
     {_text(_money('price * (1 - CAST(l_discount AS DECIMAL(4,2)))'))} AS split_total_amount,
     li.ts_ms, o.ts_ms AS o_ts_ms, o.order_status, o.operate_time, o.o_orderstatus, o.o_orderpriority
-  FROM li JOIN o ON {_text('l_orderkey')} = o.id)"""
+  FROM li JOIN o ON {_text('l_orderkey')} = o.id
+  LEFT JOIN activity ON activity.detail_id = li.id LEFT JOIN coupon ON coupon.detail_id = li.id)"""
 
 VERSIONS = f"""{LINES}, v AS (
   SELECT {_text('l_orderkey')} || '-' || {_text('l_linenumber')} AS id, {_text('l_orderkey')} AS order_id,
@@ -122,6 +124,11 @@ COMMENTS = f"""c AS (
 
 DIC = f"dic AS (SELECT '120' || {_text('r_regionkey')} AS dic_code, r_name AS dic_name FROM region)"
 
+# The last day of each zodiac sign, as month * 100 + day.
+SIGN_ENDS = (
+    (119, "摩羯座"), (218, "水瓶座"), (320, "双鱼座"), (419, "白羊座"), (520, "金牛座"), (621, "双子座"), (722, "巨蟹座"),
+    (822, "狮子座"), (922, "处女座"), (1023, "天秤座"), (1122, "天蝎座"), (1221, "射手座"), (1231, "摩羯座"),
+)
 _ZODIAC = "CASE " + " ".join(f"WHEN md <= {end} THEN '{name}'" for end, name in SIGN_ENDS) + " END"
 _AGE = f"""CAST(year(DATE '{AS_OF}') - year(b) - CASE WHEN month(DATE '{AS_OF}') * 100 + day(DATE '{AS_OF}') < md THEN 1 ELSE 0 END AS INTEGER)"""
 
@@ -141,7 +148,7 @@ LAST = r"split_part(rtrim(text, ','), ',', -1)"
 CHECK = f"""words AS (
   SELECT DISTINCT {LAST} AS word FROM documents WHERE length({LAST}) > 2 AND length({LAST}) <= 12),
 first_check AS (
-  SELECT doc_id, n_chars % 5000 AS order_id, doc_id % 150 AS user_id, 'user-' || {_text('doc_id % 150')} AS consignee,
+  SELECT doc_id, ('0x' || substr(md5(text), 1, 15))::BIGINT AS order_id, doc_id % 150 AS user_id, 'user-' || {_text('doc_id % 150')} AS consignee,
     {DAY0} + (n_chars % 1000) * 60000 AS ts_ms, text, {LAST} IN (SELECT word FROM words) AS hit, {LAST} AS token
   FROM documents),
 found AS (
@@ -322,7 +329,7 @@ SELECT {_bounds('w', DAY)}, sku_id, original_amount, activity_reduce_amount, cou
   SELECT *, row_number() OVER (PARTITION BY user_id, ts_ms // {DAY} ORDER BY ts_ms, event_id) AS rn FROM adds) WHERE rn = 1""",
     "dedup_retract": f"WITH {RETRACTED} SELECT * FROM r",
     "dedup_latest": f"WITH {VERSIONS} SELECT id, order_id, sku_id, province_id, split_total_amount, ts_ms, part_no, supp_no FROM v WHERE rn = 1",
-    "dedup_exact_key": f"""SELECT min(doc_id) AS doc_id, n_chars % 5000 AS order_id, {DAY0} + (n_chars % 1000) * 60000 AS ts_ms FROM documents GROUP BY 2, 3""",
+    "dedup_exact_key": f"""SELECT min(doc_id) AS doc_id, ('0x' || substr(md5(text), 1, 15))::BIGINT AS order_id, {DAY0} + (n_chars % 1000) * 60000 AS ts_ms FROM documents GROUP BY 2, 3""",
     "dedup_bloom": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
     # functions
     "fn_epoch_format": f"SELECT event_id, {_date('epoch_us(ts) // 1000')} AS d, {_dt('epoch_us(ts) // 1000')} AS dt, {_dt('epoch_us(ts) // 1000', '%Y%m%d')} AS c FROM events",
@@ -357,5 +364,4 @@ SELECT user_id, ds, arg_max(is_ordered, id) AS is_ordered, arg_max(sku_num, id)
 FROM typed GROUP BY user_id, ds"""
 EXPECTED["partial_update_merge"] = _PARTIAL
 EXPECTED["sink_partial_update_table"] = _PARTIAL
-EXPECTED["moderate_contains_joined"] = EXPECTED["moderate_contains"]
 EXPECTED["src_cdc_typed_view"] = EXPECTED["src_cdc_map_view"]

@@ -726,15 +726,6 @@ def moderate_contains(spark, sf_dir):
     )
 
 
-@query
-def moderate_contains_joined(spark, sf_dir):
-    """The same check by the join that serves word lists of any length."""
-    first, words = _checked(spark, sf_dir)
-    return moderation.moderate_contains(first, words, ["doc_id"], inline_words=0).select(
-        "doc_id", "is_violation", "violation_grade", "violation_msg"
-    )
-
-
 @query
 def words_batch_check(spark, sf_dir):
     documents = ad.table(spark, sf_dir, "documents")

@@ -15,10 +15,6 @@ from tidewell.streaming import state
 from tidewell.streaming.bloom import Bloom
 
 
-def _order_struct(order: Sequence[str]) -> Column:
-    return F.struct(*order)
-
-
 def retract(
     df: DataFrame,
     key: str,
@@ -29,7 +25,8 @@ def retract(
     """All versions, and for each superseded one a copy with its amounts negated.
 
     Sums over the result count every key once, with its newest version. A retraction keeps the
-    time and all else of the row that it takes back. ``amounts`` may be numbers or text.
+    time and all else of the row that it takes back. ``amounts`` may be numbers or text. Versions
+    of equal order are taken back but for one.
 
     On a batch, the newest version of each key is found by an aggregate that reduces before its
     shuffle, and rows are then compared with it.
@@ -38,12 +35,14 @@ def retract(
         return state.retract(df, key, order, amounts, ttl_ms)
     if ttl_ms is not None:
         raise ValueError("a time to live in processing time has no meaning on a batch")
-    newest = df.groupBy(F.col(key).alias("_key")).agg(F.max(_order_struct(order)).alias("_last"))
-    superseded = _order_struct(order) < F.col("_last")
-    signs = F.when(superseded, F.array(F.lit(1), F.lit(-1))).otherwise(F.array(F.lit(1)))
-    doubled = df.join(newest, F.col(key).eqNullSafe(F.col("_key"))).withColumn(
-        "_sign", F.explode(signs)
-    )
+    # Equal rows are versions as well; one row with their number stands for them. Among versions of
+    # equal order a hash of the whole row decides, the same on every run.
+    counted = df.groupBy(*df.columns).agg(F.count("*").cast("int").alias("_n"))
+    place = F.struct(*order, F.xxhash64(*df.columns))
+    newest = df.groupBy(F.col(key).alias("_key")).agg(F.max(place).alias("_last"))
+    back = F.when(place < F.col("_last"), F.col("_n")).otherwise(F.col("_n") - 1)
+    signs = F.concat(F.array_repeat(F.lit(1), F.col("_n")), F.array_repeat(F.lit(-1), back))
+    doubled = counted.join(newest, F.col(key).eqNullSafe(F.col("_key"))).withColumn("_sign", F.explode(signs))
     types = dict(df.dtypes)
     return doubled.select(
         *[

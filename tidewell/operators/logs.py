@@ -14,11 +14,12 @@ BROKEN = "_broken"
 
 
 def parse_or_dirty(
-    df: DataFrame, schema: T.StructType, value: str = "value"
+    df: DataFrame, schema: T.StructType, value: str = "value", fail: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Split a text frame into parsed records and dirty ones; null text is in neither.
 
-    Dirty is what is no JSON object, or does not fit the schema's nesting.
+    Dirty is what is not one JSON object and nothing else, or does not fit the schema's nesting.
+    With ``fail`` a dirty record ends the job that reads the parsed ones.
     """
     shape = T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
     text = F.col(value)
@@ -27,9 +28,16 @@ def parse_or_dirty(
         "_rec",
         F.from_json(text, shape, {"columnNameOfCorruptRecord": BROKEN}),
     )
-    ok = text.rlike(r"^\s*\{") & F.col("_rec").isNotNull() & F.col("_rec")[BROKEN].isNull()
+    # The text is all of an element: with a second one behind it there are two.
+    whole = F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]"))) == 2
+    ok = text.rlike(r"^\s*\{") & F.coalesce(whole, F.lit(False)) & F.col("_rec").isNotNull() & F.col("_rec")[BROKEN].isNull()
     kept = [c for c in df.columns if c != value]
-    good = parsed.filter(ok).select(
+    if fail:
+        broken = F.raise_error(F.concat(F.lit("not a record: "), text))
+        parsed_ok = parsed.filter(F.when(ok, F.lit(True)).otherwise(broken.cast("boolean")))
+    else:
+        parsed_ok = parsed.filter(ok)
+    good = parsed_ok.select(
         *kept, *[F.col("_rec")[f.name].alias(f.name) for f in schema.fields]
     )
     return good, parsed.filter(~ok).select(*kept, value)

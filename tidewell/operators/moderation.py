@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell.functions import text as tx
-from tidewell.operators.once import with_column_once
 
-# Longest word list that is written into the plan as a literal; longer ones are joined.
-INLINE_WORDS = 1000
-# Characters per piece when texts are cut up for the join with a long word list.
-PIECE = 4096
+# Bits of the filter that candidates pass before they are joined with the words.
+FILTER_BITS = 22
+# Characters of a text that are looked at together; longer texts overlap by the longest word.
+PIECE = 1 << 18
 
 
 def explode_keywords(
@@ -45,30 +46,20 @@ def moderate_exact(df: DataFrame, words: DataFrame) -> DataFrame:
     )
 
 
-def moderate_contains(
-    df: DataFrame,
-    words: DataFrame,
-    keys: Sequence[str] = ("order_id",),
-    inline_words: int = INLINE_WORDS,
-) -> DataFrame:
+def moderate_contains(df: DataFrame, words: DataFrame, keys: Sequence[str] = ("order_id",)) -> DataFrame:
     """Second check: texts not flagged so far that hold a banned word anywhere.
 
     They get grade ``P1`` and the words found, in order of first appearance; ``is_violation``
-    stays 0. A short word list becomes part of the plan. A longer one is joined with the texts'
-    substrings, for which ``keys`` must identify a row of ``df``.
+    stays 0. ``keys`` must identify a row of ``df``. Texts and words are joined in the same way
+    however many words there are.
     """
     listed = words.select("word").filter("word <> ''").distinct()
-    head = listed.limit(inline_words + 1).collect()
-    if len(head) <= inline_words:
-        found = _found_inline(F.col("msg"), sorted(r.word for r in head))
-        checked = with_column_once(df, "_found", F.when(F.col("is_violation") == 0, found))
-    else:
-        hits = _found_by_join(df.filter("is_violation = 0"), listed, keys)
-        same = None
-        for k in keys:
-            part = F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-            same = part if same is None else same & part
-        checked = df.join(hits, same, "left").drop(*[f"_k_{k}" for k in keys])
+    hits = _found(df.filter("is_violation = 0"), listed, keys)
+    same = None
+    for k in keys:
+        part = F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        same = part if same is None else same & part
+    checked = df.join(hits, same, "left").drop(*[f"_k_{k}" for k in keys])
     hit = F.coalesce(F.size("_found") > 0, F.lit(False))
     return checked.withColumns(
         {
@@ -85,96 +76,86 @@ def _in_order(hits: Column) -> Column:
     return F.transform(F.array_sort(hits), lambda h: h["word"])
 
 
-def prefix_pattern(words: Iterable[str]) -> str:
-    """A regular expression for the longest of the words at a position.
+def _hashes(codes: np.ndarray, length: int, sums: np.ndarray, down: np.ndarray) -> np.ndarray:
+    """A hash of each stretch of so many code points; its first bits are the best mixed ones."""
+    n = len(codes) - length + 1
+    return ((sums[length:] - sums[:n]) * down[:n]) >> np.uint64(64 - FILTER_BITS)
 
-    Words with a common start share it, so a position is given up at the first character that no
-    word has there, however many words there are.
-    """
-    tree: dict = {}
-    for word in words:
-        node = tree
-        for char in word:
-            node = node.setdefault(char, {})
-        node[""] = {}
-
-    def pattern(node: dict) -> str:
-        branches = [re.escape(c) + pattern(below) for c, below in sorted(node.items()) if c]
-        if not branches:
-            return ""
-        return f"(?:{'|'.join(branches)}){'?' if '' in node else ''}"
-
-    return pattern(tree)
-
-
-def _found_inline(msg: Column, words: list[str]) -> Column:
-    """All words in the text: the longest at each position, and those that it starts with."""
-    if not words:
-        return F.array().cast("array<string>")
-    # A match of no width at each position; the text is read once.
-    longest = F.array_distinct(
-        F.regexp_extract_all(msg, F.lit(f"(?s)(?=({prefix_pattern(words)}))"), F.lit(1))
-    )
-    listed = set(words)
-    starts = {w: [w[:n] for n in range(1, len(w)) if w[:n] in listed] for w in words}
-    nested = {w: found for w, found in starts.items() if found}
-    present = longest
-    if nested:
-        # Only words that begin with another word are looked up.
-        table = F.create_map(
-            *[x for w, found in nested.items() for x in (F.lit(w), F.array(*map(F.lit, found)))]
-        )
-        none = F.array().cast("array<string>")
-        more = F.flatten(F.transform(longest, lambda w: F.coalesce(table[w], none)))
-        present = F.array_union(longest, more)
-    return _in_order(
-        F.transform(present, lambda w: F.struct(F.position(w, msg).alias("at"), w.alias("word")))
-    )
+
+def _sums(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of code points times powers of an odd number, and powers of its inverse."""
+    base, back = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
+    up, down = (np.multiply.accumulate(np.full(len(codes) + 1, x, np.uint64)) for x in (base, back))
+    values = (codes.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+    values ^= values >> np.uint64(29)
+    return np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * up[:-1]))), down
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
 
 
-def _found_by_join(df: DataFrame, listed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Banned words per row, for a word list of any size.
+def _filter_of(listed: DataFrame) -> tuple[list[int], np.ndarray]:
+    """The words' lengths, and a bit per hash; both stay small however many words there are."""
 
-    Every position of a text becomes a short row: the next characters, as many as the longest
-    word has. Its head, as long as the shortest word, is joined with the heads of the words, and
-    the rest of the word is compared. Texts are cut into overlapping pieces before, so what one
-    row turns into does not grow with its text, and past the cut no text travels.
+    def work(batches):
+        for batch in batches:
+            seen = set()
+            for word in batch.column(0).to_pylist():
+                codes = _codes(word)
+                seen.add((len(codes), int(_hashes(codes, len(codes), *_sums(codes))[0])))
+            lengths, bits = zip(*sorted(seen)) if seen else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(lengths, pa.int64()), pa.array(bits, pa.int64())], ["length", "bit"])
+
+    rows = listed.mapInArrow(work, "length long, bit long")
+    bits = np.zeros(1 << FILTER_BITS, bool)
+    bits[rows.select("bit").distinct().toArrow().column(0).to_numpy()] = True
+    return sorted(r.length for r in rows.select("length").distinct().collect()), bits
+
+
+def _found(df: DataFrame, listed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, _found): banned words per row.
+
+    Every stretch of a text that has the length of some word is a candidate if the filter of
+    fixed size lets its hash pass. Candidates, once per text with their first place, are joined
+    with the words. The filter drops no word; the more words it holds, the more others it lets by.
     """
-    span = listed.agg(F.min(F.length("word")).alias("lo"), F.max(F.length("word")).alias("hi")).first()
-    lo, hi = span.lo, span.hi
     by = [f"_k_{k}" for k in keys]
-    msg = F.col("msg")
-    pieces = df.filter(F.length(msg) > 0).select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(1), F.length(msg), F.lit(PIECE)),
-                lambda at: F.struct(
-                    at.alias("base"),
-                    F.substring(msg, at, F.lit(PIECE + hi - 1)).alias("piece"),
-                ),
-            )
-        ).alias("_p"),
-    )
-    # A match of no width at each position, which captures what follows.
-    ahead = F.regexp_extract_all("_p.piece", F.lit(f"(?s)(?=(.{{{lo},{hi}}}))"), F.lit(1))
-    spots = (
-        pieces.select(*by, F.col("_p.base").alias("_base"), F.posexplode(ahead).alias("_pos", "_next"))
-        .filter(F.col("_pos") < PIECE)
-        .select(*by, (F.col("_base") + F.col("_pos")).alias("at"), "_next", F.left("_next", F.lit(lo)).alias("_head"))
-    )
-    heads = listed.select("word", F.left("word", F.lit(lo)).alias("_whead"))
+    lengths, bits = _filter_of(listed)
+    shared = df.sparkSession.sparkContext.broadcast(bits)
+
+    def work(batches):
+        bits = shared.value
+        for batch in batches:
+            rows, places, found = [], [], []
+            for row, text in enumerate(batch.column(len(by)).to_pylist()):
+                first: dict[str, int] = {}
+                for start in range(0, len(text) if lengths else 0, PIECE):
+                    piece = text[start : start + PIECE + lengths[-1] - 1]
+                    codes = _codes(piece)
+                    sums, down = _sums(codes)
+                    for length in lengths:
+                        if length <= len(codes):
+                            for at in np.flatnonzero(bits[_hashes(codes, length, sums, down)]).tolist():
+                                first.setdefault(piece[at : at + length], start + at + 1)
+                rows += [row] * len(first)
+                found += first
+                places += first.values()
+            kept = [c.take(pa.array(rows, pa.int64())) for c in batch.columns[: len(by)]]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(places, pa.int64()), pa.array(found, pa.string())], [*by, "at", "word"])
+
+    texts = df.filter("msg <> ''").select(*[F.col(k).alias(f"_k_{k}") for k in keys], "msg")
+    schema = T.StructType([*texts.schema.fields[: len(by)], T.StructField("at", T.LongType()), T.StructField("word", T.StringType())])
     return (
-        spots.join(heads, (F.col("_head") == F.col("_whead")) & F.startswith("_next", F.col("word")))
-        .groupBy(*by, "word")
-        .agg(F.min("at").alias("at"))
+        texts.mapInArrow(work, schema)
+        .join(listed, "word")
         .groupBy(*by)
         .agg(F.collect_list(F.struct("at", "word")).alias("_hits"))
         .select(*by, _in_order(F.col("_hits")).alias("_found"))
     )
 
 
-def ban_list(df: DataFrame, words: DataFrame, inline_words: int = INLINE_WORDS) -> DataFrame:
+def ban_list(df: DataFrame, words: DataFrame) -> DataFrame:
     """Both checks in a row, on comments without duplicates; the result keeps ``order_id``."""
     base = df.select(
         "order_id",
@@ -184,6 +165,4 @@ def ban_list(df: DataFrame, words: DataFrame, inline_words: int = INLINE_WORDS)
         "ds",
         "commentTxt",
     )
-    return moderate_contains(
-        moderate_exact(base, words), words, ("order_id", "ts_ms"), inline_words
-    )
+    return moderate_contains(moderate_exact(base, words), words, ("order_id", "ts_ms"))

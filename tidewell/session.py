@@ -55,11 +55,14 @@ def build_session(name: str = "tidewell", master: str | None = None, **extra: st
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a session without that setting (a local test) gets a fresh temporary folder.
+    A local session without that setting gets a fresh temporary folder. On a cluster each machine
+    would write to its own, so there the setting is needed.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found and not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not found:
         found = tempfile.mkdtemp(prefix="tidewell-")
         spark.conf.set("spark.checkpoint.dir", found)

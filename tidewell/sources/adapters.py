@@ -122,7 +122,11 @@ ORDER_OP = (
     "CASE o_orderpriority WHEN '5-LOW' THEN 'd' WHEN '4-NOT SPECIFIED' THEN 'u' "
     "WHEN '3-MEDIUM' THEN 'c' ELSE 'r' END"
 )
-DETAIL_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+# An order may list one part of one supplier twice under one number; day and price tell them apart.
+DETAIL_ID = (
+    "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, date_format(l_shipdate, 'yyyyMMdd'), "
+    "CAST(round(l_extendedprice * 100) AS BIGINT))"
+)
 LINE_KEY = "concat_ws('-', l_orderkey, l_linenumber)"
 
 
@@ -419,11 +423,11 @@ def banned_words(documents: DataFrame) -> DataFrame:
 
 
 def comments_for_check(documents: DataFrame) -> DataFrame:
-    """Comments as the moderation job reads them; near copies share order and time."""
+    """Comments as the moderation job reads them; only true copies share order and time."""
     ms = F.lit(1_704_067_200_000) + (F.col("n_chars") % 1000) * 60_000
     return documents.select(
         F.col("doc_id"),
-        (F.col("n_chars") % 5000).alias("order_id"),
+        F.conv(F.substring(F.md5(F.col("text")), 1, 15), 16, 10).cast("bigint").alias("order_id"),
         (F.col("doc_id") % 150).alias("user_id"),
         F.concat(F.lit("user-"), text(F.col("doc_id") % 150)).alias("info_consignee"),
         ms.alias("ts_ms"),
