@@ -313,6 +313,13 @@ def test_delete_by_keys(spark):
     assert [r.row_key for r in merges.delete_by_keys(df, df.limit(1)).collect()] == ["2"]
 
 
+def test_lookup_finds_one_row(spark):
+    df = spark.createDataFrame([("1",), ("2",), (None,)], "k string")
+    dim = spark.createDataFrame([("1", "old"), ("1", "zed"), ("3", "c")], "row_key string, name string")
+    got = joins.dim_join(df, dim, "k", {"name": "found"}, "none").collect()
+    assert {(r.k, r.found) for r in got} == {("1", "zed"), ("2", "none"), (None, "none")} and len(got) == 3
+
+
 # --- moderation -----------------------------------------------------------------------------------
 
 

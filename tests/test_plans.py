@@ -41,6 +41,11 @@ def test_point_lookup_reaches_the_scan(spark, small, tmp_path):
     assert "EqualTo(row_key,7)" in plan(dims.get_row(spark.read.parquet(path), "7"))
 
 
+def test_queries_read_no_more_than_they_look_up(spark, small):
+    assert "EqualTo(s_suppkey,7)" in plan(QUERIES["dim_point_lookup"](spark, small))
+    assert len(scans(plan(QUERIES["job_dim_load"](spark, small)))) == 1
+
+
 def test_latest_is_cut_before_the_shuffle(spark, small):
     text = plan(QUERIES["dedup_latest"](spark, small))
     partial = text.rindex("WindowGroupLimit")

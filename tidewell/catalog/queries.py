@@ -135,15 +135,16 @@ def rename_snake_to_camel(spark, sf_dir):
     )
 
 
+SUPPLIER = {"s_name": "supplier_name", "s_nationkey": "nation_key"}
+
+
 def _supplier_dim(spark, sf_dir):
-    return dims.as_dim(
-        ad.table(spark, sf_dir, "supplier"), "s_suppkey", {"s_name": "supplier_name", "s_nationkey": "nation_key"}
-    )
+    return dims.as_dim(ad.table(spark, sf_dir, "supplier"), "s_suppkey", SUPPLIER)
 
 
 @query
 def dim_point_lookup(spark, sf_dir):
-    return dims.get_row(_supplier_dim(spark, sf_dir), "7", camel=True)
+    return dims.find_row(ad.table(spark, sf_dir, "supplier"), "s_suppkey", SUPPLIER, "7", camel=True)
 
 
 @query
@@ -745,7 +746,7 @@ def job_ban_list(spark, sf_dir):
 @query
 def job_dim_load(spark, sf_dir):
     """The user dimension out of all changes, by configuration."""
-    routed = jobs.dim_load(ad.topic_db(spark, sf_dir), ad.dim_config(spark), ad.DB)
+    routed = jobs.dim_load(ad.topic_db(spark, sf_dir), ad.dim_config(spark), ad.DB, sink_table="dim_user_info")
     return jobs.dim_table(routed, "dim_user_info", ["id", "name", "user_level", "gender"])
 
 

@@ -264,11 +264,14 @@ def dim_join(
     add: Mapping[str, str],
     default: str | None = None,
 ) -> DataFrame:
-    """Left lookup of a dimension row; a miss keeps the row, with ``default`` or nulls."""
+    """Left lookup of a dimension row; a miss keeps the row, with ``default`` or nulls.
+
+    A key finds one row at most: of several the one with the greatest values is taken.
+    """
     on = F.col(key) if isinstance(key, str) else key
-    found = dim.select(
-        F.col("row_key").alias("_row_key"), *[F.col(src).alias(dst) for src, dst in add.items()]
-    )
+    values = F.struct(*[F.col(src).alias(dst) for src, dst in add.items()])
+    found = dim.groupBy(F.col("row_key").alias("_row_key")).agg(F.max(values).alias("_values"))
+    found = found.select("_row_key", *[F.col("_values")[dst].alias(dst) for dst in add.values()])
     joined = df.join(found, on == F.col("_row_key"), "left").drop("_row_key")
     if default is not None:
         joined = joined.withColumns(

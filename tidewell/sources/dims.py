@@ -18,8 +18,14 @@ def as_dim(df: DataFrame, key: str, columns: Mapping[str, str]) -> DataFrame:
     )
 
 
+def find_row(df: DataFrame, key: str, columns: Mapping[str, str], value: str, camel: bool = False) -> DataFrame:
+    """One row of a table in dimension form; the filter is on the typed key and reaches the files."""
+    typed = F.col(key) == F.lit(value).try_cast(df.schema[key].dataType)
+    return get_row(as_dim(df.filter(typed), key, columns), value, camel)
+
+
 def get_row(dim: DataFrame, key: str, camel: bool = False) -> DataFrame:
-    """The row with the given key, or no row; the filter reaches the files."""
+    """The row with the given key, or no row; the filter reaches the files of a stored dimension."""
     found = dim.filter(F.col("row_key") == key)
     return shapes.camel_columns(found) if camel else found
 
