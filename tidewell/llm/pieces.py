@@ -19,10 +19,12 @@ the rank, ``1 / (rank + 20)`` to the power ``alpha``. Characters without a piece
 from __future__ import annotations
 
 import heapq
+import math
 import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -207,8 +209,23 @@ def uniform(x: np.ndarray) -> np.ndarray:
     return ((mixed(x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(12)).astype(np.float64) + 0.5) / (1 << 52)
 
 
+_ALL = (1 << 64) - 1
+
+
+def _mixed(x: int) -> int:
+    """``mixed`` for one number."""
+    x = (x ^ x >> 31) * 0xBF58476D1CE4E5B9 & _ALL
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & _ALL
+    return x ^ x >> 31
+
+
 def _seed(row: int, sample: int) -> np.uint64:
-    return mixed(np.array([(row * 1_000_003 + sample) % (1 << 64)], np.uint64))[0]
+    return np.uint64(_mixed(row * 1_000_003 + sample & _ALL))
+
+
+def _one(row: int, sample: int) -> float:
+    """``uniform`` of a seed."""
+    return ((_mixed(int(_seed(row, sample)) * 0x9E3779B97F4A7C15 & _ALL) >> 12) + 0.5) / (1 << 52)
 
 
 class Search:
@@ -254,11 +271,11 @@ class Search:
         node = int(lattices.start[taken[0]])
         others = [e for e in range(lattices.first[node], lattices.first[node + 1]) if e not in taken]
         p = np.exp(lattices.log_p[others])
-        u = uniform(np.array([_seed(self.row, 2000 + len(self.paths))]))
-        edge = others[min(int(np.searchsorted(np.cumsum(p) / p.sum(), u[0])), len(others) - 1)]
+        u = _one(self.row, 2000 + len(self.paths))
+        edge = others[min(int(np.searchsorted(np.cumsum(p) / p.sum(), u)), len(others) - 1)]
         left = p.sum() - np.exp(lattices.log_p[edge])
         if len(others) > 1 and left > 0:
-            noise = -np.log(uniform(np.array([_seed(self.row, 3000 + len(self.paths))])))[0]
+            noise = -math.log(_one(self.row, 3000 + len(self.paths)))
             bound = -np.logaddexp(value, np.log(noise) - before - np.log(left))
             heapq.heappush(self.agenda, (-bound, path, place, (*taken, edge), before))
         return path, place, edge, -value
@@ -279,7 +296,7 @@ def sample(vocab: dict, texts: list[str], rows: list[int], k: int) -> list[list[
     lattices = Lattices(vocab, list(numbers))
     searches = [Search(r, 0) for r in rows]
     lengths = lattices.ends - lattices.heads
-    jobs = [(i, np.zeros(0, np.int64), c, None, -np.log(-np.log(uniform(np.array([_seed(r, 0)]))[0]))) for i, (c, r) in enumerate(zip(chunks, rows)) if len(c)]
+    jobs = [(i, np.zeros(0, np.int64), c, None, -math.log(-math.log(_one(r, 0)))) for i, (c, r) in enumerate(zip(chunks, rows)) if len(c)]
     for number in range(k):
         # A job: text, edges before, chunks still to walk, node to begin at, perturbed value.
         nodes, ends, seeds = [], [], []
@@ -382,7 +399,7 @@ def sample_segmentations(
             for start in range(0, batch.num_rows, 128):
                 part = batch.slice(start, 128)
                 parts.append(part)
-                size += sum(map(len, as_bytes(part.column(at))))
+                size += pc.sum(pc.binary_length(part.column(at))).as_py() or 0
                 if size >= BATCH:
                     yield settle(vocab, parts)
                     parts, size = [], 0
