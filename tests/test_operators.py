@@ -92,11 +92,12 @@ def test_route_keeps_configured_fields(spark):
     assert changes.route(df, config(spark, spaced)).first().data == {"id": "1"}
 
 
-def test_route_without_named_tables(spark, monkeypatch):
-    monkeypatch.setattr(changes, "NAMED_TABLES", 0)
+def test_route_with_and_without_named_tables(spark):
     df = envelopes(spark, ("sku", "c", None, {"id": "1"}, 1), ("spu", "c", None, {"id": "2"}, 1))
     rule = ("sku", "dim_sku", "id", "info", "id", "r")
-    assert [r.row_key for r in changes.route(df, config(spark, rule)).collect()] == ["1"]
+    for tables in (None, ["sku"]):
+        assert [r.row_key for r in changes.route(df, config(spark, rule), tables).collect()] == ["1"]
+    assert changes.route(df, config(spark, rule), ["spu"]).count() == 0
 
 
 def test_current_config(spark):

@@ -58,6 +58,33 @@ def test_unfinished_snapshot_does_not_count(spark, tmp_path):
     assert table.read().count() == 1
 
 
+def folders(path):
+    return sorted(p.relative_to(path).as_posix() for p in path.glob("snap=*/ds=*"))
+
+
+def test_old_snapshots_are_retired(spark, tmp_path):
+    path = tmp_path / "t"
+    table = sinks.MergedTable(spark, str(path), "ds", keep=2)
+    table.merge(carts(spark, (9, "20231231", 0, 1, "old"), (1, "20240101", 0, 0, "a"), (8, None, 0, 3, "none")), 0, merge_carts)
+    for i in range(1, 6):
+        table.merge(carts(spark, (1, "20240101", i, i, None)), i, merge_carts)
+    # The newest two versions of the busy day, and one of those that nobody touched.
+    assert folders(path) == [
+        "snap=0/ds=20231231", f"snap=0/ds={sinks.NO_VALUE}", "snap=4/ds=20240101", "snap=5/ds=20240101"
+    ]
+    assert table.snapshots() == [4, 5]
+    got = {(r.id, r.ds): (r.num, r.name) for r in table.read().collect()}
+    assert got == {(9, "20231231"): (1, "old"), (1, "20240101"): (5, "a"), (8, None): (3, "none")}
+    table.merge(carts(spark, (8, None, 7, None, "late")), 6, merge_carts)
+    assert {r.name for r in table.read(only={None}).collect()} == {"late"}
+    whole = sinks.MergedTable(spark, str(tmp_path / "w"), keep=1)
+    for i in range(3):
+        whole.merge(carts(spark, (i, "x", i, i, "n")), i, lambda b, base: b if base is None else base.unionByName(b))
+    assert whole.read().count() == 3 and [p.name for p in (tmp_path / "w").glob("snap=*")] == ["snap=2"]
+    whole.drop()
+    assert whole.read() is None
+
+
 def test_dim_table_from_a_stream(spark, events, tmp_path):
     src = str(tmp_path / "in")
     events.repartition(3).write.parquet(src)

@@ -86,7 +86,7 @@ def detail_rows(df):
     )
 
 
-def test_province_stream_equals_batch(spark, events, stream, folder):
+def test_province_stream_equals_batch(spark, events, folder):
     names = spark.createDataFrame([(str(i), f"p{i}") for i in range(3)], "row_key string, name string")
 
     def summary(df):
@@ -156,6 +156,39 @@ def test_fix_is_new_stream_equals_batch(spark, events, stream, folder):
     assert rows(got) == rows(flat(visits.fix_is_new(ad.page_logs(events), ("event_id",))))
 
 
+def test_fix_is_new_leaves_records_without_a_device(spark, events, folder):
+    def without(df):
+        none = F.when(F.col("event_id") % 3 == 0, F.lit(None)).otherwise(F.col("common.mid"))
+        return ad.page_logs(df).withColumn("common", F.col("common").withField("mid", none))
+
+    def flat(df):
+        return df.select("event_id", "common.mid", "common.is_new", "ts")
+
+    src = f"{folder}/in"
+    events.coalesce(1).write.parquet(src)
+    logs_in = without(file_stream(spark, src, events.schema))
+    got = runs.run_available(spark, flat(visits.fix_is_new(logs_in, ("event_id",))), folder)
+    want = flat(visits.fix_is_new(without(events), ("event_id",)))
+    assert rows(got) == rows(want)
+    assert rows(want.filter("mid IS NULL")) == rows(flat(without(events)).filter("mid IS NULL"))
+
+
+def test_first_of_day_forgets_past_days(spark, events, stream, folder):
+    def mids(df):
+        return ad.page_logs(df).select(F.col("common.mid").alias("mid"), "ts")
+
+    kept = {}
+    for keep in (0, None):
+        df = visits.first_of_day(mids(stream), ["mid"], keep_ms=keep).drop("_event_time")
+        query = runs.start(df, f"{folder}/out{keep}", f"{folder}/cp{keep}", once=True)
+        assert query.awaitTermination(300)
+        kept[keep] = query.lastProgress.stateOperators[0].numRowsTotal
+        got = spark.read.schema(df.schema).parquet(f"{folder}/out{keep}")
+        assert rows(got) == rows(visits.first_of_day(mids(events), ["mid"]))
+    today = mids(events).groupBy("mid").agg(F.max("ts").alias("ts"))
+    assert kept[0] < kept[None] and kept[None] >= today.count()
+
+
 def test_retract_stream_equals_batch(spark, events, stream, folder):
     def versions(df):
         return df.select(

@@ -172,7 +172,7 @@ def sink_json_lines(spark, sf_dir):
 @query
 def route_dynamic_topic(spark, sf_dir):
     topic = ad.topic_db(spark, sf_dir)
-    sent = shapes.route_topics(topic, ad.fact_config(spark))
+    sent = shapes.route_topics(topic, ad.fact_config(spark), tables=ad.FACT_SOURCES)
     keys = ("id", "name", "login_name", "order_id", "payment_type", "payment_status")
     return with_column_once(sent, "body", F.col("value")).select(
         "topic", *[F.get_json_object("body", f"$.{k}").alias(k) for k in keys]
@@ -287,13 +287,13 @@ def cdc_project_order(spark, sf_dir):
 @query
 def dim_column_prune(spark, sf_dir):
     """Stored fields of every routed row."""
-    routed = changes.route(ad.topic_db(spark, sf_dir), ad.dim_config(spark))
+    routed = changes.route(ad.topic_db(spark, sf_dir), ad.dim_config(spark), ad.DIM_SOURCES)
     return changes.cells(routed)
 
 
 @query
 def dim_route_tables(spark, sf_dir):
-    routed = changes.route(ad.topic_db(spark, sf_dir), ad.dim_config(spark))
+    routed = changes.route(ad.topic_db(spark, sf_dir), ad.dim_config(spark), ad.DIM_SOURCES)
     return routed.groupBy("sink_table", "op").agg(
         F.count("*").alias("n"), F.countDistinct("row_key").alias("row_keys")
     )
@@ -746,7 +746,7 @@ def job_ban_list(spark, sf_dir):
 @query
 def job_dim_load(spark, sf_dir):
     """The user dimension out of all changes, by configuration."""
-    routed = jobs.dim_load(ad.topic_db(spark, sf_dir), ad.dim_config(spark), ad.DB, sink_table="dim_user_info")
+    routed = jobs.dim_load(ad.topic_db(spark, sf_dir), ad.dim_config(spark), ad.DB, tables=["user_info"])
     return jobs.dim_table(routed, "dim_user_info", ["id", "name", "user_level", "gender"])
 
 

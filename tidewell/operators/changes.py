@@ -89,27 +89,19 @@ def after_or_before(df: DataFrame, fields: Iterable[str]) -> DataFrame:
     )
 
 
-# Most configured tables whose names are also put into the plan as a filter.
-NAMED_TABLES = 1000
+def only_tables(df: DataFrame, tables: Iterable[str] | None) -> DataFrame:
+    """Changes of the named tables, by a filter that Catalyst can push to the sources."""
+    return df if tables is None else df.filter(F.col("source")["table"].isin(*tables))
 
 
-def only_configured(df: DataFrame, config: DataFrame) -> DataFrame:
-    """Changes of configured tables.
-
-    A usual configuration has few rows: its table names become a filter that Catalyst can push to
-    the sources. A long one is left to the join that follows.
-    """
-    names = [r[0] for r in config.select("source_table").limit(NAMED_TABLES + 1).collect()]
-    return df if len(names) > NAMED_TABLES else df.filter(F.col("source")["table"].isin(*names))
-
-
-def route(df: DataFrame, config: DataFrame) -> DataFrame:
+def route(df: DataFrame, config: DataFrame, tables: Iterable[str] | None = None) -> DataFrame:
     """Attach the configured target to each change and keep the configured fields only.
 
     Tables without configuration drop out. The configuration holds one row per source table;
-    Spark broadcasts it when its size estimate allows and shuffles otherwise.
+    Spark broadcasts it when its size estimate allows and shuffles otherwise. A caller who knows
+    the source tables names them in ``tables``, and no other one is read.
     """
-    df = only_configured(df, config)
+    df = only_tables(df, tables)
     rules = config.select(
         F.col("source_table").alias("_table"), "sink_table", "sink_columns", "sink_row_key"
     )
@@ -134,12 +126,24 @@ def cells(routed: DataFrame) -> DataFrame:
     )
 
 
-def current_config(changes: DataFrame, fields: Iterable[str]) -> DataFrame:
-    """Configuration in force after a change history: newest row per source table, deletes out."""
+def config_rows(changes: DataFrame, fields: Iterable[str]) -> DataFrame:
+    """Changes of a configuration table as its fields, with the op and its time."""
     image = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
-    rows = changes.select(
+    return changes.select(
         *[image[f].alias(f) for f in fields if f != "op"], F.col("op"), F.col("ts_ms")
     )
+
+
+def current_config(
+    changes: DataFrame, fields: Iterable[str], base: DataFrame | None = None
+) -> DataFrame:
+    """Configuration in force after a change history: newest row per source table, deletes out.
+
+    ``base`` is an earlier result, which any change of the same source table replaces.
+    """
+    rows = config_rows(changes, fields)
+    if base is not None:
+        rows = rows.unionByName(base.withColumn("ts_ms", F.lit(None).cast("bigint")))
     rest = [c for c in rows.columns if c != "source_table"]
     newest = rows.groupBy("source_table").agg(
         F.max(F.struct("ts_ms", *[c for c in rest if c != "ts_ms"])).alias("_row")

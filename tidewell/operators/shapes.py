@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions import text as tx
-from tidewell.operators.changes import only_configured
+from tidewell.operators.changes import only_tables
 
 
 def to_snake_json(df: DataFrame, hidden: Sequence[str] = (), value: str = "value") -> DataFrame:
@@ -27,13 +27,18 @@ def to_messages(
     return df.select(target.alias("topic"), name.alias("key"), body.alias("value"))
 
 
-def route_topics(df: DataFrame, config: DataFrame, key: str = "id") -> DataFrame:
-    """Changes as messages for the topic that is configured for their table."""
+def route_topics(
+    df: DataFrame, config: DataFrame, key: str = "id", tables: Iterable[str] | None = None
+) -> DataFrame:
+    """Changes as messages for the topic that is configured for their table.
+
+    ``tables`` may name the source tables, so that no other one is read.
+    """
     rules = config.select(
         F.col("source_table").alias("_table"), F.col("sink_table").alias("_topic"), "sink_columns"
     )
     wanted = F.split("sink_columns", ",", -1)
-    kept = only_configured(df, config).join(rules, F.col("source")["table"] == F.col("_table")).withColumn(
+    kept = only_tables(df, tables).join(rules, F.col("source")["table"] == F.col("_table")).withColumn(
         "_data", F.map_filter("after", lambda k, _: F.array_contains(wanted, k))
     )
     return to_messages(kept, F.col("_topic"), F.col("after")[key], F.to_json("_data"))

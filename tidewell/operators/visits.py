@@ -26,14 +26,17 @@ def first_of_day(
     order: Sequence[str] = (),
     carry: Sequence[str] = (),
     delay: str = "0 seconds",
+    keep_ms: int | None = 0,
 ) -> DataFrame:
     """The first row per key and date, as ``keys``, ``visit_date``, ``ts`` and ``carry``.
 
     ``ts`` is in epoch milliseconds; ``order`` breaks ties. On a stream a key fires whenever its
-    date differs from the last one seen, and ``_event_time`` carries the watermark on.
+    date differs from the last one seen, and ``_event_time`` carries the watermark on. A stream
+    forgets a key when the watermark is ``keep_ms`` past the end of its date: rows of that date
+    would be too late by then. None keeps it for ever.
     """
     if df.isStreaming:
-        return state.first_of_day(df, keys, ts, order, carry, delay).drop("prev_date")
+        return state.first_of_day(df, keys, ts, order, carry, delay, keep_ms).drop("prev_date")
     day = times.at(F.col(ts)).cast("date").alias("visit_date")
     rest = [c for c in (*order, *carry) if c != ts]
     if not rest:
@@ -51,13 +54,16 @@ def return_logins(
     ts: str = "ts",
     days: int = RETURN_DAYS,
     delay: str = "0 seconds",
+    keep_ms: int | None = None,
 ) -> DataFrame:
     """One row per user and login date: ``uu_ct`` 1, ``back_ct`` 1 after a long absence.
 
-    Absence is in whole days since the midnight that opened the previous login date.
+    Absence is in whole days since the midnight that opened the previous login date. A stream
+    forgets users ``keep_ms`` after their last login date, and by default never: a forgotten user
+    cannot come back.
     """
     if df.isStreaming:
-        firsts = state.first_of_day(df, [key], ts, (), (), delay)
+        firsts = state.first_of_day(df, [key], ts, (), (), delay, keep_ms)
         extra = ["_event_time"]
     else:
         # At most one row per user and day is left when the users are ordered.
@@ -83,7 +89,8 @@ def fix_is_new(
     """Correct the new-visitor flag of log records.
 
     The first record of a device fixes a date: its own day if it claims to be new, else the day
-    before. A later claim to be new on any other date is set to ``0``.
+    before. A later claim to be new on any other date is set to ``0``. Records without a device
+    stay as they are.
     """
     if df.isStreaming:
         return state.fix_is_new(df, order, ttl_ms)
@@ -93,6 +100,7 @@ def fix_is_new(
     today = times.at(F.col("ts")).cast("date")
     anchors = (
         df.select(mid.alias("_mid"), "ts", *order, new.alias("_new"))
+        .filter("_mid IS NOT NULL")
         .groupBy("_mid")
         .agg(F.min(F.struct("ts", *order, "_new")).alias("_first"))
         .select(
@@ -105,7 +113,7 @@ def fix_is_new(
     )
     fixed = F.when((new == "1") & (F.col("_anchor") != today), F.lit("0")).otherwise(new)
     return (
-        df.join(anchors, mid.eqNullSafe(F.col("_mid")), "left")
+        df.join(anchors, mid == F.col("_mid"), "left")
         .withColumn("common", F.col("common").withField("is_new", fixed))
         .drop("_mid", "_anchor")
     )

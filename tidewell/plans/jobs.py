@@ -13,15 +13,18 @@ from tidewell.operators import changes, dedup, joins, logs, merges, moderation,
 
 
 def dim_load(
-    topic: DataFrame, config: DataFrame, db: str, use_before_for_delete: bool = False, sink_table: str | None = None
+    topic: DataFrame,
+    config: DataFrame,
+    db: str,
+    use_before_for_delete: bool = False,
+    tables: Iterable[str] | None = None,
 ) -> DataFrame:
     """Routed dimension rows: valid changes of configured tables with their kept fields.
 
-    For one ``sink_table`` only its sources are read.
+    If the source ``tables`` are named, no other one is read.
     """
-    if sink_table is not None:
-        config = config.filter(F.col("sink_table") == sink_table)
-    return changes.route(changes.filter_valid(topic, db, use_before_for_delete=use_before_for_delete), config)
+    valid = changes.filter_valid(topic, db, use_before_for_delete=use_before_for_delete)
+    return changes.route(valid, config, tables)
 
 
 def dim_table(

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewell.operators import changes, logs, merges, shapes, visits
-from tidewell.plans import jobs
+from tidewell import schemas
+from tidewell.operators import changes, dedup, joins, logs, merges, moderation, shapes, visits
+from tidewell.plans import facts, jobs, summaries
 from tidewell.streaming import runs, sinks
 
+# The topics and tables that consumers of these jobs read.
 # Topics of the five kinds of log record, and of the records that are none.
 LOG_TOPICS = {
     "err": "dwd_traffic_err",
@@ -21,6 +23,24 @@ LOG_TOPICS = {
     "action": "dwd_traffic_action",
 }
 DIRTY_TOPIC = "dirty_data"
+FACT_TOPICS = {
+    "comments": "dwd_interaction_comment_info",
+    "cart_add": "dwd_trade_cart_add",
+    "order_detail": "dwd_trade_order_detail",
+    "order_cancel": "dwd_trade_order_cancel",
+    "pay_success": "dwd_trade_order_payment_success",
+    "order_refund": "dwd_trade_order_refund",
+    "refund_pay": "dwd_trade_refund_payment_success",
+}
+SUMMARY_TABLES = {
+    "keyword_count": "dws_traffic_source_keyword_page_view_window",
+    "traffic_page_view": "dws_traffic_vc_ch_ar_is_new_page_view_window",
+    "home_detail_uv": "dws_traffic_home_detail_page_view_window",
+    "user_login": "dws_user_user_login_window",
+    "cart_add_uu": "dws_trade_cart_add_uu_window",
+    "sku_order": "dws_trade_sku_order_window",
+    "province_order": "dws_trade_province_order_window",
+}
 
 
 def split_logs(messages: DataFrame, root: str, once: bool = False) -> list[StreamingQuery]:
@@ -49,9 +69,190 @@ def split_logs(messages: DataFrame, root: str, once: bool = False) -> list[Strea
     ]
 
 
+LookUp = Callable[[DataFrame], DataFrame]
+
+
+def to_topic(
+    rows: DataFrame, topic: str, root: str, look_up: LookUp | None = None, once: bool = False
+) -> StreamingQuery:
+    """Rows of a stream as JSON messages of one topic under ``root``; ``look_up`` as in ``to_table``."""
+    columns = [c for c in rows.columns if c != "_event_time"]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.select(*columns)
+        sent = shapes.to_messages(look_up(kept) if look_up else kept, topic)
+        sinks.write_topic_files(sent, f"{root}/{topic}", batch_id)
+
+    return runs.start_each(rows, write, f"{root}/checkpoint-{topic}", once=once)
+
+
+def to_table(
+    rows: DataFrame, table: str, root: str, look_up: LookUp | None = None, once: bool = False
+) -> StreamingQuery:
+    """Rows of a stream appended to a table under ``root``.
+
+    ``look_up`` adds names to a micro-batch. It is called for each one, so dimension tables that
+    it reads are those of the moment.
+    """
+    columns = [c for c in rows.columns if c != "_event_time"]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.select(*columns)
+        sinks.append_table(look_up(kept) if look_up else kept, f"{root}/{table}", batch_id)
+
+    return runs.start_each(rows, write, f"{root}/checkpoint-{table}", once=once)
+
+
+def fact_rows(name: str, topic: DataFrame, delay: str, details: DataFrame | None = None) -> DataFrame:
+    """The stream of one fact. Payments and cancellations take the stream of order lines.
+
+    ``comments`` lack the name of their appraisal, which ``comment_enrich`` of the batch jobs adds.
+    """
+    if name in ("pay_success", "order_cancel"):
+        lines = facts.order_detail(topic, delay) if details is None else details
+        return getattr(facts, name)(topic, lines, delay=delay)
+    if name == "cart_add":
+        return changes.cart_add(topic)
+    if name == "comments":
+        return changes.flatten_comments(topic)
+    return getattr(facts, name)(topic, delay)
+
+
+def read_order_lines(messages: DataFrame, delay: str) -> DataFrame:
+    """Order lines out of the messages of their topic, for the facts and summaries that follow."""
+    kind = ", ".join(f"{c} {'bigint' if c == 'ts_ms' else 'string'}" for c in schemas.ORDER_DETAIL_FACT)
+    rows = messages.select(F.from_json("value", kind).alias("_r")).select("_r.*")
+    return joins.with_event_time(rows, delay) if messages.isStreaming else rows
+
+
+def write_facts(
+    topic: DataFrame, root: str, delay: str, names: Iterable[str] = tuple(FACT_TOPICS), once: bool = False
+) -> dict[str, StreamingQuery]:
+    """Facts from changes into their topics, one query each, so that one may fail or lag alone."""
+    return {n: to_topic(fact_rows(n, topic, delay), FACT_TOPICS[n], root, once=once) for n in names}
+
+
+def traffic_rows(name: str, pages: DataFrame, size: str, delay: str) -> DataFrame:
+    """The stream of one traffic or login summary."""
+    return getattr(summaries, name)(pages, size, delay)
+
+
+def write_traffic(
+    pages: DataFrame,
+    root: str,
+    size: str = "10 seconds",
+    delay: str = "3 seconds",
+    names: Iterable[str] = ("keyword_count", "traffic_page_view", "home_detail_uv", "user_login"),
+    once: bool = False,
+) -> dict[str, StreamingQuery]:
+    """Summaries of page logs into their tables, one query each."""
+    return {n: to_table(traffic_rows(n, pages, size, delay), SUMMARY_TABLES[n], root, once=once) for n in names}
+
+
+def write_provinces(
+    details: DataFrame,
+    read_provinces: Callable[[], DataFrame],
+    root: str,
+    size: str = "4 seconds",
+    delay: str = "0 seconds",
+    order: Sequence[str] = ("ts_ms",),
+    ttl_ms: int | None = None,
+    once: bool = False,
+) -> StreamingQuery:
+    """Orders per province into their table, with names as they are when a window closes."""
+    summed = summaries.province_sums(details, size, delay, order, ttl_ms)
+    return to_table(
+        summed,
+        SUMMARY_TABLES["province_order"],
+        root,
+        lambda batch: summaries.name_provinces(batch, read_provinces()),
+        once,
+    )
+
+
+def write_skus(
+    details: DataFrame,
+    read_dims: Callable[[], dict[str, DataFrame]],
+    root: str,
+    size: str = "10 seconds",
+    order: Sequence[str] = ("ts_ms",),
+    once: bool = False,
+) -> StreamingQuery:
+    """Amounts per sku into their table, with names as they are when a window closes."""
+    return to_table(
+        summaries.sku_sums(details, size, order),
+        SUMMARY_TABLES["sku_order"],
+        root,
+        lambda batch: joins.dim_chain(batch, summaries.sku_lookups(read_dims())),
+        once,
+    )
+
+
+def write_carts(
+    carts: DataFrame, root: str, size: str = "2 seconds", delay: str = "0 seconds", once: bool = False
+) -> StreamingQuery:
+    """Users who add to their cart for the first time of a day into their table."""
+    return to_table(summaries.cart_add_uu(carts, size, delay), SUMMARY_TABLES["cart_add_uu"], root, once=once)
+
+
+def write_ban_list(
+    comments: DataFrame,
+    read_words: Callable[[], DataFrame],
+    topic: str,
+    root: str,
+    delay: str = "10 minutes",
+    once: bool = False,
+) -> StreamingQuery:
+    """Comments with both banned-word checks into a topic, without the copies of ``delay``.
+
+    Words are those of the moment, so a new one counts from the next micro-batch on.
+    """
+    fresh = dedup.exact(comments, ["order_id", "ts_ms"], delay=delay)
+    return to_topic(fresh, topic, root, lambda batch: moderation.ban_list(batch, read_words()), once)
+
+
+CONFIG_FIELDS = tuple(schemas.DIM_CONFIG.fieldNames())
+
+
+def follow_config(
+    topic: DataFrame,
+    root: str,
+    dims: str | None = None,
+    namespace: str | None = None,
+    once: bool = False,
+) -> StreamingQuery:
+    """The dimension configuration as a table under ``root``, from changes of its source table.
+
+    ``lambda: MergedTable(spark, root).read()`` is a ``read_config`` for ``load_dims``. Tables under
+    ``dims`` whose rule was deleted or changed are dropped; their next rows create them anew. Start it
+    before ``load_dims``, which would fail and start again if its table goes during a merge. Catalog
+    tables of ``namespace``, if given, are created and dropped by the same rules.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        batch.persist()
+        try:
+            sinks.MergedTable(session, root).merge(
+                batch, batch_id, lambda b, base: changes.current_config(b, CONFIG_FIELDS, base)
+            )
+            if dims is not None:
+                old = F.col("before")["sink_table"]
+                gone = batch.filter(F.col("op").isin("d", "u")).select(old.alias("name")).distinct()
+                for row in gone.filter("name IS NOT NULL").collect():
+                    sinks.MergedTable(session, f"{dims}/{row.name}").drop()
+            if namespace is not None:
+                rules = changes.config_rows(batch, CONFIG_FIELDS).orderBy("ts_ms")
+                sinks.apply_dim_config(session, rules, namespace)
+        finally:
+            batch.unpersist()
+
+    return runs.start_each(topic, write, f"{root}-checkpoint", once=once)
+
+
 def load_dims(
     topic: DataFrame,
-    read_config: Callable[[], DataFrame],
+    read_config: Callable[[], DataFrame | None],
     db: str,
     root: str,
     use_before_for_delete: bool = False,
@@ -59,24 +260,25 @@ def load_dims(
 ) -> StreamingQuery:
     """Dimension tables under ``root`` from changes, routed by the configuration of the moment.
 
-    The configuration is read anew for each micro-batch. It has one row per table, so walking
-    through it on the driver is no matter of data size. ``row_key`` and the columns of a table
-    are kept by ``MergedTable``; ``ts_ms`` decides between changes of one row.
+    The configuration is read anew for each micro-batch, and its names are a filter on the
+    changes. It has one row per table, so walking through it on the driver is no matter of data
+    size. Tables without a row in a micro-batch are left alone. ``row_key`` and the columns of a
+    table are kept by ``MergedTable``; ``ts_ms`` decides between changes of one row.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         config = read_config()
-        routed = jobs.dim_load(batch, config, db, use_before_for_delete).persist()
+        rules = [] if config is None else config.collect()
+        if not rules:
+            return
+        names = [rule.source_table for rule in rules]
+        routed = jobs.dim_load(batch, config, db, use_before_for_delete, names).persist()
         try:
-            for rule in config.collect():
-                columns = [c for c in rule.sink_columns.split(",")]
-                table = sinks.MergedTable(batch.sparkSession, f"{root}/{rule.sink_table}")
-                table.merge(
-                    routed,
-                    batch_id,
-                    lambda b, base, name=rule.sink_table, cols=columns: jobs.dim_table(
-                        b, name, cols, base=base
-                    ),
+            busy = {r.sink_table for r in routed.select("sink_table").distinct().collect()}
+            columns = {r.sink_table: r.sink_columns.split(",") for r in rules if r.sink_table in busy}
+            for name, kept in columns.items():
+                sinks.MergedTable(batch.sparkSession, f"{root}/{name}").merge(
+                    routed, batch_id, lambda b, base: jobs.dim_table(b, name, kept, base=base)
                 )
         finally:
             routed.unpersist()

@@ -130,31 +130,47 @@ def province_order(
     size: str = "4 seconds",
     delay: str = "0 seconds",
     order: Sequence[str] = ("ts_ms",),
+    ttl_ms: int | None = None,
 ) -> DataFrame:
-    """Order amount and orders per province; names are looked up on the finished windows.
+    """Order amount and orders per province; names are looked up on the finished windows."""
+    return name_provinces(province_sums(details, size, delay, order, ttl_ms), provinces)
 
-    An order counts even if its line was taken back, as its retraction names it too.
+
+def name_provinces(summed: DataFrame, provinces: DataFrame) -> DataFrame:
+    return joins.dim_join(summed, provinces, "province_id", {"name": "province_name"})
+
+
+def province_sums(
+    details: DataFrame,
+    size: str = "4 seconds",
+    delay: str = "0 seconds",
+    order: Sequence[str] = ("ts_ms",),
+    ttl_ms: int | None = None,
+) -> DataFrame:
+    """Order amount and orders per province id.
+
+    An order counts even if its line was taken back, as its retraction names it too. A stream
+    keeps the newest version of a line for ``ttl_ms`` by the clock; Spark then runs micro-batches
+    without input too, so it has to be stopped.
     """
     lines = details.select(
         *dict.fromkeys(["id", "order_id", "province_id", "split_total_amount", "ts_ms", *order])
     )
-    rows = dedup.retract(lines, "id", order, ["split_total_amount"]).withColumn(
+    rows = dedup.retract(lines, "id", order, ["split_total_amount"], ttl_ms).withColumn(
         "split_total_amount", F.col("split_total_amount").cast("decimal(16,2)")
     )
     if details.isStreaming:
-        summed = _province_stream(lines, rows, size, delay)
-    else:
-        summed = tumble(
-            rows,
-            "ts_ms",
-            size,
-            ["province_id"],
-            [
-                F.countDistinct("order_id").alias("order_count"),
-                F.sum("split_total_amount").alias("order_amount"),
-            ],
-        )
-    return joins.dim_join(summed, provinces, "province_id", {"name": "province_name"})
+        return _province_stream(lines, rows, size, delay)
+    return tumble(
+        rows,
+        "ts_ms",
+        size,
+        ["province_id"],
+        [
+            F.countDistinct("order_id").alias("order_count"),
+            F.sum("split_total_amount").alias("order_amount"),
+        ],
+    )
 
 
 def _province_stream(lines: DataFrame, rows: DataFrame, size: str, delay: str) -> DataFrame:
@@ -233,7 +249,18 @@ def sku_order(
     arrival: str = "ts_ms",
     delay: str = "0 seconds",
 ) -> DataFrame:
-    """Amounts per sku, from the newest version of each order line, with names looked up last.
+    """Amounts per sku with names, which are looked up last."""
+    return joins.dim_chain(sku_sums(details, size, order, arrival, delay), sku_lookups(dims))
+
+
+def sku_sums(
+    details: DataFrame,
+    size: str = "10 seconds",
+    order: Sequence[str] = ("ts_ms",),
+    arrival: str = "ts_ms",
+    delay: str = "0 seconds",
+) -> DataFrame:
+    """Amounts per sku id, from the newest version of each order line.
 
     Windows go by arrival: on a stream the clock when a line leaves the dedup, on a batch the
     ``arrival`` column.
@@ -250,14 +277,13 @@ def sku_order(
         column = "_event_time"
     else:
         timed, column = newest, arrival
-    summed = tumble(
+    return tumble(
         timed,
         column,
         size,
         ["sku_id"],
         [F.sum(F.col(src).cast("decimal(16,2)")).alias(dst) for src, dst in AMOUNTS.items()],
     )
-    return joins.dim_chain(summed, sku_lookups(dims))
 
 
 def channel_uv(traffic: DataFrame) -> DataFrame:

@@ -397,6 +397,11 @@ def province_dim(nation: DataFrame) -> DataFrame:
     return nation.select(text("n_nationkey").alias("row_key"), F.col("n_name").alias("name"))
 
 
+# The source tables of the two configurations below.
+DIM_SOURCES = ("user_info", "order_info")
+FACT_SOURCES = ("user_info", "payment_info")
+
+
 def dim_config(spark: SparkSession) -> DataFrame:
     """Which tables become dimensions, and with which columns."""
     rows = [

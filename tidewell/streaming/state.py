@@ -34,15 +34,18 @@ class FirstOfDay(StatefulProcessor):
     """Remembers the last date of a key and emits the row that changes it.
 
     Only the earliest row per date of a batch is held. Rows of an earlier date than the stored
-    one count as a change too.
+    one count as a change too. With ``keep_ms`` a key is forgotten once the watermark is that far
+    past the end of its date.
     """
 
-    def __init__(self, out: Sequence[str], order: Sequence[str]):
+    def __init__(self, out: Sequence[str], order: Sequence[str], keep_ms: int | None):
         self.out = list(out)
         self.order = list(order)
+        self.keep_ms = keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("lastDate", "day date")
+        self.handle = handle
+        self.last = handle.getValueState("lastDate", "day date, ends bigint")
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         rank, make = _sorter(self.order), Row(*self.out, "prev_date")
@@ -56,9 +59,19 @@ class FirstOfDay(StatefulProcessor):
         for row in sorted(firsts.values(), key=rank):
             if row["visit_date"] != last:
                 yield make(*[row[c] for c in self.out], last)
-                last, changed = row["visit_date"], True
+                last, ends, changed = row["visit_date"], row["_ends"], True
         if changed:
-            self.last.update((last,))
+            self.last.update((last, ends))
+            if self.keep_ms is not None and ends is not None:
+                self.handle.registerTimer(ends + self.keep_ms)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+        # A later date of the key has a timer of its own.
+        if self.last.exists():
+            ends = self.last.get()[1]
+            if ends is not None and ends + self.keep_ms <= timerValues.getCurrentWatermarkInMs():
+                self.last.clear()
+        return iter(())
 
     def close(self) -> None:
         pass
@@ -71,6 +84,7 @@ def first_of_day(
     order: Sequence[str],
     carry: Sequence[str],
     delay: str,
+    keep_ms: int | None,
 ) -> DataFrame:
     """Date changes per key with ``prev_date``; ``_event_time`` keeps a watermark of ``delay``."""
     event = times.event_time(F.col(ts))
@@ -79,6 +93,7 @@ def first_of_day(
         df.select(*wanted, event.alias("_event_time"))
         .withWatermark("_event_time", delay)
         .withColumn("visit_date", F.col("_event_time").cast("date"))
+        .withColumn("_ends", F.unix_millis(F.date_add("visit_date", 1).cast("timestamp")))
     )
     out = [*keys, "visit_date", ts, *[c for c in carry if c not in keys and c != ts], "_event_time"]
     fields = [rows.schema[c] for c in out]
@@ -87,7 +102,7 @@ def first_of_day(
         + [T.StructField("prev_date", T.DateType())]
     )
     return rows.groupBy(*keys).transformWithState(
-        FirstOfDay(out, [ts, *order]),
+        FirstOfDay(out, [ts, *order], keep_ms),
         schema,
         "Append",
         "EventTime",
@@ -96,7 +111,10 @@ def first_of_day(
 
 
 class FixIsNew(StatefulProcessor):
-    """Stores one date per device and emits every row with a corrected flag."""
+    """Stores one date per device and emits every row with a corrected flag.
+
+    Rows without a device pass as they are and leave no state.
+    """
 
     def __init__(self, names: Sequence[str], order: Sequence[str], ttl_ms: int | None):
         self.names, self.order, self.ttl_ms = list(names), list(order), ttl_ms
@@ -106,6 +124,10 @@ class FixIsNew(StatefulProcessor):
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         make = Row(*self.names, "_flag")
+        if key[0] is None:
+            for row in rows:
+                yield make(*[row[c] for c in self.names], row["_new"])
+            return
         anchor = self.anchor.get()[0] if self.anchor.exists() else None
         if anchor is None:
             # Only a key without state needs its rows in order: the first one decides.
@@ -134,9 +156,12 @@ def fix_is_new(df: DataFrame, order: Sequence[str], ttl_ms: int | None) -> DataF
             "_today": times.at(F.col("ts")).cast("date"),
         }
     )
+    # Rows without a device need not meet, so they are spread.
+    spread = F.when(F.col("_mid").isNull(), F.xxhash64("ts", *order)).otherwise(F.lit(0))
+    rows = rows.withColumn("_spread", spread)
     schema = T.StructType([*df.schema.fields, T.StructField("_flag", T.StringType())])
     mode = "None" if ttl_ms is None else "ProcessingTime"
-    fixed = rows.groupBy("_mid").transformWithState(
+    fixed = rows.groupBy("_mid", "_spread").transformWithState(
         FixIsNew(names, order, ttl_ms), schema, "Append", mode
     )
     return fixed.withColumn("common", F.col("common").withField("is_new", F.col("_flag"))).drop(
