@@ -38,7 +38,7 @@ class FirstOfDay(StatefulProcessor):
     past the end of its date.
     """
 
-    def __init__(self, out: Sequence[str], order: Sequence[str], keep_ms: int | None):
+    def __init__(self, out: Sequence[str], order: Sequence[str], keep_ms: int | None = None):
         self.out = list(out)
         self.order = list(order)
         self.keep_ms = keep_ms
