@@ -401,3 +401,11 @@ def test_user_without_gender_or_image(spark):
     assert [(r.uid, r.gender, r.birthday, r.age, r.decade, r.zodiac_sign) for r in row] == [
         ("1", "home", "2004-02-29", 18, 2000, "双鱼座")
     ]
+
+
+def test_bloom_filters_stay_small():
+    assert dedup.filter_shards(1_000, 0.01, 8) == 8
+    for expected in (10**9, 10**12):
+        per_shard = -(-expected // dedup.filter_shards(expected, 1e-9, 8))
+        # A share is rounded up to whole combinations, so by some bytes.
+        assert len(dedup.Bloom.sized(per_shard, 1e-9).dump()) <= dedup.FILTER_BYTES + 8

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -96,6 +97,19 @@ def exact(
     return earliest(df, keys, order) if order else df.dropDuplicates(list(keys))
 
 
+# Most bytes of one Bloom filter: more combinations take more shards.
+FILTER_BYTES = 64 << 20
+# Shards of a stream whose filters would fit in fewer. State is kept per shard, so this may not
+# follow the session.
+STREAM_SHARDS = 64
+
+
+def filter_shards(expected: int, fpp: float, least: int) -> int:
+    """Shards for ``expected`` combinations, such that no filter is above ``FILTER_BYTES``."""
+    size = expected * -math.log(fpp) / (8 * math.log(2) ** 2)
+    return max(least, math.ceil(size / FILTER_BYTES))
+
+
 def bloom(
     df: DataFrame, keys: Sequence[str], expected: int, fpp: float = 0.01, shards: int | None = None
 ) -> DataFrame:
@@ -104,11 +118,15 @@ def bloom(
     Equal combinations meet in one shard, whatever their entity, so no entity owns a task.
     Copies within one Arrow batch are dropped before the shuffle, so a combination that fills a
     third of the table does not travel row by row. ``expected`` is the number of combinations
-    in the whole table, of which each shard sees its share.
+    in the whole table, of which each shard sees its share. ``shards`` is how many tasks the work
+    can take; by default it follows from ``expected``, and is never below the shuffle partitions
+    of a batch or ``STREAM_SHARDS``. A running stream must keep its number.
     """
     if df.isStreaming:
-        return state.bloom(df, keys, expected, fpp, shards or 64)
-    shards = shards or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return state.bloom(df, keys, expected, fpp, shards or filter_shards(expected, fpp, STREAM_SHARDS))
+    if shards is None:
+        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        shards = filter_shards(expected, fpp, least)
     marked = df.withColumn("_h1", F.xxhash64(*keys)).withColumn(
         "_h2", F.xxhash64(F.lit("second"), *keys)
     )
