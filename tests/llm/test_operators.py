@@ -162,6 +162,20 @@ def test_repeats(spark, docs, none, monkeypatch, crowd, batch, piece):
     assert suffixes.cut_repeats(Scratch(spark, "t"), none).count() == 0
 
 
+def test_repeats_of_equal_rows(spark, monkeypatch):
+    """Rows equal in key and text do not repeat each other, in one batch or in several."""
+    one, other, third = ("".join(f"{c}{i} " for i in range(80)) for c in "xyz")
+    texts = [(1, one), (1, one), (1, one), (1, other), (2, f"new {other} end"), (3, third), (None, third + "null"), (None, third + "null"), (4, one)]
+    want = cut(sorted(set(texts), key=lambda x: (x[0] is not None, x[0] or 0)))
+    assert want[1, one][0] == want[1, other][0] == 0 < want[4, one][0]
+    for crowd, parts in ((2000, 1), (1, 1), (1, 5)):
+        monkeypatch.setattr(suffixes, "CROWD", crowd)
+        rows = suffixes.cut_repeats(Scratch(spark, "t"), spark.createDataFrame(texts, "doc_id long, text string").repartition(parts)).collect()
+        assert len(rows) == len(texts)
+        for r in rows:
+            assert (r.n_removed, r.n_spans, bytes(r.kept)) == want[r.doc_id, r.text], r.doc_id
+
+
 def test_repeats_of_random_texts(spark, monkeypatch):
     rng = np.random.default_rng(3)
     parts = ["".join(rng.choice(list("abcdé "), n)) for n in (90, 100, 101, 150, 400)] + ["ab" * 120]

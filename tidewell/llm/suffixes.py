@@ -310,8 +310,9 @@ def cut_repeats(
     known = scratch.keep(known, "repeated-ids")
     wide = docs.select(*columns, d.alias("_d")).join(known, "_d", "left")
     wide = wide.withColumn("_h", F.when(F.col("_many") == 1, F.xxhash64(F.coalesce(F.col(text), F.lit("")))).otherwise(F.lit(0)))
-    slim = wide.select(F.col("_d").alias("d"), F.col("_h").alias("h"), F.col(text).alias("text"))
-    slim = slim.where(F.octet_length("text") >= depth)
+    slim = wide.where(F.octet_length(text) >= depth).select(F.col("_d").alias("d"), F.col("_h").alias("h"), F.col(text).alias("text"), "_many")
+    # Rows of one place would take each other for earlier ones; one of them stands for all.
+    slim = slim.where("_many IS NULL").drop("_many").unionByName(slim.where("_many = 1").drop("_many").dropDuplicates(["d", "h"]))
 
     # First digit: groups of one leave.
     rows = anchors(slim, depth, digit)
