@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import langid, mixing, nn_descent, notices, pieces, pitman_yor, quality, simhash, suffixes, warc
+from tidewell.llm import (
+    block_search,
+    filter_audit,
+    langid,
+    merkle,
+    mixing,
+    nn_descent,
+    notices,
+    pieces,
+    pitman_yor,
+    quality,
+    simhash,
+    suffixes,
+    warc,
+)
 from tidewell.llm.common import Scratch, small_batches, table
 
 
@@ -81,6 +95,40 @@ def op10_gumbel_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return block_search.search(Scratch(spark, "block-search"), rows, F.col("vec_id") % 20 == 0)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    # Tampering adds 1 to the n_chars of some rows; the proofs are of the rows as they were.
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    changed = merkle.leaf(*fields[:3], F.col("n_chars") + 1, fields[4])
+    rows = table(spark, sf_dir, "documents").select(
+        merkle.tree_name(F.col("lang")).alias("tree"),
+        "doc_id",
+        merkle.leaf(*fields).alias("hash"),
+        F.when(tampered & F.col("n_chars").isNotNull(), changed).alias("changed"),
+    )
+    manifest = merkle.Manifest(Scratch(spark, "merkle"), rows, ["doc_id"])
+    root = F.lit(manifest.root).cast("string")
+    proofs = manifest.proofs().select(
+        "doc_id",
+        F.col("hash").alias("leaf"),
+        "subroot",
+        root.alias("root"),
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        merkle.folded(F.coalesce("changed", "hash"), F.col("path")).alias("folded_root"),
+    )
+    return proofs.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return filter_audit.audit(Scratch(spark, "filter-audit"), docs.select("doc_id", "text", "lang"), labels)
+
+
 def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         small_batches(spark)
@@ -103,5 +151,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_mix_sources,
         op9_line_cleaning,
         op10_gumbel_pieces,
+        op11_block_search,
+        op12_merkle_manifest,
+        op13_filter_audit,
     )
 }
