@@ -343,6 +343,20 @@ def test_pieces(docs, none):
     assert pieces.sample_segmentations(none).count() == 0
 
 
+def test_cutting_long_chunks_changes_nothing(monkeypatch):
+    rng = np.random.default_rng(3)
+    vocab = pieces.vocabulary()
+    texts = ["".join(rng.choice(list("abcdefgh日é𝄞"), 3000)), "".join(rng.choice(list("theand of"), 500)), "日本語" * 300, "x"]
+    found = {}
+    for long in (2, 64, 1 << 40):
+        monkeypatch.setattr(pieces, "LONG", long)
+        found[long] = [[(tuple(ids.tolist()), round(p, 6)) for ids, p, _, _ in s] for s in pieces.sample(vocab, texts, [1, 2, 3, 4], 3)]
+    assert found[2] == found[64] == found[1 << 40]
+    text = "".join(rng.choice(list("abcdefghijklmnop"), 100_000))
+    for ids, *_ in pieces.sample(vocab, [text], [9], 2)[0]:
+        assert pieces.decode(vocab, ids).decode() == " " + text
+
+
 def test_pieces_are_drawn_without_replacement():
     vocab, text, n = pieces.vocabulary(alpha=0.3), "the 日", 6000
     lattices = pieces.Lattices(vocab, [" the", " 日"])
@@ -357,7 +371,7 @@ def test_pieces_are_drawn_without_replacement():
 
     every = {}
     for (p, a), (q, b) in itertools.product(*(list(paths(h, e)) for h, e in zip(lattices.heads, lattices.ends))):
-        every[tuple(pieces._ids(vocab, lattices, np.array(a + b)).tolist())] = math.exp(p + q)
+        every[tuple(pieces.spelled_out(vocab, lattices, [np.array(a + b)])[0].tolist())] = math.exp(p + q)
     assert abs(sum(every.values()) - 1) < 1e-9
     found = pieces.sample(vocab, [text] * n, list(range(n)), 2)
     first = Counter(tuple(s[0][0].tolist()) for s in found)

@@ -36,6 +36,8 @@ SAMPLES = 2
 ALPHA = 1.0
 BATCH = 5 << 19  # bytes of text that share lattices
 SPACE = "▁"
+LONG = 64  # characters of a chunk that is cut into parts
+WINDOW = 128  # places of a path that are looked at first
 _CHUNK = re.compile(r" *[^ \n]+| +|\n")
 _LOUDEST = 37.0  # above any Gumbel noise made from 53 random bits
 
@@ -101,9 +103,8 @@ class Lattices:
     def __init__(self, vocab: dict, chunks: list[str]):
         codes = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32)
         lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        chunk = np.repeat(np.arange(len(chunks)), lengths)
         ends = np.cumsum(lengths)
-        left = ends[chunk] - np.arange(len(codes))  # characters to the chunk's end
+        left = np.repeat(ends, lengths) - np.arange(len(codes))  # characters to the chunk's end
         sums = Hasher(codes)
         starts, spans, ids = [], [], []
         at = np.arange(len(codes))
@@ -144,14 +145,27 @@ class Lattices:
             self.start[to], self.span[to], self.id[to] = x, n, i
             free[x] += 1
         del starts, spans, ids, free, count
+        # Parts: chunks, and long chunks cut where no piece crosses. Paths are the same, but parts are
+        # worked on side by side.
+        inside = np.repeat(lengths > LONG, lengths)
+        if inside.any():
+            wide = np.flatnonzero(self.span > 1)
+            crossed = np.zeros(len(codes) + 1, np.int64)
+            np.add.at(crossed, self.start[wide] + 1, 1)
+            np.add.at(crossed, self.start[wide] + self.span[wide], -1)
+            inside &= np.cumsum(crossed)[:-1] == 0
+        inside[ends - lengths] = True
+        self.heads = np.flatnonzero(inside)  # first node of a part
+        self.ends = np.append(self.heads[1:], len(codes))
+        lengths = self.ends - self.heads
+        left = np.repeat(self.ends, lengths) - np.arange(len(codes))
+        self.parts = np.append(np.searchsorted(self.heads, ends - np.diff(ends, prepend=0)), len(self.heads))  # first part of a chunk
         byte_count = 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)
         weight = vocab["weights"][self.id]
         spelled = np.flatnonzero(self.id < 0)
         weight[spelled] = byte_count[self.start[spelled]] * vocab["weights"][vocab["byte_ids"][0]]
-        self.heads = ends - lengths  # first node of a chunk
-        self.ends = ends
         self.codes = codes
-        # Log mass of all paths to the chunk's end, from the last characters to the first.
+        # Log mass of all paths to the part's end, from the last characters to the first.
         mass = np.zeros(len(codes) + 1)
         # (Short keys sort faster.)
         deepest = np.argsort(left.astype(np.int16) if lengths.max(initial=0) < 1 << 15 else left, kind="stable")
@@ -176,6 +190,11 @@ class Lattices:
         self.upto[last] = 2.0  # the last edge takes what rounding leaves
         self.lone = (self.first[1:] - self.first[:-1] == 1)[self.start]
 
+    def parts_of(self, chunks: np.ndarray) -> np.ndarray:
+        """The parts of some chunks, in order."""
+        first, n = self.parts[chunks], self.parts[chunks + 1] - self.parts[chunks]
+        return first if len(first) == n.sum() else np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
     def walk(self, nodes: np.ndarray, ends: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Edges of a path from each node to its end, one path after another, and paths' lengths."""
         order = np.argsort(nodes, kind="stable")  # equal chunks together
@@ -231,49 +250,26 @@ def _one(row: int, sample: int) -> float:
 class Search:
     """Samples of one text: paths found and the agenda of rests."""
 
-    def __init__(self, row: int, nodes: int):
-        self.row, self.nodes = row, nodes
-        self.paths: list[tuple[np.ndarray, np.ndarray, float, float]] = []  # edges, chunks, log_prob, perturbed
+    def __init__(self, row: int):
+        self.row = row
+        self.paths: list[tuple[np.ndarray, float, float]] = []  # edges, log_prob, perturbed
         self.agenda: list[tuple] = []  # (-bound, path, place, edges taken there, log mass before)
 
-    def push(self, lattices: Lattices, edges: np.ndarray, bound: float, path: int, begin: int, wanted: int) -> float:
-        """Put on the agenda what turns off ``edges`` from place ``begin`` on; the path's log probability."""
-        log_p = lattices.log_p[edges]
-        before = np.zeros(len(edges) + 1)
-        np.cumsum(log_p, out=before[1:])
-        a, width, best, least = begin, 128, [], -np.inf
-        seed = _seed(self.row, 1000 + path)
-        while a < len(edges):
-            b = min(len(edges), a + width)
-            rest = before[a:b] + np.log(np.maximum(-np.expm1(log_p[a:b]), 1e-300))
-            noise = -np.log(uniform(seed + np.arange(a, b, dtype=np.uint64)))
-            # A Gumbel variable at ``rest`` below ``bound``; a lone edge leaves no rest.
-            value = -np.logaddexp(-bound, np.log(noise) - rest)
-            value[lattices.lone[edges[a:b]]] = -np.inf
-            for i in np.flatnonzero(value > least) if len(best) == wanted else np.argsort(value)[-wanted:]:
-                if value[i] > -np.inf:
-                    best.append((float(value[i]), a + int(i)))
-            best = heapq.nlargest(wanted, best)
-            least = best[-1][0] if len(best) == wanted else -np.inf
-            a, width = b, 2 * width
-            # No rest further on can be larger: its mass is under that of the path so far.
-            if before[b] + _LOUDEST < least:
-                break
-        for value, place in best:
-            heapq.heappush(self.agenda, (-value, path, place, (int(edges[place]),), float(before[place])))
-        return float(before[-1])
-
     def pop(self, lattices: Lattices) -> tuple[int, int, int, float] | None:
         """(path, place, edge to take there, perturbed value) of the best rest; what is left stays."""
         if not self.agenda:
             return None
         value, path, place, taken, before = heapq.heappop(self.agenda)
         node = int(lattices.start[taken[0]])
-        others = [e for e in range(lattices.first[node], lattices.first[node + 1]) if e not in taken]
-        p = np.exp(lattices.log_p[others])
-        u = _one(self.row, 2000 + len(self.paths))
-        edge = others[min(int(np.searchsorted(np.cumsum(p) / p.sum(), u)), len(others) - 1)]
-        left = p.sum() - np.exp(lattices.log_p[edge])
+        a, b = int(lattices.first[node]), int(lattices.first[node + 1])
+        others = [(e, math.exp(x)) for e, x in enumerate(lattices.log_p[a:b].tolist(), a) if e not in taken]
+        total = sum(p for _, p in others)
+        u = _one(self.row, 2000 + len(self.paths)) * total
+        for edge, p in others:  # noqa: B007
+            u -= p
+            if u <= 0:
+                break
+        left = total - p
         if len(others) > 1 and left > 0:
             noise = -math.log(_one(self.row, 3000 + len(self.paths)))
             bound = -np.logaddexp(value, np.log(noise) - before - np.log(left))
@@ -281,6 +277,45 @@ class Search:
         return path, place, edge, -value
 
 
+def rests(
+    lattices: Lattices, edges: np.ndarray, starts: np.ndarray, sizes: np.ndarray, begin: np.ndarray, bounds: np.ndarray, seeds: np.ndarray, wanted: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For paths that stand one after another in ``edges``, their ``wanted`` best rests from place ``begin`` on.
+
+    (values, places, log masses before them), a row per path; a value is minus infinity where there
+    are fewer. What turns off a path at a place has a Gumbel variable below the path's bound.
+    """
+    paths = len(starts)
+    best = np.full((paths, wanted), -np.inf)
+    places, masses = np.zeros((paths, wanted), np.int64), np.zeros((paths, wanted))
+    before = np.array([lattices.log_p[edges[a : a + n]].sum() if n else 0.0 for a, n in zip(starts.tolist(), begin.tolist())])
+    at, live, width = begin.copy(), np.flatnonzero(begin < sizes), WINDOW
+    while len(live):
+        redo = []
+        # About as many cells at once whatever the window.
+        for some in np.array_split(live, -(-len(live) * width // (1 << 18))):
+            place = at[some, None] + np.arange(width)
+            inside = place < sizes[some, None]
+            edge = edges[np.where(inside, starts[some, None] + place, 0)]
+            log_p = np.where(inside, lattices.log_p[edge], 0.0)
+            upto = np.concatenate((before[some, None], log_p), 1).cumsum(1)
+            with np.errstate(divide="ignore"):
+                rest = upto[:, :-1] + np.log(np.maximum(-np.expm1(log_p), 1e-300))
+                noise = np.log(-np.log(uniform(seeds[some, None] + place.astype(np.uint64))))
+            value = -np.logaddexp(-bounds[some, None], noise - rest)
+            value[~inside | lattices.lone[edge]] = -np.inf  # a lone edge leaves no rest
+            value = np.concatenate((best[some], value), 1)
+            top = np.argpartition(value, -wanted, axis=1)[:, -wanted:]
+            best[some] = np.take_along_axis(value, top, 1)
+            places[some] = np.take_along_axis(np.concatenate((places[some], place), 1), top, 1)
+            masses[some] = np.take_along_axis(np.concatenate((masses[some], upto[:, :-1]), 1), top, 1)
+            before[some], at[some] = upto[:, -1], at[some] + width
+            # No rest further on can be larger: its mass is under that of the path so far.
+            redo.append(some[(at[some] < sizes[some]) & (before[some] + _LOUDEST >= best[some].min(1))])
+        live, width = np.concatenate(redo), 2 * width
+    return best, places, masses
+
+
 class _Numbers(dict):
     """Numbers its keys in the order they are first asked for."""
 
@@ -294,65 +329,93 @@ def sample(vocab: dict, texts: list[str], rows: list[int], k: int) -> list[list[
     numbers = _Numbers()
     chunks = [np.array(list(map(numbers.__getitem__, _CHUNK.findall(" " + t))) if t else [], np.int64) for t in texts]
     lattices = Lattices(vocab, list(numbers))
-    searches = [Search(r, 0) for r in rows]
+    parts = [lattices.parts_of(c) for c in chunks]
+    searches = [Search(r) for r in rows]
     lengths = lattices.ends - lattices.heads
-    jobs = [(i, np.zeros(0, np.int64), c, None, -math.log(-math.log(_one(r, 0)))) for i, (c, r) in enumerate(zip(chunks, rows)) if len(c)]
+    nothing = np.zeros(0, np.int64)
+    jobs = [(i, nothing, c, None, -math.log(-math.log(_one(r, 0)))) for i, (c, r) in enumerate(zip(parts, rows)) if len(c)]
     for number in range(k):
-        # A job: text, edges before, chunks still to walk, node to begin at, perturbed value.
-        nodes, ends, seeds = [], [], []
-        for i, _, todo, node, _ in jobs:
-            head, end = lattices.heads[todo], lattices.ends[todo]
-            if node is not None:
-                head = np.concatenate(([node], head[1:]))
-            place = np.cumsum(lengths[todo]) - lengths[todo]
-            nodes.append(head)
-            ends.append(end)
-            # Only the seed tells where in the text a chunk stands.
-            seeds.append(_seed(searches[i].row, 1 + number) + place.astype(np.uint64))
-        if not nodes:
+        # A job: text, edges before, parts still to walk, node to begin at, perturbed value.
+        if not jobs:
             break
-        edges, counts = lattices.walk(np.concatenate(nodes), np.concatenate(ends), np.concatenate(seeds))
-        cuts = np.concatenate(([0], np.cumsum([len(n) for n in nodes])))
+        sizes = np.array([len(todo) for _, _, todo, _, _ in jobs])
+        todo = np.concatenate([todo for _, _, todo, _, _ in jobs])
+        nodes, ends = lattices.heads[todo], lattices.ends[todo]
+        # Where in the text a part stands; a walk that begins inside its first part has gone the way before.
+        place = np.cumsum(lengths[todo]) - lengths[todo]
+        first = np.cumsum(sizes) - sizes
+        some = np.flatnonzero(sizes)
+        place -= np.repeat(place[first[some]], sizes[some])
+        for (_, _, own, node, _), at in zip(jobs, first.tolist()):
+            if node is not None and len(own):
+                nodes[at] = node
+        # Only the seed tells where in the text a part stands.
+        seeds = np.array([_seed(searches[job[0]].row, 1 + number) for job in jobs], np.uint64)
+        walked, counts = lattices.walk(nodes, ends, np.repeat(seeds, sizes) + place.astype(np.uint64))
         upto = np.concatenate(([0], np.cumsum(counts)))
+        cuts = upto[np.concatenate((first, [len(todo)]))]
+        paths = [np.concatenate((job[1], walked[a:b])) if len(job[1]) else walked[a:b] for job, a, b in zip(jobs, cuts, cuts[1:])]
+        edges, sizes = np.concatenate(paths), np.array([len(p) for p in paths])
+        starts, begin = np.cumsum(sizes) - sizes, np.array([len(job[1]) for job in jobs])
+        seeds = np.array([_seed(searches[job[0]].row, 1000 + number) for job in jobs], np.uint64)
+        best, places, masses = rests(lattices, edges, starts, sizes, begin, np.array([job[4] for job in jobs]), seeds, k - number)
+        log_probs = np.add.reduceat(lattices.log_p[edges], starts)
         done, jobs = jobs, []
-        for j, (i, before, todo, _, value) in enumerate(done):
+        for j, ((i, _, _, _, value), path, log_prob) in enumerate(zip(done, paths, log_probs.tolist())):
             search = searches[i]
-            path = np.concatenate((before, edges[upto[cuts[j]] : upto[cuts[j + 1]]]))
-            log_prob = search.push(lattices, path, value, number, len(before), k - number)
+            for rest, at, before in zip(best[j].tolist(), places[j].tolist(), masses[j].tolist()):
+                if rest > -math.inf:
+                    heapq.heappush(search.agenda, (-rest, number, at, (int(path[at]),), before))
             search.paths.append((path, log_prob, value))
             if number + 1 < k and (turn := search.pop(lattices)):
-                of, place, edge, value = turn
-                old = search.paths[of][0]
-                before = np.concatenate((old[:place], [edge]))
-                goal = int(lattices.start[edge] + lattices.span[edge])
-                # Chunks that the kept edges fill; the turning edge may end inside the next one.
-                full = int(np.searchsorted(np.cumsum(lengths[chunks[i]]), lattices.span[before].sum(), "right"))
-                todo = chunks[i][full:]
-                begun = lattices.span[before].sum() - lengths[chunks[i][:full]].sum()
-                jobs.append((i, before, todo, goal if begun else None, value))
-    out = []
+                of, at, edge, value = turn
+                before = np.append(search.paths[of][0][:at], edge)
+                goal, gone = int(lattices.start[edge] + lattices.span[edge]), int(lattices.span[before].sum())
+                # Parts that the kept edges fill; the turning edge may end inside the next one.
+                filled = np.cumsum(lengths[parts[i]])
+                full = int(np.searchsorted(filled, gone, "right"))
+                begun = gone > (filled[full - 1] if full else 0)
+                jobs.append((i, before, parts[i][full:], goal if begun else None, value))
+    ids = spelled_out(vocab, lattices, [path for search in searches for path, _, _ in search.paths])
+    out, n = [], 0
     for search in searches:
         left = -search.agenda[0][0] if search.agenda else -np.inf
         found = []
-        for path, log_prob, value in search.paths:
+        for _, log_prob, value in search.paths:
             x = log_prob - left
             log_q = 0.0 if x > 30 else x if x < -30 else float(np.log(-np.expm1(-np.exp(x))))
-            found.append((_ids(vocab, lattices, path), log_prob, value, log_q))
+            found.append((ids[n], log_prob, value, log_q))
+            n += 1
         out.append(found or [(np.zeros(0, np.int64), 0.0, 0.0, 0.0)])
     return out
 
 
-def _ids(vocab: dict, lattices: Lattices, path: np.ndarray) -> np.ndarray:
-    ids = lattices.id[path]
+def utf8(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, lengths) of code points: four bytes a row, of which the first ones count."""
+    codes = codes.astype(np.int64)
+    n = 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)
+    shift = 6 * (n[:, None] - 1 - np.arange(4))
+    out = 0x80 | (codes[:, None] >> np.maximum(shift, 0)) & 0x3F
+    out[:, 0] = np.where(n == 1, codes, np.array([0, 0, 0xC0, 0xE0, 0xF0])[n] | codes >> np.maximum(shift[:, 0], 0))
+    return out, n
+
+
+def spelled_out(vocab: dict, lattices: Lattices, paths: list[np.ndarray]) -> list[np.ndarray]:
+    """Piece ids of paths; characters without a piece become the ids of their bytes."""
+    if not paths:
+        return []
+    edges = np.concatenate(paths)
+    ids, cuts = lattices.id[edges], np.cumsum([len(p) for p in paths])
     lone = np.flatnonzero(ids < 0)
-    if not len(lone):
-        return ids
-    parts, last = [], 0
-    for k in lone.tolist():
-        spelled = chr(lattices.codes[lattices.start[path[k]]]).encode()
-        parts += [ids[last:k], vocab["byte_ids"][list(spelled)]]
-        last = k + 1
-    return np.concatenate([*parts, ids[last:]])
+    if len(lone):
+        spelled, n = utf8(lattices.codes[lattices.start[edges[lone]]])
+        counts = np.ones(len(ids), np.int64)
+        counts[lone] = n
+        ids, ends = np.repeat(ids, counts), np.cumsum(counts)
+        at = np.repeat(ends[lone] - n - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        ids[at] = vocab["byte_ids"][spelled[np.arange(4) < n[:, None]]]
+        cuts = ends[cuts - 1]
+    return np.split(ids, cuts[:-1])
 
 
 def sample_segmentations(
@@ -377,19 +440,19 @@ def sample_segmentations(
         whole = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
         texts = [t.decode().replace(SPACE, " ") for t in as_bytes(whole.column(at))]
         found = sample(vocab, texts, whole.column(len(keep)).to_pylist(), k)
-        take, columns = [], [[] for _ in kinds[:5]]
-        ids, trips = [], []
+        take, columns, ids = [], [[] for _ in kinds[:5]], []
         for i, samples in enumerate(found):
-            want = (" " + texts[i]).encode() if texts[i] else b""
             for rank, (own, log_prob, value, log_q) in enumerate(samples, 1):
                 take.append(i)
                 for c, v in zip(columns, (rank, len(own), log_prob, value, log_q)):
                     c.append(v)
                 ids.append(own)
-                trips.append(decode(vocab, own) == want)
         cuts = np.concatenate(([0], np.cumsum(columns[1])))
-        flat = pa.array(np.concatenate(ids).astype(np.int32))
-        lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), flat)
+        flat = np.concatenate(ids).astype(np.int32)
+        spelled, ends = decode(vocab, flat), np.concatenate(([0], np.cumsum(vocab["sizes"][flat])))[cuts].tolist()
+        wants = [(" " + t).encode() if t else b"" for t in texts]
+        trips = [spelled[a:b] == wants[i] for i, a, b in zip(take, ends, ends[1:])]
+        lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(flat))
         kept = whole.select(list(range(len(keep)))).take(pa.array(take))
         return pa.RecordBatch.from_arrays([*kept.columns, *(pa.array(c, t) for c, t in zip(columns, kinds)), lists, pa.array(trips)], schema.names)
 

@@ -91,7 +91,7 @@ def op9_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_gumbel_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = pieces.sample_segmentations(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return samples.select(
-        "doc_id", "rank", "n_pieces", "log_prob", "perturbed", "log_inclusion", F.xxhash64("ids").alias("ids_hash"), "round_trip"
+        "doc_id", "rank", "n_pieces", "log_prob", "perturbed", "log_inclusion", "ids", "round_trip"
     )
 
 
