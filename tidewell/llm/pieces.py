@@ -333,22 +333,22 @@ def sample(vocab: dict, texts: list[str], rows: list[int], k: int) -> list[list[
     searches = [Search(r) for r in rows]
     lengths = lattices.ends - lattices.heads
     nothing = np.zeros(0, np.int64)
-    jobs = [(i, nothing, c, None, -math.log(-math.log(_one(r, 0)))) for i, (c, r) in enumerate(zip(parts, rows)) if len(c)]
+    jobs = [(i, nothing, c, 0, -math.log(-math.log(_one(r, 0)))) for i, (c, r) in enumerate(zip(parts, rows)) if len(c)]
     for number in range(k):
-        # A job: text, edges before, parts still to walk, node to begin at, perturbed value.
+        # A job: text, edges before, parts still to walk, characters before, perturbed value.
         if not jobs:
             break
         sizes = np.array([len(todo) for _, _, todo, _, _ in jobs])
         todo = np.concatenate([todo for _, _, todo, _, _ in jobs])
         nodes, ends = lattices.heads[todo], lattices.ends[todo]
-        # Where in the text a part stands; a walk that begins inside its first part has gone the way before.
-        place = np.cumsum(lengths[todo]) - lengths[todo]
-        first = np.cumsum(sizes) - sizes
-        some = np.flatnonzero(sizes)
-        place -= np.repeat(place[first[some]], sizes[some])
-        for (_, _, own, node, _), at in zip(jobs, first.tolist()):
-            if node is not None and len(own):
-                nodes[at] = node
+        # Where in the text each part ends; a walk may begin inside its first part.
+        upto, first = np.concatenate(([0], np.cumsum(lengths[todo]))), np.cumsum(sizes) - sizes
+        wholes = np.array([lengths[parts[job[0]]].sum() for job in jobs])
+        place = upto[:-1] + np.repeat(wholes - upto[first + sizes], sizes)
+        gone, some = np.array([job[3] for job in jobs]), np.flatnonzero(sizes)
+        inside = gone[some] - place[first[some]]
+        nodes[first[some]] += inside
+        place[first[some]] += inside
         # Only the seed tells where in the text a part stands.
         seeds = np.array([_seed(searches[job[0]].row, 1 + number) for job in jobs], np.uint64)
         walked, counts = lattices.walk(nodes, ends, np.repeat(seeds, sizes) + place.astype(np.uint64))
@@ -370,12 +370,10 @@ def sample(vocab: dict, texts: list[str], rows: list[int], k: int) -> list[list[
             if number + 1 < k and (turn := search.pop(lattices)):
                 of, at, edge, value = turn
                 before = np.append(search.paths[of][0][:at], edge)
-                goal, gone = int(lattices.start[edge] + lattices.span[edge]), int(lattices.span[before].sum())
+                gone = int(lattices.span[before].sum())
                 # Parts that the kept edges fill; the turning edge may end inside the next one.
-                filled = np.cumsum(lengths[parts[i]])
-                full = int(np.searchsorted(filled, gone, "right"))
-                begun = gone > (filled[full - 1] if full else 0)
-                jobs.append((i, before, parts[i][full:], goal if begun else None, value))
+                full = int(np.searchsorted(np.cumsum(lengths[parts[i]]), gone, "right"))
+                jobs.append((i, before, parts[i][full:], gone, value))
     ids = spelled_out(vocab, lattices, [path for search in searches for path, _, _ in search.paths])
     out, n = [], 0
     for search in searches:
