@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -290,10 +292,62 @@ def test_dim_merge(spark):
     )
     got = merges.dim_merge(df, "k", ["a", "b"], ["ts"])
     assert {r.row_key: (r.a, r.b) for r in got.collect()} == {"1": ("a", "y"), "3": (None, "z")}
-    base = spark.createDataFrame([("1", "old", "old"), ("9", "kept", None)], "row_key string, a string, b string")
-    later = df.filter("ts > 1")
-    merged = merges.dim_merge(later, "k", ["a", "b"], ["ts"], base)
-    assert {r.row_key: (r.a, r.b) for r in merged.collect()} == {"1": ("old", "y"), "3": (None, "z"), "9": ("kept", None)}
+    # A change of the same time: the delete wins over the put, the greater of two values over the less.
+    tied = df.unionAll(spark.createDataFrame([("3", "q", "z", "d", 3), ("1", "zz", "y", "c", 1)], df.schema))
+    assert {r.row_key: (r.a, r.b) for r in merges.dim_merge(tied, "k", ["a", "b"], ["ts"]).collect()} == {"1": ("zz", "y")}
+
+
+def random_changes(spark, n, seed):
+    rng = random.Random(seed)
+    rows = [
+        (rng.choice("abcd"), rng.choice([None, "", "x", "y", "z"]), rng.choice([None, "p", "q"]), rng.choice("cuud"), rng.randrange(20))
+        for _ in range(n)
+    ]
+    return spark.createDataFrame(rows, "k string, a string, b string, op string, ts bigint"), rows
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_any_split_into_batches_gives_the_same_table(spark, seed):
+    """Against a plain fold, and with the changes cut into batches that come in any order, some twice."""
+    df, rows = random_changes(spark, 60, seed)
+    cut = [df.filter(F.pmod(F.xxhash64(*df.columns, F.lit(seed)), F.lit(4)) == i) for i in (2, 0, 3, 1, 0)]
+    for kind in ("dim", "partial"):
+        if kind == "dim":
+            cells = [merges.dim_cells(d, "k", ["a", "b"], ["ts"]) for d in (df, *cut)]
+            keys, value = ["row_key"], merges.dim_values
+        else:
+            cells = [merges.partial_cells(d, ["k"], ["a", "b"], ["ts"]) for d in (df, *cut)]
+            keys, value = ["k"], lambda c: merges.partial_values(c, ["k"])
+        whole = {tuple(r) for r in value(cells[0]).collect()}
+        table = cells[1]
+        for more in cells[2:]:
+            table = merges.fold(table.unionByName(more), keys)
+        assert {tuple(r) for r in value(table).collect()} == whole
+        want = set()
+        for k in {r[0] for r in rows}:
+            own = [r for r in rows if r[0] == k]
+            gone = max((r[4] for r in own if r[3] == "d"), default=-1)
+            puts = [r for r in own if r[3] != "d" and (kind == "partial" or r[4] > gone)]
+
+            def last(at):
+                found = [(r[4], r[at]) for r in puts if r[at] is not None and (r[at] != "" or kind == "partial")]
+                return max(found)[1] if found else None
+
+            if kind == "partial":
+                want.add((k, last(1), last(2), max((r[4] for r in puts), default=None)))
+            elif puts:
+                want.add((k, last(1), last(2)))
+        assert whole == {w for w in want if kind == "dim" or w[3] is not None}
+
+
+def test_tombstones_are_forgotten(spark):
+    df = spark.createDataFrame(
+        [("1", "a", "c", 1), ("1", None, "d", 2), ("2", "b", "c", 5), ("2", None, "d", 4), ("3", None, "d", 9)],
+        "k string, a string, op string, ts bigint",
+    )
+    cells = merges.dim_cells(df, "k", ["a"], ["ts"])
+    assert {r.row_key for r in merges.forget(cells, 5).collect()} == {"2", "3"}
+    assert {r.row_key for r in merges.dim_values(merges.forget(cells, 5)).collect()} == {"2"}
 
 
 def test_partial_update(spark):

@@ -29,66 +29,50 @@ def test_kafka_options():
     assert sinks.kafka_options("h:1", True)["kafka.acks"] == "all"
 
 
+KEYS = ["id", "ds"]
+
+
 def carts(spark, *rows):
-    return spark.createDataFrame(rows, "id int, ds string, ts_ms bigint, num int, name string")
-
-
-def merge_carts(batch, base):
-    return merges.partial_update(batch, ["id", "ds"], ["num", "name"], ["ts_ms"], base)
-
-
-def test_merged_table_by_day(spark, tmp_path):
-    table = sinks.MergedTable(spark, str(tmp_path / "t"), "ds")
-    assert table.read() is None
-    table.merge(carts(spark, (1, "20240101", 1, 5, "a"), (2, "20240102", 1, 6, None)), 0, merge_carts)
-    second = carts(spark, (1, "20240101", 2, None, "b"))
-    for _ in range(2):  # The same batch twice: its own snapshot is not its base.
-        table.merge(second, 1, merge_carts)
-    got = {(r.id, r.ds): (r.num, r.name, r.ts_ms) for r in table.read().collect()}
-    assert got == {(1, "20240101"): (5, "b", 2), (2, "20240102"): (6, None, 1)}
-    assert (tmp_path / "t" / "snap=1" / "ds=20240101").exists()
-    assert not (tmp_path / "t" / "snap=1" / "ds=20240102").exists()
-
-
-def test_unfinished_snapshot_does_not_count(spark, tmp_path):
-    table = sinks.MergedTable(spark, str(tmp_path / "t"), "ds")
-    table.merge(carts(spark, (1, "20240101", 1, 5, "a")), 0, merge_carts)
-    (tmp_path / "t" / "snap=1" / "ds=20240101").mkdir(parents=True)
-    assert table.snapshots() == [0]
-    assert table.read().count() == 1
-
-
-def folders(path):
-    return sorted(p.relative_to(path).as_posix() for p in path.glob("snap=*/ds=*"))
-
-
-def test_old_snapshots_are_retired(spark, tmp_path):
-    path = tmp_path / "t"
-    table = sinks.MergedTable(spark, str(path), "ds", keep=2)
-    table.merge(carts(spark, (9, "20231231", 0, 1, "old"), (1, "20240101", 0, 0, "a"), (8, None, 0, 3, "none")), 0, merge_carts)
-    for i in range(1, 6):
-        table.merge(carts(spark, (1, "20240101", i, i, None)), i, merge_carts)
-    # The newest two versions of the busy day, and one of those that nobody touched.
-    assert folders(path) == [
-        "snap=0/ds=20231231", f"snap=0/ds={sinks.NO_VALUE}", "snap=4/ds=20240101", "snap=5/ds=20240101"
-    ]
-    assert table.snapshots() == [4, 5]
-    got = {(r.id, r.ds): (r.num, r.name) for r in table.read().collect()}
-    assert got == {(9, "20231231"): (1, "old"), (1, "20240101"): (5, "a"), (8, None): (3, "none")}
-    table.merge(carts(spark, (8, None, 7, None, "late")), 6, merge_carts)
-    assert {r.name for r in table.read(only={None}).collect()} == {"late"}
-    whole = sinks.MergedTable(spark, str(tmp_path / "w"), keep=1)
-    for i in range(3):
-        whole.merge(carts(spark, (i, "x", i, i, "n")), i, lambda b, base: b if base is None else base.unionByName(b))
-    assert whole.read().count() == 3 and [p.name for p in (tmp_path / "w").glob("snap=*")] == ["snap=2"]
-    whole.drop()
-    assert whole.read() is None
+    df = spark.createDataFrame(rows, "id int, ds string, ts_ms bigint, num int, name string")
+    return merges.partial_cells(df, KEYS, ["num", "name"], ["ts_ms"])
+
+
+def cart_rows(table):
+    return {(r.id, r.ds): (r.num, r.name, r.ts_ms) for r in merges.partial_values(table.cells(), KEYS).collect()}
+
+
+def test_older_changes_may_come_later(spark, tmp_path):
+    table = sinks.CellTable(spark, str(tmp_path / "t"), KEYS)
+    assert table.cells() is None
+    table.add(carts(spark, (1, "20240101", 5, None, "b"), (2, None, 1, 6, None)), 0)
+    late = carts(spark, (1, "20240101", 1, 9, "old"))
+    for _ in range(2):  # The same batch twice replaces itself.
+        table.add(late, 1)
+    assert cart_rows(table) == {(1, "20240101"): (9, "b", 5), (2, None): (6, None, 1)}
+    table.drop()
+    assert table.cells() is None
+
+
+def test_folders_do_not_pile_up(spark, tmp_path):
+    table = sinks.CellTable(spark, str(tmp_path / "t"), KEYS, every=3)
+    want, old_plan = {}, None
+    for i in range(10):
+        table.add(carts(spark, (i % 4, "x", i, i, None), (9, "x", 20 - i, i, "n" if i == 3 else None)), 2 * i)
+        want[i % 4, "x"] = (i, None, i)
+        if i == 7:
+            old_plan, seen = table.cells(), dict(want)
+    want[9, "x"] = seen[9, "x"] = (0, "n", 20)
+    assert cart_rows(table) == want
+    names = [name for _, name in table.folders()]
+    assert names == ["upto=6", "batch=8", "batch=10", "upto=12", "batch=14", "batch=16", "upto=18"]
+    # A plan from before the last fold still finds its files.
+    assert {(r.id, r.ds): (r.num, r.name, r.ts_ms) for r in merges.partial_values(old_plan, KEYS).collect()} == seen
 
 
 def test_dim_table_from_a_stream(spark, events, tmp_path):
     src = str(tmp_path / "in")
     events.repartition(3).write.parquet(src)
-    table = sinks.MergedTable(spark, str(tmp_path / "dim"))
+    table = sinks.CellTable(spark, str(tmp_path / "dim"), ["row_key"])
     columns = ["sku_num", "is_ordered"]
 
     def rows(df):
@@ -97,12 +81,12 @@ def test_dim_table_from_a_stream(spark, events, tmp_path):
         return made.select(image["id"].alias("k"), *[image[c].alias(c) for c in columns], "op", "ts_ms")
 
     def write(batch, batch_id):
-        table.merge(batch, batch_id, lambda b, base: merges.dim_merge(b, "k", columns, ["ts_ms"], base))
+        table.add(merges.dim_cells(batch, "k", columns, ["ts_ms"]), batch_id)
 
     runs.start_each(rows(file_stream(spark, src, events.schema, max_files=1)), write, str(tmp_path / "cp"), once=True).awaitTermination(120)
     want = merges.dim_merge(rows(events), "k", columns, ["ts_ms"])
-    got = table.read()
-    assert len(table.snapshots()) == 3
+    got = merges.dim_values(table.cells())
+    assert len(table.folders()) == 3
     assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
 
 

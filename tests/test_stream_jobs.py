@@ -47,14 +47,14 @@ def test_dim_tables(spark, small, tmp_path):
         envelope_messages(part).coalesce(1).write.mode("append").text(src)
     topic = change_view(text_stream(spark, src, max_files=1))
     finish(stream_jobs.load_dims(topic, lambda: ad.dim_config(spark), ad.DB, root, once=True))
-    got = sinks.MergedTable(spark, f"{root}/dim_user_info").read()
+    got = stream_jobs.read_dim(spark, root, "dim_user_info")
     assert got.count() == customer.count()
     byid = {r.row_key: r for r in got.collect()}
     # The second change brought a name only: what it left out is kept.
     assert byid["1"].name == "new" and byid["1"].user_level is not None
     assert byid["5"].name == "Customer#000000005"
     # No row of this table came, so nothing was written for it.
-    assert sinks.MergedTable(spark, f"{root}/dim_order_info").snapshots() == []
+    assert stream_jobs.read_dim(spark, root, "dim_order_info") is None
 
 
 def test_cart_table(spark, events, tmp_path):
@@ -64,12 +64,11 @@ def test_cart_table(spark, events, tmp_path):
         envelope_messages(carts.filter(half)).coalesce(1).write.mode("append").text(src)
     topic = change_view(text_stream(spark, src, max_files=1))
     finish(stream_jobs.cart_table(topic, root, once=True))
-    table = sinks.MergedTable(spark, f"{root}/table", "ds")
     want = merges.partial_update(
         changes.typed_cart_changes(carts), ["id", "ds"], stream_jobs.CART_COLUMNS, ["ts_ms"]
     )
-    assert table.snapshots() == [0, 1]
-    assert rows(table.read()) == rows(want)
+    assert len(list((tmp_path / "out" / "table").glob("batch=*"))) == 2
+    assert rows(stream_jobs.read_carts(spark, root)) == rows(want)
 
 
 ENVELOPE = "before map<string,string>, after map<string,string>, source map<string,string>, op string, ts_ms bigint"
@@ -171,20 +170,21 @@ def test_names_are_those_of_the_moment(spark, trade_files, tmp_path):
         spark.createDataFrame(
             made, "id string, order_id string, province_id string, split_total_amount string, ts_ms bigint"
         ).coalesce(1).write.mode("append").parquet(lines)
-    table = sinks.MergedTable(spark, str(tmp_path / "provinces"))
+    table = sinks.CellTable(spark, str(tmp_path / "provinces"), ["row_key"])
     calls = []
 
     def names(*pairs):
-        return spark.createDataFrame(list(pairs), "row_key string, name string")
+        rows = spark.createDataFrame([(*p, "c", 1) for p in pairs], "k string, name string, op string, ts bigint")
+        return merges.dim_cells(rows, "k", ["name"], ["ts"])
 
-    table.merge(names(("0", "north")), 0, lambda b, base: b)
+    table.add(names(("0", "north")), 0)
 
     def read():
         calls.append(1)
-        found = table.read()
+        found = merges.dim_values(table.cells())
         if len(calls) == 1:
             # Another job loads a province while this one runs.
-            table.merge(names(("1", "south")), 1, lambda b, base: base.unionByName(b))
+            table.add(names(("1", "south")), 1)
         return found
 
     details = file_stream(spark, lines, spark.read.parquet(lines).schema, max_files=1)
@@ -241,10 +241,10 @@ def test_configuration_from_its_changes(spark, tmp_path):
         path = str(tmp_path / "topic")
         envelopes(spark, (table, "r", None, {"id": key, "name": "n", "extra": "x"}, ts)).write.mode("append").parquet(path)
         topic = file_stream(spark, path, spark.read.parquet(path).schema, max_files=1)
-        finish(stream_jobs.load_dims(topic, lambda: sinks.MergedTable(spark, root).read(), ad.DB, dims, once=True))
+        finish(stream_jobs.load_dims(topic, lambda: stream_jobs.read_config(spark, root), ad.DB, dims, once=True))
 
     def dim(table):
-        found = sinks.MergedTable(spark, f"{dims}/dim_made_{table}").read()
+        found = stream_jobs.read_dim(spark, dims, f"dim_made_{table}")
         return None if found is None else sorted(tuple(r) for r in found.collect())
 
     load("a", "0", 0)  # There is no configuration yet.
@@ -252,7 +252,7 @@ def test_configuration_from_its_changes(spark, tmp_path):
     load("a", "1", 1)
     load("b", "1", 2)
     assert dim("a") == [("1", "1", "n")] and dim("b") == [("1", "1")]
-    assert len(sinks.MergedTable(spark, f"{dims}/dim_made_a").snapshots()) == 1
+    assert len(sinks.CellTable(spark, f"{dims}/dim_made_a", ["row_key"]).folders()) == 1
     assert spark.table("dim_made_a").columns == ["row_key", "id", "name"]
     change(("cfg", "d", rule("b", "id"), None, 3), ("cfg", "u", rule("a"), rule("a", "id,extra"), 4))
     assert dim("a") is None and dim("b") is None

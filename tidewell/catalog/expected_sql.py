@@ -364,4 +364,5 @@ SELECT user_id, ds, arg_max(is_ordered, id) AS is_ordered, arg_max(sku_num, id)
 FROM typed GROUP BY user_id, ds"""
 EXPECTED["partial_update_merge"] = _PARTIAL
 EXPECTED["sink_partial_update_table"] = _PARTIAL
+EXPECTED["sink_dim_merge_table"] = EXPECTED["dim_upsert_merge"]
 EXPECTED["src_cdc_typed_view"] = EXPECTED["src_cdc_map_view"]

@@ -201,9 +201,7 @@ def sink_summary_table(spark, sf_dir):
     return spark.read.schema(schema).json(f"{path}/batch=0")
 
 
-@query
-def dim_upsert_merge(spark, sf_dir):
-    """Carts as a dimension keyed by user and sku, after puts and deletes."""
+def _cart_puts(spark, sf_dir):
     carts = ad.cart_info(ad.table(spark, sf_dir, "events"))
     row = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
     rows = carts.select(
@@ -215,7 +213,28 @@ def dim_upsert_merge(spark, sf_dir):
         "ts_ms",
         row["id"].cast("bigint").alias("seq"),
     )
-    return merges.dim_merge(rows, "row_key", ["sku_num", "is_ordered", "operate_time"], ["ts_ms", "seq"])
+    return rows, "row_key", ["sku_num", "is_ordered", "operate_time"], ["ts_ms", "seq"]
+
+
+def _batches(rows, key, n=3):
+    """Rows cut by a hash, so that older changes come after newer ones."""
+    return [rows.filter(F.pmod(F.xxhash64(key), F.lit(n)) == i) for i in range(n)]
+
+
+@query
+def dim_upsert_merge(spark, sf_dir):
+    """Carts as a dimension keyed by user, after puts and deletes."""
+    return merges.dim_merge(*_cart_puts(spark, sf_dir))
+
+
+@query
+def sink_dim_merge_table(spark, sf_dir):
+    """The same dimension through its table, in three batches cut by a hash of the change."""
+    rows, key, columns, order = _cart_puts(spark, sf_dir)
+    target = sinks.CellTable(spark, scratch(spark, "dim"), ["row_key"], every=2)
+    for batch_id, part in enumerate(_batches(rows, "seq")):
+        target.add(merges.dim_cells(part, key, columns, order), batch_id)
+    return merges.dim_values(target.cells())
 
 
 @query
@@ -240,13 +259,13 @@ def partial_update_merge(spark, sf_dir):
 
 @query
 def sink_partial_update_table(spark, sf_dir):
-    """The same merge through its table: two batches, days rewritten where they changed."""
+    """The same merge through its table, in three batches cut by a hash of the change."""
     rows = changes.typed_cart_changes(ad.cart_info(ad.table(spark, sf_dir, "events")))
     keys, columns, order = ["user_id", "ds"], ["is_ordered", "sku_num", "sku_name", "operate_time"], ["ts_ms", "id"]
-    target = sinks.MergedTable(spark, scratch(spark, "carts"), "ds")
-    for batch_id, part in enumerate((rows.filter("is_ordered = 1"), rows.filter("is_ordered = 0"))):
-        target.merge(part, batch_id, lambda b, base: merges.partial_update(b, keys, columns, order, base))
-    return target.read()
+    target = sinks.CellTable(spark, scratch(spark, "carts"), keys, every=2)
+    for batch_id, part in enumerate(_batches(rows, "id")):
+        target.add(merges.partial_cells(part, keys, columns, order), batch_id)
+    return merges.partial_values(target.cells(), keys)
 
 
 @query

@@ -134,21 +134,21 @@ def config_rows(changes: DataFrame, fields: Iterable[str]) -> DataFrame:
     )
 
 
-def current_config(
-    changes: DataFrame, fields: Iterable[str], base: DataFrame | None = None
-) -> DataFrame:
-    """Configuration in force after a change history: newest row per source table, deletes out.
-
-    ``base`` is an earlier result, which any change of the same source table replaces.
-    """
+def config_cells(changes: DataFrame, fields: Iterable[str]) -> DataFrame:
+    """The newest change of each source table's configuration as one cell, see ``merges``."""
     rows = config_rows(changes, fields)
-    if base is not None:
-        rows = rows.unionByName(base.withColumn("ts_ms", F.lit(None).cast("bigint")))
-    rest = [c for c in rows.columns if c != "source_table"]
-    newest = rows.groupBy("source_table").agg(
-        F.max(F.struct("ts_ms", *[c for c in rest if c != "ts_ms"])).alias("_row")
-    )
-    return newest.select("source_table", "_row.*").filter("op <> 'd'").drop("ts_ms")
+    rest = [c for c in rows.columns if c not in ("source_table", "ts_ms")]
+    return rows.groupBy("source_table").agg(F.max(F.struct("ts_ms", *rest)).alias("_row"))
+
+
+def config_values(cells: DataFrame) -> DataFrame:
+    """Configuration that cells stand for, deleted rules left out."""
+    return cells.select("source_table", "_row.*").filter("op <> 'd'").drop("ts_ms")
+
+
+def current_config(changes: DataFrame, fields: Iterable[str]) -> DataFrame:
+    """Configuration in force after a change history: newest row per source table, deletes out."""
+    return config_values(config_cells(changes, fields))
 
 
 def cart_add(df: DataFrame, mode: str = "delta") -> DataFrame:

@@ -27,18 +27,17 @@ def dim_load(
     return changes.route(valid, config, tables)
 
 
-def dim_table(
-    routed: DataFrame,
-    sink_table: str,
-    columns: Sequence[str],
-    order: Sequence[str] = ("ts_ms",),
-    base: DataFrame | None = None,
-) -> DataFrame:
-    """One dimension table out of routed rows."""
+def dim_cells(routed: DataFrame, sink_table: str, columns: Sequence[str], order: Sequence[str] = ("ts_ms",)) -> DataFrame:
+    """Cells of one dimension table out of routed rows."""
     rows = routed.filter(F.col("sink_table") == sink_table).select(
         "row_key", *[F.col("data")[c].alias(c) for c in columns], "op", *order
     )
-    return merges.dim_merge(rows, "row_key", columns, order, base)
+    return merges.dim_cells(rows, "row_key", columns, order)
+
+
+def dim_table(routed: DataFrame, sink_table: str, columns: Sequence[str], order: Sequence[str] = ("ts_ms",)) -> DataFrame:
+    """One dimension table out of routed rows."""
+    return merges.dim_values(dim_cells(routed, sink_table, columns, order))
 
 
 def split_log_messages(messages: DataFrame, order: Sequence[str] = ()) -> dict[str, DataFrame]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -223,7 +223,7 @@ def follow_config(
 ) -> StreamingQuery:
     """The dimension configuration as a table under ``root``, from changes of its source table.
 
-    ``lambda: MergedTable(spark, root).read()`` is a ``read_config`` for ``load_dims``. Tables under
+    ``lambda: read_config(spark, root)`` is a ``read_config`` for ``load_dims``. Tables under
     ``dims`` whose rule was deleted or changed are dropped; their next rows create them anew. Start it
     before ``load_dims``, which would fail and start again if its table goes during a merge. Catalog
     tables of ``namespace``, if given, are created and dropped by the same rules.
@@ -233,14 +233,12 @@ def follow_config(
         session = batch.sparkSession
         batch.persist()
         try:
-            sinks.MergedTable(session, root).merge(
-                batch, batch_id, lambda b, base: changes.current_config(b, CONFIG_FIELDS, base)
-            )
+            _config(session, root).add(changes.config_cells(batch, CONFIG_FIELDS), batch_id)
             if dims is not None:
                 old = F.col("before")["sink_table"]
                 gone = batch.filter(F.col("op").isin("d", "u")).select(old.alias("name")).distinct()
                 for row in gone.filter("name IS NOT NULL").collect():
-                    sinks.MergedTable(session, f"{dims}/{row.name}").drop()
+                    _dim(session, dims, row.name).drop()
             if namespace is not None:
                 rules = changes.config_rows(batch, CONFIG_FIELDS).orderBy("ts_ms")
                 sinks.apply_dim_config(session, rules, namespace)
@@ -262,8 +260,8 @@ def load_dims(
 
     The configuration is read anew for each micro-batch, and its names are a filter on the
     changes. It has one row per table, so walking through it on the driver is no matter of data
-    size. Tables without a row in a micro-batch are left alone. ``row_key`` and the columns of a
-    table are kept by ``MergedTable``; ``ts_ms`` decides between changes of one row.
+    size. Tables without a row in a micro-batch are left alone. ``ts_ms`` decides between changes of
+    one row, in whichever micro-batches they come; ``read_dim`` gives the table.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -277,9 +275,7 @@ def load_dims(
             busy = {r.sink_table for r in routed.select("sink_table").distinct().collect()}
             columns = {r.sink_table: r.sink_columns.split(",") for r in rules if r.sink_table in busy}
             for name, kept in columns.items():
-                sinks.MergedTable(batch.sparkSession, f"{root}/{name}").merge(
-                    routed, batch_id, lambda b, base: jobs.dim_table(b, name, kept, base=base)
-                )
+                _dim(batch.sparkSession, root, name).add(jobs.dim_cells(routed, name, kept), batch_id)
         finally:
             routed.unpersist()
 
@@ -297,18 +293,44 @@ CART_COLUMNS = (
 )
 
 
+CART_KEYS = ("id", "ds")
+
+
 def cart_table(topic: DataFrame, root: str, once: bool = False) -> StreamingQuery:
-    """The cart table under ``root``, by day, where each column keeps its last value."""
+    """The cart table under ``root``, where each column keeps its last value; ``read_carts`` gives it."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            sinks.MergedTable(batch.sparkSession, f"{root}/table", "ds").merge(
-                batch,
-                batch_id,
-                lambda b, base: merges.partial_update(b, ["id", "ds"], CART_COLUMNS, ["ts_ms"], base),
-            )
-        finally:
-            batch.unpersist()
+        cells = merges.partial_cells(batch, CART_KEYS, CART_COLUMNS, ["ts_ms"])
+        _carts(batch.sparkSession, root).add(cells, batch_id)
 
     return runs.start_each(changes.typed_cart_changes(topic), write, f"{root}/checkpoint", once=once)
+
+
+def _carts(spark: SparkSession, root: str) -> sinks.CellTable:
+    return sinks.CellTable(spark, f"{root}/table", CART_KEYS)
+
+
+def _dim(spark: SparkSession, root: str, name: str) -> sinks.CellTable:
+    return sinks.CellTable(spark, f"{root}/{name}", ["row_key"])
+
+
+def _config(spark: SparkSession, root: str) -> sinks.CellTable:
+    return sinks.CellTable(spark, root, ["source_table"])
+
+
+def read_carts(spark: SparkSession, root: str) -> DataFrame | None:
+    """What ``cart_table`` keeps, none before its first micro-batch."""
+    cells = _carts(spark, root).cells()
+    return None if cells is None else merges.partial_values(cells, CART_KEYS)
+
+
+def read_dim(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """A table that ``load_dims`` keeps, none if it has no row yet."""
+    cells = _dim(spark, root, name).cells()
+    return None if cells is None else merges.dim_values(cells)
+
+
+def read_config(spark: SparkSession, root: str) -> DataFrame | None:
+    """What ``follow_config`` keeps, none before its first change."""
+    cells = _config(spark, root).cells()
+    return None if cells is None else changes.config_values(cells)

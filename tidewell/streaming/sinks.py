@@ -1,4 +1,4 @@
-"""Where results go: message topics, append tables and merged tables.
+"""Where results go: message topics, append tables and tables of cells.
 
 Every write of a micro-batch is keyed by its batch id and replaces what an earlier attempt at
 the same batch left, so a replay after a lost executor or driver changes nothing.
@@ -6,19 +6,13 @@ the same batch left, so a replay after a lost executor or driver changes nothing
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SNAP = "snap"
-# Folder of the files that say what a snapshot consists of. Spark skips names like it.
-PARTS = "_parts"
-# Spark's folder name for a partition value that is null.
-NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+from tidewell.operators import merges
 
 
 def kafka_options(servers: str, idempotent: bool = False) -> dict[str, str]:
@@ -72,135 +66,52 @@ def for_each_batch(path: str, write: Callable[[DataFrame, str, int], None] = app
     return run
 
 
-class MergedTable:
-    """A keyed table kept as snapshots: each merge writes new files and touches no old ones.
+class CellTable:
+    """A keyed table as the cells (see ``merges``) that its batches left.
 
-    A batch writes ``snap=<batch id>`` and then, in one step, a small file that says which folders
-    make up the table; the snapshot counts from then on, so readers see either the old table or
-    the new one. With ``partition`` a snapshot holds only the partitions that the batch changed,
-    and the rest of the table stays where it is; without it a snapshot is the whole table.
-
-    What none of the newest ``keep`` snapshots uses is deleted after a merge. A plan made by
-    ``read`` is good until ``keep`` further merges, and the folders to list do not grow with the
-    number of batches. Batch ids must rise, as those of one streaming query do.
+    A batch is one Spark write of its own cells into ``batch=<id>``, whatever the size of the table, and
+    a second try replaces it. ``cells`` folds what all folders hold; since cells fold by maximum, a reader may meet
+    a batch half, once or twice. After ``every`` folders a batch writes ``upto=<id>`` with all older cells as well.
+    The folders before the last but one of those are then deleted, so plans that
+    were made before the last one read on.
     """
 
-    def __init__(self, spark: SparkSession, path: str, partition: str | None = None, keep: int = 10):
-        self.spark, self.path, self.partition, self.keep = spark, path.rstrip("/"), partition, keep
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], every: int = 20):
+        self.spark, self.path, self.keys, self.every = spark, path.rstrip("/"), list(keys), every
 
     def _at(self, path: str):
         where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
 
-    def _list(self, path: str) -> list[str]:
-        fs, where = self._at(path)
-        return [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
+    def folders(self, before: int | None = None) -> list[tuple[int, str]]:
+        """(batch id, name) of the folders, oldest first."""
+        fs, where = self._at(self.path)
+        names = [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
+        found = [(int(name.split("=")[1]), name) for name in names if name.startswith(("batch=", "upto="))]
+        return sorted(f for f in found if before is None or f[0] < before)
+
+    def cells(self, before: int | None = None) -> DataFrame | None:
+        """The cells of the table; none if nothing was written yet."""
+        paths = [f"{self.path}/{name}" for _, name in self.folders(before)]
+        return merges.fold(self.spark.read.parquet(*paths), self.keys) if paths else None
+
+    def add(self, cells: DataFrame, batch_id: int) -> None:
+        """Add the cells of a batch. Batch ids must rise, as those of one streaming query do."""
+        older = self.folders(batch_id)
+        whole = [i for i, name in older if name.startswith("upto=")]
+        name = f"batch={batch_id}"
+        if len(older) - (older.index((whole[-1], f"upto={whole[-1]}")) if whole else 0) >= self.every:
+            cells = merges.fold(self.cells(batch_id).unionByName(cells), self.keys)
+            name = f"upto={batch_id}"
+        cells.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.path}/{name}")
+        for i, old in older:
+            if len(whole) > 1 and i < whole[-2]:
+                self._delete(f"{self.path}/{old}")
 
     def _delete(self, path: str) -> None:
         fs, where = self._at(path)
         fs.delete(where, True)
 
-    def snapshots(self, before: int | None = None) -> list[int]:
-        """Ids of complete snapshots, oldest first."""
-        ids = (name.split("=")[1] for name in self._list(f"{self.path}/{PARTS}") if name.startswith(f"{SNAP}="))
-        return sorted(int(i) for i in ids if before is None or int(i) < before)
-
-    def _parts(self, snapshot: int) -> dict[str, int]:
-        """Folders of the table as of a snapshot, each with the snapshot that wrote it."""
-        fs, where = self._at(f"{self.path}/{PARTS}/{SNAP}={snapshot}")
-        stream = fs.open(where)
-        try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-
-    def _commit(self, snapshot: int, parts: dict[str, int]) -> None:
-        fs, made = self._at(f"{self.path}/{PARTS}/.{SNAP}={snapshot}")
-        stream = fs.create(made, True)
-        stream.write(bytearray(json.dumps(parts).encode()))
-        stream.close()
-        self._uncommit(snapshot)
-        _, place = self._at(f"{self.path}/{PARTS}/{SNAP}={snapshot}")
-        if not fs.rename(made, place):
-            raise OSError(f"cannot complete snapshot {snapshot} of {self.path}")
-
-    def _uncommit(self, snapshot: int) -> None:
-        self._delete(f"{self.path}/{PARTS}/{SNAP}={snapshot}")
-
-    def _retire(self, newest: int) -> None:
-        done = self.snapshots(newest + 1)
-        used = {(i, name) for snap in done[-self.keep :] for name, i in self._parts(snap).items()}
-        live = {i for i, _ in used} | set(done[-self.keep :])
-        for snap in done[: -self.keep]:
-            self._uncommit(snap)
-        for folder in self._list(self.path):
-            if not folder.startswith(f"{SNAP}="):
-                continue
-            i = int(folder.split("=")[1])
-            if i not in live and i < newest:
-                self._delete(f"{self.path}/{folder}")
-            elif self.partition is not None and i not in done[-self.keep :] and i < newest:
-                for name in self._list(f"{self.path}/{folder}"):
-                    if name.startswith(f"{self.partition}=") and (i, name) not in used:
-                        self._delete(f"{self.path}/{folder}/{name}")
-
-    def _folder(self, value: str | None) -> str:
-        return f"{self.partition}={NO_VALUE if value is None else value}"
-
-    def read(self, before: int | None = None, only: set[str | None] | None = None) -> DataFrame | None:
-        """The table, as of the snapshots older than ``before`` if given; none if there are none.
-
-        ``only`` names the partition values to read.
-        """
-        done = self.snapshots(before)
-        if not done:
-            return None
-        parts = self._parts(done[-1])
-        if self.partition is None:
-            paths = [f"{self.path}/{SNAP}={i}" for i in parts.values()]
-        else:
-            wanted = None if only is None else {self._folder(v) for v in only}
-            paths = [
-                f"{self.path}/{SNAP}={i}/{name}"
-                for name, i in sorted(parts.items())
-                if wanted is None or unquote(name) in wanted
-            ]
-        if not paths:
-            return None
-        df = self.spark.read.option("basePath", self.path).parquet(*paths).drop(SNAP)
-        if self.partition is not None:
-            # A partition value such as 20240101 must stay text.
-            df = df.withColumn(self.partition, F.col(self.partition).cast("string"))
-        return df
-
-    def merge(
-        self,
-        batch: DataFrame,
-        batch_id: int,
-        combine: Callable[[DataFrame, DataFrame | None], DataFrame],
-    ) -> None:
-        """Write snapshot ``batch_id`` as ``combine(batch, table before it)``."""
-        folder = f"{self.path}/{SNAP}={batch_id}"
-        # A second try of a batch takes back what the first one left.
-        self._uncommit(batch_id)
-        only, parts = None, {"": batch_id}
-        if self.partition is not None:
-            # The days that occur in the batch; no other partition is read or rewritten.
-            days = batch.select(F.col(self.partition).cast("string")).distinct().collect()
-            only = {r[0] for r in days}
-            done = self.snapshots(batch_id)
-            touched = {self._folder(v) for v in only}
-            parts = {n: i for n, i in (self._parts(done[-1]) if done else {}).items() if unquote(n) not in touched}
-        merged = combine(batch, self.read(batch_id, only))
-        writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        if self.partition is not None:
-            writer = writer.partitionBy(self.partition)
-        writer.parquet(folder)
-        if self.partition is not None:
-            parts |= {n: batch_id for n in self._list(folder) if n.startswith(f"{self.partition}=")}
-        self._commit(batch_id, parts)
-        self._retire(batch_id)
-
     def drop(self) -> None:
         """Delete the table."""
         self._delete(self.path)
