@@ -10,7 +10,7 @@ from tidewell.streaming import state
 
 
 def test_worker_code_loads_without_the_package(tmp_path):
-    made = (dedup._bloom_pass(10, 0.01), dedup._without_copies, state.FirstOfDay(["a"], ["b"]), state.BloomShard(["a"], 10, 0.01))
+    made = (dedup._bloom_pass(10, 0.01), dedup._without_copies, state.FirstOfDay(["a"]), state.BloomShard(10, 0.01))
     path = tmp_path / "code.bin"
     path.write_bytes(cloudpickle.dumps(made))
     script = f"import pickle; print(len(pickle.load(open({str(path)!r}, 'rb'))))"

@@ -22,18 +22,22 @@ def retract(
     order: Sequence[str],
     amounts: Sequence[str],
     ttl_ms: int | None = None,
+    start: DataFrame | None = None,
 ) -> DataFrame:
     """All versions, and for each superseded one a copy with its amounts negated.
 
     Sums over the result count every key once, with its newest version. A retraction keeps the
     time and all else of the row that it takes back. ``amounts`` may be numbers or text. Versions
-    of equal order are taken back but for one.
+    of equal order are taken back but for one. ``start``, the newest rows of a batch (see ``latest``), are
+    versions that a stream knows before.
 
     On a batch, the newest version of each key is found by an aggregate that reduces before its
     shuffle, and rows are then compared with it.
     """
     if df.isStreaming:
-        return state.retract(df, key, order, amounts, ttl_ms)
+        return state.retract(df, key, order, amounts, ttl_ms, start)
+    if start is not None:
+        raise ValueError("a batch has no earlier state")
     if ttl_ms is not None:
         raise ValueError("a time to live in processing time has no meaning on a batch")
     # Equal rows are versions as well; one row with their number stands for them. Among versions of

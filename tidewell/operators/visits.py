@@ -19,6 +19,11 @@ from tidewell.streaming import state
 RETURN_DAYS = 8
 
 
+def _only_on_streams(start: DataFrame | None) -> None:
+    if start is not None:
+        raise ValueError("a batch has no earlier state")
+
+
 def first_of_day(
     df: DataFrame,
     keys: Sequence[str],
@@ -27,16 +32,19 @@ def first_of_day(
     carry: Sequence[str] = (),
     delay: str = "0 seconds",
     keep_ms: int | None = 0,
+    start: DataFrame | None = None,
 ) -> DataFrame:
     """The first row per key and date, as ``keys``, ``visit_date``, ``ts`` and ``carry``.
 
     ``ts`` is in epoch milliseconds; ``order`` breaks ties. On a stream a key fires whenever its
     date differs from the last one seen, and ``_event_time`` carries the watermark on. A stream
     forgets a key when the watermark is ``keep_ms`` past the end of its date: rows of that date
-    would be too late by then. None keeps it for ever.
+    would be too late by then. None keeps it for ever. ``start``, a result of the batch form, is
+    what a stream takes as seen before.
     """
     if df.isStreaming:
-        return state.first_of_day(df, keys, ts, order, carry, delay, keep_ms).drop("prev_date")
+        return state.first_of_day(df, keys, ts, order, carry, delay, keep_ms, start).drop("prev_date")
+    _only_on_streams(start)
     day = times.at(F.col(ts)).cast("date").alias("visit_date")
     rest = [c for c in (*order, *carry) if c != ts]
     if not rest:
@@ -55,17 +63,21 @@ def return_logins(
     days: int = RETURN_DAYS,
     delay: str = "0 seconds",
     keep_ms: int | None = None,
+    start: DataFrame | None = None,
 ) -> DataFrame:
     """One row per user and login date: ``uu_ct`` 1, ``back_ct`` 1 after a long absence.
 
     Absence is in whole days since the midnight that opened the previous login date. A stream
     forgets users ``keep_ms`` after their last login date, and by default never: a forgotten user
-    cannot come back.
+    cannot come back. ``start``, a result of the batch form, is what a stream takes as seen before.
     """
     if df.isStreaming:
-        firsts = state.first_of_day(df, [key], ts, (), (), delay, keep_ms)
+        if start is not None:
+            start = start.select(key, F.to_date("login_date", times.DATE).alias("visit_date"))
+        firsts = state.first_of_day(df, [key], ts, (), (), delay, keep_ms, start)
         extra = ["_event_time"]
     else:
+        _only_on_streams(start)
         # At most one row per user and day is left when the users are ordered.
         firsts = first_of_day(df, [key], ts).withColumn(
             "prev_date", F.lag("visit_date").over(W.partitionBy(key).orderBy("visit_date"))
@@ -83,34 +95,35 @@ def return_logins(
     )
 
 
+def first_dates(df: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """(mid, anchor): the date that the first record of each device fixes."""
+    today = times.at(F.col("_first.ts")).cast("date")
+    return (
+        df.select(F.col("common.mid").alias("mid"), "ts", *order, F.col("common.is_new").alias("_new"))
+        .filter("mid IS NOT NULL")
+        .groupBy("mid")
+        .agg(F.min(F.struct("ts", *order, "_new")).alias("_first"))
+        .select("mid", (today - F.when(F.col("_first._new") == "1", 0).otherwise(1)).alias("anchor"))
+    )
+
+
 def fix_is_new(
-    df: DataFrame, order: Sequence[str] = (), ttl_ms: int | None = None
+    df: DataFrame, order: Sequence[str] = (), ttl_ms: int | None = None, start: DataFrame | None = None
 ) -> DataFrame:
     """Correct the new-visitor flag of log records.
 
     The first record of a device fixes a date: its own day if it claims to be new, else the day
     before. A later claim to be new on any other date is set to ``0``. Records without a device
-    stay as they are.
+    stay as they are. ``start``, a result of ``first_dates``, is what a stream knows before.
     """
     if df.isStreaming:
-        return state.fix_is_new(df, order, ttl_ms)
+        return state.fix_is_new(df, order, ttl_ms, start)
+    _only_on_streams(start)
     if ttl_ms is not None:
         raise ValueError("a time to live in processing time has no meaning on a batch")
     mid, new = F.col("common.mid"), F.col("common.is_new")
     today = times.at(F.col("ts")).cast("date")
-    anchors = (
-        df.select(mid.alias("_mid"), "ts", *order, new.alias("_new"))
-        .filter("_mid IS NOT NULL")
-        .groupBy("_mid")
-        .agg(F.min(F.struct("ts", *order, "_new")).alias("_first"))
-        .select(
-            F.col("_mid"),
-            (
-                times.at(F.col("_first.ts")).cast("date")
-                - F.when(F.col("_first._new") == "1", 0).otherwise(1)
-            ).alias("_anchor"),
-        )
-    )
+    anchors = first_dates(df, order).toDF("_mid", "_anchor")
     fixed = F.when((new == "1") & (F.col("_anchor") != today), F.lit("0")).otherwise(new)
     return (
         df.join(anchors, mid == F.col("_mid"), "left")

@@ -37,3 +37,30 @@ class Bloom:
         fresh = ((self.bits[byte] & bit) == 0).any(axis=1)
         np.bitwise_or.at(self.bits, byte, bit)
         return fresh
+
+
+@dataclass
+class BlockedBloom:
+    """A Bloom filter cut into blocks: all bits of a key are in one block, so blocks can be kept apart."""
+
+    BLOCK = 4096  # bytes; large enough that keys spread almost evenly over blocks
+    ROOM = 1.1  # for blocks that get more than their share
+
+    blocks: int
+    probes: int
+
+    @classmethod
+    def sized(cls, expected: int, fpp: float) -> BlockedBloom:
+        n_bits = -expected * math.log(fpp) / math.log(2) ** 2 * cls.ROOM
+        blocks = max(1, math.ceil(n_bits / (8 * cls.BLOCK)))
+        return cls(blocks, max(1, round(-math.log2(fpp))))
+
+    def block_of(self, h1: np.ndarray) -> np.ndarray:
+        # The upper half of the hash; shards are dealt by the lower bits.
+        return ((h1.astype(np.uint64) >> np.uint64(32)) % np.uint64(self.blocks)).astype(np.int64)
+
+    def add(self, block: bytes | None, h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, bytes]:
+        """Insert distinct pairs into a block: which were certainly not there before, and the new block."""
+        held = np.zeros(self.BLOCK, np.uint8) if block is None else np.frombuffer(block, np.uint8).copy()
+        one = Bloom(held, self.probes)
+        return one.add(h2, h1 ^ h2 >> np.int64(7)), one.dump()
