@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from tidewell import schemas
 from tidewell.functions import times
+from tidewell.streaming import updates
 
 HORIZON = "30 minutes 5 seconds"
 
 
-def _seconds(interval: str) -> int:
+def seconds(interval: str) -> int:
     sizes = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
     words = interval.split()
     return sum(int(n) * sizes[unit.rstrip("s")] for n, unit in zip(words[::2], words[1::2]))
@@ -42,7 +43,7 @@ def equi_join(
         part = left[a] == right[b]
         cond = part if cond is None else cond & part
     if left.isStreaming and right.isStreaming:
-        span = F.expr(f"INTERVAL {_seconds(horizon)} SECONDS")
+        span = F.expr(f"INTERVAL {seconds(horizon)} SECONDS")
         lt, rt = left["_event_time"], right["_event_time"]
         cond = cond & (rt >= lt - span) & (rt <= lt + span)
         return left.join(right, cond, how).drop(right["_event_time"])
@@ -65,16 +66,7 @@ def _event_time(df: DataFrame) -> list[str]:
     return ["_event_time"] if df.isStreaming and "_event_time" in df.columns else []
 
 
-def order_detail(
-    detail: DataFrame, orders: DataFrame, activity: DataFrame, coupon: DataFrame
-) -> DataFrame:
-    """Order lines with their order, and with activity and coupon where there are any."""
-    o = _prefixed(orders, "o_")
-    a = _prefixed(activity, "a_")
-    c = _prefixed(coupon, "c_")
-    joined = equi_join(detail, o, [("order_id", "o_id")])
-    joined = equi_join(joined, a, [("id", "a_order_detail_id")], "left")
-    joined = equi_join(joined, c, [("id", "c_order_detail_id")], "left")
+def _detail_fact(joined: DataFrame, more: Sequence[str]) -> DataFrame:
     return joined.select(
         "id",
         "order_id",
@@ -93,10 +85,41 @@ def order_detail(
         "split_coupon_amount",
         "split_total_amount",
         "ts_ms",
-        *_event_time(detail),
+        *more,
     )
 
 
+def order_detail(
+    detail: DataFrame, orders: DataFrame, activity: DataFrame, coupon: DataFrame
+) -> DataFrame:
+    """Order lines with their order, and with activity and coupon where there are any.
+
+    On streams a line without one of them comes out when none can come any more; see
+    ``order_detail_updates`` for lines that come at once.
+    """
+    joined = equi_join(detail, _prefixed(orders, "o_"), [("order_id", "o_id")])
+    joined = equi_join(joined, _prefixed(activity, "a_"), [("id", "a_order_detail_id")], "left")
+    joined = equi_join(joined, _prefixed(coupon, "c_"), [("id", "c_order_detail_id")], "left")
+    return _detail_fact(joined, _event_time(detail))
+
+
+def order_detail_updates(
+    detail: DataFrame, orders: DataFrame, activity: DataFrame, coupon: DataFrame, ttl_ms: int | None = None
+) -> DataFrame:
+    """Streamed order lines as changes (``_sign``, see ``streaming.updates``).
+
+    A line comes out with its order, without waiting for activity and coupon; when one comes, the
+    line is taken back and given anew with it.
+    """
+    joined = equi_join(detail, _prefixed(orders, "o_"), [("order_id", "o_id")])
+    a, c = _prefixed(activity, "a_"), _prefixed(coupon, "c_")
+    # Only what the fact reads is kept in state.
+    a = a.select("a_order_detail_id", "a_activity_id", "a_activity_rule_id")
+    c = c.select("c_order_detail_id", "c_coupon_id")
+    found = updates.left_join(joined, [(a, "a_order_detail_id"), (c, "c_order_detail_id")], "id", ttl_ms)
+    return _detail_fact(found, ["_sign"])
+
+
 def pay_success(payments: DataFrame, details: DataFrame) -> DataFrame:
     """Paid order lines; time and payer come from the payment and the order line."""
     p = _prefixed(payments, "p_")
@@ -241,7 +264,7 @@ def interval_join(
 
 def _signed_ms(interval: str) -> int:
     sign = -1 if interval.startswith("-") else 1
-    return sign * _seconds(interval.lstrip("-")) * 1000
+    return sign * seconds(interval.lstrip("-")) * 1000
 
 
 @dataclass(frozen=True)

@@ -61,8 +61,8 @@ def orders_with_status(topic: changes.Topic, status: str, delay: str | None = No
     )
 
 
-def order_detail(topic: changes.Topic, delay: str | None = None) -> DataFrame:
-    return joins.order_detail(
+def _detail_sides(topic: changes.Topic, delay: str | None) -> tuple[DataFrame, ...]:
+    return (
         order_lines(topic, delay),
         _project(topic, "order_info", ("id", "user_id", "province_id"), delay),
         _project(
@@ -75,6 +75,15 @@ def order_detail(topic: changes.Topic, delay: str | None = None) -> DataFrame:
     )
 
 
+def order_detail(topic: changes.Topic, delay: str | None = None) -> DataFrame:
+    return joins.order_detail(*_detail_sides(topic, delay))
+
+
+def order_detail_updates(topic: changes.Topic, delay: str, ttl_ms: int | None = None) -> DataFrame:
+    """Streamed order lines at once, as changes; see ``joins.order_detail_updates``."""
+    return joins.order_detail_updates(*_detail_sides(topic, delay), ttl_ms)
+
+
 def pay_success(topic: changes.Topic, details: DataFrame, delay: str | None = None) -> DataFrame:
     payments = _project(
         topic,

@@ -132,6 +132,13 @@ def write_facts(
     return {n: to_topic(fact_rows(n, topic, delay), FACT_TOPICS[n], root, once=once) for n in names}
 
 
+def write_order_updates(
+    topic: DataFrame, root: str, delay: str, ttl_ms: int | None = None, once: bool = False
+) -> StreamingQuery:
+    """Order lines into their topic as soon as their order is there, each change with its ``_sign``."""
+    return to_topic(facts.order_detail_updates(topic, delay, ttl_ms), FACT_TOPICS["order_detail"], root, once=once)
+
+
 def traffic_rows(name: str, pages: DataFrame, size: str, delay: str) -> DataFrame:
     """The stream of one traffic or login summary."""
     return getattr(summaries, name)(pages, size, delay)
@@ -178,7 +185,10 @@ def write_skus(
     order: Sequence[str] = ("ts_ms",),
     once: bool = False,
 ) -> StreamingQuery:
-    """Amounts per sku into their table, with names as they are when a window closes."""
+    """Amounts per sku into their table, with names as they are when a window closes.
+
+    Windows close by the clock, also when no line comes any more, so the job must be stopped.
+    """
     return to_table(
         summaries.sku_sums(details, size, order),
         SUMMARY_TABLES["sku_order"],

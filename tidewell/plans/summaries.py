@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewell.operators import dedup, joins, logs, moderation, visits
 from tidewell.operators.windows import tumble, window_text
+from tidewell.streaming import updates
 
 KINDS = {"home": "home_uv_ct", "good_detail": "good_detail_uv_ct"}
 DIMS = ("vc", "ch", "ar", "is_new")
@@ -247,10 +248,9 @@ def sku_order(
     size: str = "10 seconds",
     order: Sequence[str] = ("ts_ms",),
     arrival: str = "ts_ms",
-    delay: str = "0 seconds",
 ) -> DataFrame:
     """Amounts per sku with names, which are looked up last."""
-    return joins.dim_chain(sku_sums(details, size, order, arrival, delay), sku_lookups(dims))
+    return joins.dim_chain(sku_sums(details, size, order, arrival), sku_lookups(dims))
 
 
 def sku_sums(
@@ -258,12 +258,12 @@ def sku_sums(
     size: str = "10 seconds",
     order: Sequence[str] = ("ts_ms",),
     arrival: str = "ts_ms",
-    delay: str = "0 seconds",
 ) -> DataFrame:
     """Amounts per sku id, from the newest version of each order line.
 
-    Windows go by arrival: on a stream the clock when a line leaves the dedup, on a batch the
-    ``arrival`` column.
+    Windows go by arrival: on a batch the ``arrival`` column, on a stream the clock when a line leaves
+    the dedup. A streamed window is given when the clock passes its end, whether or not more lines
+    come; amounts that are no number count as 0 there.
     """
     newest = dedup.latest(
         details.select(*dict.fromkeys(["id", "sku_id", *AMOUNTS, "ts_ms", arrival, *order])),
@@ -271,15 +271,13 @@ def sku_sums(
         order,
     )
     if newest.isStreaming:
-        timed = newest.withColumn("_event_time", F.current_timestamp()).withWatermark(
-            "_event_time", delay
-        )
-        column = "_event_time"
-    else:
-        timed, column = newest, arrival
+        cents = {dst: F.round(F.col(src).cast("decimal(16,2)") * 100) for src, dst in AMOUNTS.items()}
+        sums = updates.clock_sums(newest, "sku_id", cents, int(joins.seconds(size) * 1000))
+        whole = [(F.col(c).cast("decimal(20,0)") / 100).cast("decimal(26,2)").alias(c) for c in cents]
+        return window_text(sums.select("_w", "sku_id", *whole))
     return tumble(
-        timed,
-        column,
+        newest,
+        arrival,
         size,
         ["sku_id"],
         [F.sum(F.col(src).cast("decimal(16,2)")).alias(dst) for src, dst in AMOUNTS.items()],
