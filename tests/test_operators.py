@@ -138,6 +138,18 @@ def test_dirty_records(spark):
     assert sorted(r.value for r in dirty.collect()) == sorted(["{bad", "[1]", "7", "", '{"common": 5}', *trailing])
 
 
+def test_nesting_decides_what_is_dirty(spark):
+    shape = T.StructType.fromDDL("k string, n struct<x: string, m: struct<y: bigint>>, l array<struct<z: string>>")
+    good = ['{"k":1}', ' {"n":{"x":null,"m":{"y":"7"}}} ', '{"l":[{"z":"a"},null]}', '{"n":null,"l":null}', '{"other":{"k":1}}']
+    bad = ['{"n":5}', '{"n":{"m":"s"}}', '{"n":[1]}', '{"l":{"z":1}}', '{"l":[{"z":"a"},5]}', '{"k":1},0', '{"k":1,"k":2}', "null", "0"]
+    df = spark.createDataFrame([(t,) for t in good + bad], "value string")
+    parsed, dirty = logs.parse_or_dirty(df, shape)
+    assert parsed.count() == len(good) and sorted(r.value for r in dirty.collect()) == sorted(bad)
+    assert [r.n.m.y for r in parsed.filter("n IS NOT NULL").collect()] == [7]
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1 and "from_json" not in plan, plan
+
+
 def test_failing_parse(spark):
     df = spark.createDataFrame([('{"ts": 1}',), ("{bad",)], "value string")
     schema = T.StructType([T.StructField("ts", T.LongType())])

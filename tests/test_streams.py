@@ -303,3 +303,31 @@ def test_fact_join_stream_drops_state_after_its_horizon(spark, folder, tmp_path)
     got = runs.run_available(spark, df, folder)
     # Refund c is 31 minutes after its order.
     assert sorted(r.id for r in got.collect()) == ["a", "b"]
+
+
+def test_dropped_rows_are_counted(spark, tmp_path):
+    """Late rows of distinct keys: the table of losses counts each of them, per operator."""
+    from tidewell.streaming import losses
+
+    src, day = str(tmp_path / "in"), 86_400_000
+    parts = [
+        [(i, 100 * day + i) for i in range(5)],
+        [(i, 200 * day + i) for i in range(5, 9)],
+        [(20 + i, 50 * day + i * 3_600_000) for i in range(7)] + [(40, 200 * day)],  # seven come too late
+        [(60, 300 * day), (61, 10 * day)],  # one more
+    ]
+    for part in parts:
+        spark.createDataFrame(part, "k int, ts_ms bigint").coalesce(1).write.mode("append").parquet(src)
+    schema = spark.read.parquet(src).schema
+    listener = losses.watch(spark, str(tmp_path / "losses"))
+    try:
+        once = dedup.exact(file_stream(spark, src, schema, max_files=1), ["k"], delay="1 minute")
+        got = runs.run_available(spark, once, str(tmp_path / "dedup"))
+        windows = summaries.tumble(joins.with_event_time(file_stream(spark, src, schema, max_files=1), "1 minute"), "_event_time", "1 hour", ["k"], [F.count("*").alias("n")])
+        runs.run_available(spark, windows, str(tmp_path / "windows"))
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        counts = sorted(r.dropped for r in losses.dropped(spark, str(tmp_path / "losses")).collect())
+    finally:
+        spark.streams.removeListener(listener)
+    assert got.count() == 5 + 4 + 1 + 1
+    assert counts == [8, 8]

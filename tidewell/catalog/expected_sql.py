@@ -366,3 +366,25 @@ EXPECTED["partial_update_merge"] = _PARTIAL
 EXPECTED["sink_partial_update_table"] = _PARTIAL
 EXPECTED["sink_dim_merge_table"] = EXPECTED["dim_upsert_merge"]
 EXPECTED["src_cdc_typed_view"] = EXPECTED["src_cdc_map_view"]
+EXPECTED["cdc_snapshot_then_changes"] = """WITH c AS (
+  SELECT c_custkey::BIGINT AS id, c_acctbal AS balance, 'r' AS op, -1::BIGINT AS position FROM customer
+  UNION ALL
+  SELECT event_id * 7919 % 1600, CASE WHEN event_type <> 'error' THEN value END, CASE event_type WHEN 'error' THEN 'd' WHEN 'signup' THEN 'c' ELSE 'u' END, event_id
+  FROM events),
+m AS (SELECT *, (id // 100) % 16 * 50 + 320 AS high FROM c),
+s AS (SELECT id, high, arg_max({'op': op, 'balance': balance}, position) AS r FROM m WHERE position <= high GROUP BY id, high)
+SELECT id, r.balance AS balance, 'r' AS op, high AS position FROM s WHERE r.op <> 'd'
+UNION ALL SELECT id, balance, op, position FROM m WHERE position > high AND position >= 0"""
+EXPECTED["keyword_lexicon"] = """WITH RECURSIVE names AS (SELECT DISTINCT lower(p_name) AS name, replace(lower(p_name), ' ', '') AS t FROM part),
+weights AS (SELECT word, count(*) AS weight FROM (SELECT unnest(string_split(lower(p_name), ' ')) AS word FROM part) WHERE word <> '' GROUP BY 1),
+lex AS (SELECT word, max(weight) AS weight FROM (SELECT * FROM weights UNION ALL SELECT unnest([word[1:2], word[3:]]), 1 FROM weights) WHERE word <> '' GROUP BY 1),
+spots AS (SELECT DISTINCT t, unnest(range(length(t))) AS i FROM names),
+hits AS (SELECT t, i, word, weight FROM spots JOIN lex ON starts_with(substr(t, i + 1), word)),
+options AS (SELECT * FROM hits UNION ALL SELECT t, i, substr(t, i + 1, 1), 0 FROM spots ANTI JOIN hits USING (t, i)),
+paths AS (
+  SELECT name, t, 0::BIGINT AS i, 0::BIGINT AS total, []::BIGINT[] AS ends, []::VARCHAR[] AS words FROM names
+  UNION ALL
+  SELECT name, p.t, p.i + length(word), total + weight, list_append(ends, p.i + length(word)), list_append(words, word)
+  FROM paths p JOIN options o ON p.t = o.t AND p.i = o.i),
+best AS (SELECT words, row_number() OVER (PARTITION BY name ORDER BY total DESC, len(ends), ends DESC) AS place FROM paths WHERE i = length(t))
+SELECT keyword, count(*) AS n FROM (SELECT unnest(words) AS keyword FROM best WHERE place = 1) GROUP BY 1"""

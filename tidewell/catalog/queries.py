@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell import schemas
-from tidewell.functions import money, people, text, times
+from tidewell.functions import lexicon, money, people, text, times
 from tidewell.operators import (
     changes,
     dedup,
@@ -25,7 +25,7 @@ from tidewell.plans import facts, jobs, summaries
 from tidewell.session import configure, shared_dir
 from tidewell.sources import adapters as ad
 from tidewell.sources import changes as cdc
-from tidewell.sources import dims
+from tidewell.sources import dims, snapshots
 from tidewell.streaming import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -268,6 +268,31 @@ def sink_partial_update_table(spark, sf_dir):
     return merges.partial_values(target.cells(), keys)
 
 
+def _account_chunks(spark, sf_dir):
+    """Balances of customers that change while they are read, a hundred keys at a time."""
+    base = ad.table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("bigint").alias("id"), F.col("c_acctbal").alias("balance"))
+    op = F.when(F.col("event_type") == "error", "d").when(F.col("event_type") == "signup", "c").otherwise("u")
+    moves = ad.table(spark, sf_dir, "events").select(
+        (F.col("event_id") * 7919 % 1600).alias("id"), F.when(op != "d", F.col("value")).alias("balance"), op.alias("op"), F.col("event_id").alias("position")
+    )
+    moves = moves.withColumn("chunk", snapshots.chunk_of(F.col("id"), 100))
+    chunks = base.select(snapshots.chunk_of(F.col("id"), 100).alias("chunk")).union(moves.select("chunk")).distinct()
+    turn = F.col("chunk") % 16 * 50
+    marks = chunks.select("chunk", (turn + 20).alias("low"), (turn + 320).alias("high"))
+    # Each row is read at a moment of its own between the marks: as the newest change before has left it.
+    moment = F.col("low") + F.pmod(F.xxhash64("id"), F.lit(301))
+    past = base.select(snapshots.chunk_of(F.col("id"), 100).alias("chunk"), "id", "balance", F.lit("r").alias("op"), F.lit(-1).cast("bigint").alias("position"))
+    past = past.unionByName(moves).join(marks, "chunk").filter(F.col("position") <= moment)
+    seen = past.groupBy("chunk", "id").agg(F.max_by(F.struct("op", "balance"), "position").alias("r")).filter("r.op <> 'd'")
+    return seen.select("chunk", "id", "r.balance"), moves, marks
+
+
+@query
+def cdc_snapshot_then_changes(spark, sf_dir):
+    """Snapshot rows as of their chunk's high mark, and every later change once."""
+    return snapshots.snapshot_then_changes(*_account_chunks(spark, sf_dir), ["id"]).drop("chunk")
+
+
 @query
 def log_dirty_records(spark, sf_dir):
     _, dirty = logs.parse_or_dirty(
@@ -725,6 +750,19 @@ def keyword_explode(spark, sf_dir):
     return words.groupBy("keyword").agg(F.count("*").alias("n"))
 
 
+@query
+def keyword_lexicon(spark, sf_dir):
+    """Part names without their blanks, cut by the words that parts have; words in many names weigh more."""
+    names = ad.table(spark, sf_dir, "part").select(F.lower("p_name").alias("name"))
+    words = names.select(F.explode(F.split("name", " ")).alias("word")).filter("word <> ''")
+    weights = words.groupBy("word").agg(F.count("*").alias("weight"))
+    # Short words that others begin with or hold, so that there is a choice.
+    parts = weights.select(F.explode(F.array(F.substr("word", F.lit(1), F.lit(2)), F.substr("word", F.lit(3)))).alias("word"), F.lit(1).alias("weight"))
+    text = names.distinct().select("name", F.replace("name", F.lit(" "), F.lit("")).alias("text"))
+    found = lexicon.with_words(text, "text", weights.unionByName(parts), runs="[a-z]+")
+    return found.groupBy("keyword").agg(F.count("*").alias("n"))
+
+
 def _checked(spark, sf_dir):
     documents = ad.table(spark, sf_dir, "documents")
     return (

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,7 +13,25 @@ from tidewell import schemas
 from tidewell.functions.text import is_blank
 from tidewell.operators.once import with_column_once
 
-BROKEN = "_broken"
+def _raw(record: Column, path: str) -> Column:
+    return F.try_variant_get(record, path, "variant")
+
+
+def _misfits(record: Column, path: str, fields: Sequence[T.StructField], parsed: Column) -> list[Column]:
+    """Conditions under which a nested value is there but not of the schema's nesting."""
+    out = []
+    for f in fields:
+        nested = f.dataType
+        if not isinstance(nested, (T.StructType, T.ArrayType)):
+            continue
+        raw, value = _raw(record, f"{path}.{f.name}"), parsed[f.name]
+        out.append(raw.isNotNull() & ~F.is_variant_null(raw) & value.isNull())
+        if isinstance(nested, T.StructType):
+            out += _misfits(record, f"{path}.{f.name}", nested.fields, value)
+        elif isinstance(nested.elementType, (T.StructType, T.ArrayType)):
+            every = F.arrays_zip(value.alias("_value"), F.try_variant_get(record, f"{path}.{f.name}", "array<variant>").alias("_raw"))
+            out.append(F.exists(every, lambda e: e["_value"].isNull() & ~F.is_variant_null(e["_raw"])))
+    return out
 
 
 def parse_or_dirty(
@@ -18,19 +39,23 @@ def parse_or_dirty(
 ) -> tuple[DataFrame, DataFrame]:
     """Split a text frame into parsed records and dirty ones; null text is in neither.
 
-    Dirty is what is not one JSON object and nothing else, or does not fit the schema's nesting.
-    With ``fail`` a dirty record ends the job that reads the parsed ones.
+    Dirty is what is not one JSON object and nothing else, names a field twice, or does not fit the
+    schema's nesting. With ``fail`` a dirty record ends the job that reads the parsed ones. A text is
+    parsed once, to a variant; what else is asked of it is read from that. Numbers read as text
+    lose zeros at the end of a fraction.
     """
-    shape = T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
     text = F.col(value)
-    parsed = with_column_once(
-        df.filter(text.isNotNull()),
-        "_rec",
-        F.from_json(text, shape, {"columnNameOfCorruptRecord": BROKEN}),
-    )
-    # The text is all of an element: with a second one behind it there are two.
-    whole = F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]"))) == 2
-    ok = text.rlike(r"^\s*\{") & F.coalesce(whole, F.lit(False)) & F.col("_rec").isNotNull() & F.col("_rec")[BROKEN].isNull()
+    # The text is all of an element, followed by a zero: with more behind it there are other elements.
+    whole = F.try_parse_json(F.concat(F.lit("["), text, F.lit(",0]")))
+    parsed = with_column_once(df.filter(text.isNotNull()), "_all", whole)
+    shape = schema.simpleString()
+    parsed = with_column_once(parsed, "_rec", F.try_variant_get("_all", "$[0]", shape))
+    every = F.col("_all")
+    alone = (F.try_variant_get(every, "$[1]", "int") == 0) & _raw(every, "$[2]").isNull()
+    misfit = reduce(Column.__or__, _misfits(every, "$[0]", schema.fields, F.col("_rec")), F.lit(False))
+    ok = F.col("_rec").isNotNull() & F.coalesce(alone, F.lit(False)) & ~F.coalesce(misfit, F.lit(False))
+    parsed = with_column_once(parsed, "_ok", ok)
+    ok = F.col("_ok")
     kept = [c for c in df.columns if c != value]
     if fail:
         broken = F.raise_error(F.concat(F.lit("not a record: "), text))
