@@ -83,6 +83,39 @@ def test_seeds_lose_no_notice():
             assert label in scanner.scan(f"some words {''.join(chars)} more words".encode())[5].split(",")
 
 
+def test_all_kinds_of_edits_are_found():
+    """Letters changed, left out and put in, against the regex over the whole text."""
+    scanner, rng = notices.Scanner(), np.random.default_rng(7)
+    for notice, label in notices.NOTICES:
+        edits = notices.edits_allowed(notice)
+        for kind in ("insert", "delete", "mixed"):
+            for _ in range(4):
+                chars = list(notice)
+                for k in range(edits):
+                    at = int(rng.integers(1, len(chars) - 1))
+                    act = kind if kind != "mixed" else ("insert", "delete", "change")[k % 3]
+                    chars[at : at + (act != "insert")] = [] if act == "delete" else ["é" if k % 2 else "q"]
+                # As the scan compares texts: one space between words, an edit that empties a word may need one more.
+                text = f" {' '.join(f'some words {''.join(chars)} more words and {notice} end'.split())} "
+                (plan,) = [p for p in scanner.plans if p[0] == notice and p[1] == label and not p[2]]
+                want = [(label, text.count(" ", 0, m.start()) - 1, sum(m.fuzzy_counts)) for m in plan[4].finditer(text)]
+                words = text.encode()
+                found = [(s["label"], s["first_word"], s["edits"]) for s in scanner.scan(words)[7]]
+                assert want and set(want) <= set(found), (notice, text)
+
+
+def test_many_notices_in_one_text_take_linear_time():
+    import time
+
+    scanner, seconds = notices.Scanner(), []
+    for n in (20_000, 80_000):
+        start = time.process_time()
+        row = scanner.scan(b"cc by nc " * n)
+        seconds.append(time.process_time() - start)
+        assert (row[0], row[1], row[2], row[3]) == (3 * n, n, 0, 3 * n - 3)
+    assert seconds[1] < 8 * seconds[0] + 1, seconds
+
+
 def test_warc_round_trip(spark, tmp_path):
     big = "x" * 1500 + "\r\n\r\nWARC/1.1\r\n"
     rows = [(1, "http://a\r\nb", big), (2, None, big), (5, "u", big), (5, "u", big), (3, "u", "small"), (4, "u", "small"), (6, "u", None), (None, "u", "é" * 600), (7, "u", "é" * 600)]

@@ -10,6 +10,7 @@ Texts are compared as words: A-Z in lower case, each run of other ASCII characte
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -70,6 +71,19 @@ def pieces(notice: str, edits: int) -> list[tuple[int, bytes]]:
     return [(a, notice[a:b].encode()) for a, b in zip(cuts, cuts[1:])]
 
 
+class Blanks:
+    """How many spaces stand before a place of a text (bytes or characters), counted once."""
+
+    def __init__(self, text: bytes | str):
+        self.text, self.at = text, None
+
+    def before(self, place: int) -> int:
+        if self.at is None:
+            units = np.frombuffer(self.text, np.uint8) if isinstance(self.text, bytes) else np.frombuffer(self.text.encode("utf-32-le"), np.uint32)
+            self.at = np.flatnonzero(units == 32)
+        return int(np.searchsorted(self.at, place))
+
+
 class Scanner:
     def __init__(self, phrases=PHRASES, notices=NOTICES):
         self.plans = []
@@ -112,6 +126,7 @@ class Scanner:
         words = text.split()
         text = b" " + b" ".join(words) + b" "
         places, base, spans, best = [], set(), [], 0.0
+        blanks = Blanks(text)
         for i, stretches in self.stretches(text).items():
             notice, label, is_base, edits, pattern = self.plans[i]
             exact = b" " + notice.encode() + b" "
@@ -122,16 +137,16 @@ class Scanner:
                 while end < len(text) and text[end] & 0xC0 == 0x80:
                     end += 1
                 window = text[start:end]
-                before = text.count(b" ", 0, start)
                 if is_base:
                     at = window.find(exact)
                     while at >= 0:
-                        places.append(before + window.count(b" ", 0, at))
+                        places.append(blanks.before(start + at))
                         base.add(label)
                         at = window.find(exact, at + 1)
-                view = window.decode()
+                view, before = window.decode(), blanks.before(start)
+                inside = Blanks(view)
                 for m in pattern.finditer(view):
-                    first = before + view.count(" ", 0, m.start()) - 1
+                    first = before + inside.before(m.start()) - 1
                     n = sum(m.fuzzy_counts)
                     spans.append((label, first, first + m.group().strip().count(" "), n, m.group()))
                     best = max(best, 1 - n / len(notice))
