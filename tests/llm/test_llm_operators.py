@@ -317,6 +317,36 @@ def test_nn_descent(spark):
     assert nn_descent.link(Scratch(spark, "t"), df.where("false")).count() == 0
 
 
+def test_large_buckets_are_compared_in_full(spark, monkeypatch):
+    """A bucket of many blocks, and the neighbours of a hub, lose no pair; a pair of several tables is given once."""
+    monkeypatch.setattr(nn_descent, "CHUNK", 8)
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=12) + 0.3 * rng.normal(size=(60, 12))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    nodes = spark.createDataFrame([(i, bytearray(v.tobytes()), 0.01 * (i % 3)) for i, v in enumerate(x)], "n long, v binary, rho double")
+    threshold = math.acos(0.95)
+    got = [(r.a, r.b, r.link) for r in nn_descent.together(nn_descent.bucketed(nodes, 0, 12, 1), threshold).collect()]
+    angle = np.arccos(np.clip(x @ x.T, -1, 1))
+    want = {
+        (a, b, bool(angle[a, b] <= threshold + 0.01 * (a % 3 + b % 3) + 1e-6))
+        for a, b in itertools.combinations(range(60), 2) if angle[a, b] <= nn_descent.REACH * threshold
+    }
+    assert len(got) == len(set(got)) and set(got) <= want and len(got) > 0.99 * len(want)
+    hub = spark.createDataFrame([(0, i, 0.1) for i in range(1, 60)], "a long, b long, angle double")
+    found = {(r.a, r.b, r.link) for r in nn_descent.around(nodes, hub, 60, threshold).collect()}
+    assert found == want
+
+
+def test_a_search_that_misses_links_is_an_error(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(nn_descent, "ATTEMPTS", 1)
+    monkeypatch.setattr(nn_descent, "recall", lambda *_: 0.5)
+    with pytest.raises(RuntimeError, match="links were found"):
+        nn_descent.link(Scratch(spark, "t"), df)
+
+
 def test_mixing(spark, docs, none):
     sized = docs.withColumn("size", mixing.size_of(F.col("text")))
     rows = mixing.allot(Scratch(spark, "t"), sized).collect()

@@ -3,13 +3,15 @@
 1. Classes. Vectors within half the threshold's angle of a leader are all linked to one another,
    whatever they are. Rounds of random hyperplanes bring close vectors together; leaders found in a
    round meet in the next. A tight group of any size ends as a few leaders and never as its pairs.
-2. Graph of leaders. Buckets of several hyperplane tables give first neighbour lists; then each
-   node's neighbours, in both directions, are compared with one another, and lists keep their
-   nearest, until lists stay as they are. Lists that hold nothing but nodes near enough to matter
-   are saturated, and all lists are doubled in length. Only nodes within ``REACH`` threshold angles
-   are neighbours: farther ones lead nowhere a threshold link could be.
-3. Audit. A sample of leaders is compared with all; if too few of its links are in the graph, more
-   tables are added and the descent goes on.
+2. Graph of leaders. Hyperplane tables, so many that a pair at the threshold misses them all with a
+   chance of ``MISS`` at most, give first pairs; a bucket of any size is compared in full, as pairs of
+   blocks. Then each node's neighbours, in both directions, are compared with one another. Every pair near enough for a link is kept,
+   however many a node has; the lists that the search goes by hold a node's nearest, and are
+   doubled in length while they are saturated and longer ones find links. Only nodes within
+   ``REACH`` threshold angles are neighbours: farther ones lead nowhere a threshold link could be.
+3. Audit. Partners just within the threshold are planted beside some nodes before the search, and samples
+   of nodes are compared with all others until enough true links are seen. If too few of either are found, tables are
+   doubled; a search that stays below ``RECALL`` is an error.
 4. Links. By the triangle inequality most pairs of classes are linked as a whole or not at all. The
    others are compared member by member, one block against a stream, and counted, not listed.
    Cosines of members are taken in double precision; no link lies below the threshold.
@@ -18,7 +20,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +33,12 @@ COSINE = 0.95
 REACH = 3.0  # in threshold angles
 ROUNDS = 3
 CHUNK = 256  # rows of a bucket that are compared with one another
-TABLES, PER_BUCKET = 8, 16
+PER_BUCKET, MISS = 16, 0.005
 NEIGHBOURS = 8
-MOST_STEPS = 10
-AUDIT, RECALL, AUDITS = 64, 0.98, 3
+GAIN = 0.001  # new links, as a share of all, for which the search goes on
+PLANTED = 256
+AUDIT, SEEN, MOST_AUDITED = 64, 200, 4096  # nodes sampled first, links to see, nodes sampled at most
+RECALL, ATTEMPTS = 0.98, 4
 
 
 def points(rows: DataFrame, key: str, vector: str) -> DataFrame:
@@ -65,12 +69,12 @@ def angles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(a @ b.T, -1, 1))
 
 
-def groups(batches, width: int, limit: int) -> Iterator[list[tuple]]:
+def groups(batches, width: int, limit: int | None = None) -> Iterator[list[tuple]]:
     """Rows of one group (equal in their first ``width`` columns), at most ``limit`` at a time."""
     held: list[tuple] = []
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns)):
-            if held and (row[:width] != held[-1][:width] or len(held) >= limit):
+            if held and (row[:width] != held[-1][:width] or len(held) == limit):
                 yield held
                 held = []
             held.append(row)
@@ -78,10 +82,11 @@ def groups(batches, width: int, limit: int) -> Iterator[list[tuple]]:
         yield held
 
 
-def bucketed(nodes: DataFrame, first_table: int, tables: int, bits: int, chunk: int) -> DataFrame:
-    """(bucket, salt, n, v, rho) for each table: nodes on the same sides of random hyperplanes.
+def bucketed(nodes: DataFrame, first_table: int, tables: int, bits: int) -> DataFrame:
+    """(bucket, place, blocks, n, v, rho, marks) for each table: nodes on the same sides of random hyperplanes.
 
-    Vectors of different length never share a bucket. Buckets over ``chunk`` rows are salted.
+    Vectors of different length never share a bucket. ``place`` is the table's, from 0, and ``marks`` are the
+    buckets of all. A bucket of more than ``CHUNK`` rows has several ``blocks``.
     """
 
     def work(batches):
@@ -92,20 +97,72 @@ def bucketed(nodes: DataFrame, first_table: int, tables: int, bits: int, chunk:
             for i, x in enumerate(v):
                 by_size.setdefault(len(x), []).append(i)
             for size, at in by_size.items():
-                x = _matrix([v[i] for i in at])
+                x, found = _matrix([v[i] for i in at]), []
                 for t in range(first_table, first_table + tables):
                     if (size, t) not in planes:
                         planes[size, t] = np.random.default_rng([t, size]).normal(size=(x.shape[1], bits))
                     sides = (x @ planes[size, t] > 0) @ (1 << np.arange(bits, dtype=np.int64))
-                    bucket = mixed(mixed(sides.astype(np.uint64) + np.uint64(1)) + np.uint64(t * 65_537 + size)).view(np.int64)
-                    columns = [pa.array(bucket), *(pa.array([c[i] for i in at]) for c in (n, v, rho))]
-                    yield pa.RecordBatch.from_arrays(columns, ["bucket", "n", "v", "rho"])
+                    found.append(mixed(mixed(sides.astype(np.uint64) + np.uint64(1)) + np.uint64(t * 65_537 + size)).view(np.int64))
+                marks = pa.array([m.tobytes() for m in np.stack(found, 1)], pa.binary())
+                own = [pa.array([c[i] for i in at], k) for c, k in zip((n, v, rho), (pa.int64(), pa.binary(), pa.float64()))]
+                for place, bucket in enumerate(found):
+                    columns = [pa.array(bucket), pa.array(np.full(len(at), place, np.int32)), *own, marks]
+                    yield pa.RecordBatch.from_arrays(columns, ["bucket", "place", "n", "v", "rho", "marks"])
 
-    rows = nodes.select("n", "v", "rho").mapInArrow(work, "bucket long, n long, v binary, rho double")
-    hot = rows.groupBy("bucket").count().where(F.col("count") > chunk)
-    rows = rows.join(hot, "bucket", "left").withColumn("salt", F.pmod(F.xxhash64("n"), F.ceil(F.coalesce("count", F.lit(1)) / chunk)))
-    rows = rows.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "n")
-    return rows.select("bucket", "salt", "n", "v", "rho")
+    rows = nodes.select("n", "v", "rho").mapInArrow(work, "bucket long, place int, n long, v binary, rho double, marks binary")
+    hot = rows.groupBy("bucket").count().where(F.col("count") > CHUNK)
+    return rows.join(hot, "bucket", "left").withColumn("blocks", F.ceil(F.coalesce("count", F.lit(1)) / CHUNK)).drop("count")
+
+
+def _near(rows: list[tuple], others: list[tuple] | None, threshold: float) -> tuple[np.ndarray, ...]:
+    """(a, b, angle, link) of pairs within reach among ``rows``, or between them and ``others``; rows end in n, v, rho.
+
+    ``link``: near enough for the classes to be linked.
+    """
+    right = rows if others is None else others
+    n, m = np.array([r[-3] for r in rows]), np.array([r[-3] for r in right])
+    angle = angles(_matrix([r[-2] for r in rows]), _matrix([r[-2] for r in right]))
+    far = angle <= REACH * threshold
+    i, j = np.nonzero(far & (n[:, None] < m[None, :]) if others is None else far & (n[:, None] != m[None, :]))
+    rho, more, angle = np.array([r[-1] for r in rows])[i], np.array([r[-1] for r in right])[j], angle[i, j]
+    return np.minimum(n[i], m[j]), np.maximum(n[i], m[j]), angle, angle <= threshold + rho + more + 1e-6, i, j
+
+
+PAIR = "a long, b long, angle double, link boolean"
+
+
+def _pairs(a, b, angle, link) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (a, b, angle, link)], ["a", "b", "angle", "link"])
+
+
+def together(rows: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a < b, angle, link) within reach that share a bucket, each once: in the first table where they do."""
+    block = F.pmod(F.xxhash64("n"), F.col("blocks"))
+    rows = rows.withColumn("block", block).withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    rows = rows.select(
+        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "place", "marks", "n", "v", "rho"
+    )
+    rows = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+    def work(batches):
+        for rows in groups(batches, 3):
+            by_size: dict[int, list[tuple]] = {}
+            for r in rows:
+                by_size.setdefault(len(r[-2]), []).append(r)
+            for own in by_size.values():
+                left, right, place = own, None, own[0][4]
+                if own[0][1] != own[0][2]:
+                    left, right = [r for r in own if r[3] == r[1]], [r for r in own if r[3] == r[2]]
+                if not left or right == [] or right is None and len(left) < 2:
+                    continue
+                a, b, angle, link, i, j = _near(left, right, threshold)
+                if place and len(a):
+                    marks = [np.frombuffer(b"".join(r[5] for r in side), np.int64).reshape(len(side), -1)[:, :place] for side in (left, right or left)]
+                    new = ~(marks[0][i] == marks[1][j]).any(1)
+                    a, b, angle, link = a[new], b[new], angle[new], link[new]
+                yield _pairs(a, b, angle, link)
+
+    return rows.mapInArrow(work, PAIR)
 
 
 def lead(nodes: DataFrame, number: int, bits: int, radius: float) -> DataFrame:
@@ -129,66 +186,88 @@ def lead(nodes: DataFrame, number: int, bits: int, radius: float) -> DataFrame:
             kinds = [pa.int64(), pa.int64(), pa.binary(), pa.float64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["n", "leader", "v", "rho"])
 
-    return bucketed(nodes, 1000 + number, 1, bits, CHUNK).mapInArrow(work, "n long, leader long, v binary, rho double")
+    rows = bucketed(nodes, 1000 + number, 1, bits).withColumn("salt", F.pmod(F.xxhash64("n"), F.col("blocks")))
+    rows = rows.select("bucket", "salt", "n", "v", "rho").repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "n")
+    return rows.mapInArrow(work, "n long, leader long, v binary, rho double")
+
+
+def both_ways(pairs: DataFrame) -> DataFrame:
+    return pairs.select("a", "b", "angle").union(pairs.select("b", "a", "angle"))
 
 
-def compared(rows: DataFrame, width: int, limit: int, reach: float) -> DataFrame:
-    """(a, b, angle): pairs within ``reach`` in each group of ``rows``; the last columns are n, v, rho."""
+def nearest(edges: DataFrame, k: int) -> DataFrame:
+    """The ``k`` nearest (b, angle) of each a; cut down on each input partition first."""
+    place = F.row_number().over(Window.partitionBy("a").orderBy("angle", "b"))
+    return edges.withColumn("place", place).where(F.col("place") <= k)
+
+
+def around(nodes: DataFrame, graph: DataFrame, k: int, threshold: float) -> DataFrame:
+    """Pairs within reach among each node's neighbours in both directions, the node included."""
+    back = nearest(graph.select(F.col("b").alias("a"), F.col("a").alias("b"), "angle"), k)
+    lists = graph.select("a", "b").union(back.select("a", "b")).union(graph.select("a", F.col("a").alias("b"))).distinct()
+    rows = lists.join(nodes.select(F.col("n").alias("b"), "v", "rho"), "b").select("a", F.col("b").alias("n"), "v", "rho")
+    rows = rows.repartition("a").sortWithinPartitions("a")
 
     def work(batches):
-        for rows in groups(batches, width, limit):
+        for rows in groups(batches, 1):
             by_size: dict[int, list[tuple]] = {}
             for r in rows:
                 by_size.setdefault(len(r[-2]), []).append(r)
             for own in by_size.values():
-                if len(own) < 2:
-                    continue
-                n, x = np.array([r[-3] for r in own]), _matrix([r[-2] for r in own])
-                angle = angles(x, x)
-                i, j = np.nonzero((angle <= reach) & (n[:, None] != n[None, :]))
-                yield pa.RecordBatch.from_arrays([pa.array(n[i]), pa.array(n[j]), pa.array(angle[i, j])], ["a", "b", "angle"])
-
-    return rows.mapInArrow(work, "a long, b long, angle double")
-
-
-def nearest(pairs: DataFrame, k: int) -> DataFrame:
-    pairs = pairs.dropDuplicates(["a", "b"])
-    place = F.row_number().over(Window.partitionBy("a").orderBy("angle", "b"))
-    return pairs.withColumn("place", place).where(F.col("place") <= k)
-
-
-def descend(scratch: Scratch, nodes: DataFrame, graph: DataFrame, k: int, threshold: float, name: str) -> tuple[DataFrame, int]:
-    """Refine neighbour lists through neighbours of neighbours; (graph, length of lists)."""
-    vectors = nodes.select(F.col("n").alias("b"), "v", "rho")
-    for step in range(MOST_STEPS):
-        edges = graph.select("a", "b", "angle")
-        both = edges.select("a", "b").union(edges.select("b", "a")).union(edges.select("a", F.col("a").alias("b"))).distinct()
-        around = both.join(vectors, "b").select("a", F.col("b").alias("n"), "v", "rho")
-        around = around.repartition("a").sortWithinPartitions("a", "n")
-        found = compared(around, 1, 2 * CHUNK, REACH * threshold)
-        new = scratch.keep(nearest(edges.union(found), k).select("a", "b", "angle", "place"), f"{name}-{step}")
+                if len(own) > 1:
+                    yield _pairs(*_near(own, None, threshold)[:4])
+
+    return rows.mapInArrow(work, PAIR).dropDuplicates(["a", "b"])
+
+
+def descend(
+    scratch: Scratch, nodes: DataFrame, graph: DataFrame, links: DataFrame, k: int, threshold: float, name: str
+) -> tuple[DataFrame, DataFrame, int]:
+    """Refine neighbour lists through neighbours of neighbours; (graph, links, length of lists)."""
+    known = links.count()
+    step, idle = 0, 0
+    # Lists longer than there are nodes cannot be saturated, and a step without new links ends the search soon.
+    while idle < 2:
+        found = scratch.keep(around(nodes, graph, k, threshold), f"{name}-found-{step}")
+        new = scratch.keep(found.where("link").join(links, ["a", "b"], "left_anti").select("a", "b", "angle"), f"{name}-new-{step}")
+        more = new.count()
+        links = links.unionByName(new)
+        if step % 4 == 3:
+            links = scratch.keep(links, f"{name}-links-{step}")
+        edges = graph.select("a", "b", "angle").union(both_ways(found)).dropDuplicates(["a", "b"])
+        graph = scratch.keep(nearest(edges, k).select("a", "b", "angle", "place"), f"{name}-{step}")
+        known += more
+        idle = idle + 1 if more <= GAIN * known else 0
         # Saturated: the last of a full list is still near enough for a link between classes.
-        full = new.where((F.col("place") == k) & (F.col("angle") <= 2 * threshold)).count()
-        change = new.join(edges, ["a", "b"], "left_anti").count()
-        graph = new
-        if full:
+        if not idle and graph.where((F.col("place") == k) & (F.col("angle") <= 2 * threshold)).limit(1).count():
             k *= 2
-        elif change <= 0.001 * new.count():
-            break
-    return graph, k
+        step += 1
+    return graph, scratch.keep(links, f"{name}-links"), k
 
 
-def _both_sides(graph: DataFrame) -> DataFrame:
-    return graph.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def audit(nodes: DataFrame, graph: DataFrame, threshold: float, sample: int = AUDIT) -> float:
-    """Share of the links of about ``sample`` nodes that the graph has; the nodes meet all others."""
+def plant(nodes: DataFrame, threshold: float, count: int = PLANTED) -> tuple[DataFrame, DataFrame]:
+    """(nodes, pairs): partners of about ``count`` nodes just within the threshold, numbered below zero."""
+    total = nodes.count()
+    draw = F.pmod(F.xxhash64("n", F.lit(11)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, count / max(1, total)))
+    rng, made, pairs = np.random.default_rng(20240601), [], []
+    for r in nodes.where(draw & (F.octet_length("v") > 8)).select("n", "v").orderBy("n").collect():
+        x = np.frombuffer(r["v"], np.float64)
+        side = rng.normal(size=len(x))
+        side -= (side @ x) * x
+        y = math.cos(0.999 * threshold) * x + math.sin(0.999 * threshold) * side / np.linalg.norm(side)
+        made.append((-1 - len(made), bytearray((y / np.linalg.norm(y)).tobytes()), 0.0))
+        pairs.append((made[-1][0], r["n"]))
+    spark = nodes.sparkSession
+    return spark.createDataFrame(made, "n long, v binary, rho double"), spark.createDataFrame(pairs, "a long, b long")
+
+
+def audit(nodes: DataFrame, links: DataFrame, threshold: float, sample: int) -> tuple[int, int]:
+    """(links of about ``sample`` nodes, how many of them were found); the nodes meet all others."""
     total = nodes.count()
     draw = F.pmod(F.xxhash64("n", F.lit(7)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample / max(1, total)))
     asked = [(r["n"], r["v"], r["rho"]) for r in nodes.where(draw).select("n", "v", "rho").collect()]
     if not asked:
-        return 1.0
+        return 0, 0
     shared = nodes.sparkSession.sparkContext.broadcast(asked)
 
     def work(batches):
@@ -202,8 +281,42 @@ def audit(nodes: DataFrame, graph: DataFrame, threshold: float, sample: int = AU
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(n[i], m[j])), pa.array(np.maximum(n[i], m[j]))], ["a", "b"])
 
     true = nodes.select("n", "v", "rho").mapInArrow(work, "a long, b long").distinct()
-    hit = true.join(_both_sides(graph).withColumn("hit", F.lit(1)), ["a", "b"], "left").agg(F.count("*").alias("n"), F.count("hit").alias("hit")).first()
-    return hit["hit"] / hit["n"] if hit["n"] else 1.0
+    row = true.join(links.select("a", "b", F.lit(1).alias("hit")), ["a", "b"], "left").agg(F.count("*").alias("n"), F.count("hit").alias("hit")).first()
+    return row["n"], row["hit"]
+
+
+def recall(nodes: DataFrame, links: DataFrame, planted: DataFrame, threshold: float) -> float:
+    """The lesser of the shares of planted and of sampled true links that were found."""
+    n, hit = planted.count(), planted.join(links, ["a", "b"], "left_semi").count()
+    least, total, sample = hit / n if n else 1.0, nodes.count(), AUDIT
+    while True:
+        n, hit = audit(nodes, links, threshold, sample)
+        if n >= SEEN or sample >= min(total, MOST_AUDITED):
+            return min(least, hit / n) if n else least
+        sample *= 8
+
+
+def search(scratch: Scratch, nodes: DataFrame, bits: int, threshold: float) -> DataFrame:
+    """(a, b, angle): pairs of nodes (n, v, rho) near enough for a link; raises if too few are found."""
+    partners, planted = plant(nodes, threshold)
+    every = scratch.keep(nodes.select("n", "v", "rho").unionByName(partners), "nodes")
+    planted = scratch.keep(planted, "planted")
+    chance = (1 - threshold / math.pi) ** bits
+    tables, first = math.ceil(math.log(MISS) / math.log(1 - chance)), 0
+    graph, links, k, found = None, None, NEIGHBOURS, 0.0
+    for attempt in range(ATTEMPTS):
+        near = scratch.keep(together(bucketed(every, first, tables, bits), threshold), f"near-{attempt}")
+        new = near.where("link").select("a", "b", "angle")
+        links = scratch.keep(new if links is None else links.unionByName(new).dropDuplicates(["a", "b"]), f"links-{attempt}")
+        edges = both_ways(near) if graph is None else graph.select("a", "b", "angle").union(both_ways(near)).dropDuplicates(["a", "b"])
+        graph = scratch.keep(nearest(edges, k).select("a", "b", "angle", "place"), f"first-{attempt}")
+        graph, links, k = descend(scratch, every, graph, links, k, threshold, f"graph-{attempt}")
+        found = recall(nodes, links, planted, threshold)
+        if found >= RECALL:
+            return links.where("a >= 0")
+        first += tables
+        tables *= 2
+    raise RuntimeError(f"only {found:.3f} of the links were found, {RECALL} are wanted")
 
 
 def member_links(pairs: DataFrame, members: DataFrame, cosine: float) -> DataFrame:
@@ -262,21 +375,11 @@ def link(scratch: Scratch, rows: DataFrame, key: str = "vec_id", vector: str = "
     owner = scratch.keep(owner, "owners")
     members = scratch.keep(valid.select("n", "v").join(owner, "n"), "members")
 
-    # Graph of leaders.
-    graph, k, tables = None, NEIGHBOURS, 0
-    for attempt in range(AUDITS):
-        near = compared(bucketed(nodes, tables, TABLES, bits, CHUNK), 2, CHUNK, REACH * threshold)
-        near = nearest(near if graph is None else near.union(graph.select("a", "b", "angle")), k)
-        graph = scratch.keep(near.select("a", "b", "angle", "place"), f"first-{attempt}")
-        graph, k = descend(scratch, nodes, graph, k, threshold, f"graph-{attempt}")
-        tables += TABLES
-        if audit(nodes, graph, threshold) >= RECALL:
-            break
+    graph = search(scratch, nodes, bits, threshold)
 
     # Links between classes: all, or some to be compared.
     rho = nodes.select("n", "rho")
-    pairs = graph.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("angle").alias("angle"))
-    pairs = pairs.join(rho.toDF("a", "ra"), "a").join(rho.toDF("b", "rb"), "b").where(F.col("angle") <= threshold + F.col("ra") + F.col("rb") + 1e-6)
+    pairs = graph.join(rho.toDF("a", "ra"), "a").join(rho.toDF("b", "rb"), "b").where(F.col("angle") <= threshold + F.col("ra") + F.col("rb") + 1e-6)
     pairs = scratch.keep(pairs.withColumn("whole", F.col("angle") + F.col("ra") + F.col("rb") <= threshold - 1e-6), "pairs")
     sizes = members.groupBy("leader").agg(F.count("*").alias("size"))
     whole = pairs.where("whole").select("a", "b")
