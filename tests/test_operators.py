@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -475,3 +476,18 @@ def test_bloom_filters_stay_small():
         per_shard = -(-expected // dedup.filter_shards(expected, 1e-9, 8))
         # A share is rounded up to whole combinations, so by some bytes.
         assert len(dedup.Bloom.sized(per_shard, 1e-9).dump()) <= dedup.FILTER_BYTES + 8
+
+
+def test_banned_word_filter_grows_with_the_list(spark, monkeypatch):
+    assert moderation.filter_bits(0) == moderation.filter_bits(100_000) == moderation.LEAST_BITS
+    assert moderation.filter_bits(1 << 20) == 25 and moderation.filter_bits(1 << 40) == moderation.MOST_BITS
+    words = [f"w{i}" for i in range(3000)] + ["ä日", "𝄞"]
+    listed = spark.createDataFrame([(w,) for w in words], "word string").repartition(3)
+    monkeypatch.setattr(moderation, "LEAST_BITS", 16)
+    lengths, size, bits = moderation._filter_of(listed)
+    assert lengths == [1, 2, 3, 4, 5] and size == 17 and len(bits) == (1 << 17) // 8
+    for w in words:
+        codes = moderation._codes(w)
+        assert len(moderation._passing(bits, moderation._hashes(codes, len(codes), *moderation._sums(codes), size))) == 1
+    assert 2000 < np.unpackbits(bits).sum() <= len(words)
+    assert moderation._filter_of(listed.filter("false"))[0] == []

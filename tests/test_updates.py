@@ -159,6 +159,41 @@ def test_streams_begin_with_the_result_of_a_batch(spark, events, tmp_path):
         visits.first_of_day(flat(old), *args, start=before)
 
 
+def test_changes_go_on_after_a_snapshot(spark, tmp_path):
+    """Random changes while chunks are read at any moment between their marks; the changes then come as a stream."""
+    from tidewell.sources import snapshots
+
+    rng = random.Random(11)
+    table, history = {k: 100 + k for k in range(40)}, []
+    states = [dict(table)]
+    for at in range(1, 301):
+        k = rng.randrange(50)
+        op = "d" if k in table and rng.random() < 0.3 else "u" if k in table else "c"
+        table.pop(k, None) if op == "d" else table.update({k: at})
+        history.append((k // 10, k, None if op == "d" else at, op, at))
+        states.append(dict(table))
+    marks = [(c, low := rng.randrange(150), low + rng.randrange(100)) for c in range(5)]
+    read = []
+    for c, low, high in marks:
+        for k in range(10 * c, 10 * c + 10):
+            seen = states[rng.randint(low, high)]  # each row at a moment of its own
+            if k in seen:
+                read.append((c, k, seen[k]))
+    shape = "chunk bigint, id bigint, v bigint"
+    read, marks = spark.createDataFrame(read, shape), spark.createDataFrame(marks, "chunk bigint, low bigint, high bigint")
+    made = spark.createDataFrame(history, f"{shape}, op string, position bigint")
+    frames = [made.filter(f"position % 3 = {i}") for i in range(3)]
+    stream = in_files(spark, str(tmp_path / "in"), *frames)
+    tail = runs.run_available(spark, snapshots.changes_after(stream, marks, "position"), str(tmp_path))
+    rows_read = snapshots.settled(read, made, marks, ["id"], "position")
+    whole = rows_read.unionByName(tail)
+    assert rows(whole) == rows(snapshots.snapshot_then_changes(read, made, marks, ["id"]))
+    final = merges.upsert_latest(whole, ["id"], ["position"], "v")
+    assert {r.id: r.v for r in final.collect()} == table
+    # Nothing twice: a row's snapshot and its changes have positions of their own.
+    assert whole.groupBy("id", "position").count().filter("count > 1 AND id IS NOT NULL").count() == 0
+
+
 class Blocks(dict):
     """A map state in memory that counts what is written."""
 

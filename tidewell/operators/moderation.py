@@ -12,8 +12,11 @@ from pyspark.sql import types as T
 
 from tidewell.functions import text as tx
 
-# Bits of the filter that candidates pass before they are joined with the words.
-FILTER_BITS = 22
+# The filter that candidates pass before they are joined with the words has about so many bits a word, as a
+# power of two between these; the larger one is 64 MB.
+PER_WORD = 32
+LEAST_BITS, MOST_BITS = 22, 29
+BLOCK = 1 << 15  # bits of the filter that are put together at once
 # Characters of a text that are looked at together; longer texts overlap by the longest word.
 PIECE = 1 << 18
 
@@ -76,10 +79,10 @@ def _in_order(hits: Column) -> Column:
     return F.transform(F.array_sort(hits), lambda h: h["word"])
 
 
-def _hashes(codes: np.ndarray, length: int, sums: np.ndarray, down: np.ndarray) -> np.ndarray:
+def _hashes(codes: np.ndarray, length: int, sums: np.ndarray, down: np.ndarray, bits: int) -> np.ndarray:
     """A hash of each stretch of so many code points; its first bits are the best mixed ones."""
     n = len(codes) - length + 1
-    return ((sums[length:] - sums[:n]) * down[:n]) >> np.uint64(64 - FILTER_BITS)
+    return ((sums[length:] - sums[:n]) * down[:n]) >> np.uint64(64 - bits)
 
 
 def _sums(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -95,33 +98,58 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), np.uint32)
 
 
-def _filter_of(listed: DataFrame) -> tuple[list[int], np.ndarray]:
-    """The words' lengths, and a bit per hash; both stay small however many words there are."""
+def filter_bits(words: int) -> int:
+    """The power of two that a filter for so many words has as its size."""
+    return min(MOST_BITS, max(LEAST_BITS, (max(1, words) * PER_WORD - 1).bit_length()))
+
+
+def _filter_of(listed: DataFrame) -> tuple[list[int], int, np.ndarray]:
+    """The words' lengths, the filter's size as a power of two, and its bits, eight to a byte.
+
+    Words become blocks of bits in the tasks that read them, and blocks are put together on Spark, so the
+    driver gets the filter and never the words.
+    """
+    counted = listed.groupBy(F.char_length("word").alias("length")).agg(F.count("*").alias("n")).collect()
+    size = filter_bits(sum(r["n"] for r in counted))
 
     def work(batches):
         for batch in batches:
-            seen = set()
-            for word in batch.column(0).to_pylist():
-                codes = _codes(word)
-                seen.add((len(codes), int(_hashes(codes, len(codes), *_sums(codes))[0])))
-            lengths, bits = zip(*sorted(seen)) if seen else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(lengths, pa.int64()), pa.array(bits, pa.int64())], ["length", "bit"])
+            spots = np.array([_hashes(c, len(c), *_sums(c), size)[0] for c in map(_codes, batch.column(0).to_pylist())], np.int64)
+            spots.sort()
+            cuts = np.flatnonzero(np.diff(spots // BLOCK)) + 1
+            own = [p for p in np.split(spots, cuts) if len(p)]
+            made = [np.zeros(BLOCK, bool) for _ in own]
+            for bits, p in zip(made, own):
+                bits[p % BLOCK] = True
+            blocks = [pa.array([int(p[0]) // BLOCK for p in own], pa.int64()), pa.array([np.packbits(m).tobytes() for m in made], pa.binary())]
+            yield pa.RecordBatch.from_arrays(blocks, ["block", "bits"])
+
+    def join(table: pa.Table) -> pa.Table:
+        every = np.stack([np.frombuffer(x, np.uint8) for x in table.column("bits").to_pylist()])
+        return pa.table({"block": table.column("block").slice(0, 1), "bits": pa.array([np.bitwise_or.reduce(every).tobytes()], pa.binary())})
+
+    schema = "block long, bits binary"
+    rows = listed.select("word").mapInArrow(work, schema).groupBy("block").applyInArrow(join, schema).toArrow()
+    bits = np.zeros((1 << size) // 8, np.uint8)
+    for block, some in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
+        bits[block * BLOCK // 8 : (block + 1) * BLOCK // 8] = np.frombuffer(some, np.uint8)
+    return sorted(r["length"] for r in counted), size, bits
+
 
-    rows = listed.mapInArrow(work, "length long, bit long")
-    bits = np.zeros(1 << FILTER_BITS, bool)
-    bits[rows.select("bit").distinct().toArrow().column(0).to_numpy()] = True
-    return sorted(r.length for r in rows.select("length").distinct().collect()), bits
+def _passing(bits: np.ndarray, spots: np.ndarray) -> np.ndarray:
+    """Places whose bit is set."""
+    return np.flatnonzero(bits[spots >> np.uint64(3)] & (np.uint8(128) >> (spots & np.uint64(7)).astype(np.uint8)))
 
 
 def _found(df: DataFrame, listed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, _found): banned words per row.
 
-    Every stretch of a text that has the length of some word is a candidate if the filter of
-    fixed size lets its hash pass. Candidates, once per text with their first place, are joined
-    with the words. The filter drops no word; the more words it holds, the more others it lets by.
+    Every stretch of a text that has the length of some word is a candidate if the filter lets its hash
+    pass. Candidates, once per text with their first place, are joined with the words. The filter drops
+    no word, and grows with their number up to ``MOST_BITS``; beyond, it lets more others by.
     """
     by = [f"_k_{k}" for k in keys]
-    lengths, bits = _filter_of(listed)
+    lengths, size, bits = _filter_of(listed)
     shared = df.sparkSession.sparkContext.broadcast(bits)
 
     def work(batches):
@@ -136,7 +164,7 @@ def _found(df: DataFrame, listed: DataFrame, keys: Sequence[str]) -> DataFrame:
                     sums, down = _sums(codes)
                     for length in lengths:
                         if length <= len(codes):
-                            for at in np.flatnonzero(bits[_hashes(codes, length, sums, down)]).tolist():
+                            for at in _passing(bits, _hashes(codes, length, sums, down, size)).tolist():
                                 first.setdefault(piece[at : at + length], start + at + 1)
                 rows += [row] * len(first)
                 found += first
