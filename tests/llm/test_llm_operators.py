@@ -135,6 +135,36 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.read(spark, str(tmp_path / "b")).count() == 0
 
 
+@pytest.mark.parametrize("step", [1, 7, 1 << 20])
+def test_archives_are_read_in_parts(step):
+    import gzip
+
+    made, want = b"", []
+    for i, body in enumerate([b"", b"x" * 50, b"a\r\n\r\nWARC/1.1\r\n\r\n", b"\r\n\r\n"]):
+        digest = hashlib.sha1(body).hexdigest()
+        head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{i}>\r\nWARC-Payload-Digest: sha1:{digest}\r\nContent-Length: {len(body)}\r\n\r\n"
+        made += gzip.compress(head.encode() + body + b"\r\n\r\n")  # a member each
+        want.append((i, body, digest))
+    got = [(r[0], r[7], r[6]) for r in warc.parse(warc.inflated(made, step))]
+    assert got == want
+    whole = gzip.decompress(made)
+    for broken in (whole[:-3], whole[:-60], whole.replace(b"Length: 50", b"Length: 49"), b"no" + whole):
+        with pytest.raises(ValueError):
+            list(warc.parse(iter([broken])))
+    with pytest.raises(ValueError, match="cut"):
+        list(warc.parse(warc.inflated(made[:-12], step)))
+
+
+def test_a_wrong_payload_is_noticed(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u", "x" * 1500), (2, "u", "x" * 1500), (3, "u", "y")], "page_id long, url string, html string")
+    resolved = warc.resolve(warc.from_pages(pages))
+    forged = resolved.withColumn("payload", F.when(F.col("page_id") == 2, F.lit("z" * 1500)).otherwise(F.col("payload")))
+    warc.write(forged, str(tmp_path / "a"))
+    read = {r.page_id: r for r in warc.join_originals(warc.read(spark, str(tmp_path / "a"))).collect()}
+    assert [read[i].actual_digest == read[i].digest for i in (1, 2, 3)] == [False, False, True]
+    assert read[1].actual_digest == hashlib.sha1(b"z" * 1500).hexdigest()
+
+
 def test_pitman_yor(spark, docs, none):
     score = lambda d: pitman_yor.score(Scratch(spark, "t"), d, pitman_yor.held_out(F.col("doc_id")), burn=1, samples=2)
     rows = score(docs).collect()

@@ -38,7 +38,8 @@ def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(
         "page_id",
         "payload_bytes",
-        F.col("digest").alias("payload_digest"),
+        # What the reader took of the payload; the digest in the header is not trusted.
+        F.col("actual_digest").alias("payload_digest"),
         "record_type",
         "refers_to",
     )

@@ -12,7 +12,9 @@ separator. Readers take records by Content-Length, so nothing in a payload can e
 
 from __future__ import annotations
 
+import hashlib
 import zlib
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -92,14 +94,50 @@ def write(records: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", per
     out.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
 
 
-def _inflate(data: bytes) -> bytes:
-    """All members of a gzip file."""
-    out = []
+def inflated(data: bytes, step: int = 1 << 20) -> Iterator[bytes]:
+    """The content of a gzip file, all members, in parts of about ``step`` bytes."""
     while data:
         one = zlib.decompressobj(31)
-        out.append(one.decompress(data))
+        while not one.eof:
+            part = one.decompress(data, step)
+            data = one.unconsumed_tail
+            if part:
+                yield part
+            elif not data and not one.eof:
+                raise ValueError("the file is cut")
         data = one.unused_data
-    return b"".join(out)
+
+
+class Feed:
+    """Parts of a file, from which records are taken by length."""
+
+    def __init__(self, parts: Iterator[bytes]):
+        self.parts, self.held, self.taken = iter(parts), bytearray(), 0
+
+    def more(self) -> bool:
+        part = next(self.parts, None)
+        self.held += part or b""
+        return part is not None
+
+    def upto(self, mark: bytes) -> bytes | None:
+        """What stands before ``mark``, which is passed over; none at the end of the file."""
+        seen = 0
+        while (at := self.held.find(mark, seen)) < 0:
+            seen = max(0, len(self.held) - len(mark))
+            if not self.more():
+                if self.held:
+                    raise ValueError(f"the record at byte {self.taken} is cut")
+                return None
+        return self.take(at + len(mark))[:at]
+
+    def take(self, n: int) -> bytes:
+        while len(self.held) < n:
+            if not self.more():
+                raise ValueError(f"the record at byte {self.taken} is cut")
+        out = bytes(self.held[:n])
+        del self.held[:n]
+        self.taken += n
+        return out
 
 
 def _page(text: bytes | None) -> int | None:
@@ -107,21 +145,18 @@ def _page(text: bytes | None) -> int | None:
     return None if tail == b"none" else int(tail)
 
 
-def parse(data: bytes):
-    """Records of one archive, by their lengths."""
-    import hashlib
-
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].split(b"\r\n")
+def parse(parts: Iterator[bytes]) -> Iterator[tuple]:
+    """Records of one archive, by their lengths; one of them is in memory at a time."""
+    feed = Feed(parts)
+    while (head := feed.upto(END.encode())) is not None:
+        lines = head.split(b"\r\n")
         if not lines[0].startswith(b"WARC/"):
-            raise ValueError(f"no record at byte {at}")
+            raise ValueError(f"no record before byte {feed.taken}")
         head = {k.lower(): v.strip() for k, _, v in (x.partition(b":") for x in lines[1:])}
         size = int(head[b"content-length"])
-        payload = data[end + 4 : end + 4 + size]
-        if len(payload) != size or data[end + 4 + size : end + 8 + size] != b"\r\n\r\n":
-            raise ValueError(f"the record at byte {at} is cut")
+        payload = feed.take(size)
+        if feed.take(4) != END.encode():
+            raise ValueError(f"the record before byte {feed.taken} is longer than it says")
         kind = head[b"warc-type"].decode()
         url = head.get(b"warc-target-uri")
         yield (
@@ -130,11 +165,10 @@ def parse(data: bytes):
             _page(head[b"warc-refers-to"].strip(b"<>")) if kind == "revisit" else None,
             None if kind == "revisit" else hashlib.sha1(payload).hexdigest(), payload,
         )
-        at = end + 8 + size
 
 
 def read(spark: SparkSession, path: str, payloads: bool = True, batch_bytes: int = 8 << 20) -> DataFrame:
-    """The records of all archives below ``path``; one file at a time in memory."""
+    """The records of all archives below ``path``. In memory are one file as it is compressed, and a batch of records."""
     schema = RECORD if payloads else T.StructType(RECORD.fields[:-1])
     kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
 
@@ -146,7 +180,7 @@ def read(spark: SparkSession, path: str, payloads: bool = True, batch_bytes: int
         for batch in batches:
             for content in batch.column(0):
                 rows, size = [], 0
-                for record in parse(_inflate(content.as_py())):
+                for record in parse(inflated(content.as_py())):
                     rows.append(record[: len(schema)])
                     size += len(record[-1]) if payloads else 200
                     if size > batch_bytes:
@@ -160,9 +194,9 @@ def read(spark: SparkSession, path: str, payloads: bool = True, batch_bytes: int
 
 
 def join_originals(records: DataFrame) -> DataFrame:
-    """Give revisits the payload length of the response they refer to, found by digest and page."""
-    found = records.where("record_type = 'response'").select("digest", F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("_n"))
+    """Give revisits the length and ``actual_digest`` of the payload that they refer to, found by digest and page."""
+    copied = ["payload_bytes", "actual_digest"]
+    found = records.where("record_type = 'response'").select("digest", F.col("page_id").alias("refers_to"), *copied)
     found = found.dropDuplicates(["digest", "refers_to"])
-    visits = records.where("record_type = 'revisit'").drop("payload_bytes")
-    visits = visits.join(found, ["digest", "refers_to"], "left").withColumnRenamed("_n", "payload_bytes")
+    visits = records.where("record_type = 'revisit'").drop(*copied).join(found, ["digest", "refers_to"], "left")
     return records.where("record_type = 'response'").unionByName(visits)
