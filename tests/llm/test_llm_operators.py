@@ -13,7 +13,7 @@ import xxhash
 from compare import connect, differences
 from pyspark.sql import functions as F
 
-from tidewell.llm import expected, langid, mixing, nn_descent, notices, pieces, pitman_yor, quality, queries, simhash, suffixes, warc
+from tidewell.llm import common, expected, langid, mixing, nn_descent, notices, pieces, pitman_yor, quality, queries, simhash, suffixes, warc
 from tidewell.llm.common import Scratch
 
 SHARED = " ".join(f"shared{i} passage" for i in range(40))
@@ -291,6 +291,21 @@ def plain_print(text):
     return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes)) if hashes else 0
 
 
+def test_components(spark):
+    """Stars, paths, cliques and loose edges against a plain union."""
+    rng = np.random.default_rng(12)
+    edges = [(0, i) for i in range(1, 40)] + [(i, i + 1) for i in range(100, 130)] + [(int(a), int(b)) for a, b in rng.integers(200, 260, (40, 2))]
+    edges += [(300, 300), (390, 301), (390, 302), (390, 303), (391, 390)] + [(a, b) for a in range(400, 408) for b in range(400, 408)]
+    group = {n: n for e in edges for n in e}
+    for a, b in edges:
+        low, high = sorted((group[a], group[b]))
+        group = {n: low if g == high else g for n, g in group.items()}
+    found = common.components(Scratch(spark, "t"), spark.createDataFrame(edges, "a long, b long").repartition(5)).collect()
+    linked = {n for a, b in edges if a != b for n in (a, b)}
+    assert {r.node: r.component for r in found} == {n: group[n] for n in linked} and len(found) == len(linked)
+    assert common.components(Scratch(spark, "t"), spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_simhash_prints(docs):
     for r in simhash.fingerprints(docs).collect():
         assert r.fp % (1 << 64) == plain_print(r.text)

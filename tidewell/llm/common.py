@@ -49,19 +49,26 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+SALTS = 16  # parts of the edges of a node that many others are linked to
+
+
 def components(scratch: Scratch, edges: DataFrame, name: str = "links") -> DataFrame:
     """(node, component): the smallest node that ``edges`` (a, b: long) reach.
 
     Alternating large-star and small-star steps; each is one grouped minimum, combined before
-    its shuffle, and one join that AQE can split. Nodes without an edge to another are left out.
+    its shuffle, and one join. Edges go from the larger node a to the smaller b. A root has no smaller neighbour,
+    so its many edges stay as they are; they meet the few nodes that have both smaller and larger
+    neighbours by node and salt, and no task gets all edges of one node. Nodes without an edge to another are left out.
     """
     now = scratch.keep(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}-0"
     )
     for step in range(1, 60):
-        both = now.unionByName(now.selectExpr("b AS a", "a AS b"))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        low = now.groupBy("a").agg(F.min("b").alias("m"))
+        inner = low.join(now.select(F.col("b").alias("a")).distinct(), "a", "left_semi")
+        inner = inner.select(F.col("a").alias("b"), "m", F.explode(F.array(*map(F.lit, range(SALTS)))).alias("salt"))
+        salted = now.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(SALTS)).cast("int"))
+        large = salted.join(inner, ["b", "salt"], "left").select("a", F.coalesce("m", "b").alias("b")).distinct()
         large = scratch.keep(large, f"{name}-{step}-large")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").selectExpr("b AS x", "m").unionByName(low.selectExpr("a AS x", "m"))
