@@ -188,13 +188,48 @@ def test_pitman_yor_is_a_distribution():
     words = [bytes(rng.integers(97, 100, rng.integers(0, 4)).astype(np.uint8)) for _ in range(50)]
     cells, starts = pitman_yor.spelled(words)
     model = pitman_yor.Spelling()
-    for _ in range(3):
-        model = model.seated(*np.unique(cells, return_counts=True), rng)
+    for number in range(3):
+        model = model.seated(*np.unique(cells, return_counts=True), number)
     for context in np.unique(cells // pitman_yor.ALPHABET).tolist() + [5]:
         assert abs(np.exp(model.log(context * pitman_yor.ALPHABET + np.arange(pitman_yor.ALPHABET))).sum() - 1) < 1e-9
     assert (np.diff(starts) == [len(w) + 1 for w in words]).all()
-    tables = pitman_yor.seat(np.array([1, 2, 1000]), 1.0, 0.5, 0.0, np.array([0.3, 0.3, 0.3]), rng)
+    keys, base = np.arange(3, dtype=np.uint64), np.array([0.3, 0.3, 0.3])
+    tables = pitman_yor.seat(np.array([1, 2, 1000]), 1.0, 0.5, 0.0, base, keys, 1)
     assert tables[0] == 1 and 1 <= tables[1] <= 2 and 1 <= tables[2] < 1000
+    # A dish has the same seats whichever others come with it.
+    assert tables[2] == pitman_yor.seat(np.array([1000]), 1.0, 0.5, 0.0, base[2:], keys[2:], 1)[0]
+
+
+def test_pitman_yor_draws():
+    keys = np.arange(20_000, dtype=np.uint64)
+    for n, share in ((4, 0.3), (40, 0.9), (1000, 0.4), (1000, 0.001)):
+        got = pitman_yor.drawn(np.full(len(keys), n), np.full(len(keys), share), keys, 3, 5)
+        assert got.min() >= 0 and got.max() <= n and (got == np.rint(got)).all()
+        assert abs(got.mean() - n * share) < 5 * math.sqrt(n * share * (1 - share) / len(keys))
+        assert abs(got.var() / (n * share * (1 - share)) - 1) < 0.1
+
+
+def test_pitman_yor_knows_which_word_follows(spark, monkeypatch):
+    """Of a text the order counts; after every context all next words sum to 1, however the rows are batched."""
+    learned = [(i, t) for i, t in enumerate(["the cat sat on the mat", "the dog sat on the log", "a cat saw the dog"] * 12) if zlib.crc32(str(i).encode()) % 7 != 2]
+    fresh = iter(i for i in range(100, 9999) if zlib.crc32(str(i).encode()) % 7 == 2)
+    words = sorted({w for _, t in learned for w in t.split()})
+    asked = ["the cat sat on the mat", "mat the on sat cat the"]
+    words.append("zzz")  # all unknown words are one event
+    texts = dict.fromkeys(asked + [""] + words + [f"{a} {b}" for a in words for b in words])
+    tests = {t: next(fresh) for t in texts}
+    docs = spark.createDataFrame(learned + [(i, t) for t, i in tests.items()], "doc_id long, text string")
+    run = lambda d: {r.doc_id: r.score for r in pitman_yor.score(Scratch(spark, "t"), d, pitman_yor.held_out(F.col("doc_id"))).collect()}
+    got = run(docs.repartition(3, "doc_id"))
+    assert got[tests[asked[0]]] > got[tests[asked[1]]] + 1
+    # With h(a) = 1 / P(end | a), P(b | a) is p("a b") / p("a") * h(b) / h(a). If each context's words and end sum to 1,
+    # h solves a linear system, and the first words and the empty text sum to 1 by it.
+    p = lambda t: 10 ** got[tests[t]]
+    step = np.array([[p(f"{a} {b}") / p(a) for b in words] for a in words])
+    h = np.linalg.solve(np.eye(len(words)) - step, np.ones(len(words)))
+    assert (h > 1).all() and abs(sum(p(w) * x for w, x in zip(words, h)) + p("") - 1) < 1e-6
+    again = run(docs.repartition(1))
+    assert all(abs(again[i] - s) < 1e-9 for i, s in got.items())
 
 
 def cut(texts, depth=100):

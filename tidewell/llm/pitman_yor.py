@@ -1,24 +1,30 @@
-"""A hierarchical Pitman-Yor language model of words and their spelling.
+"""A hierarchical Pitman-Yor language model: words after a word, words, and their spelling.
 
-Words are served by one restaurant whose base is a model of spelling: the bytes of a word (and its
-end) come from restaurants of contexts of two, one and no bytes, each sharing its parent with all
-contexts that end alike, down to a uniform choice. A table of the word restaurant is a customer of
-the spelling restaurants, whose tables are customers of their parents.
+Each word is a context with a restaurant of the words that follow it; the end of a text is the context
+of the first word of one. All contexts share a parent, the restaurant of words, whose base is a model of
+spelling: the bytes of a word (and its end) come from restaurants of contexts of two, one and no bytes, each
+sharing its parent with all contexts that end alike, down to a uniform choice. A table of a
+restaurant is a customer of its parent.
 
-Seating is sampled by Gibbs sweeps. In a sweep every word's customers are seated anew by the
-Chinese-restaurant process, given the other words' tables and the spelling model of the sweep
-before, for all words at once on Spark; then the spelling restaurants are seated anew from the
-tables' spellings. Customers after the first sixteen of a dish are seated in blocks of up to a
-sixteenth of those present. After ``BURN`` sweeps the predictive probabilities of ``SAMPLES`` sweeps
-are averaged.
+Seating is sampled by Gibbs sweeps, on Spark for all dishes of a level at once, given the other dishes' tables of
+the sweep before. First every pair of words has one table, and ``BURN`` sweeps seat words and spelling. Given
+those, the contexts are seated ``PAIR_BURN`` and ``PAIR_SAMPLES`` times; given their last tables, words and
+spelling are seated ``SAMPLES`` times more. Predictive probabilities are averaged over all pairs of a
+sample of the contexts and one of the words. Draws follow from a dish's key and the sweep, not from
+the rows it meets. Customers after the first 32 of a dish are seated in blocks of up to a sixteenth of
+those present, by a normal law where ten or more new tables are expected.
+
+A pair that occurs once always has one table, so only pairs that occur more often are seated. How many
+occur once follows from the counts of the words.
 
 A word not seen in training is one event, as in the base score, so both speak of the same outcomes:
 its probability is that of a new table with a spelling of none of the known words. The score that
 also spells unknown words out is given beside it.
 
 Counts cover the whole corpus. Texts are coded in batches of about ``BATCH`` bytes: a batch's row holds
-its dictionary and its tokens as places in it. Only dictionaries are shuffled, a row per word and
-batch however often it occurs; batches then get their words' values back. The driver holds the
+its dictionary, its distinct pairs and its tokens as places among these. A row per word and batch, and one per
+pair and batch, are shuffled however often they occur; words are told apart by 64 bits there. Batches then
+get the values of their words back, and of those pairs whose count they cannot know. The driver holds the
 spelling counts alone: at most 257**3 of them whatever the corpus.
 """
 
@@ -26,15 +32,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.llm.common import Scratch, as_bytes
+from tidewell.llm.common import Scratch, as_bytes, mixed
 
 BATCH = 16 << 20
 BURN, SAMPLES = 3, 4
+PAIR_BURN, PAIR_SAMPLES = 1, 2
+PAIR_STRENGTH = 1.0  # of the restaurant of a context
 STRENGTH = 10.0  # of the word restaurant; its discount follows from the counts
 SPELL_STRENGTH, SPELL_DISCOUNT = 1.0, 0.5
 EDGE, ALPHABET = 256, 257  # before the first byte and after the last
@@ -46,8 +55,11 @@ def held_out(key: Column, parts: int = 7, part: int = 2) -> Column:
 
 
 def coded(docs: DataFrame) -> DataFrame:
-    """Batches of ``docs`` (id, held, text): ids, held, lengths, tokens, words, counts."""
-    schema = "batch long, ids array<long>, held array<boolean>, lengths array<long>, tokens binary, words array<binary>, counts array<long>"
+    """Batches of ``docs`` (id, held, text): ids, held, lengths, words, counts; pairs as places of words, their counts, tokens as places of pairs."""
+    schema = (
+        "batch long, ids array<long>, held array<boolean>, lengths array<long>, words array<binary>, counts array<long>, "
+        "left binary, right binary, pair_counts binary, tokens binary"
+    )
 
     def work(batches):
         number = TaskContext.get().partitionId() << 24
@@ -57,16 +69,23 @@ def coded(docs: DataFrame) -> DataFrame:
             lengths = np.fromiter(map(len, coded), np.int64, len(coded))
             learn = np.repeat(~np.array(held, bool), lengths)
             counts = np.bincount(tokens[learn], minlength=len(words))
+            # The word before; the end (place 0) is before the first one.
+            before = np.concatenate(([0], tokens[:-1]))
+            pairs, places = np.unique(before * len(words) + tokens, return_inverse=True)
+            blobs = [
+                (pairs // len(words)).astype(np.uint32), (pairs % len(words)).astype(np.uint32),
+                np.bincount(places[learn], minlength=len(pairs)).astype(np.uint32), places.astype(np.uint32),
+            ]
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())),
-                    pa.array([lengths]), pa.array([tokens.astype(np.uint32).tobytes()], pa.binary()),
-                    pa.array([list(words)], pa.list_(pa.binary())), pa.array([counts.astype(np.int64)]),
+                    pa.array([lengths]), pa.array([list(words)], pa.list_(pa.binary())), pa.array([counts.astype(np.int64)]),
+                    *(pa.array([b.tobytes()], pa.binary()) for b in blobs),
                 ],
-                ["batch", "ids", "held", "lengths", "tokens", "words", "counts"],
+                ["batch", "ids", "held", "lengths", "words", "counts", "left", "right", "pair_counts", "tokens"],
             )
 
-        words: dict[bytes, int] = {}
+        words: dict[bytes, int] = {b"": 0}
         ids, held, coded, size = [], [], [], 0
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
@@ -81,14 +100,61 @@ def coded(docs: DataFrame) -> DataFrame:
                     if size >= BATCH:
                         yield flush()
                         number += 1
-                        words, ids, held, coded, size = {}, [], [], [], 0
+                        words, ids, held, coded, size = {b"": 0}, [], [], [], 0
         if ids:
             yield flush()
 
     return docs.select("id", "held", "text").mapInArrow(work, schema)
 
 
-def seat(c: np.ndarray, strength, discount: float, others, base: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+def spots(batches: DataFrame) -> DataFrame:
+    """(u, w, batch, place, c): the pairs of each batch by the hashes of their words, with their training count there."""
+
+    def work(rows):
+        for batch in rows:
+            for i in range(batch.num_rows):
+                number, words, *blobs = (batch.column(k)[i].as_py() for k in range(5))
+                left, right, c = (np.frombuffer(b, np.uint32) for b in blobs)
+                # As the function xxhash64 of Spark has it.
+                keys = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in words), np.uint64, len(words)).view(np.int64)
+                for a in range(0, len(c), 1 << 18):
+                    z = slice(a, a + (1 << 18))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(keys[left[z]]), pa.array(keys[right[z]]), pa.array(np.full(len(c[z]), number)),
+                            pa.array(np.arange(a, a + len(c[z]), dtype=np.int32)), pa.array(c[z].astype(np.int64)),
+                        ],
+                        ["u", "w", "batch", "place", "c"],
+                    )
+
+    return batches.select("batch", "words", "left", "right", "pair_counts").mapInArrow(work, "u long, w long, batch long, place int, c long")
+
+
+def uniform(keys: np.ndarray, seed: int, step: int, which: int) -> np.ndarray:
+    """Numbers between 0 and 1 that follow from keys, seed and step."""
+    salt = (np.uint64(seed) << np.uint64(40)) + (np.uint64(step) << np.uint64(1)) + np.uint64(which)
+    bits = mixed(mixed(keys) + mixed(np.atleast_1d(salt)))
+    return ((bits >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
+
+
+def drawn(n: np.ndarray, share: np.ndarray, keys: np.ndarray, seed: int, step: int) -> np.ndarray:
+    """Binomial draws: by their sums up to a mean of ten, by a normal law beyond."""
+    low = np.minimum(share, 1 - share)
+    mean, u = n * low, uniform(keys, seed, step, 0)
+    turn = np.sqrt(-2 * np.log(u)) * np.cos(2 * np.pi * uniform(keys, seed, step, 1))
+    out = np.clip(np.rint(mean + turn * np.sqrt(mean * (1 - low))), 0, n)
+    few = np.flatnonzero(mean < 10)
+    count, chance, odds = np.zeros(len(few)), (1 - low[few]) ** n[few], low[few] / (1 - low[few])
+    below, more = chance.copy(), np.arange(len(few))
+    while len(more := more[(u[few[more]] > below[more]) & (count[more] < n[few[more]])]):
+        chance[more] *= (n[few[more]] - count[more]) / (count[more] + 1) * odds[more]
+        count[more] += 1
+        below[more] += chance[more]
+    out[few] = count
+    return np.where(share > 0.5, n - out, out)
+
+
+def seat(c: np.ndarray, strength, discount: float, others, base: np.ndarray, keys: np.ndarray, seed: int) -> np.ndarray:
     """Tables that ``c`` customers of each dish open, seated one after another (later in blocks)."""
     strength, others = np.broadcast_to(strength, c.shape), np.broadcast_to(others, c.shape)
     tables = np.minimum(c, 1).astype(np.float64)
@@ -97,12 +163,20 @@ def seat(c: np.ndarray, strength, discount: float, others, base: np.ndarray, rng
         step = max(1, k // 16)
         new = (strength[live] + discount * (others[live] + tables[live])) * base[live]
         share = new / (k - discount * tables[live] + new)
-        tables[live] += rng.binomial(np.minimum(step, c[live] - k), share)
+        if step == 1:
+            tables[live] += uniform(keys[live], seed, k, 0) < share
+        else:
+            tables[live] += drawn(np.minimum(step, c[live] - k), share, keys[live], seed, k)
         k += step
         live = live[c[live] > k]
     return tables
 
 
+def usual_discount(once: float, twice: float) -> float:
+    """The usual estimate from how many dishes have one customer and two."""
+    return min(0.95, max(0.05, once / max(1, once + 2 * twice)))
+
+
 class Spelling:
     """Restaurants over the bytes of words: contexts of two, one and no bytes."""
 
@@ -113,7 +187,7 @@ class Spelling:
         self.p1 = np.full((ALPHABET, ALPHABET), 1 / ALPHABET)
         self.contexts, self.total2, self.tables2 = np.zeros(0, np.int64), none, none
 
-    def seated(self, cells: np.ndarray, c2: np.ndarray, rng: np.random.Generator) -> Spelling:
+    def seated(self, cells: np.ndarray, c2: np.ndarray, seed: int) -> Spelling:
         """New seats for ``c2`` customers at ``cells`` (context and byte), given the present ones."""
         order = np.argsort(cells)
         cells, c2 = cells[order], c2[order]
@@ -123,16 +197,18 @@ class Spelling:
         new.contexts, row = np.unique(context, return_inverse=True)
         # Tables of the same context before this sweep, less those of the dish itself.
         others = self._of(self.contexts, self.tables2, context) - self._of(self.cells, self.t2, cells)
-        t2 = seat(c2, s, d, others, self.p1[near, byte], rng)
+        t2 = seat(c2, s, d, others, self.p1[near, byte], cells.astype(np.uint64), seed)
         new.cells, new.c2, new.t2 = cells, c2.astype(np.float64), t2
         new.total2, new.tables2 = np.bincount(row, c2), np.bincount(row, t2)
         c1 = np.zeros((ALPHABET, ALPHABET))
         np.add.at(c1, (near, byte), t2)
         p0 = np.full(ALPHABET, 1 / ALPHABET)
-        for _ in range(2):  # both parents, seated twice so that each has seen the other
-            t1 = seat(c1.ravel().astype(np.int64), s, d, 0.0, np.tile(p0, ALPHABET), rng).reshape(c1.shape)
+        # Keys beyond those of longer contexts.
+        keys = np.arange(ALPHABET**2 + ALPHABET, dtype=np.uint64) + np.uint64(ALPHABET**3)
+        for turn in range(2):  # both parents, seated twice so that each has seen the other
+            t1 = seat(c1.ravel().astype(np.int64), s, d, 0.0, np.tile(p0, ALPHABET), keys, 2 * seed + turn).reshape(c1.shape)
             c0 = t1.sum(0)
-            t0 = seat(c0.astype(np.int64), s, d, 0.0, np.full(ALPHABET, 1 / ALPHABET), rng)
+            t0 = seat(c0.astype(np.int64), s, d, 0.0, np.full(ALPHABET, 1 / ALPHABET), keys[ALPHABET**2 :], 2 * seed + turn)
             p0 = (c0 - d * t0 + (s + d * t0.sum()) / ALPHABET) / (s + c0.sum())
         new.p1 = (c1 - d * t1 + (s + d * t1.sum(1, keepdims=True)) * p0) / (s + c1.sum(1, keepdims=True))
         return new
@@ -178,43 +254,41 @@ class Sweep:
     def __init__(self, number: int, tables: float, spelling: Spelling):
         self.number, self.tables, self.spelling, self.known = number, tables, spelling, 0.0
 
-    def seats(self, c: np.ndarray, log_base: np.ndarray, discount: float) -> np.ndarray:
+    def seats(self, c: np.ndarray, log_base: np.ndarray, discount: float, keys: np.ndarray) -> np.ndarray:
         """Tables of each word in the next sweep."""
-        seed = [self.number, len(c), int(c.sum()), int(-log_base[:4].sum() * 1e6)]
-        return seat(c, STRENGTH, discount, self.tables, np.exp(np.maximum(log_base, -700)), np.random.default_rng(seed))
+        return seat(c, STRENGTH, discount, self.tables, np.exp(np.maximum(log_base, -700)), keys, self.number)
 
 
 def _rows(batch: pa.RecordBatch, size: int = 50_000):
     for start in range(0, batch.num_rows, size):
         part = batch.slice(start, size)
-        yield part, part.column(0).to_pylist(), part.column(1).to_numpy()
+        yield part, part.column(0).to_pylist(), part.column(1).to_numpy(), part.column(2).to_numpy().view(np.uint64)
 
 
 def sweep(types: DataFrame, state: Sweep, discount: float) -> Sweep:
-    """One Gibbs sweep over all words (word, c)."""
+    """One Gibbs sweep over all words (word, c: customers, k: key)."""
     shared = types.sparkSession.sparkContext.broadcast(_plain(state))
 
     def work(batches):
         state = _state(shared.value)
         for batch in batches:
-            for _, words, c in _rows(batch):
+            for _, words, c, keys in _rows(batch):
                 cells, starts = spelled(words)
                 log_base = np.add.reduceat(state.spelling.log(cells), starts[:-1])
-                tables, base = state.seats(c, log_base, discount), np.exp(log_base)
+                tables, base = state.seats(c, log_base, discount, keys), np.exp(log_base)
                 values, row = np.unique(cells, return_inverse=True)
                 n = np.bincount(row, np.repeat(tables, np.diff(starts))).astype(np.int64)
                 cells = pa.array(np.concatenate((values, [-1, -2])))
                 sums = [int(tables.sum()), round(float(base.sum()) * MASS)]
                 yield pa.RecordBatch.from_arrays([cells, pa.array(np.concatenate((n, sums)))], ["cell", "n"])
 
-    rows = types.where("c > 0").select("word", "c").mapInArrow(work, "cell long, n long")
+    rows = types.where("c > 0").select("word", "c", "k").mapInArrow(work, "cell long, n long")
     got = rows.groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").toArrow()
     cells, n = got.column(0).to_numpy(), got.column(1).to_numpy()
-    rng = np.random.default_rng([20240601, state.number])
     whole = cells >= 0
     shared.unpersist()
     state.known = min(1.0, float(n[cells == -2].sum()) / MASS)
-    return Sweep(state.number + 1, float(n[cells == -1].sum()), state.spelling.seated(cells[whole], n[whole], rng))
+    return Sweep(state.number + 1, float(n[cells == -1].sum()), state.spelling.seated(cells[whole], n[whole], state.number + 1))
 
 
 def _plain(state: Sweep) -> tuple:
@@ -229,7 +303,7 @@ def _state(plain: tuple) -> Sweep:
 
 
 def valued(types: DataFrame, states: list[Sweep], discount: float, total: int) -> DataFrame:
-    """(word, c, log_p): base 10 logs of the predictive probabilities averaged over sweeps.
+    """(k, c, log_p): natural logs of the predictive probabilities of words (word, c, k) averaged over sweeps.
 
     ``states`` are consecutive; all but the first are samples. The seats of a sweep follow from the
     state before it and are drawn again.
@@ -239,7 +313,7 @@ def valued(types: DataFrame, states: list[Sweep], discount: float, total: int) -
     def work(batches):
         states = [_state(s) for s in shared.value]
         for batch in batches:
-            for part, words, c in _rows(batch):
+            for part, words, c, keys in _rows(batch):
                 # In logs: long words have tiny bases.
                 mean = np.full(len(words), -np.inf)
                 known = np.flatnonzero(c > 0)
@@ -248,15 +322,36 @@ def valued(types: DataFrame, states: list[Sweep], discount: float, total: int) -
                 for before, after in zip(states, states[1:]):
                     tables = np.zeros(len(words))
                     if len(known):
-                        tables[known] = before.seats(c[known], base[known], discount)
+                        tables[known] = before.seats(c[known], base[known], discount, keys[known])
                     base = np.add.reduceat(after.spelling.log(cells), starts[:-1])
                     own = np.log(np.maximum(c - discount * tables, 0), out=np.full(len(c), -np.inf), where=c - discount * tables > 0)
                     p = np.logaddexp(own, np.log(STRENGTH + discount * after.tables) + base) - np.log(STRENGTH + total)
                     mean = np.logaddexp(mean, p)
-                log_p = (mean - np.log(len(states) - 1)) / np.log(10)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(log_p)], ["word", "c", "log_p"])
+                log_p = mean - np.log(len(states) - 1)
+                yield pa.RecordBatch.from_arrays([part.column(2), part.column(1), pa.array(log_p)], ["k", "c", "log_p"])
 
-    return types.select("word", "c").mapInArrow(work, "word binary, c long, log_p double")
+    return types.select("word", "c", "k").mapInArrow(work, "k long, c long, log_p double")
+
+
+def sweep_pairs(pairs: DataFrame, discount: float, number: int) -> DataFrame:
+    """One Gibbs sweep over pairs (u, w, c, total, log_p, t, sum_t) that occur more than once: t anew.
+
+    A context of ``total`` customers has ``total`` tables less c - t for each of its pairs.
+    """
+    names = ["u", "w", "c", "total", "log_p", "t", "sum_t"]
+    less = pairs.groupBy("u").agg(F.sum(F.col("c") - F.col("t")).alias("less"))
+
+    def work(batches):
+        for b in batches:
+            u, w, c, total, log_p, t, sum_t, less = (b.column(i).to_numpy() for i in range(8))
+            keys = mixed(u.view(np.uint64)) + w.view(np.uint64)
+            base = np.exp(np.maximum(log_p, -700))
+            t = seat(c, PAIR_STRENGTH, discount, total - less - t, base, keys, 1000 + number).astype(np.int64)
+            sum_t = sum_t + t if number >= PAIR_BURN else sum_t
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(5)), pa.array(t), pa.array(sum_t)], names)
+
+    joined = pairs.join(less, "u").select(*names, "less")
+    return joined.mapInArrow(work, "u long, w long, c long, total long, log_p double, t long, sum_t long")
 
 
 def score(
@@ -270,48 +365,92 @@ def score(
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), held.alias("held"), F.col(text).alias("text"))
     batches = scratch.keep(coded(rows), "batches")
-    pairs = batches.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).select("x.words", "x.counts")
-    types = scratch.keep(pairs.groupBy(F.col("words").alias("word")).agg(F.sum("counts").alias("c")), "types")
-    sizes = types.agg(
-        F.sum("c").alias("n"), F.count_if(F.col("c") > 0).alias("v"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")
-    ).first()
+    words = batches.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).select("x.words", "x.counts")
+    words = words.groupBy(F.col("words").alias("word")).agg(F.sum("counts").alias("n"))
+    types = scratch.keep(words.withColumn("k", F.xxhash64("word")), "types")
+
+    # Batches know the counts of pairs that occur nowhere else.
+    same = Window.partitionBy("u", "w")
+    seen = spots(batches).select("*", F.sum("c").over(same).alias("n"), (F.col("batch") == F.min("batch").over(same)).alias("first"))
+    seen = scratch.keep(seen.where("n > 1 OR n <> c").drop("c"), "seen")
+    many = seen.where("first AND n > 1").select("u", "w", F.col("n").alias("c"), F.lit(1).cast("long").alias("t"))
+
+    def customers(pairs: DataFrame, name: str) -> DataFrame:
+        """Each word's customers: the tables that contexts have for it."""
+        less = pairs.groupBy(F.col("w").alias("k")).agg(F.sum(F.col("c") - F.col("t")).alias("less"))
+        return scratch.keep(types.join(less, "k", "left").select("word", (F.col("n") - F.coalesce("less", F.lit(0))).alias("c"), "k"), name)
+
+    sizes = types.agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
     total, kinds = sizes["n"] or 0, sizes["v"]
-    # The usual estimate of a discount from words seen once and twice.
-    discount = min(0.95, max(0.05, sizes["n1"] / max(1, sizes["n1"] + 2 * sizes["n2"])))
+    sizes = many.agg(F.sum("c").alias("n"), F.count_if(F.col("c") == 2).alias("n2")).first()
+    pair_discount = usual_discount(total - (sizes["n"] or 0), sizes["n2"])
+    start = customers(many, "customers-0")
+    once = F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")
+    sizes = start.agg(F.sum("c").alias("n"), *once).first()
+    discount = usual_discount(sizes["n1"], sizes["n2"])
 
     states = [Sweep(0, 0.0, Spelling())]
-    for _ in range(burn + samples + 1):  # the last one tells the share of known words before it
-        states.append(sweep(types, states[-1], discount))
-    states = states[burn:-1]
-    unknown = np.mean([(STRENGTH + discount * s.tables) / (STRENGTH + total) * max(1 - s.known, 1e-12) for s in states[1:]])
-    unknown = float(np.log10(unknown))
-    known = scratch.keep(valued(types, states, discount, total), "valued")
-
-    places = batches.select("batch", F.posexplode("words").alias("place", "word"))
-    values = places.join(known, "word").select(F.col("batch").alias("of"), "place", "c", "log_p")
+    for _ in range(max(1, burn)):
+        states.append(sweep(start, states[-1], discount))
+    parent = valued(start.where("c > 0"), states[-2:], discount, sizes["n"] or 0)
+    pairs = many.join(parent.select(F.col("k").alias("w"), "log_p"), "w").join(types.select(F.col("k").alias("u"), F.col("n").alias("total")), "u")
+    pairs = scratch.keep(pairs.select("u", "w", "c", "total", "log_p", "t", F.lit(0).cast("long").alias("sum_t")), "pairs-0")
+    for number in range(PAIR_BURN + PAIR_SAMPLES):
+        pairs = scratch.keep(sweep_pairs(pairs, pair_discount, number), f"pairs-{number + 1}")
+        scratch.drop(f"pairs-{number}")
+
+    final = customers(pairs, "customers-1")
+    served = final.agg(F.sum("c")).first()[0] or 0
+    states = states[-1:]
+    for _ in range(samples + 1):  # the last one tells the share of known words before it
+        states.append(sweep(final, states[-1], discount))
+    states = states[:-1]
+    unknown = np.mean([(STRENGTH + discount * s.tables) / (STRENGTH + served) * max(1 - s.known, 1e-12) for s in states[1:]])
+    unknown = float(np.log(unknown))
+    tables = F.col("sum_t") / PAIR_SAMPLES
+    less = pairs.groupBy(F.col("u").alias("k")).agg(F.sum(F.col("c") - tables).alias("less"))
+    # What a context leaves to its parent.
+    back = F.log((PAIR_STRENGTH + pair_discount * (F.col("n") - F.coalesce("less", F.lit(0.0)))) / (PAIR_STRENGTH + F.col("n")))
+    known = valued(final, states, discount, served).drop("c").join(types.select("k", "n"), "k").join(less, "k", "left")
+    known = scratch.keep(known.select("k", "n", F.col("log_p").alias("x"), F.when(F.col("n") > 0, back).otherwise(0.0).alias("y")), "valued")
+
+    places = batches.select(F.col("batch").alias("of"), F.posexplode("words").alias("place", "word"))
+    places = places.select("of", "place", F.xxhash64("word").alias("k")).join(known, "k")
+    own = pairs.select("u", "w", (F.col("c") - pair_discount * tables).alias("x"))
+    found = seen.join(own, ["u", "w"], "left").select(
+        F.col("batch").alias("of"), "place", F.lit(False).alias("word"), "n", F.coalesce("x", F.lit(1 - pair_discount)).alias("x"), F.lit(0.0).alias("y")
+    )
+    values = places.select("of", "place", F.lit(True).alias("word"), "n", "x", "y").unionByName(found)
     schema = T.StructType(
         [T.StructField(key, T.LongType()), T.StructField("held_out", T.BooleanType())]
         + [T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")]
         + [T.StructField(n, T.DoubleType()) for n in ("base_score", "score", "spelled_score", "perplexity")]
     )
-
-    def work(left: pa.Table, right: pa.Table) -> pa.Table:
-        place = right.column("place").to_numpy()
-        c, log_p = np.zeros(len(place), np.int64), np.zeros(len(place))
-        c[place], log_p[place] = right.column("c").to_numpy(), right.column("log_p").to_numpy()
-        base = np.log10((c + 1) / (total + kinds + 1))
-        tokens = np.frombuffer(left.column("tokens")[0].as_py(), np.uint32)
-        lengths = np.array(left.column("lengths")[0].as_py())
+    ln10 = float(np.log(10))
+
+    def work(part: pa.Table, right: pa.Table) -> pa.Table:
+        before, after, count, tokens = (np.frombuffer(part.column(c)[0].as_py(), np.uint32) for c in ("left", "right", "pair_counts", "tokens"))
+        place, n, x, y = (right.column(c).to_numpy() for c in ("place", "n", "x", "y"))
+        word = np.asarray(right.column("word"))
+        c, log_p, back = np.zeros(word.sum(), np.int64), np.zeros(word.sum()), np.zeros(word.sum())
+        at = place[word]
+        c[at], log_p[at], back[at] = n[word], x[word], y[word]
+        own = np.where(count == 1, 1 - pair_discount, 0.0)
+        own[place[~word]] = x[~word]
+        own = np.log(own, out=np.full(len(own), -np.inf), where=own > 0) - np.log(PAIR_STRENGTH + c[before])
+        lengths = np.array(part.column("lengths")[0].as_py())
         sums = lambda v: np.add.reduceat(v[tokens], np.cumsum(lengths) - lengths)
-        scores = sums(np.where(c > 0, log_p, unknown))
+        mixture = lambda base: sums(np.logaddexp(own, back[before] + base[after])) / ln10
+        scores = mixture(np.where(c > 0, log_p, unknown))
         return pa.table(
             [
-                pa.array(left.column("ids")[0].as_py(), pa.int64()), pa.array(left.column("held")[0].as_py(), pa.bool_()),
-                pa.array(lengths), pa.array(sums((c > 0).astype(np.int64))), pa.array(np.full(len(lengths), total, np.int64)),
-                pa.array(sums(base)), pa.array(scores), pa.array(sums(log_p)), pa.array(10 ** np.minimum(-scores / lengths, 300)),
+                pa.array(part.column("ids")[0].as_py(), pa.int64()), pa.array(part.column("held")[0].as_py(), pa.bool_()),
+                pa.array(lengths), pa.array(sums((c > 0).astype(np.int64)[after])), pa.array(np.full(len(lengths), total, np.int64)),
+                pa.array(sums(np.log10((c + 1) / (total + kinds + 1))[after])), pa.array(scores), pa.array(mixture(log_p)),
+                pa.array(10 ** np.minimum(-scores / lengths, 300)),
             ],
             names=schema.names,
         )
 
-    slim = batches.select("batch", "ids", "held", "lengths", "tokens")
+    slim = batches.select("batch", "ids", "held", "lengths", "left", "right", "pair_counts", "tokens")
     return slim.groupBy("batch").cogroup(values.groupBy("of")).applyInArrow(work, schema)
