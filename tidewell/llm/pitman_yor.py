@@ -22,9 +22,11 @@ its probability is that of a new table with a spelling of none of the known word
 also spells unknown words out is given beside it.
 
 Counts cover the whole corpus. Texts are coded in batches of about ``BATCH`` bytes: a batch's row holds
-its dictionary, its distinct pairs and its tokens as places among these. A row per word and batch, and one per
-pair and batch, are shuffled however often they occur; words are told apart by 64 bits there. Batches then
-get the values of their words back, and of those pairs whose count they cannot know. The driver holds the
+its dictionary, in order of the words' 64-bit hashes, and its tokens as places in it. A row per word and batch is
+shuffled however often the word occurs. Pairs travel as arrays: a batch's distinct pairs, with their counts,
+go to parts by context and a salt of the next word, so many salts that a context of a third of all pairs fills one
+part's share per salt; a part finds those that occur more often than their batch knows, and what becomes of them goes
+the same way back, where a pair is known by its place in the order of the batch. The driver holds the
 spelling counts alone: at most 257**3 of them whatever the corpus.
 """
 
@@ -32,9 +34,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,6 +46,8 @@ from tidewell.llm.common import Scratch, as_bytes, mixed
 BATCH = 16 << 20
 BURN, SAMPLES = 3, 4
 PAIR_BURN, PAIR_SAMPLES = 1, 2
+PART = 2 << 20  # tokens per part of the pairs
+NO_PAIR = 0xFFFFFFFF
 PAIR_STRENGTH = 1.0  # of the restaurant of a context
 STRENGTH = 10.0  # of the word restaurant; its discount follows from the counts
 SPELL_STRENGTH, SPELL_DISCOUNT = 1.0, 0.5
@@ -55,37 +60,31 @@ def held_out(key: Column, parts: int = 7, part: int = 2) -> Column:
 
 
 def coded(docs: DataFrame) -> DataFrame:
-    """Batches of ``docs`` (id, held, text): ids, held, lengths, words, counts; pairs as places of words, their counts, tokens as places of pairs."""
-    schema = (
-        "batch long, ids array<long>, held array<boolean>, lengths array<long>, words array<binary>, counts array<long>, "
-        "left binary, right binary, pair_counts binary, tokens binary"
-    )
+    """Batches of ``docs`` (id, held, text): ids, held, lengths, tokens, words by order of their keys, counts."""
+    schema = "batch long, ids array<long>, held array<boolean>, lengths array<long>, tokens binary, words array<binary>, counts array<long>"
 
     def work(batches):
         number = TaskContext.get().partitionId() << 24
 
         def flush():
-            tokens = np.concatenate(coded)
+            order = np.argsort(keys_of(words), kind="stable")
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            names = list(words)
+            tokens = place[np.concatenate(coded)]
             lengths = np.fromiter(map(len, coded), np.int64, len(coded))
             learn = np.repeat(~np.array(held, bool), lengths)
             counts = np.bincount(tokens[learn], minlength=len(words))
-            # The word before; the end (place 0) is before the first one.
-            before = np.concatenate(([0], tokens[:-1]))
-            pairs, places = np.unique(before * len(words) + tokens, return_inverse=True)
-            blobs = [
-                (pairs // len(words)).astype(np.uint32), (pairs % len(words)).astype(np.uint32),
-                np.bincount(places[learn], minlength=len(pairs)).astype(np.uint32), places.astype(np.uint32),
-            ]
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())),
-                    pa.array([lengths]), pa.array([list(words)], pa.list_(pa.binary())), pa.array([counts.astype(np.int64)]),
-                    *(pa.array([b.tobytes()], pa.binary()) for b in blobs),
+                    pa.array([lengths]), pa.array([tokens.astype(np.uint32).tobytes()], pa.binary()),
+                    pa.array([[names[i] for i in order]], pa.list_(pa.binary())), pa.array([counts.astype(np.int64)]),
                 ],
-                ["batch", "ids", "held", "lengths", "words", "counts", "left", "right", "pair_counts", "tokens"],
+                ["batch", "ids", "held", "lengths", "tokens", "words", "counts"],
             )
 
-        words: dict[bytes, int] = {b"": 0}
+        words: dict[bytes, int] = {}
         ids, held, coded, size = [], [], [], 0
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
@@ -100,34 +99,126 @@ def coded(docs: DataFrame) -> DataFrame:
                     if size >= BATCH:
                         yield flush()
                         number += 1
-                        words, ids, held, coded, size = {b"": 0}, [], [], [], 0
+                        words, ids, held, coded, size = {}, [], [], [], 0
         if ids:
             yield flush()
 
     return docs.select("id", "held", "text").mapInArrow(work, schema)
 
 
-def spots(batches: DataFrame) -> DataFrame:
-    """(u, w, batch, place, c): the pairs of each batch by the hashes of their words, with their training count there."""
+def keys_of(words) -> np.ndarray:
+    """Hashes of words, as the function xxhash64 of Spark has them but without a sign."""
+    return np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in words), np.uint64, len(words))
+
+
+class Pairs:
+    """The distinct pairs of a batch in order of part, context and next word."""
+
+    def __init__(self, keys: np.ndarray, held: np.ndarray, lengths: np.ndarray, tokens: np.ndarray, parts: int):
+        # Each text ends with the end, which is before the first word of the next.
+        before = np.concatenate((np.flatnonzero(keys == keys_of([b""])[0])[:1], tokens[:-1].astype(np.int64)))
+        pairs, of = np.unique(before * len(keys) + tokens, return_inverse=True)
+        left, right = pairs // len(keys), pairs % len(keys)
+        salts = np.uint64(max(1, parts // 3))
+        part = mixed(keys[left] + mixed(keys[right] % salts)) % np.uint64(parts)
+        order = np.argsort(part, kind="stable")
+        self.left, self.right = left[order], right[order]
+        self.bounds = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.tokens = place[of]
+        self.counts = np.bincount(self.tokens[np.repeat(~held, lengths)], minlength=len(order))
+
+
+def sent(batches: DataFrame, parts: int) -> DataFrame:
+    """(part, batch, u, runs, w, c): the pairs of each batch by part; a context ``u`` has a run of next words ``w``."""
+
+    def work(rows):
+        for batch in rows:
+            for i in range(batch.num_rows):
+                number, held, lengths, tokens, words = (batch.column(k)[i].as_py() for k in range(5))
+                keys = keys_of(words)
+                pairs = Pairs(keys, np.array(held), np.array(lengths), np.frombuffer(tokens, np.uint32), parts)
+                for part, (a, z) in enumerate(zip(pairs.bounds, pairs.bounds[1:])):
+                    if a < z:
+                        u, w, c = keys[pairs.left[a:z]], keys[pairs.right[a:z]], pairs.counts[a:z].astype(np.uint32)
+                        first = np.flatnonzero(np.concatenate(([True], u[1:] != u[:-1])))
+                        runs = np.diff(np.append(first, z - a)).astype(np.uint32)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([part], pa.int64()), pa.array([number], pa.int64())] + [pa.array([x.tobytes()], pa.binary()) for x in (u[first], runs, w, c)],
+                            ["part", "batch", "u", "runs", "w", "c"],
+                        )
+
+    rows = batches.select("batch", "held", "lengths", "tokens", "words")
+    return rows.mapInArrow(work, "part long, batch long, u binary, runs binary, w binary, c binary")
+
+
+def gathered(pairs: DataFrame) -> DataFrame:
+    """Per part one row without a batch, of the pairs that occur more than once (u, w, c), and a row per batch:
+    the places in its order (``spot``) of pairs whose count it cannot know, and which of the former each is (``pair``)."""
+
+    def work(rows: pa.Table) -> pa.Table:
+        column = lambda name, kind: [np.frombuffer(x.as_py(), kind) for x in rows.column(name)]
+        w, c = column("w", np.uint64), column("c", np.uint32)
+        u = [np.repeat(x, n) for x, n in zip(column("u", np.uint64), column("runs", np.uint32))]
+        ends = np.cumsum([0] + [len(x) for x in w])
+        u, w, c = np.concatenate(u), np.concatenate(w), np.concatenate(c).astype(np.int64)
+        order = np.lexsort((w, u))
+        su, sw = u[order], w[order]
+        new = np.concatenate(([True], (su[1:] != su[:-1]) | (sw[1:] != sw[:-1])))
+        number = np.cumsum(new) - 1
+        total = np.bincount(number, c[order]).astype(np.int64)
+        often = total > 1
+        name = np.where(often, np.cumsum(often) - 1, NO_PAIR).astype(np.uint32)
+        of = np.empty(len(order), np.int64)
+        of[order] = number
+        first = order[new][often]
+        out = [(None, None, None, u[first], w[first], total[often])]
+        for batch, a, z in zip(rows.column("batch").to_pylist(), ends, ends[1:]):
+            n = total[of[a:z]]
+            spot = np.flatnonzero((n > 1) | (n != c[a:z]))
+            out.append((batch, spot.astype(np.uint32), name[of[a:z][spot]], None, None, None))
+        blobs = [pa.array([None if x is None else x.tobytes() for x in col], pa.binary()) for col in list(zip(*out))[1:]]
+        part = pa.array([rows.column("part")[0].as_py()] * len(out), pa.int64())
+        return pa.table([part, pa.array([x[0] for x in out], pa.int64()), *blobs], names=["part", "batch", "spot", "pair", "u", "w", "c"])
+
+    schema = "part long, batch long, spot binary, pair binary, u binary, w binary, c binary"
+    return pairs.groupBy("part").applyInArrow(work, schema)
+
+
+def often(groups: DataFrame) -> DataFrame:
+    """(part, pair, u, w, c, t): pairs that occur more than once, at one table each."""
 
     def work(rows):
         for batch in rows:
             for i in range(batch.num_rows):
-                number, words, *blobs = (batch.column(k)[i].as_py() for k in range(5))
-                left, right, c = (np.frombuffer(b, np.uint32) for b in blobs)
-                # As the function xxhash64 of Spark has it.
-                keys = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in words), np.uint64, len(words)).view(np.int64)
-                for a in range(0, len(c), 1 << 18):
-                    z = slice(a, a + (1 << 18))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(keys[left[z]]), pa.array(keys[right[z]]), pa.array(np.full(len(c[z]), number)),
-                            pa.array(np.arange(a, a + len(c[z]), dtype=np.int32)), pa.array(c[z].astype(np.int64)),
-                        ],
-                        ["u", "w", "batch", "place", "c"],
-                    )
-
-    return batches.select("batch", "words", "left", "right", "pair_counts").mapInArrow(work, "u long, w long, batch long, place int, c long")
+                part, *blobs = (batch.column(k)[i].as_py() for k in range(4))
+                u, w, c = (np.frombuffer(b, np.int64) for b in blobs)
+                for a in range(0, len(u), 1 << 16):
+                    z = slice(a, a + (1 << 16))
+                    n = len(u[z])
+                    pair = np.arange(a, a + n, dtype=np.int32)
+                    columns = np.full(n, part), pair, u[z], w[z], c[z], np.ones(n, np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["part", "pair", "u", "w", "c", "t"])
+
+    rows = groups.where("batch IS NULL").select("part", "u", "w", "c")
+    return rows.mapInArrow(work, "part long, pair int, u long, w long, c long, t long")
+
+
+def returned(groups: DataFrame, pairs: DataFrame, once: float) -> DataFrame:
+    """(of, part, spots, own): for batch ``of`` the values ``x`` of (part, pair, x), or ``once`` for a pair that occurs once."""
+
+    def work(rows: pa.Table, values: pa.Table) -> pa.Table:
+        x = np.zeros(values.num_rows)
+        x[values.column("pair").to_numpy()] = values.column("x").to_numpy()
+        x = np.append(x, once)
+        names = (np.frombuffer(p.as_py(), np.uint32) for p in rows.column("pair"))
+        own = [x[np.minimum(n, len(x) - 1)].tobytes() for n in names]
+        return pa.table([rows.column("batch"), rows.column("part"), rows.column("spot"), pa.array(own, pa.binary())], names=["of", "part", "spots", "own"])
+
+    rows = groups.where("batch IS NOT NULL").select("part", "batch", "spot", "pair")
+    values = pairs.select(F.col("part").alias("in"), "pair", "x")
+    return rows.groupBy("part").cogroup(values.groupBy("in")).applyInArrow(work, "of long, part long, spots binary, own binary")
 
 
 def uniform(keys: np.ndarray, seed: int, step: int, which: int) -> np.ndarray:
@@ -334,24 +425,24 @@ def valued(types: DataFrame, states: list[Sweep], discount: float, total: int) -
 
 
 def sweep_pairs(pairs: DataFrame, discount: float, number: int) -> DataFrame:
-    """One Gibbs sweep over pairs (u, w, c, total, log_p, t, sum_t) that occur more than once: t anew.
+    """One Gibbs sweep over pairs (part, pair, u, w, c, total, log_p, t, sum_t) that occur more than once: t anew.
 
     A context of ``total`` customers has ``total`` tables less c - t for each of its pairs.
     """
-    names = ["u", "w", "c", "total", "log_p", "t", "sum_t"]
+    names = ["part", "pair", "u", "w", "c", "total", "log_p", "t", "sum_t"]
     less = pairs.groupBy("u").agg(F.sum(F.col("c") - F.col("t")).alias("less"))
 
     def work(batches):
         for b in batches:
-            u, w, c, total, log_p, t, sum_t, less = (b.column(i).to_numpy() for i in range(8))
+            u, w, c, total, log_p, t, sum_t, less = (b.column(i).to_numpy() for i in range(2, 10))
             keys = mixed(u.view(np.uint64)) + w.view(np.uint64)
             base = np.exp(np.maximum(log_p, -700))
             t = seat(c, PAIR_STRENGTH, discount, total - less - t, base, keys, 1000 + number).astype(np.int64)
             sum_t = sum_t + t if number >= PAIR_BURN else sum_t
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(5)), pa.array(t), pa.array(sum_t)], names)
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(7)), pa.array(t), pa.array(sum_t)], names)
 
     joined = pairs.join(less, "u").select(*names, "less")
-    return joined.mapInArrow(work, "u long, w long, c long, total long, log_p double, t long, sum_t long")
+    return joined.mapInArrow(work, pairs.select(*names).schema)
 
 
 def score(
@@ -364,16 +455,16 @@ def score(
     one, also those that repeat. An empty table gives an empty result.
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), held.alias("held"), F.col(text).alias("text"))
-    batches = scratch.keep(coded(rows), "batches")
+    batches = scratch.keep(coded(rows), "batches", compression="zstd")
     words = batches.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).select("x.words", "x.counts")
     words = words.groupBy(F.col("words").alias("word")).agg(F.sum("counts").alias("n"))
     types = scratch.keep(words.withColumn("k", F.xxhash64("word")), "types")
 
+    tokens = batches.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda x, y: x + y))).first()[0] or 0
+    parts = -(-tokens // PART) or 1
     # Batches know the counts of pairs that occur nowhere else.
-    same = Window.partitionBy("u", "w")
-    seen = spots(batches).select("*", F.sum("c").over(same).alias("n"), (F.col("batch") == F.min("batch").over(same)).alias("first"))
-    seen = scratch.keep(seen.where("n > 1 OR n <> c").drop("c"), "seen")
-    many = seen.where("first AND n > 1").select("u", "w", F.col("n").alias("c"), F.lit(1).cast("long").alias("t"))
+    groups = scratch.keep(gathered(sent(batches, parts)), "groups")
+    many = often(groups)
 
     def customers(pairs: DataFrame, name: str) -> DataFrame:
         """Each word's customers: the tables that contexts have for it."""
@@ -394,9 +485,10 @@ def score(
         states.append(sweep(start, states[-1], discount))
     parent = valued(start.where("c > 0"), states[-2:], discount, sizes["n"] or 0)
     pairs = many.join(parent.select(F.col("k").alias("w"), "log_p"), "w").join(types.select(F.col("k").alias("u"), F.col("n").alias("total")), "u")
-    pairs = scratch.keep(pairs.select("u", "w", "c", "total", "log_p", "t", F.lit(0).cast("long").alias("sum_t")), "pairs-0")
+    pairs = pairs.select("part", "pair", "u", "w", "c", "total", "log_p", "t", F.lit(0).cast("long").alias("sum_t"))
+    pairs = scratch.keep(pairs, "pairs-0", compression="zstd")
     for number in range(PAIR_BURN + PAIR_SAMPLES):
-        pairs = scratch.keep(sweep_pairs(pairs, pair_discount, number), f"pairs-{number + 1}")
+        pairs = scratch.keep(sweep_pairs(pairs, pair_discount, number), f"pairs-{number + 1}", compression="zstd")
         scratch.drop(f"pairs-{number}")
 
     final = customers(pairs, "customers-1")
@@ -416,11 +508,9 @@ def score(
 
     places = batches.select(F.col("batch").alias("of"), F.posexplode("words").alias("place", "word"))
     places = places.select("of", "place", F.xxhash64("word").alias("k")).join(known, "k")
-    own = pairs.select("u", "w", (F.col("c") - pair_discount * tables).alias("x"))
-    found = seen.join(own, ["u", "w"], "left").select(
-        F.col("batch").alias("of"), "place", F.lit(False).alias("word"), "n", F.coalesce("x", F.lit(1 - pair_discount)).alias("x"), F.lit(0.0).alias("y")
-    )
-    values = places.select("of", "place", F.lit(True).alias("word"), "n", "x", "y").unionByName(found)
+    own = pairs.select("part", "pair", (F.col("c") - pair_discount * tables).alias("x"))
+    home = returned(groups, own, 1 - pair_discount)
+    values = places.select("of", "place", "k", "n", "x", "y").unionByName(home, allowMissingColumns=True)
     schema = T.StructType(
         [T.StructField(key, T.LongType()), T.StructField("held_out", T.BooleanType())]
         + [T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")]
@@ -429,22 +519,25 @@ def score(
     ln10 = float(np.log(10))
 
     def work(part: pa.Table, right: pa.Table) -> pa.Table:
-        before, after, count, tokens = (np.frombuffer(part.column(c)[0].as_py(), np.uint32) for c in ("left", "right", "pair_counts", "tokens"))
-        place, n, x, y = (right.column(c).to_numpy() for c in ("place", "n", "x", "y"))
-        word = np.asarray(right.column("word"))
-        c, log_p, back = np.zeros(word.sum(), np.int64), np.zeros(word.sum()), np.zeros(word.sum())
-        at = place[word]
-        c[at], log_p[at], back[at] = n[word], x[word], y[word]
-        own = np.where(count == 1, 1 - pair_discount, 0.0)
-        own[place[~word]] = x[~word]
+        word = right.filter(pc.is_valid(right.column("place")))
+        at = word.column("place").to_numpy()
+        keys, c, log_p, back = np.zeros(len(at), np.uint64), np.zeros(len(at), np.int64), np.zeros(len(at)), np.zeros(len(at))
+        keys[at], c[at] = word.column("k").to_numpy().view(np.uint64), word.column("n").to_numpy()
+        log_p[at], back[at] = word.column("x").to_numpy(), word.column("y").to_numpy()
+        lengths, held = (np.array(part.column(name)[0].as_py()) for name in ("lengths", "held"))
+        pairs = Pairs(keys, held, lengths, np.frombuffer(part.column("tokens")[0].as_py(), np.uint32), parts)
+        before, after, tokens = pairs.left, pairs.right, pairs.tokens
+        own = np.where(pairs.counts == 1, 1 - pair_discount, 0.0)
+        known = right.filter(pc.is_valid(right.column("part"))).select(["part", "spots", "own"])
+        for number, spots, x in zip(*(column.to_pylist() for column in known.columns)):
+            own[pairs.bounds[number] + np.frombuffer(spots, np.uint32)] = np.frombuffer(x, np.float64)
         own = np.log(own, out=np.full(len(own), -np.inf), where=own > 0) - np.log(PAIR_STRENGTH + c[before])
-        lengths = np.array(part.column("lengths")[0].as_py())
         sums = lambda v: np.add.reduceat(v[tokens], np.cumsum(lengths) - lengths)
         mixture = lambda base: sums(np.logaddexp(own, back[before] + base[after])) / ln10
         scores = mixture(np.where(c > 0, log_p, unknown))
         return pa.table(
             [
-                pa.array(part.column("ids")[0].as_py(), pa.int64()), pa.array(part.column("held")[0].as_py(), pa.bool_()),
+                pa.array(part.column("ids")[0].as_py(), pa.int64()), pa.array(held, pa.bool_()),
                 pa.array(lengths), pa.array(sums((c > 0).astype(np.int64)[after])), pa.array(np.full(len(lengths), total, np.int64)),
                 pa.array(sums(np.log10((c + 1) / (total + kinds + 1))[after])), pa.array(scores), pa.array(mixture(log_p)),
                 pa.array(10 ** np.minimum(-scores / lengths, 300)),
@@ -452,5 +545,5 @@ def score(
             names=schema.names,
         )
 
-    slim = batches.select("batch", "ids", "held", "lengths", "left", "right", "pair_counts", "tokens")
+    slim = batches.select("batch", "ids", "held", "lengths", "tokens")
     return slim.groupBy("batch").cogroup(values.groupBy("of")).applyInArrow(work, schema)
