@@ -155,7 +155,7 @@ def sent(batches: DataFrame, parts: int) -> DataFrame:
 
 def gathered(pairs: DataFrame) -> DataFrame:
     """Per part one row without a batch, of the pairs that occur more than once (u, w, c), and a row per batch:
-    the places in its order (``spot``) of pairs whose count it cannot know, and which of the former each is (``pair``)."""
+    the places in its order (``spot``, as steps) of pairs whose count it cannot know, and which of the former each is (``pair``, as steps)."""
 
     def work(rows: pa.Table) -> pa.Table:
         column = lambda name, kind: [np.frombuffer(x.as_py(), kind) for x in rows.column(name)]
@@ -177,7 +177,9 @@ def gathered(pairs: DataFrame) -> DataFrame:
         for batch, a, z in zip(rows.column("batch").to_pylist(), ends, ends[1:]):
             n = total[of[a:z]]
             spot = np.flatnonzero((n > 1) | (n != c[a:z]))
-            out.append((batch, spot.astype(np.uint32), name[of[a:z][spot]], None, None, None))
+            # As steps, which are small.
+            steps = (np.diff(x, prepend=np.uint32(0)) for x in (spot.astype(np.uint32), name[of[a:z][spot]]))
+            out.append((batch, *steps, None, None, None))
         blobs = [pa.array([None if x is None else x.tobytes() for x in col], pa.binary()) for col in list(zip(*out))[1:]]
         part = pa.array([rows.column("part")[0].as_py()] * len(out), pa.int64())
         return pa.table([part, pa.array([x[0] for x in out], pa.int64()), *blobs], names=["part", "batch", "spot", "pair", "u", "w", "c"])
@@ -212,7 +214,7 @@ def returned(groups: DataFrame, pairs: DataFrame, once: float) -> DataFrame:
         x = np.zeros(values.num_rows)
         x[values.column("pair").to_numpy()] = values.column("x").to_numpy()
         x = np.append(x, once)
-        names = (np.frombuffer(p.as_py(), np.uint32) for p in rows.column("pair"))
+        names = (np.cumsum(np.frombuffer(p.as_py(), np.uint32), dtype=np.uint32) for p in rows.column("pair"))
         own = [x[np.minimum(n, len(x) - 1)].tobytes() for n in names]
         return pa.table([rows.column("batch"), rows.column("part"), rows.column("spot"), pa.array(own, pa.binary())], names=["of", "part", "spots", "own"])
 
@@ -365,9 +367,9 @@ def sweep(types: DataFrame, state: Sweep, discount: float) -> Sweep:
         for batch in batches:
             for _, words, c, keys in _rows(batch):
                 cells, starts = spelled(words)
-                log_base = np.add.reduceat(state.spelling.log(cells), starts[:-1])
-                tables, base = state.seats(c, log_base, discount, keys), np.exp(log_base)
                 values, row = np.unique(cells, return_inverse=True)
+                log_base = np.add.reduceat(state.spelling.log(values)[row], starts[:-1])
+                tables, base = state.seats(c, log_base, discount, keys), np.exp(log_base)
                 n = np.bincount(row, np.repeat(tables, np.diff(starts))).astype(np.int64)
                 cells = pa.array(np.concatenate((values, [-1, -2])))
                 sums = [int(tables.sum()), round(float(base.sum()) * MASS)]
@@ -409,12 +411,13 @@ def valued(types: DataFrame, states: list[Sweep], discount: float, total: int) -
                 mean = np.full(len(words), -np.inf)
                 known = np.flatnonzero(c > 0)
                 cells, starts = spelled(words)
-                base = np.add.reduceat(states[0].spelling.log(cells), starts[:-1])
+                values, row = np.unique(cells, return_inverse=True)
+                base = np.add.reduceat(states[0].spelling.log(values)[row], starts[:-1])
                 for before, after in zip(states, states[1:]):
                     tables = np.zeros(len(words))
                     if len(known):
                         tables[known] = before.seats(c[known], base[known], discount, keys[known])
-                    base = np.add.reduceat(after.spelling.log(cells), starts[:-1])
+                    base = np.add.reduceat(after.spelling.log(values)[row], starts[:-1])
                     own = np.log(np.maximum(c - discount * tables, 0), out=np.full(len(c), -np.inf), where=c - discount * tables > 0)
                     p = np.logaddexp(own, np.log(STRENGTH + discount * after.tables) + base) - np.log(STRENGTH + total)
                     mean = np.logaddexp(mean, p)
@@ -424,6 +427,33 @@ def valued(types: DataFrame, states: list[Sweep], discount: float, total: int) -
     return types.select("word", "c", "k").mapInArrow(work, "k long, c long, log_p double")
 
 
+def worded(batches: DataFrame, known: DataFrame, parts: int) -> DataFrame:
+    """(of, part, keys, n, x, y): for batch ``of`` the values of (k, n, x, y) in the order of its words; parts are ranges of keys."""
+
+    def send(rows):
+        for batch in rows:
+            for i in range(batch.num_rows):
+                keys = keys_of(batch.column(1)[i].as_py())
+                part = (keys >> np.uint64(33)) * np.uint64(parts) >> np.uint64(31)
+                for a, z in zip(first := np.flatnonzero(np.diff(part, prepend=parts)), np.append(first[1:], len(part))):
+                    columns = pa.array([int(part[a])], pa.int64()), batch.column(0).slice(i, 1), pa.array([keys[a:z].tobytes()], pa.binary())
+                    yield pa.RecordBatch.from_arrays(list(columns), ["part", "of", "keys"])
+
+    def work(rows: pa.Table, values: pa.Table) -> pa.Table:
+        k = values.column("k").to_numpy().view(np.uint64)
+        order = np.argsort(k)
+        k, columns = k[order], [values.column(c).to_numpy()[order] for c in ("n", "x", "y")]
+        at = [np.searchsorted(k, np.frombuffer(b.as_py(), np.uint64)) for b in rows.column("keys")]
+        blobs = [pa.array([c[i].tobytes() for i in at], pa.binary()) for c in columns]
+        return pa.table([rows.column("of"), rows.column("part"), rows.column("keys"), *blobs], names=["of", "part", "keys", "n", "x", "y"])
+
+    rows = batches.select("batch", "words").mapInArrow(send, "part long, of long, keys binary")
+    part = F.shiftright(F.shiftrightunsigned("k", 33) * parts, 31).alias("in")
+    return rows.groupBy("part").cogroup(known.select(part, "*").groupBy("in")).applyInArrow(
+        work, "of long, part long, keys binary, n binary, x binary, y binary"
+    )
+
+
 def sweep_pairs(pairs: DataFrame, discount: float, number: int) -> DataFrame:
     """One Gibbs sweep over pairs (part, pair, u, w, c, total, log_p, t, sum_t) that occur more than once: t anew.
 
@@ -463,7 +493,7 @@ def score(
     tokens = batches.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda x, y: x + y))).first()[0] or 0
     parts = -(-tokens // PART) or 1
     # Batches know the counts of pairs that occur nowhere else.
-    groups = scratch.keep(gathered(sent(batches, parts)), "groups")
+    groups = scratch.keep(gathered(sent(batches, parts)), "groups", compression="zstd")
     many = often(groups)
 
     def customers(pairs: DataFrame, name: str) -> DataFrame:
@@ -487,6 +517,7 @@ def score(
     pairs = many.join(parent.select(F.col("k").alias("w"), "log_p"), "w").join(types.select(F.col("k").alias("u"), F.col("n").alias("total")), "u")
     pairs = pairs.select("part", "pair", "u", "w", "c", "total", "log_p", "t", F.lit(0).cast("long").alias("sum_t"))
     pairs = scratch.keep(pairs, "pairs-0", compression="zstd")
+    scratch.drop("customers-0")
     for number in range(PAIR_BURN + PAIR_SAMPLES):
         pairs = scratch.keep(sweep_pairs(pairs, pair_discount, number), f"pairs-{number + 1}", compression="zstd")
         scratch.drop(f"pairs-{number}")
@@ -506,11 +537,10 @@ def score(
     known = valued(final, states, discount, served).drop("c").join(types.select("k", "n"), "k").join(less, "k", "left")
     known = scratch.keep(known.select("k", "n", F.col("log_p").alias("x"), F.when(F.col("n") > 0, back).otherwise(0.0).alias("y")), "valued")
 
-    places = batches.select(F.col("batch").alias("of"), F.posexplode("words").alias("place", "word"))
-    places = places.select("of", "place", F.xxhash64("word").alias("k")).join(known, "k")
     own = pairs.select("part", "pair", (F.col("c") - pair_discount * tables).alias("x"))
-    home = returned(groups, own, 1 - pair_discount)
-    values = places.select("of", "place", "k", "n", "x", "y").unionByName(home, allowMissingColumns=True)
+    home = scratch.keep(returned(groups, own, 1 - pair_discount), "own", compression="zstd")
+    scratch.drop("types", "groups", f"pairs-{PAIR_BURN + PAIR_SAMPLES}", "customers-1")
+    values = worded(batches, known, parts).unionByName(home, allowMissingColumns=True)
     schema = T.StructType(
         [T.StructField(key, T.LongType()), T.StructField("held_out", T.BooleanType())]
         + [T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")]
@@ -519,18 +549,16 @@ def score(
     ln10 = float(np.log(10))
 
     def work(part: pa.Table, right: pa.Table) -> pa.Table:
-        word = right.filter(pc.is_valid(right.column("place")))
-        at = word.column("place").to_numpy()
-        keys, c, log_p, back = np.zeros(len(at), np.uint64), np.zeros(len(at), np.int64), np.zeros(len(at)), np.zeros(len(at))
-        keys[at], c[at] = word.column("k").to_numpy().view(np.uint64), word.column("n").to_numpy()
-        log_p[at], back[at] = word.column("x").to_numpy(), word.column("y").to_numpy()
+        word = right.filter(pc.is_valid(right.column("keys"))).sort_by("part")
+        kinds_of = {"keys": np.uint64, "n": np.int64, "x": np.float64, "y": np.float64}
+        keys, c, log_p, back = (np.concatenate([np.frombuffer(b.as_py(), t) for b in word.column(m)]) for m, t in kinds_of.items())
         lengths, held = (np.array(part.column(name)[0].as_py()) for name in ("lengths", "held"))
         pairs = Pairs(keys, held, lengths, np.frombuffer(part.column("tokens")[0].as_py(), np.uint32), parts)
         before, after, tokens = pairs.left, pairs.right, pairs.tokens
         own = np.where(pairs.counts == 1, 1 - pair_discount, 0.0)
-        known = right.filter(pc.is_valid(right.column("part"))).select(["part", "spots", "own"])
+        known = right.filter(pc.is_valid(right.column("own"))).select(["part", "spots", "own"])
         for number, spots, x in zip(*(column.to_pylist() for column in known.columns)):
-            own[pairs.bounds[number] + np.frombuffer(spots, np.uint32)] = np.frombuffer(x, np.float64)
+            own[pairs.bounds[number] + np.cumsum(np.frombuffer(spots, np.uint32), dtype=np.int64)] = np.frombuffer(x, np.float64)
         own = np.log(own, out=np.full(len(own), -np.inf), where=own > 0) - np.log(PAIR_STRENGTH + c[before])
         sums = lambda v: np.add.reduceat(v[tokens], np.cumsum(lengths) - lengths)
         mixture = lambda base: sums(np.logaddexp(own, back[before] + base[after])) / ln10
