@@ -46,7 +46,7 @@ from tidewell.llm.common import Scratch, as_bytes, mixed
 BATCH = 16 << 20
 BURN, SAMPLES = 3, 4
 PAIR_BURN, PAIR_SAMPLES = 1, 2
-PART = 2 << 20  # tokens per part of the pairs
+PART = 1 << 20  # tokens per part of the pairs
 NO_PAIR = 0xFFFFFFFF
 PAIR_STRENGTH = 1.0  # of the restaurant of a context
 STRENGTH = 10.0  # of the word restaurant; its discount follows from the counts
@@ -68,7 +68,7 @@ def coded(docs: DataFrame) -> DataFrame:
 
         def flush():
             order = np.argsort(keys_of(words), kind="stable")
-            place = np.empty(len(order), np.int64)
+            place = np.empty(len(order), np.uint32)
             place[order] = np.arange(len(order))
             names = list(words)
             tokens = place[np.concatenate(coded)]
@@ -78,7 +78,7 @@ def coded(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())),
-                    pa.array([lengths]), pa.array([tokens.astype(np.uint32).tobytes()], pa.binary()),
+                    pa.array([lengths]), pa.array([tokens.tobytes()], pa.binary()),
                     pa.array([[names[i] for i in order]], pa.list_(pa.binary())), pa.array([counts.astype(np.int64)]),
                 ],
                 ["batch", "ids", "held", "lengths", "tokens", "words", "counts"],
@@ -92,7 +92,7 @@ def coded(docs: DataFrame) -> DataFrame:
                 for key, out, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), as_bytes(part.column(2))):
                     tokens = text.lower().split()
                     tokens.append(b"")  # the end
-                    coded.append(np.array([words.setdefault(w, len(words)) for w in tokens], np.int64))
+                    coded.append(np.array([words.setdefault(w, len(words)) for w in tokens], np.uint32))
                     ids.append(key)
                     held.append(out)
                     size += len(text)
@@ -116,16 +116,26 @@ class Pairs:
 
     def __init__(self, keys: np.ndarray, held: np.ndarray, lengths: np.ndarray, tokens: np.ndarray, parts: int):
         # Each text ends with the end, which is before the first word of the next.
-        before = np.concatenate((np.flatnonzero(keys == keys_of([b""])[0])[:1], tokens[:-1].astype(np.int64)))
-        pairs, of = np.unique(before * len(keys) + tokens, return_inverse=True)
-        left, right = pairs // len(keys), pairs % len(keys)
+        code = np.empty(len(tokens), np.int64)
+        code[:1], code[1:] = np.flatnonzero(keys == keys_of([b""])[0])[:1], tokens[:-1]
+        code *= len(keys)
+        code += tokens
+        order = np.argsort(code)
+        code = code[order]
+        new = np.concatenate((code[:1] == code[:1], code[1:] != code[:-1]))
+        of = np.empty(len(order), np.int32)
+        of[order] = np.cumsum(new, dtype=np.int32) - 1
+        del order
+        code = code[new]
+        left, right = (code // len(keys)).astype(np.int32), (code % len(keys)).astype(np.int32)
         salts = np.uint64(max(1, parts // 3))
-        part = mixed(keys[left] + mixed(keys[right] % salts)) % np.uint64(parts)
+        part = (mixed(keys[left] + mixed(keys % salts)[right]) % np.uint64(parts)).astype(np.int32)
+        del code
         order = np.argsort(part, kind="stable")
         self.left, self.right = left[order], right[order]
-        self.bounds = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
+        self.bounds = np.searchsorted(part[order], np.arange(parts + 1))
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
         self.tokens = place[of]
         self.counts = np.bincount(self.tokens[np.repeat(~held, lengths)], minlength=len(order))
 
