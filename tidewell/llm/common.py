@@ -31,8 +31,8 @@ class Scratch:
         self.spark = spark
         self.path = f"{shared_dir(spark).rstrip('/')}/tidewell-{name}-{uuid.uuid4().hex}"
 
-    def keep(self, df: DataFrame, name: str, **options: str) -> DataFrame:
-        df.write.options(**options).parquet(f"{self.path}/{name}")
+    def keep(self, df: DataFrame, name: str, by: tuple[str, ...] = (), **options: str) -> DataFrame:
+        df.write.partitionBy(*by).options(**options).parquet(f"{self.path}/{name}")
         release(self.spark)
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 

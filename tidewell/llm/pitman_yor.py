@@ -192,9 +192,9 @@ def gathered(pairs: DataFrame) -> DataFrame:
             out.append((batch, *steps, None, None, None))
         blobs = [pa.array([None if x is None else x.tobytes() for x in col], pa.binary()) for col in list(zip(*out))[1:]]
         part = pa.array([rows.column("part")[0].as_py()] * len(out), pa.int64())
-        return pa.table([part, pa.array([x[0] for x in out], pa.int64()), *blobs], names=["part", "batch", "spot", "pair", "u", "w", "c"])
+        return pa.table([part, pa.array([x[0] for x in out], pa.int64()), *blobs, pa.array([x[0] is None for x in out])], names=["part", "batch", "spot", "pair", "u", "w", "c", "whole"])
 
-    schema = "part long, batch long, spot binary, pair binary, u binary, w binary, c binary"
+    schema = "part long, batch long, spot binary, pair binary, u binary, w binary, c binary, whole boolean"
     return pairs.groupBy("part").applyInArrow(work, schema)
 
 
@@ -213,7 +213,7 @@ def often(groups: DataFrame) -> DataFrame:
                     columns = np.full(n, part), pair, u[z], w[z], c[z], np.ones(n, np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["part", "pair", "u", "w", "c", "t"])
 
-    rows = groups.where("batch IS NULL").select("part", "u", "w", "c")
+    rows = groups.where("whole").select("part", "u", "w", "c")
     return rows.mapInArrow(work, "part long, pair int, u long, w long, c long, t long")
 
 
@@ -228,7 +228,7 @@ def returned(groups: DataFrame, pairs: DataFrame, once: float) -> DataFrame:
         own = [x[np.minimum(n, len(x) - 1)].tobytes() for n in names]
         return pa.table([rows.column("batch"), rows.column("part"), rows.column("spot"), pa.array(own, pa.binary())], names=["of", "part", "spots", "own"])
 
-    rows = groups.where("batch IS NOT NULL").select("part", "batch", "spot", "pair")
+    rows = groups.where("NOT whole").select("part", "batch", "spot", "pair")
     values = pairs.select(F.col("part").alias("in"), "pair", "x")
     return rows.groupBy("part").cogroup(values.groupBy("in")).applyInArrow(work, "of long, part long, spots binary, own binary")
 
@@ -362,9 +362,21 @@ class Sweep:
         return seat(c, STRENGTH, discount, self.tables, np.exp(np.maximum(log_base, -700)), keys, self.number)
 
 
-def _rows(batch: pa.RecordBatch, size: int = 50_000):
-    for start in range(0, batch.num_rows, size):
-        part = batch.slice(start, size)
+def larger(batches, size: int):
+    """Batches of at least ``size`` rows but for the last; the session's are made for texts."""
+    parts, n = [], 0
+    for batch in batches:
+        parts.append(batch)
+        n += batch.num_rows
+        if n >= size:
+            yield pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+            parts, n = [], 0
+    if n:
+        yield pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+
+def _rows(batches, size: int = 50_000):
+    for part in larger(batches, size):
         yield part, part.column(0).to_pylist(), part.column(1).to_numpy(), part.column(2).to_numpy().view(np.uint64)
 
 
@@ -374,16 +386,15 @@ def sweep(types: DataFrame, state: Sweep, discount: float) -> Sweep:
 
     def work(batches):
         state = _state(shared.value)
-        for batch in batches:
-            for _, words, c, keys in _rows(batch):
-                cells, starts = spelled(words)
-                values, row = np.unique(cells, return_inverse=True)
-                log_base = np.add.reduceat(state.spelling.log(values)[row], starts[:-1])
-                tables, base = state.seats(c, log_base, discount, keys), np.exp(log_base)
-                n = np.bincount(row, np.repeat(tables, np.diff(starts))).astype(np.int64)
-                cells = pa.array(np.concatenate((values, [-1, -2])))
-                sums = [int(tables.sum()), round(float(base.sum()) * MASS)]
-                yield pa.RecordBatch.from_arrays([cells, pa.array(np.concatenate((n, sums)))], ["cell", "n"])
+        for _, words, c, keys in _rows(batches):
+            cells, starts = spelled(words)
+            values, row = np.unique(cells, return_inverse=True)
+            log_base = np.add.reduceat(state.spelling.log(values)[row], starts[:-1])
+            tables, base = state.seats(c, log_base, discount, keys), np.exp(log_base)
+            n = np.bincount(row, np.repeat(tables, np.diff(starts))).astype(np.int64)
+            cells = pa.array(np.concatenate((values, [-1, -2])))
+            sums = [int(tables.sum()), round(float(base.sum()) * MASS)]
+            yield pa.RecordBatch.from_arrays([cells, pa.array(np.concatenate((n, sums)))], ["cell", "n"])
 
     rows = types.where("c > 0").select("word", "c", "k").mapInArrow(work, "cell long, n long")
     got = rows.groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").toArrow()
@@ -415,24 +426,23 @@ def valued(types: DataFrame, states: list[Sweep], discount: float, total: int) -
 
     def work(batches):
         states = [_state(s) for s in shared.value]
-        for batch in batches:
-            for part, words, c, keys in _rows(batch):
-                # In logs: long words have tiny bases.
-                mean = np.full(len(words), -np.inf)
-                known = np.flatnonzero(c > 0)
-                cells, starts = spelled(words)
-                values, row = np.unique(cells, return_inverse=True)
-                base = np.add.reduceat(states[0].spelling.log(values)[row], starts[:-1])
-                for before, after in zip(states, states[1:]):
-                    tables = np.zeros(len(words))
-                    if len(known):
-                        tables[known] = before.seats(c[known], base[known], discount, keys[known])
-                    base = np.add.reduceat(after.spelling.log(values)[row], starts[:-1])
-                    own = np.log(np.maximum(c - discount * tables, 0), out=np.full(len(c), -np.inf), where=c - discount * tables > 0)
-                    p = np.logaddexp(own, np.log(STRENGTH + discount * after.tables) + base) - np.log(STRENGTH + total)
-                    mean = np.logaddexp(mean, p)
-                log_p = mean - np.log(len(states) - 1)
-                yield pa.RecordBatch.from_arrays([part.column(2), part.column(1), pa.array(log_p)], ["k", "c", "log_p"])
+        for part, words, c, keys in _rows(batches):
+            # In logs: long words have tiny bases.
+            mean = np.full(len(words), -np.inf)
+            known = np.flatnonzero(c > 0)
+            cells, starts = spelled(words)
+            values, row = np.unique(cells, return_inverse=True)
+            base = np.add.reduceat(states[0].spelling.log(values)[row], starts[:-1])
+            for before, after in zip(states, states[1:]):
+                tables = np.zeros(len(words))
+                if len(known):
+                    tables[known] = before.seats(c[known], base[known], discount, keys[known])
+                base = np.add.reduceat(after.spelling.log(values)[row], starts[:-1])
+                own = np.log(np.maximum(c - discount * tables, 0), out=np.full(len(c), -np.inf), where=c - discount * tables > 0)
+                p = np.logaddexp(own, np.log(STRENGTH + discount * after.tables) + base) - np.log(STRENGTH + total)
+                mean = np.logaddexp(mean, p)
+            log_p = mean - np.log(len(states) - 1)
+            yield pa.RecordBatch.from_arrays([part.column(2), part.column(1), pa.array(log_p)], ["k", "c", "log_p"])
 
     return types.select("word", "c", "k").mapInArrow(work, "k long, c long, log_p double")
 
@@ -473,7 +483,7 @@ def sweep_pairs(pairs: DataFrame, discount: float, number: int) -> DataFrame:
     less = pairs.groupBy("u").agg(F.sum(F.col("c") - F.col("t")).alias("less"))
 
     def work(batches):
-        for b in batches:
+        for b in larger(batches, 1 << 17):
             u, w, c, total, log_p, t, sum_t, less = (b.column(i).to_numpy() for i in range(2, 10))
             keys = mixed(u.view(np.uint64)) + w.view(np.uint64)
             base = np.exp(np.maximum(log_p, -700))
@@ -503,7 +513,7 @@ def score(
     tokens = batches.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda x, y: x + y))).first()[0] or 0
     parts = -(-tokens // PART) or 1
     # Batches know the counts of pairs that occur nowhere else.
-    groups = scratch.keep(gathered(sent(batches, parts)), "groups", compression="zstd")
+    groups = scratch.keep(gathered(sent(batches, parts)), "groups", by=("whole",), compression="zstd")
     many = often(groups)
 
     def customers(pairs: DataFrame, name: str) -> DataFrame:
@@ -527,7 +537,7 @@ def score(
     pairs = many.join(parent.select(F.col("k").alias("w"), "log_p"), "w").join(types.select(F.col("k").alias("u"), F.col("n").alias("total")), "u")
     pairs = pairs.select("part", "pair", "u", "w", "c", "total", "log_p", "t", F.lit(0).cast("long").alias("sum_t"))
     pairs = scratch.keep(pairs, "pairs-0", compression="zstd")
-    scratch.drop("customers-0")
+    scratch.drop("customers-0", "groups/whole=true")
     for number in range(PAIR_BURN + PAIR_SAMPLES):
         pairs = scratch.keep(sweep_pairs(pairs, pair_discount, number), f"pairs-{number + 1}", compression="zstd")
         scratch.drop(f"pairs-{number}")
