@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.llm.common import Scratch, as_bytes, mixed
+from tidewell.llm.common import Scratch, as_bytes, mixed, release
 
 BATCH = 16 << 20
 BURN, SAMPLES = 3, 4
@@ -557,9 +557,12 @@ def score(
     known = valued(final, states, discount, served).drop("c").join(types.select("k", "n"), "k").join(less, "k", "left")
     known = scratch.keep(known.select("k", "n", F.col("log_p").alias("x"), F.when(F.col("n") > 0, back).otherwise(0.0).alias("y")), "valued")
 
+    scratch.drop("types", "customers-1")
+    release(scratch.spark)
     own = pairs.select("part", "pair", (F.col("c") - pair_discount * tables).alias("x"))
     home = scratch.keep(returned(groups, own, 1 - pair_discount), "own", compression="zstd")
-    scratch.drop("types", "groups", f"pairs-{PAIR_BURN + PAIR_SAMPLES}", "customers-1")
+    scratch.drop("groups", f"pairs-{PAIR_BURN + PAIR_SAMPLES}")
+    release(scratch.spark)
     values = worded(batches, known, parts).unionByName(home, allowMissingColumns=True)
     schema = T.StructType(
         [T.StructField(key, T.LongType()), T.StructField("held_out", T.BooleanType())]
