@@ -3,7 +3,7 @@
 import hashlib
 
 import corpus_pipeline
-from tidewell.llm import near_copies
+from tidewell.llm import near_copies, simhash
 from tidewell.llm.common import Scratch
 
 
@@ -62,3 +62,30 @@ def test_near_copies_of_five_words(spark, monkeypatch):
     for size in (256, 2):
         monkeypatch.setattr(near_copies, "BLOCK", size)
         assert {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()} == want
+
+
+def test_close_fingerprints_are_near_copies(spark):
+    """Fingerprints within three bits link, whatever the sets say: a passage that fills two texts with unlike ends."""
+    body = prose(7).split()[:13] * 60
+    texts = [body + prose(60 + k).split()[:12] for k in range(3)] + [prose(70).split(), prose(71).split()]
+    sets = [{tuple(w.lower() for w in t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    prints = [simhash.print_of(" ".join(t).encode(), near_copies.WORDS) for t in texts]
+    for a in range(3):
+        for b in range(a):
+            assert 10 * len(sets[a] & sets[b]) < 5 * len(sets[a] | sets[b])
+            assert ((prints[a] ^ prints[b]) % (1 << 64)).bit_count() <= simhash.RADIUS
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()} == {0, 3, 4}
+
+
+def test_texts_of_equal_sets_link_by_each_fingerprint(spark):
+    """Texts of one set of shingles may have far fingerprints; what either is close to is linked."""
+    a, b = prose(80).split()[:13], prose(81).split()[:13]
+    both = [a * 60 + b * 2 + a * 2, a * 2 + b * 60 + a * 2]
+    texts = [a * 60 + prose(82).split()[:12], *both, b * 60 + prose(83).split()[:12], prose(84).split()]
+    prints = [simhash.print_of(" ".join(t).encode(), near_copies.WORDS) for t in texts]
+    far = [[((x ^ y) % (1 << 64)).bit_count() > simhash.RADIUS for y in prints] for x in prints]
+    sets = [frozenset(tuple(t[i : i + 5]) for i in range(len(t) - 4)) for t in [[w.lower() for w in t] for t in texts]]
+    assert sets[1] == sets[2] and far[1][2] and not far[0][1] and not far[2][3] and far[0][3]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()} == {0, 4}
