@@ -97,10 +97,25 @@ def order_detail(
     On streams a line without one of them comes out when none can come any more; see
     ``order_detail_updates`` for lines that come at once.
     """
-    joined = equi_join(detail, _prefixed(orders, "o_"), [("order_id", "o_id")])
-    joined = equi_join(joined, _prefixed(activity, "a_"), [("id", "a_order_detail_id")], "left")
-    joined = equi_join(joined, _prefixed(coupon, "c_"), [("id", "c_order_detail_id")], "left")
-    return _detail_fact(joined, _event_time(detail))
+    o, a, c = _prefixed(orders, "o_"), _prefixed(activity, "a_"), _prefixed(coupon, "c_")
+    if any(df.isStreaming for df in (detail, orders, activity, coupon)):
+        joined = equi_join(detail, o, [("order_id", "o_id")])
+        joined = equi_join(joined, a, [("id", "a_order_detail_id")], "left")
+        joined = equi_join(joined, c, [("id", "c_order_detail_id")], "left")
+        return _detail_fact(joined, _event_time(detail))
+    # Lines are shuffled once, by a hash of their id, and orders are sent to the hashes of their lines.
+    at = F.hash(F.coalesce("id", "order_id"))
+    lines = detail.repartition(at).withColumn("_at", at)
+    # An order that comes n times is one row with its count, so that it is sent to a hash once.
+    o = o.groupBy("o_id", "o_user_id", "o_province_id").agg(F.count("*").cast("int").alias("_n"))
+    placed = detail.select(F.col("order_id").alias("_order"), at.alias("_o_at"))
+    placed = placed.join(o, F.col("_order") == F.col("o_id")).drop("_order").repartition("_o_at").distinct()
+    placed = placed.withColumn("_n", F.explode(F.array_repeat(F.lit(0), F.col("_n")))).drop("_n")
+    joined = equi_join(lines, placed, [("_at", "_o_at"), ("order_id", "o_id")])
+    for more, key in ((a, "a_order_detail_id"), (c, "c_order_detail_id")):
+        more = more.repartition(F.hash(key)).withColumn("_m_at", F.hash(key))
+        joined = equi_join(joined, more, [("_at", "_m_at"), ("id", key)], "left").drop("_m_at")
+    return _detail_fact(joined, [])
 
 
 def order_detail_updates(
