@@ -1,5 +1,6 @@
 """Physical plans: what reaches the scan, what is shuffled, what is reduced before."""
 
+import itertools
 import re
 
 import pytest
@@ -99,3 +100,25 @@ def test_hot_key(spark):
     retracted = dedup.retract(df.withColumn("amount", F.lit(1)), "k", ["id"], ["amount"])
     assert retracted.count() == 30_000 + 9_999
     assert dedup.latest(df, ["k"], ["id"]).filter("k = 'hot'").first().id == 29_997
+
+
+@pytest.mark.parametrize("name, times", [("dwd_order_detail", 1), ("dwd_pay_success", 2), ("dwd_order_cancel", 2)])
+def test_order_lines_are_shuffled_once(spark, small, name, times):
+    """Whole lines are shuffled for all joins of the fact together, and then only those of the orders asked for."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(QUERIES[name](spark, small))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = text.splitlines()
+    wide = 0
+    for i, line in enumerate(lines):
+        if " Exchange " in line:
+            below = next(x for x in lines[i + 1 :] if "Project" in x)
+            wide += "AS sku_name#" in below or " sku_name#" in below
+    assert wide == times
+    if times == 2:
+        semi = next(i for i, x in enumerate(lines) if "LeftSemi" in x)
+        under = itertools.takewhile(lambda x: re.search(r"\w", x).start() > re.search(r"\w", lines[semi]).start(), lines[semi + 1 :])
+        assert "l_orderkey" not in "".join(under)

@@ -466,12 +466,14 @@ def dwd_order_detail(spark, sf_dir):
 
 @query
 def dwd_pay_success(spark, sf_dir):
-    return facts.pay_success(ad.TopicByTable(spark, sf_dir), _details(spark, sf_dir))
+    topic = ad.TopicByTable(spark, sf_dir)
+    return facts.pay_success(topic, facts.order_detail(topic, of=facts.payments(topic)))
 
 
 @query
 def dwd_order_cancel(spark, sf_dir):
-    return facts.order_cancel(ad.TopicByTable(spark, sf_dir), _details(spark, sf_dir))
+    topic = ad.TopicByTable(spark, sf_dir)
+    return facts.order_cancel(topic, facts.order_detail(topic, of=changes.cancelled_orders(topic), key="id"))
 
 
 @query

@@ -75,8 +75,15 @@ def _detail_sides(topic: changes.Topic, delay: str | None) -> tuple[DataFrame, .
     )
 
 
-def order_detail(topic: changes.Topic, delay: str | None = None) -> DataFrame:
-    return joins.order_detail(*_detail_sides(topic, delay))
+def order_detail(topic: changes.Topic, delay: str | None = None, of: DataFrame | None = None, key: str = "order_id") -> DataFrame:
+    """Order lines; of tables, those of the orders that column ``key`` of ``of`` names, if given.
+
+    A caller who joins the lines by order names the orders, so that no others are shuffled.
+    """
+    detail, orders, *more = _detail_sides(topic, delay)
+    if of is not None:
+        orders = orders.join(of.select(F.col(key).alias("_asked")), F.col("id") == F.col("_asked"), "left_semi")
+    return joins.order_detail(detail, orders, *more)
 
 
 def order_detail_updates(topic: changes.Topic, delay: str, ttl_ms: int | None = None) -> DataFrame:
@@ -84,15 +91,19 @@ def order_detail_updates(topic: changes.Topic, delay: str, ttl_ms: int | None =
     return joins.order_detail_updates(*_detail_sides(topic, delay), ttl_ms)
 
 
-def pay_success(topic: changes.Topic, details: DataFrame, delay: str | None = None) -> DataFrame:
-    payments = _project(
+def payments(topic: changes.Topic, delay: str | None = None) -> DataFrame:
+    """Payments that succeeded."""
+    return _project(
         topic,
         "payment_info",
         ("user_id", "order_id", "payment_type", "callback_time"),
         delay,
         _status("1602", "payment_status"),
     )
-    return joins.pay_success(payments, details)
+
+
+def pay_success(topic: changes.Topic, details: DataFrame, delay: str | None = None) -> DataFrame:
+    return joins.pay_success(payments(topic, delay), details)
 
 
 def order_cancel(
