@@ -491,3 +491,54 @@ def test_banned_word_filter_grows_with_the_list(spark, monkeypatch):
         assert len(moderation._passing(bits, moderation._hashes(codes, len(codes), *moderation._sums(codes), size))) == 1
     assert 2000 < np.unpackbits(bits).sum() <= len(words)
     assert moderation._filter_of(listed.filter("false"))[0] == []
+
+
+def test_banned_words_are_found_in_small_batches(spark, monkeypatch):
+    """Candidates leave a task as they come, also within a text, and words are found once with their first place."""
+    monkeypatch.setattr(moderation, "CANDIDATES", 4)
+    monkeypatch.setattr(moderation, "TEXTS", 3)
+    monkeypatch.setattr(moderation, "PIECE", 16)
+    monkeypatch.setattr(moderation, "LEAST_BITS", 4)
+    monkeypatch.setattr(moderation, "MOST_BITS", 4)
+    monkeypatch.setattr(moderation, "BLOCK", 8)
+    words = ["ab", "bca", "cabca", "ä日", "dd"]
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcdä日") for _ in range(n)) for n in (0, 1, 5, 17, 40, 200, 90, 33)]
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, msg string").coalesce(1)
+    listed = spark.createDataFrame([(w,) for w in words], "word string")
+    got = {r["_k_k"]: r["_found"] for r in moderation._found(df, listed, ["k"]).collect()}
+    want = {k: [w for _, w in sorted((t.index(w), w) for w in words if w in t)] for k, t in enumerate(texts)}
+    assert got == {k: w for k, w in want.items() if w} and len(got) > 3
+
+
+def test_order_detail_on_nulls_and_repeats(spark):
+    """Lines, orders, activities and coupons that repeat multiply, as in plain joins; nulls match nothing."""
+    names = "id order_id sku_id sku_name create_time source_id source_type sku_num split_total_amount split_activity_amount split_coupon_amount ts_ms split_original_amount"
+
+    def line(i, order, n):
+        return (i, order, f"s{n}", f"name{n}", "1704067200000", "1", "x", "2", "3", "4", "5", n, "6")
+
+    lines = [line(f"l{n % 9}", f"o{n % 5}", n % 13) for n in range(40)]
+    lines += [line(None, "o1", 90), line(None, "o1", 90), line(None, None, 91), line("l1", None, 92), line("o1", "o2", 93), line("l0", "none", 94)]
+    orders = [(f"o{n}", f"u{n}", "p1", n) for n in range(4)] + [("o1", "u1", "p1", 7), ("o1", "u1", "p1", 7), ("o2", None, "p2", 8), (None, "u", "p", 9)]
+    activities = [(f"l{n}", f"a{n}", "r", n) for n in range(5)] + [("l1", "a1", "r", 1), ("l1", "b", None, 1), (None, "c", "r", 1), ("o1", "d", "r", 2)]
+    coupons = [("l1", "k", 1), ("l1", "k", 1), ("l7", None, 1), (None, "k", 1)]
+    text = " string, ".join(names.split()).replace("ts_ms string", "ts_ms long") + " string"
+    detail = spark.createDataFrame(lines, text)
+    o = spark.createDataFrame(orders, "id string, user_id string, province_id string, ts_ms long")
+    a = spark.createDataFrame(activities, "order_detail_id string, activity_id string, activity_rule_id string, ts_ms long")
+    c = spark.createDataFrame(coupons, "order_detail_id string, coupon_id string, ts_ms long")
+    got = joins.order_detail(detail, o, a, c)
+    assert [f.name for f in got.schema][:2] == ["id", "order_id"]
+    want = []
+    for x in lines:
+        for y in orders:
+            if x[1] is not None and x[1] == y[0]:
+                for z in [z for z in activities if x[0] is not None and z[0] == x[0]] or [(None,) * 4]:
+                    for k in [k for k in coupons if x[0] is not None and k[0] == x[0]] or [(None,) * 3]:
+                        want.append((x[0], x[1], y[1], x[2], y[2], z[1], z[2], k[1], x[11]))
+    columns = "id order_id user_id sku_id province_id activity_id activity_rule_id coupon_id ts_ms".split()
+    assert sorted(map(tuple, got.select(*columns).collect()), key=repr) == sorted(want, key=repr) and len(want) > 60
+    kept = spark.createDataFrame([("o1", "m", "t", 1), ("o1", "m", "t", 1), (None, "m", "t", 1)], "order_id string, payment_type string, callback_time string, ts_ms long")
+    paid = joins.pay_success(kept, got).select("order_detail_id", "order_id").collect()
+    assert sorted(map(tuple, paid), key=repr) == sorted(2 * [w[:2] for w in want if w[1] == "o1"], key=repr)

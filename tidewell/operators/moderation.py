@@ -19,6 +19,8 @@ LEAST_BITS, MOST_BITS = 22, 29
 BLOCK = 1 << 15  # bits of the filter that are put together at once
 # Characters of a text that are looked at together; longer texts overlap by the longest word.
 PIECE = 1 << 18
+# Texts that a task of the search looks at together, and candidates after which it hands them on.
+TEXTS, CANDIDATES = 64, 1 << 15
 
 
 def explode_keywords(
@@ -106,8 +108,8 @@ def filter_bits(words: int) -> int:
 def _filter_of(listed: DataFrame) -> tuple[list[int], int, np.ndarray]:
     """The words' lengths, the filter's size as a power of two, and its bits, eight to a byte.
 
-    Words become blocks of bits in the tasks that read them, and blocks are put together on Spark, so the
-    driver gets the filter and never the words.
+    Words become places of bits in the tasks that read them, and a block's bits are put together on Spark, so
+    the driver gets the filter and never the words.
     """
     counted = listed.groupBy(F.char_length("word").alias("length")).agg(F.count("*").alias("n")).collect()
     size = filter_bits(sum(r["n"] for r in counted))
@@ -115,21 +117,15 @@ def _filter_of(listed: DataFrame) -> tuple[list[int], int, np.ndarray]:
     def work(batches):
         for batch in batches:
             spots = np.array([_hashes(c, len(c), *_sums(c), size)[0] for c in map(_codes, batch.column(0).to_pylist())], np.int64)
-            spots.sort()
-            cuts = np.flatnonzero(np.diff(spots // BLOCK)) + 1
-            own = [p for p in np.split(spots, cuts) if len(p)]
-            made = [np.zeros(BLOCK, bool) for _ in own]
-            for bits, p in zip(made, own):
-                bits[p % BLOCK] = True
-            blocks = [pa.array([int(p[0]) // BLOCK for p in own], pa.int64()), pa.array([np.packbits(m).tobytes() for m in made], pa.binary())]
-            yield pa.RecordBatch.from_arrays(blocks, ["block", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array(spots // BLOCK), pa.array((spots % BLOCK).astype(np.int32))], ["block", "spot"])
 
     def join(table: pa.Table) -> pa.Table:
-        every = np.stack([np.frombuffer(x, np.uint8) for x in table.column("bits").to_pylist()])
-        return pa.table({"block": table.column("block").slice(0, 1), "bits": pa.array([np.bitwise_or.reduce(every).tobytes()], pa.binary())})
+        bits = np.zeros(BLOCK, bool)
+        bits[table.column("spot").to_numpy()] = True
+        return pa.table({"block": table.column("block").slice(0, 1), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
 
-    schema = "block long, bits binary"
-    rows = listed.select("word").mapInArrow(work, schema).groupBy("block").applyInArrow(join, schema).toArrow()
+    spots = listed.select("word").mapInArrow(work, "block long, spot int")
+    rows = spots.groupBy("block").applyInArrow(join, "block long, bits binary").toArrow()
     bits = np.zeros((1 << size) // 8, np.uint8)
     for block, some in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
         bits[block * BLOCK // 8 : (block + 1) * BLOCK // 8] = np.frombuffer(some, np.uint8)
@@ -154,10 +150,18 @@ def _found(df: DataFrame, listed: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     def work(batches):
         bits = shared.value
-        for batch in batches:
+        for batch in (b.slice(k, TEXTS) for b in batches for k in range(0, b.num_rows, TEXTS)):
             rows, places, found = [], [], []
+
+            def taken() -> pa.RecordBatch:
+                kept = [c.take(pa.array(rows, pa.int64())) for c in batch.columns[: len(by)]]
+                out = pa.RecordBatch.from_arrays([*kept, pa.array(places, pa.int64()), pa.array(found, pa.string())], [*by, "at", "word"])
+                for entries in (rows, places, found):
+                    entries.clear()
+                return out
+
             for row, text in enumerate(batch.column(len(by)).to_pylist()):
-                first: dict[str, int] = {}
+                seen: set[str] = set()
                 for start in range(0, len(text) if lengths else 0, PIECE):
                     piece = text[start : start + PIECE + lengths[-1] - 1]
                     codes = _codes(piece)
@@ -165,12 +169,15 @@ def _found(df: DataFrame, listed: DataFrame, keys: Sequence[str]) -> DataFrame:
                     for length in lengths:
                         if length <= len(codes):
                             for at in _passing(bits, _hashes(codes, length, sums, down, size)).tolist():
-                                first.setdefault(piece[at : at + length], start + at + 1)
-                rows += [row] * len(first)
-                found += first
-                places += first.values()
-            kept = [c.take(pa.array(rows, pa.int64())) for c in batch.columns[: len(by)]]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(places, pa.int64()), pa.array(found, pa.string())], [*by, "at", "word"])
+                                word = piece[at : at + length]
+                                if word not in seen:
+                                    seen.add(word)
+                                    rows.append(row)
+                                    places.append(start + at + 1)
+                                    found.append(word)
+                        if len(found) >= CANDIDATES:
+                            yield taken()
+            yield taken()
 
     texts = df.filter("msg <> ''").select(*[F.col(k).alias(f"_k_{k}") for k in keys], "msg")
     schema = T.StructType([*texts.schema.fields[: len(by)], T.StructField("at", T.LongType()), T.StructField("word", T.StringType())])
