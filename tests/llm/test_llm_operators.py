@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -529,3 +530,19 @@ def test_pieces_are_drawn_without_replacement():
     assert abs(estimate - 1) < 0.05
     everything = pieces.sample(vocab, ["日"], [1], 50)[0]
     assert len({tuple(s[0].tolist()) for s in everything}) == len(everything) and math.isclose(sum(math.exp(s[1]) for s in everything), 1)
+
+
+def test_pieces_need_little_memory():
+    vocab, rng = pieces.vocabulary(), np.random.default_rng(3)
+    letters = np.array(list("etaoinshrdlu日"))
+    words = ["".join(rng.choice(letters, n)) for n in rng.integers(2, 12, 20_000)]
+    texts = [" ".join(rng.choice(words, 500)) for _ in range(400)]
+    tracemalloc.start()
+    found = pieces.sample(vocab, texts, list(range(400)), 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 36 * sum(map(len, texts))
+    # Neither do samples depend on which texts are walked at once.
+    alone = pieces.sample(vocab, texts[300:302], [300, 301], 2)
+    for some, other in zip(found[300:302], alone):
+        assert [(a[0].tolist(), *np.round(a[1:], 6)) for a in some] == [(b[0].tolist(), *np.round(b[1:], 6)) for b in other]

@@ -35,6 +35,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 ALPHA = 1.0
 BATCH = 5 << 19  # bytes of text that share lattices
+TOGETHER = 1 << 17  # chunks of a batch that are walked at once
 SPACE = "▁"
 LONG = 64  # characters of a chunk that is cut into parts
 WINDOW = 128  # places of a path that are looked at first
@@ -123,12 +124,14 @@ class Lattices:
                 miss = np.flatnonzero(~hit)
                 row[miss] = np.minimum(row[miss] + 1, len(vocab["hashes"]) - 1)
                 hit[miss] = vocab["hashes"][row[miss]] == keys[miss]
-            starts.append(some[hit])
+            starts.append(some[hit].astype(np.int32))
             spans.append(np.full(hit.sum(), span, np.int32))
             ids.append(vocab["ids"][row[hit]])
+        # What is not needed any more goes at once: a worker's memory is that of its largest moment.
+        del sums, left, at, keys, state, maybe, some, row, hit
         lone = np.ones(len(codes), bool)
         lone[starts[0]] = False
-        lone = np.flatnonzero(lone)  # spelled in bytes
+        lone = np.flatnonzero(lone).astype(np.int32)  # spelled in bytes
         starts.append(lone)
         spans.append(np.ones(len(lone), np.int32))
         ids.append(np.full(len(lone), -1, np.int32))
@@ -140,11 +143,12 @@ class Lattices:
         size = int(self.first[-1])
         self.start, self.span, self.id = (np.empty(size, np.int32) for _ in range(3))
         free = self.first[:-1].copy()
-        for x, n, i in zip(reversed(starts), reversed(spans), reversed(ids)):
+        while starts:
+            x, n, i = starts.pop(), spans.pop(), ids.pop()
             to = free[x]
             self.start[to], self.span[to], self.id[to] = x, n, i
             free[x] += 1
-        del starts, spans, ids, free, count
+        del x, n, i, to, free, count
         # Parts: chunks, and long chunks cut where no piece crosses. Paths are the same, but parts are
         # worked on side by side.
         inside = np.repeat(lengths > LONG, lengths)
@@ -154,11 +158,13 @@ class Lattices:
             np.add.at(crossed, self.start[wide] + 1, 1)
             np.add.at(crossed, self.start[wide] + self.span[wide], -1)
             inside &= np.cumsum(crossed)[:-1] == 0
+            del wide, crossed
         inside[ends - lengths] = True
         self.heads = np.flatnonzero(inside)  # first node of a part
         self.ends = np.append(self.heads[1:], len(codes))
         lengths = self.ends - self.heads
-        left = np.repeat(self.ends, lengths) - np.arange(len(codes))
+        left = np.repeat(self.ends, lengths)
+        left -= np.arange(len(codes))
         self.parts = np.append(np.searchsorted(self.heads, ends - np.diff(ends, prepend=0)), len(self.heads))  # first part of a chunk
         byte_count = 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)
         weight = vocab["weights"][self.id]
@@ -168,10 +174,12 @@ class Lattices:
         # Log mass of all paths to the part's end, from the last characters to the first.
         mass = np.zeros(len(codes) + 1)
         # (Short keys sort faster.)
-        deepest = np.argsort(left.astype(np.int16) if lengths.max(initial=0) < 1 << 15 else left, kind="stable")
+        short = np.int16 if lengths.max(initial=0) < 1 << 15 else np.int64
+        deepest = np.argsort(left.astype(short), kind="stable").astype(np.int32)
         levels = np.searchsorted(left[deepest], np.arange(1, int(lengths.max(initial=0)) + 2))
         goal = self.start + self.span
         final = self.span == left[self.start]
+        del left
         for a, b in zip(levels, levels[1:]):
             nodes = deepest[a:b]
             if not len(nodes):
@@ -182,10 +190,18 @@ class Lattices:
             value = weight[edges] + np.where(final[edges], 0.0, mass[goal[edges]])
             top = np.maximum.reduceat(value, cuts)
             mass[nodes] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, n)), cuts))
-        self.log_p = weight + np.where(final, 0.0, mass[goal]) - mass[self.start]
-        p = np.exp(self.log_p)
-        sums = np.concatenate(([0.0], np.cumsum(p)))
-        self.upto = sums[1:] - sums[self.first[self.start]]  # chances of a node's edges, summed up
+        del deepest
+        after = mass[goal]
+        after[final] = 0.0
+        weight += after
+        del goal, final, after
+        weight -= mass[self.start]
+        self.log_p = weight
+        sums = np.zeros(size + 1)
+        np.exp(weight, out=sums[1:])
+        np.cumsum(sums[1:], out=sums[1:])
+        self.upto = sums[1:]  # chances of a node's edges, summed up
+        self.upto -= sums[self.first[self.start]]
         last = self.first[1:] - 1
         self.upto[last] = 2.0  # the last edge takes what rounding leaves
         self.lone = (self.first[1:] - self.first[:-1] == 1)[self.start]
@@ -210,16 +226,17 @@ class Lattices:
             while len(more):
                 edge[more] += 1
                 more = more[u[more] > self.upto[edge[more]]]
-            steps.append((live, edge))
+            steps.append((live.astype(np.int32), edge.astype(np.int32)))
             count[live] += 1
             nodes[live] = at + self.span[edge]
             live = live[nodes[live] < ends[live]]
         lengths = np.empty(len(order), np.int64)
         lengths[order] = count
         offset = (np.cumsum(lengths) - lengths)[order]
-        out = np.empty(lengths.sum(), np.int64)
+        out = np.empty(lengths.sum(), np.int32)
         for k, (live, edge) in enumerate(steps):
             out[offset[live] + k] = edge
+            steps[k] = None
         return out, lengths
 
 
@@ -329,7 +346,18 @@ def sample(vocab: dict, texts: list[str], rows: list[int], k: int) -> list[list[
     numbers = _Numbers()
     chunks = [np.array(list(map(numbers.__getitem__, _CHUNK.findall(" " + t))) if t else [], np.int64) for t in texts]
     lattices = Lattices(vocab, list(numbers))
-    parts = [lattices.parts_of(c) for c in chunks]
+    del numbers
+    sizes = np.array([len(c) for c in chunks])
+    turn = (np.cumsum(sizes) - sizes) // TOGETHER  # the texts whose chunks begin in a stretch of so many
+    cuts = [*np.flatnonzero(np.diff(turn, prepend=-1)).tolist(), len(chunks)]
+    out = []
+    for a, z in zip(cuts, cuts[1:]):
+        out += walked(vocab, lattices, [lattices.parts_of(c) for c in chunks[a:z]], rows[a:z], k)
+    return out
+
+
+def walked(vocab: dict, lattices: Lattices, parts: list[np.ndarray], rows: list[int], k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
+    """``sample`` for texts that are given as parts of lattices."""
     searches = [Search(r) for r in rows]
     lengths = lattices.ends - lattices.heads
     nothing = np.zeros(0, np.int64)
@@ -351,10 +379,10 @@ def sample(vocab: dict, texts: list[str], rows: list[int], k: int) -> list[list[
         place[first[some]] += inside
         # Only the seed tells where in the text a part stands.
         seeds = np.array([_seed(searches[job[0]].row, 1 + number) for job in jobs], np.uint64)
-        walked, counts = lattices.walk(nodes, ends, np.repeat(seeds, sizes) + place.astype(np.uint64))
+        taken, counts = lattices.walk(nodes, ends, np.repeat(seeds, sizes) + place.astype(np.uint64))
         upto = np.concatenate(([0], np.cumsum(counts)))
         cuts = upto[np.concatenate((first, [len(todo)]))]
-        paths = [np.concatenate((job[1], walked[a:b])) if len(job[1]) else walked[a:b] for job, a, b in zip(jobs, cuts, cuts[1:])]
+        paths = [np.concatenate((job[1], taken[a:b])) if len(job[1]) else taken[a:b] for job, a, b in zip(jobs, cuts, cuts[1:])]
         edges, sizes = np.concatenate(paths), np.array([len(p) for p in paths])
         starts, begin = np.cumsum(sizes) - sizes, np.array([len(job[1]) for job in jobs])
         seeds = np.array([_seed(searches[job[0]].row, 1000 + number) for job in jobs], np.uint64)
@@ -369,7 +397,7 @@ def sample(vocab: dict, texts: list[str], rows: list[int], k: int) -> list[list[
             search.paths.append((path, log_prob, value))
             if number + 1 < k and (turn := search.pop(lattices)):
                 of, at, edge, value = turn
-                before = np.append(search.paths[of][0][:at], edge)
+                before = np.append(search.paths[of][0][:at], np.int32(edge))
                 gone = int(lattices.span[before].sum())
                 # Parts that the kept edges fill; the turning edge may end inside the next one.
                 full = int(np.searchsorted(np.cumsum(lengths[parts[i]]), gone, "right"))
@@ -390,9 +418,9 @@ def sample(vocab: dict, texts: list[str], rows: list[int], k: int) -> list[list[
 
 def utf8(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, lengths) of code points: four bytes a row, of which the first ones count."""
-    codes = codes.astype(np.int64)
+    codes = codes.astype(np.int32)
     n = 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)
-    shift = 6 * (n[:, None] - 1 - np.arange(4))
+    shift = (6 * (n[:, None] - 1 - np.arange(4))).astype(np.int32)
     out = 0x80 | (codes[:, None] >> np.maximum(shift, 0)) & 0x3F
     out[:, 0] = np.where(n == 1, codes, np.array([0, 0, 0xC0, 0xE0, 0xF0])[n] | codes >> np.maximum(shift[:, 0], 0))
     return out, n
