@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import math
+import os
 import re
 import tracemalloc
 import zlib
@@ -234,6 +235,48 @@ def test_pitman_yor_knows_which_word_follows(spark, monkeypatch):
     assert all(abs(again[i] - s) < 1e-9 for i, s in got.items())
 
 
+def test_pitman_yor_codes_texts(spark):
+    """The vectors of a batch agree with plain Python, also where texts end in spaces, are empty or fill a slice."""
+    texts = ["A b\x0ba  c ", "", None, "  ", "b\n\na Ab", "é\u00a0é É", "x" * 40 + " a " * 500_000, "a"]
+    docs = spark.createDataFrame([(i, i % 3 == 1, t) for i, t in enumerate(texts)], "id long, held boolean, text string").coalesce(1)
+    (row,) = pitman_yor.coded(docs).collect()
+    words = bytes(row.words).split(b" ")
+    want = [bytes_of(t).lower().split() + [b""] for t in texts]
+    tokens = pitman_yor.tokens_of(bytes(row.tokens), np.array(row.lengths))
+    assert [words[i] for i in tokens] == [w for ws in want for w in ws] and row.lengths == [len(ws) for ws in want]
+    assert (np.diff(pitman_yor.keys_of(words).astype(object)) > 0).all() and words[row.end] == b""
+    learned = Counter(w for i, ws in enumerate(want) if i % 3 != 1 for w in ws)
+    assert np.frombuffer(row.counts, np.int64).tolist() == [learned[w] for w in words]
+
+
+def test_pitman_yor_sends_each_pair_that_may_recur():
+    rng = np.random.default_rng(7)
+    lengths, held = rng.integers(1, 9, 300), rng.random(300) < 0.2
+    tokens = rng.integers(1, 200, lengths.sum()).astype(np.uint32)
+    tokens[np.cumsum(lengths) - 1] = 0
+    n = rng.integers(0, 3, 200) + np.bincount(tokens[np.repeat(~held, lengths)], minlength=200)
+    pairs = pitman_yor.Pairs(np.arange(200, dtype=np.uint32), n, 0, held, lengths, tokens, 7, 10)
+    plain = list(zip([0, *tokens[:-1].tolist()], tokens.tolist()))
+    learned = Counter(p for p, out in zip(plain, np.repeat(held, lengths)) if not out)
+    found = list(zip(pairs.left.tolist(), pairs.right.tolist()))
+    assert [found[i] for i in pairs.tokens] == plain and len(set(found)) == len(found)
+    assert pairs.counts.tolist() == [learned[p] for p in found]
+    left_out = {p for p in found if min(n[p[0]], n[p[1]]) == 0 or min(n[p[0]], n[p[1]]) == learned[p] == 1}
+    assert left_out and set(found[pairs.bounds[-1] :]) == left_out
+    # A context of few customers is whole in one part, others are spread.
+    parts = {u: {k for k, (a, z) in enumerate(zip(pairs.bounds, pairs.bounds[1:])) if u in pairs.left[a:z]} for u in range(200)}
+    assert all(len(k) <= 1 for u, k in parts.items() if n[u] < 10) and len(parts[0]) > 1
+
+
+def test_pitman_yor_keeps_arrays(spark):
+    """Tables between stages have a row per batch and part, not one per word or pair."""
+    scratch = Scratch(spark, "t")
+    docs = spark.createDataFrame([(i, " ".join(f"w{i * j % 97}" for j in range(60))) for i in range(40)], "doc_id long, text string").coalesce(2)
+    assert pitman_yor.score(scratch, docs, pitman_yor.held_out(F.col("doc_id")), burn=1, samples=1).count() == 40
+    kept = [os.path.join(scratch.path, name) for name in os.listdir(scratch.path)]
+    assert kept and all(spark.read.parquet(path).count() <= 4 for path in kept if os.listdir(path))
+
+
 def cut(texts, depth=100):
     """Plain version: {(id, text): (bytes removed, spans, what is left)}, ids and texts in order."""
     seen, out = set(), {}
